@@ -63,7 +63,8 @@ def metric_score(metric: str, a, b) -> Column:
 
 def vector_text(v) -> Column:
     """``[x1,x2,...]`` with 7 decimals, no spaces; ``[]`` for an empty vector."""
-    parts = F.transform(_col(v), lambda x: F.format_string("%.7f", x.cast("double")))
+    # exact ties (e.g. 0.12890625) round half to even, as Go and C printf do
+    parts = F.transform(_col(v), lambda x: F.format_string("%.7f", F.bround(x.cast("double"), 7)))
     return F.concat(F.lit("["), F.array_join(parts, ","), F.lit("]"))
 
 

@@ -32,3 +32,5 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # importing the modules fills the registry
 from vecframe.plans import q_search  # noqa: E402,F401
+from vecframe.plans import q_functions  # noqa: E402,F401
+from vecframe.plans import q_ingest  # noqa: E402,F401
