@@ -35,3 +35,4 @@ from vecframe.plans import q_search  # noqa: E402,F401
 from vecframe.plans import q_functions  # noqa: E402,F401
 from vecframe.plans import q_ingest  # noqa: E402,F401
 from vecframe.plans import q_ivf  # noqa: E402,F401
+from vecframe.plans import q_text  # noqa: E402,F401

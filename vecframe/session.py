@@ -81,3 +81,16 @@ def cut_lineage(df, eager: bool = True):
 
 
 __all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "cut_lineage", "local_path"]
+
+
+# Largest side table (rows) that may be broadcast without further thought.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def bounded_broadcast(df, max_rows: int = MAX_BROADCAST_ROWS):
+    """``broadcast(df)`` only when a count proves it small; otherwise the plain
+    DataFrame, so the join falls back to a shuffle join (AQE may still pick a
+    broadcast at run time from real sizes)."""
+    from pyspark.sql import functions as F
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
