@@ -36,3 +36,5 @@ from vecframe.plans import q_functions  # noqa: E402,F401
 from vecframe.plans import q_ingest  # noqa: E402,F401
 from vecframe.plans import q_ivf  # noqa: E402,F401
 from vecframe.plans import q_text  # noqa: E402,F401
+from vecframe.plans import q_stream  # noqa: E402,F401
+from vecframe.plans import q_io  # noqa: E402,F401

@@ -39,7 +39,7 @@ def collection_view(spark: SparkSession, sf_dir: str, scaled: bool = False) -> D
         value.alias("value"),
         F.col("label"),
         device_code(F.col("vec_id")).alias("deviceCode"),
-        (F.unix_millis(day.cast("timestamp")) + F.col("vec_id")).alias("createTime"),
+        (F.unix_date(day).cast("long") * 86400000 + F.col("vec_id")).alias("createTime"),  # no session-zone dependence
         F.date_format(day, "yyyyMMdd").alias("dt"),
     )
 
