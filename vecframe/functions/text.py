@@ -22,7 +22,7 @@ def split_by_comma(s) -> Column:
 
 def tokenize(text) -> Column:
     """``array<string>`` of lower-cased letter/digit runs, empties removed."""
-    return F.filter(F.split(F.lower(_col(text)), TOKEN_SPLIT, -1), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(_col(text)), TOKEN_SPLIT, -1), "")
 
 
 def device_code(n) -> Column:

@@ -24,12 +24,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecframe.functions.text import tokenize
+from pyspark import StorageLevel
+
 from vecframe.session import bounded_broadcast
 
 # Fixed values (our definition of the scoring constants).
 K1 = 1.2
 B = 0.75
-SCORE_DECIMAL = "decimal(38,18)"
+SCORE_SCALE = 100_000_000  # scores summed as exact fixed-point longs (1e-8 units)
 
 
 @dataclass
@@ -43,16 +45,27 @@ class BM25Index:
 
 
 def build_postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    toks = docs.select(F.col(id_col).alias("doc_id"), tokenize(F.col(text_col)).alias("_t"))
+    """``(doc_id, dl, term, tf)``, hash-partitioned by ``doc_id``.
+
+    The raw text is shuffled once by ``doc_id`` (smaller than the postings
+    it yields); counting terms per document then needs no second exchange,
+    and every later per-document or per-(query, document) aggregate reuses
+    that partitioning."""
+    toks = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).repartition("doc_id")
+            .select("doc_id", tokenize(F.col("_text")).alias("_t")))
     return (toks.select("doc_id", F.size("_t").cast("long").alias("dl"), F.explode("_t").alias("term"))
-            .groupBy("term", "doc_id", "dl").agg(F.count(F.lit(1)).alias("tf")))
+            .groupBy("doc_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> BM25Index:
-    postings = build_postings(docs, id_col, text_col)
-    lens = docs.select(F.size(tokenize(F.col(text_col))).alias("dl"))
-    st = lens.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-    return BM25Index(postings, int(st["n"]), float(st["avgdl"] or 0.0))
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> BM25Index:
+    """Postings kept (``persist``) for the statistics and the queries; lost
+    blocks are recomputed from lineage.  ``N`` counts every document (empty
+    ones too); ``avgdl = total tokens / N``."""
+    postings = build_postings(docs, id_col, text_col).persist(storage)
+    n = docs.count()
+    total = postings.agg(F.sum("tf")).first()[0] or 0
+    return BM25Index(postings, int(n), float(total) / n if n else 0.0)
 
 
 def idf(n_docs: int, df: Column) -> Column:
@@ -86,13 +99,25 @@ def search(index: BM25Index, queries: DataFrame, k: int = 10, qid_col: str = "qi
            drop_ratio: float = 0.0) -> DataFrame:
     """``(qid, rank, doc_id, score)``, best first, ties by doc_id."""
     qt = query_terms(queries, qid_col, text_col)
-    wp = weighted_postings(index, drop_ratio)
-    contrib = wp.join(bounded_broadcast(qt), "term").select("qid", "doc_id", (F.col("qtf") * F.col("w")).alias("c"))
-    # exact decimal sum: order-independent, so copies of a document tie exactly
-    scored = contrib.groupBy("qid", "doc_id").agg(F.sum(F.col("c").cast(SCORE_DECIMAL)).alias("score"))
-    w = Window.partitionBy("qid").orderBy(F.desc("score"), F.asc("doc_id"))
+    if drop_ratio > 0:  # pruning needs every weight of a document
+        wp = weighted_postings(index, drop_ratio)
+        contrib = wp.join(bounded_broadcast(qt), "term").select("qid", "doc_id", (F.col("qtf") * F.col("w")).alias("c"))
+    else:
+        # df of the query terms only (partial counts per task, tiny result),
+        # then the query-side weights are broadcast against the postings
+        terms = bounded_broadcast(qt.select("term").distinct())
+        dfq = index.postings.join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        qw = qt.join(dfq, "term").select("qid", "term", "qtf", idf(index.n_docs, F.col("df")).alias("idf"))
+        contrib = index.postings.join(bounded_broadcast(qw), "term").select(
+            "qid", "doc_id", (F.col("qtf") * term_weight(index, F.col("tf"), F.col("dl"), F.col("idf"))).alias("c"))
+    # exact integer sum of fixed-point contributions: order-independent, so
+    # copies of a document tie exactly (then doc_id decides)
+    fp = F.round(F.col("c") * F.lit(float(SCORE_SCALE))).cast("long")
+    scored = contrib.groupBy("qid", "doc_id").agg(F.sum(fp).alias("_fp"))
+    w = Window.partitionBy("qid").orderBy(F.desc("_fp"), F.asc("doc_id"))
     return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select("qid", F.col("rank").cast("long").alias("rank"), "doc_id", F.col("score").cast("double").alias("score")))
+            .select("qid", F.col("rank").cast("long").alias("rank"), "doc_id",
+                    (F.col("_fp") / F.lit(float(SCORE_SCALE))).alias("score")))
 
 
 def term_stats(index: BM25Index) -> DataFrame:
