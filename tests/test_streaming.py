@@ -34,3 +34,19 @@ def test_phase_rates_cycle(spark):
     df = spark.createDataFrame(rows, "t string").select(F.col("t").cast("timestamp_ntz").alias("ts"))
     got = {r["phase"]: (r["rows"], r["cycles"]) for r in phase_rates(df).collect()}
     assert got == {"high": (10000, 1), "low": (10900, 1)}
+
+
+def test_periodic_search_writes_each_batch(spark, tmp_dir):
+    from vecframe.operators.search import search_one
+    from vecframe.plans.views import collection_view
+    from vecframe.streaming.ingest import periodic_search
+    view = collection_view(spark, "/root/testdata/sf0.001")
+    ticks_dir = os.path.join(tmp_dir, "ticks")
+    spark.range(3).write.parquet(ticks_dir + "/t1")
+    ticks = file_stream(spark, ticks_dir + "/*", spark.range(1).schema)
+    sink, ckpt = os.path.join(tmp_dir, "psink"), os.path.join(tmp_dir, "pckpt")
+    q = [0.1] * 64
+    run_to_end(periodic_search(ticks, lambda: view, lambda base: search_one(base, q, "IP", 10), sink, ckpt,
+                               trigger="availableNow"))
+    out = spark.read.parquet(sink)
+    assert out.count() == 10 and "ms" in out.columns and "batch_id" in out.columns

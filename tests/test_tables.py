@@ -56,3 +56,26 @@ def test_generators_repeatable(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     assert all(0.0 <= x < 1.0 for r in a for x in r["value"])
     assert all(r["deviceCode"].startswith("device1") and len(r["deviceCode"]) == 9 for r in a)
+
+
+def test_numbered_collections_one_job(spark, tmp_dir):
+    rows = TB.numbered_rows(spark, 3, 5, 4, 8)
+    got = {r["collection"]: r["n"] for r in rows.groupBy("collection").agg(F.count("*").alias("n")).collect()}
+    assert got == {"coll_3": 4, "coll_4": 4, "coll_5": 4}
+    r = rows.first()
+    assert len(r["value"]) == 8 and 10 <= len(r["indexText"].split()) <= 20 and r["docId"] >= 0
+    TB.create_numbered(spark, "vf_numbered", 0, 1, 3, 4, location=tmp_dir + "/num")
+    assert spark.table("vf_numbered").where("collection = 'coll_1'").count() == 3
+    TB.drop_collection(spark, "vf_numbered")
+
+
+def test_other_generators(spark):
+    from vecframe.sources.batches import hash_ids
+    from vecframe.sources.generate import hello_rows, pick_one, query_vector
+    h = hello_rows(spark.range(300), 4).collect()
+    assert len(h) == 300 and all(0 <= r["f1"] < 1 and len(r["embeddings"]) == 4 for r in h)
+    assert query_vector(spark, 16) == query_vector(spark, 16)
+    df = spark.range(100)
+    assert pick_one(df).first()["id"] == pick_one(df.repartition(5)).first()["id"]
+    a = {r["id"] for r in hash_ids(spark.range(50).withColumnRenamed("id", "x"), ["x"]).collect()}
+    assert len(a) == 50

@@ -170,3 +170,36 @@ def count_partitions(df: DataFrame, days: Sequence[str] | None, partition_col: s
 def day_counts(spark: SparkSession, name: str) -> DataFrame:
     """Existing rows per day, read once before a backfill."""
     return count_partitions(spark.table(name), None)
+
+
+# -- many collections (L6) --------------------------------------------------
+
+def numbered_rows(spark: SparkSession, start: int, end: int, rows_per: int, dim: int,
+                  prefix: str = "coll_", seed: int = 13) -> DataFrame:
+    """Rows for collections ``prefix{start..end}`` made in one job.
+
+    One ``spark.range`` over all rows; the collection number and the row id
+    inside it are derived from the running index (no cross product)."""
+    n_coll = end - start + 1
+    if n_coll <= 0 or rows_per <= 0:
+        raise ValueError("empty collection range")
+    base = spark.range(n_coll * rows_per).select(
+        (F.lit(start) + F.floor(F.col("id") / rows_per)).cast("long").alias("_n"),
+        F.pmod(F.col("id"), F.lit(rows_per)).alias("id"))
+    return _numbered(base, dim, prefix, seed)
+
+
+def _numbered(base: DataFrame, dim: int, prefix: str, seed: int) -> DataFrame:
+    from vecframe.sources.generate import text_columns
+    return base.select(F.concat(F.lit(prefix), F.col("_n").cast("string")).alias("collection"),
+                       *text_columns(F.col("id").cast("long"), dim, seed))
+
+
+def create_numbered(spark: SparkSession, name: str, start: int, end: int, rows_per: int, dim: int,
+                    location: str | None = None, prefix: str = "coll_") -> None:
+    """Create-and-fill: one table partitioned by ``collection``."""
+    rows = numbered_rows(spark, start, end, rows_per, dim, prefix)
+    w = rows.repartition("collection").write.mode("overwrite").partitionBy("collection")
+    if location:
+        w = w.option("path", location)
+    w.saveAsTable(name)

@@ -46,16 +46,20 @@ def hello_rows(ids: DataFrame, dim: int, seed: int = 11, id_col: str = "id") ->
                       random_vector(i, dim, seed + 1).alias("embeddings"))
 
 
-def text_rows(ids: DataFrame, dim: int, seed: int = 13, id_col: str = "id") -> DataFrame:
-    """``id, value, indexText`` (10-20 words), ``docId`` (63-bit)."""
-    i = F.col(id_col).cast("long")
+def text_columns(i: Column, dim: int, seed: int = 13) -> list[Column]:
+    """S11 columns for an id column: ``id, value, indexText, docId``."""
     words = F.array(*[F.lit(w) for w in WORDS])
     n_words = (F.lit(10) + F.pmod(F.xxhash64(i, F.lit(seed)), F.lit(11))).cast("int")
     sentence = F.array_join(F.transform(
         F.sequence(F.lit(1), n_words),
         lambda j: F.element_at(words, (F.pmod(F.xxhash64(i, j, F.lit(seed + 2)), F.lit(len(WORDS))) + 1).cast("int"))), " ")
-    return ids.select(i.alias("id"), random_vector(i, dim, seed + 3).alias("value"), sentence.alias("indexText"),
-                      F.xxhash64(i, F.lit(seed + 4)).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)).alias("docId"))
+    return [i.alias("id"), random_vector(i, dim, seed + 3).alias("value"), sentence.alias("indexText"),
+            F.xxhash64(i, F.lit(seed + 4)).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)).alias("docId")]
+
+
+def text_rows(ids: DataFrame, dim: int, seed: int = 13, id_col: str = "id") -> DataFrame:
+    """``id, value, indexText`` (10-20 words), ``docId`` (63-bit)."""
+    return ids.select(*text_columns(F.col(id_col).cast("long"), dim, seed))
 
 
 def query_vector(spark, dim: int, seed: int = 5) -> list[float]:
