@@ -112,3 +112,22 @@ def test_plan_has_partition_filter_and_group_limit(spark, tmp_dir):
     plan = res._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan and "20250817" in plan
     assert t.schema["dt"].dataType == T.StringType()
+
+
+def test_per_query_partitions_mask(spark):
+    from vecframe.streaming.requests import answer_search_requests
+    from vecframe.plans.views import collection_view
+    view = collection_view(spark, "/root/testdata/sf0.001")
+    reqs = view.where("id IN (0, 150, 320)").select(
+        F.col("id").alias("qid"), F.col("value").alias("vec"),
+        F.when(F.col("id") == 0, 3).otherwise(5).alias("topk"),
+        F.when(F.col("id") == 0, "").when(F.col("id") == 150, "20250816,,20250814").otherwise("19990101").alias("partitions"))
+    got = answer_search_requests(view, reqs, "IP", max_k=10, fields=["dt"]).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r["qid"], []).append(r)
+    assert len(by[0]) == 3 and 320 not in by
+    assert len(by[150]) == 5 and {r["dt"] for r in by[150]} <= {"20250816", "20250814"}
+    q150 = [float(x) for x in view.where("id = 150").first()["value"]]
+    want = search_one(view, q150, "IP", 5, partitions=["20250816", "20250814"], fields=[])
+    assert sorted(r["id"] for r in by[150]) == sorted(r["id"] for r in want.collect())

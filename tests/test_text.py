@@ -46,7 +46,8 @@ def test_bm25_matches_brute_force(spark):
     for qid, hits in want.items():
         got = sorted([r for r in res if r["qid"] == qid], key=lambda r: r["rank"])
         assert [r["doc_id"] for r in got] == [h[0] for h in hits]
-        assert all(abs(r["score"] - h[1]) < 1e-9 for r, h in zip(got, hits))
+        # scores are exact sums of 1e-8 fixed-point contributions
+        assert all(abs(r["score"] - h[1]) < 1e-7 for r, h in zip(got, hits))
     # copies 1 and 4 tie exactly and fall back to doc id
     top = sorted([r for r in res if r["qid"] == 10], key=lambda r: r["rank"])
     assert top[0]["score"] == top[1]["score"] and [top[0]["doc_id"], top[1]["doc_id"]] == [1, 4]

@@ -107,16 +107,31 @@ def block_size(n_rows: int, n_queries: int) -> int:
     return max(1, min(n_queries, SCORE_BLOCK_CELLS // max(1, n_rows)))
 
 
-def local_topk(metric: str, higher: bool, X: np.ndarray, ids: np.ndarray, Q: np.ndarray, k: int):
+def partition_mask(row_values, query_parts):
+    """``allow(j0, j1) -> (rows, j1 - j0)`` booleans: may query j see row i?
+
+    ``query_parts[j]`` is None (all partitions) or a set of names."""
+    if query_parts is None:
+        return None
+    uniq = {v: i for i, v in enumerate(dict.fromkeys(row_values))}
+    vidx = np.fromiter((uniq[v] for v in row_values), dtype=np.int64, count=len(row_values))
+    masks = np.array([[p is None or v in p for p in query_parts] for v in uniq], dtype=bool).reshape(len(uniq), -1)
+    return lambda j0, j1: masks[vidx, j0:j1]
+
+
+def local_topk(metric: str, higher: bool, X: np.ndarray, ids: np.ndarray, Q: np.ndarray, k: int, allow=None):
     """Best k rows for each query over one block of rows.
 
-    Returns ``(row_index, query_index, score)`` arrays.
+    ``allow``: optional :func:`partition_mask` result restricting which rows
+    each query may see.  Returns ``(row_index, query_index, score)`` arrays.
     """
     rs, qs, ss = [], [], []
     step = block_size(X.shape[0], Q.shape[0])
     for j0 in range(0, Q.shape[0], step):
         s = scores(metric, X, Q[j0:j0 + step])
         key = to_key(s, higher)
+        if allow is not None:
+            key = np.where(allow(j0, j0 + s.shape[1]), key, np.nan)
         r, q = candidate_pairs(key, k)
         if len(r) > 0:
             sel = select_topk(q, key[r, q], ids[r], k)

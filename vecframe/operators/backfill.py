@@ -6,7 +6,10 @@ existing count ``c_d`` of the d-th day of the walk, batch size ``b`` and
 maximum ``M``, day d takes ``cap_d = greatest(1, ceil((M - c_d) / b))``
 batches; batch ``n`` belongs to the day whose ``[first, first + cap)``
 holds ``n``.  No loop: the calendar is a small table (one row per day
-touched), exploded to ``(batch, dt)`` and equi-joined to the rows.
+touched).  Past the last day that already holds rows every day takes exactly
+``c0 = ceil(M / b)`` batches, so a row's day is a formula of its batch
+number; only the batches of that short prefix are looked up, through a
+broadcast of ``(batch, dt)`` - the rows themselves are never shuffled.
 """
 
 from __future__ import annotations
@@ -17,7 +20,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vecframe.sources.batches import batch_split
+from vecframe.session import bounded_broadcast
+from vecframe.sources.batches import batch_split_counted
 
 
 def calendar(spark: SparkSession, existing: DataFrame, start: _dt.date, n_batches: int, batch_size: int,
@@ -57,12 +61,24 @@ def assign_days(rows: DataFrame, existing: DataFrame, start: _dt.date, batch_siz
                 partition_col: str = "dt", stable: bool = True) -> tuple[DataFrame, DataFrame]:
     """Rows with ``batch`` and ``dt`` filled in, plus the calendar used."""
     spark = rows.sparkSession
-    n = rows.count()
+    with_batch, n = batch_split_counted(rows.drop(partition_col) if partition_col in rows.columns else rows,
+                                        batch_size, stable=stable)
     n_batches = max(0, math.ceil(n / batch_size))
-    cal = calendar(spark, existing, start, max(n_batches, 1), batch_size, max_rows, partition_col)
-    with_batch = batch_split(rows.drop(partition_col) if partition_col in rows.columns else rows,
-                             batch_size, stable=stable)
-    return with_batch.join(batch_days(cal, partition_col), "batch"), cal
+    cal = calendar(spark, existing, start, max(n_batches, 1), batch_size, max_rows, partition_col).cache()
+    c0 = max(1, math.ceil(max_rows / batch_size))
+    # prefix: days up to the last one that already holds rows (caps vary there)
+    last = cal.where(F.col("existing") > 0).agg(F.max("day_index").alias("d"), F.max(F.col("first_batch") + F.col("cap"))
+                                                .alias("b")).first()
+    last_day = -1 if last["d"] is None else int(last["d"])
+    prefix_batches = 0 if last["b"] is None else int(last["b"])
+    lookup = bounded_broadcast(batch_days(cal.where(F.col("day_index") <= last_day), partition_col)
+                               .withColumnRenamed(partition_col, "_pdt"))
+    start_lit = F.lit(start.isoformat()).cast("date")
+    tail_index = F.lit(last_day + 1) + F.floor((F.col("batch") - F.lit(prefix_batches)) / F.lit(c0))
+    tail_dt = F.date_format(F.date_sub(start_lit, tail_index.cast("int")), "yyyyMMdd")
+    out = (with_batch.join(lookup, "batch", "left")
+           .withColumn(partition_col, F.coalesce(F.col("_pdt"), tail_dt)).drop("_pdt"))
+    return out, cal
 
 
 def plan_summary(assigned: DataFrame, cal: DataFrame, partition_col: str = "dt") -> DataFrame:

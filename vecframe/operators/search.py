@@ -52,11 +52,16 @@ def vector_dim(df: DataFrame, vector_col: str) -> int | None:
     return int(row[0]["d"]) if row else None
 
 
-def query_frame(spark: SparkSession, queries, qid_col: str = "qid", vec_col: str = "vec") -> DataFrame:
-    """Normalise queries to a DataFrame ``(qid long, vec array<double>)``."""
+def query_frame(spark: SparkSession, queries, qid_col: str = "qid", vec_col: str = "vec",
+                parts_col: str | None = None) -> DataFrame:
+    """Normalise queries to a DataFrame ``(qid long, vec array<double>[, parts])``.
+
+    ``parts_col``: per-query partition names (``array<string>``, NULL = all)."""
     if isinstance(queries, DataFrame):
-        return queries.select(F.col(qid_col).cast("long").alias("qid"),
-                              F.col(vec_col).cast("array<double>").alias("vec"))
+        cols = [F.col(qid_col).cast("long").alias("qid"), F.col(vec_col).cast("array<double>").alias("vec")]
+        if parts_col:
+            cols.append(F.col(parts_col).cast("array<string>").alias("parts"))
+        return queries.select(*cols)
     vecs = [queries] if queries and not isinstance(queries[0], (list, tuple, np.ndarray)) else queries
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vecs)]
     schema = T.StructType([T.StructField("qid", T.LongType(), False),
@@ -64,8 +69,15 @@ def query_frame(spark: SparkSession, queries, qid_col: str = "qid", vec_col: str
     return spark.createDataFrame(rows, schema)
 
 
-def _collect_queries(qdf: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    tbl = qdf.select("qid", "vec").toArrow()
+def _collect_queries(qdf: DataFrame):
+    """``(qids, Q, parts)``; ``parts`` is None or one set (or None) per query."""
+    has_parts = "parts" in qdf.columns
+    tbl = qdf.select("qid", "vec", *(["parts"] if has_parts else [])).toArrow()
+    parts = None
+    if has_parts:
+        parts = [None if p is None else set(p) for p in tbl.column("parts").to_pylist()]
+        if all(p is None for p in parts):  # every query searches every partition
+            parts = None
     qids = tbl.column("qid").to_numpy()
     vec = tbl.column("vec").combine_chunks()
     lengths = np.asarray(vec.value_lengths().to_numpy(zero_copy_only=False))
@@ -73,7 +85,7 @@ def _collect_queries(qdf: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         raise ValueError("query vectors differ in dimension")
     d = int(lengths[0]) if len(lengths) else 0
     Q = vec.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d) if d else np.zeros((0, 0))
-    return qids, Q
+    return qids, Q, parts
 
 
 def _candidate_schema(base: DataFrame, keep_cols: Sequence[str]) -> T.StructType:
@@ -83,16 +95,17 @@ def _candidate_schema(base: DataFrame, keep_cols: Sequence[str]) -> T.StructType
 
 
 def _broadcast_candidates(base: DataFrame, vector_col: str, id_col: str, keep_cols: list[str],
-                          metric: str, k: int, qids: np.ndarray, Q: np.ndarray, dim: int) -> DataFrame:
+                          metric: str, k: int, qids: np.ndarray, Q: np.ndarray, dim: int,
+                          parts=None, partition_col: str = "dt") -> DataFrame:
     spark = base.sparkSession
     higher = higher_is_better(metric)
-    bq = spark.sparkContext.broadcast((qids, Q))
+    bq = spark.sparkContext.broadcast((qids, Q, parts))
     schema = _candidate_schema(base, keep_cols)
-    in_cols = list(dict.fromkeys(keep_cols + [vector_col, id_col]))
+    in_cols = list(dict.fromkeys(keep_cols + [vector_col, id_col] + ([partition_col] if parts is not None else [])))
     out_arrow = pa.schema([pa.field("qid", pa.int64(), False), pa.field("score", pa.float64())])
 
     def run(batches):
-        q_ids, Qm = bq.value
+        q_ids, Qm, q_parts = bq.value
         acc: list[pa.Table] = []
         acc_rows = 0
         limit = 4 * k * max(1, len(q_ids)) + 65536
@@ -103,7 +116,11 @@ def _broadcast_candidates(base: DataFrame, vector_col: str, id_col: str, keep_co
             if len(rows) == 0:
                 continue
             ids = rb.column(id_col).to_numpy(zero_copy_only=False)[rows]
-            r, q, s = K.local_topk(metric, higher, X, ids, Qm, k)
+            allow = None
+            if q_parts is not None:
+                vals = rb.column(partition_col).to_pylist()
+                allow = K.partition_mask([vals[i] for i in rows], q_parts)
+            r, q, s = K.local_topk(metric, higher, X, ids, Qm, k, allow)
             if len(r) == 0:
                 continue
             taken = pa.Table.from_batches([rb]).select(keep_cols).take(pa.array(rows[r]))
@@ -132,13 +149,14 @@ def _reduce(tables: list[pa.Table], id_col: str, k: int, higher: bool) -> pa.Tab
 
 
 def _tiled_candidates(base: DataFrame, qdf: DataFrame, vector_col: str, id_col: str, keep_cols: list[str],
-                      metric: str, k: int, nq: int, dim: int) -> DataFrame:
+                      metric: str, k: int, nq: int, dim: int, partition_col: str = "dt") -> DataFrame:
     """Both sides hashed into blocks; each (query block, base block) tile is one group."""
     higher = higher_is_better(metric)
     n_qb = max(1, math.ceil(nq * max(dim, 1) * 8 / MAX_BROADCAST_QUERY_BYTES))
     n_bb = max(1, base.rdd.getNumPartitions())
     schema = _candidate_schema(base, keep_cols)
-    in_cols = list(dict.fromkeys(keep_cols + [vector_col, id_col]))
+    has_parts = "parts" in qdf.columns
+    in_cols = list(dict.fromkeys(keep_cols + [vector_col, id_col] + ([partition_col] if has_parts else [])))
     b = (base.select(*in_cols)
          .withColumn("_bb", F.pmod(F.xxhash64(F.col(id_col), F.monotonically_increasing_id()), F.lit(n_bb)))
          .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1)))))
@@ -153,7 +171,11 @@ def _tiled_candidates(base: DataFrame, qdf: DataFrame, vector_col: str, id_col:
         _, Qm = K.pandas_vectors(qpdf["vec"], dim)
         q_ids = qpdf["qid"].to_numpy()
         ids = bpdf[id_col].to_numpy()[rows]
-        r, qi, s = K.local_topk(metric, higher, X, ids, Qm, k)
+        allow = None
+        if has_parts:
+            q_parts = [None if p is None else set(p) for p in qpdf["parts"]]
+            allow = K.partition_mask(list(bpdf[partition_col].to_numpy()[rows]), q_parts)
+        r, qi, s = K.local_topk(metric, higher, X, ids, Qm, k, allow)
         out = bpdf.iloc[rows[r]][keep_cols].reset_index(drop=True)
         out.insert(0, "score", s)
         out.insert(0, "qid", q_ids[qi])
@@ -173,12 +195,16 @@ def _expr_candidates(base: DataFrame, vector_col: str, keep_cols: list[str], met
 def search(base: DataFrame, queries, metric: str = "IP", k: int = 10, *, vector_col: str = "value",
            id_col: str = "id", fields: Sequence[str] | None = None, tie_cols: Sequence[str] = (),
            partitions: Sequence[str] | None = None, partition_col: str = "dt",
-           where=None, method: str = "auto", dim: int | None = None) -> DataFrame:
+           where=None, method: str = "auto", dim: int | None = None,
+           query_partitions_col: str | None = None) -> DataFrame:
     """Top-k rows of ``base`` for each query vector.
 
     ``queries``: one vector, a list of vectors, or a DataFrame ``(qid, vec)``.
     ``partitions``: names of ``partition_col`` to search (None or [] = all);
-    ``where``: an extra predicate applied *before* scoring (filtered search).
+    ``where``: an extra predicate applied *before* scoring (filtered search);
+    ``query_partitions_col``: a column of the query DataFrame holding each
+    query's own partition names (``array<string>``, NULL = all) - applied as
+    a mask inside the scoring tasks, so one search serves mixed requests.
     """
     metric = check_metric(metric)
     if k <= 0:
@@ -190,7 +216,7 @@ def search(base: DataFrame, queries, metric: str = "IP", k: int = 10, *, vector_
         base = base.where(where)
     fields = list(fields) if fields is not None else [c for c in base.columns if c != vector_col]
     keep_cols = list(dict.fromkeys([id_col] + fields + list(tie_cols)))
-    qdf = query_frame(spark, queries)
+    qdf = query_frame(spark, queries, parts_col=query_partitions_col)
 
     base_dim = dim or vector_dim(base, vector_col)
     nq = qdf.count()
@@ -198,20 +224,23 @@ def search(base: DataFrame, queries, metric: str = "IP", k: int = 10, *, vector_
     if method == "auto":
         method = "arrow"
     if method == "expr" or q_bytes <= MAX_BROADCAST_QUERY_BYTES:
-        qids, Q = _collect_queries(qdf)
+        qids, Q, parts = _collect_queries(qdf)
         if base_dim is not None and len(qids) and Q.shape[1] != base_dim:
             raise ValueError(f"query dimension {Q.shape[1]} does not match table dimension {base_dim}")
         if base_dim is None:  # empty table
             cands = spark.createDataFrame([], _candidate_schema(base, keep_cols))
         elif method == "expr":
+            if parts is not None:
+                raise ValueError("method='expr' takes no per-query partitions")
             cands = _expr_candidates(base, vector_col, keep_cols, metric, qids, Q)
         else:
-            cands = _broadcast_candidates(base, vector_col, id_col, keep_cols, metric, k, qids, Q, base_dim)
+            cands = _broadcast_candidates(base, vector_col, id_col, keep_cols, metric, k, qids, Q, base_dim,
+                                          parts, partition_col)
     else:
         first = qdf.select(F.size("vec").alias("d")).distinct().collect()
         if len(first) > 1 or (first and base_dim is not None and first[0]["d"] != base_dim):
             raise ValueError("query dimension does not match table dimension")
-        cands = _tiled_candidates(base, qdf, vector_col, id_col, keep_cols, metric, k, nq, base_dim)
+        cands = _tiled_candidates(base, qdf, vector_col, id_col, keep_cols, metric, k, nq, base_dim, partition_col)
     return rank_candidates(cands, metric, k, id_col, tie_cols, fields)
 
 

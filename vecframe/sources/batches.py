@@ -23,6 +23,12 @@ from vecframe.session import cut_lineage
 
 
 def with_row_numbers(df: DataFrame, col: str = "row_no", stable: bool = True) -> DataFrame:
+    return numbered(df, col, stable)[0]
+
+
+def numbered(df: DataFrame, col: str = "row_no", stable: bool = True) -> tuple[DataFrame, int]:
+    """``(df with dense row numbers, total rows)`` - the total comes from the
+    per-partition counts, so no extra pass is needed for it."""
     spark = df.sparkSession
     if not stable:
         df = cut_lineage(df)
@@ -36,17 +42,24 @@ def with_row_numbers(df: DataFrame, col: str = "row_no", stable: bool = True) ->
     schema = T.StructType([T.StructField("_pid", T.IntegerType(), False),
                            T.StructField("_offset", T.LongType(), False)])
     off_df = spark.createDataFrame(offsets, schema)  # one row per input partition: bounded
-    return (tagged.join(F.broadcast(off_df), "_pid")
-            .withColumn(col, F.col("_offset") + F.col("_local"))
-            .drop("_pid", "_local", "_offset"))
+    out = (tagged.join(F.broadcast(off_df), "_pid")
+           .withColumn(col, F.col("_offset") + F.col("_local"))
+           .drop("_pid", "_local", "_offset"))
+    return out, run
 
 
 def batch_split(df: DataFrame, batch_size: int, col: str = "batch", stable: bool = True) -> DataFrame:
     """``batch = floor(row_no / batch_size)``; ``ceil(n / size)`` batches."""
+    return batch_split_counted(df, batch_size, col, stable)[0]
+
+
+def batch_split_counted(df: DataFrame, batch_size: int, col: str = "batch",
+                        stable: bool = True) -> tuple[DataFrame, int]:
+    """:func:`batch_split` plus the row total."""
     if batch_size <= 0:
         raise ValueError("batch size must be positive")
-    numbered = with_row_numbers(df, "_row_no", stable)
-    return numbered.withColumn(col, F.floor(F.col("_row_no") / batch_size).cast("long")).drop("_row_no")
+    rows, n = numbered(df, "_row_no", stable)
+    return rows.withColumn(col, F.floor(F.col("_row_no") / batch_size).cast("long")).drop("_row_no"), n
 
 
 def batch_counts(df: DataFrame, batch_size: int, stable: bool = True) -> DataFrame:

@@ -12,31 +12,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vecframe.functions.text import validate_insert_num
+from vecframe.functions.text import split_by_comma, validate_insert_num
 from vecframe.operators.search import search
-from vecframe.operators.tables import partition_list
 
 
 def answer_search_requests(base: DataFrame, requests: DataFrame, metric: str = "IP", max_k: int = 100,
-                           fields=(), tie_cols=()) -> DataFrame:
-    """Top-``topk`` per request (``topk <= max_k``) over the request's days.
+                           fields=(), tie_cols=(), partition_col: str = "dt") -> DataFrame:
+    """Top-``topk`` per request (``topk <= max_k``) over the request's own days.
 
-    Requests are grouped by their partition list (few distinct lists per
-    batch); each group is one broadcast-query search.
+    One search for the whole batch: each request's comma list of days
+    (``''`` = all) becomes a per-query mask inside the scoring tasks, and
+    the per-request k is a window bound under the constant cap ``max_k``.
     """
-    reqs = requests.withColumn("topk", F.least(F.col("topk").cast("int"), F.lit(max_k)))
-    lists = [r["partitions"] for r in reqs.select("partitions").distinct().collect()]
-    out = None
-    for plist in lists:
-        grp = reqs.where(F.col("partitions").eqNullSafe(F.lit(plist)))
-        k = grp.agg(F.max("topk")).first()[0] or 1
-        res = search(base, grp.select("qid", "vec"), metric, int(k), fields=list(fields), tie_cols=list(tie_cols),
-                     partitions=partition_list(plist))
-        res = res.join(grp.select("qid", "topk"), "qid").where(F.col("rank") <= F.col("topk")).drop("topk")
-        out = res if out is None else out.unionByName(res)
-    if out is None:
-        return search(base, requests.select("qid", "vec").limit(0), metric, 1, fields=list(fields))
-    return out
+    reqs = requests.select("qid", "vec", F.least(F.col("topk").cast("int"), F.lit(max_k)).alias("topk"),
+                           split_by_comma(F.col("partitions")).alias("parts"))
+    res = search(base, reqs, metric, max_k, fields=list(fields), tie_cols=list(tie_cols),
+                 partition_col=partition_col, query_partitions_col="parts")
+    return res.join(reqs.select("qid", "topk"), "qid").where(F.col("rank") <= F.col("topk")).drop("topk")
 
 
 def search_request_stream(requests: DataFrame, base: DataFrame, sink_path: str, checkpoint: str,
