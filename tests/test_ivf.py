@@ -41,10 +41,37 @@ def test_hot_cell_split_gives_same_result(spark):
     asg = assign_cells(view, idx)
     q = all_queries(view).where("qid < 30")
     a = ivf_search(asg, q, idx, k=5, nprobe=2).select("qid", "rank", "id").collect()
-    b = ivf_search(asg, q, idx, k=5, nprobe=2, max_group_rows=17, max_group_queries=3).select("qid", "rank", "id").collect()
+    b = ivf_search(asg, q, idx, k=5, nprobe=2, max_group_rows=17, max_group_queries=3,
+                   method="cogroup").select("qid", "rank", "id").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
+def test_broadcast_and_cogroup_paths_agree_sq8(spark):
+    view = _view(spark)
+    idx = build_index(view, "IP", nlist=8, method="seed")
+    lo, hi = sq8_ranges(view, 64)
+    idx.lo, idx.hi = lo, hi
+    coded = sq8_encode(assign_cells(view, idx), lo, hi)
+    q = all_queries(view).where("qid < 50")
+    a = ivf_search(coded, q, idx, k=6, nprobe=3, codes_col="codes").select("qid", "rank", "id", "score").collect()
+    b = ivf_search(coded, q, idx, k=6, nprobe=3, codes_col="codes", method="cogroup").select(
+        "qid", "rank", "id", "score").collect()
+    key = lambda r: (r[0], r[1])
+    assert [(r[0], r[1], r[2]) for r in sorted(a, key=key)] == [(r[0], r[1], r[2]) for r in sorted(b, key=key)]
+    assert all(abs(x[3] - y[3]) < 1e-9 for x, y in zip(sorted(a, key=key), sorted(b, key=key)))
+
+
+def test_probe_filter_reaches_the_scan(spark, tmp_dir):
+    view = _view(spark)
+    idx = build_index(view, "IP", nlist=16, method="seed")
+    assign_cells(view, idx).write.parquet(tmp_dir + "/ivf")
+    t = spark.read.parquet(tmp_dir + "/ivf")
+    res = ivf_search(t, [[0.1] * 64], idx, k=5, nprobe=2)
+    plan = res._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(cell" in plan
+    assert res.count() == 5
+
+
 def test_sq8_flat_dimension_and_clamp():
     lo, hi = np.array([1.0, 0.0]), np.array([1.0, 2.0])
     c = encode(np.array([[1.0, 1.0], [1.0, 5.0], [1.0, -1.0]]), lo, hi)

@@ -154,15 +154,116 @@ def _split_table(spark, counts: dict[int, int], max_rows: int) -> dict[int, int]
     return {int(c): max(1, math.ceil(n / max_rows)) for c, n in counts.items()}
 
 
+# Largest probe set ((query, cell) pairs) shipped to every task.
+MAX_BROADCAST_PROBES = 4_000_000
+
+
+def _arrow_rows(rb, dim, codes_col, vector_col, lo, hi):
+    """Float rows of a batch: decoded SQ8 codes or the stored vectors."""
+    if codes_col:
+        col = rb.column(codes_col)
+        valid = np.asarray(col.is_valid().to_numpy(zero_copy_only=False), dtype=bool)
+        rows = np.nonzero(valid)[0]
+        vals = col.to_pylist()
+        if len(rows) == 0:
+            return rows, np.zeros((0, dim))
+        codes = np.frombuffer(b"".join(vals[i] for i in rows), dtype=np.uint8).reshape(-1, dim)
+        return rows, decode_sq8(codes, lo, hi)
+    return K.arrow_vectors(rb.column(vector_col), dim)
+
+
+def _broadcast_ivf(assigned: DataFrame, qids: np.ndarray, Q: np.ndarray, probe_pairs: np.ndarray, index: IVFIndex,
+                   k: int, keep_cols: list[str], id_col: str, cell_col: str, vector_col: str,
+                   codes_col: str | None, rerank: bool) -> DataFrame:
+    """Queries and their probed cells broadcast; the table is scanned once,
+    rows of unprobed cells are filtered at the scan, and each task scores
+    every (cell, probing queries) block it holds - the base is never shuffled."""
+    spark = assigned.sparkSession
+    metric = index.metric
+    higher = higher_is_better(metric)
+    dim = index.dim
+    cells = sorted({int(c) for c in probe_pairs[:, 1]}) if len(probe_pairs) else []
+    by_cell: dict[int, np.ndarray] = {}
+    if len(probe_pairs):
+        order = np.argsort(probe_pairs[:, 1], kind="stable")
+        pp = probe_pairs[order]
+        splits = np.nonzero(np.diff(pp[:, 1]))[0] + 1
+        for chunk in np.split(pp, splits):
+            by_cell[int(chunk[0, 1])] = chunk[:, 0].astype(np.int64)
+    bc = spark.sparkContext.broadcast((qids, Q, by_cell, index.lo, index.hi))
+    score_col = codes_col or vector_col
+    in_cols = list(dict.fromkeys(keep_cols + [score_col, cell_col] + ([vector_col] if rerank else [])))
+    fields = [T.StructField("qid", T.LongType(), False), T.StructField("score", T.DoubleType(), True)]
+    schema = T.StructType(fields + [assigned.schema[c] for c in keep_cols])
+    out_arrow = pa.schema([pa.field("qid", pa.int64(), False), pa.field("score", pa.float64())])
+
+    def run(batches):
+        q_ids, Qm, cell_q, lo, hi = bc.value
+        acc, acc_rows = [], 0
+        limit = 4 * k * max(1, len(q_ids)) + 65536
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            rows, X = _arrow_rows(rb, dim, codes_col, vector_col, lo, hi)
+            if len(rows) == 0:
+                continue
+            ids = rb.column(id_col).to_numpy(zero_copy_only=False)[rows]
+            rc = rb.column(cell_col).to_numpy(zero_copy_only=False)[rows]
+            rr, qq, ss = [], [], []
+            for c in np.unique(rc):
+                qidx = cell_q.get(int(c))
+                if qidx is None:
+                    continue
+                sel = np.nonzero(rc == c)[0]
+                kk = 4 * k if rerank else k
+                r, q, sc = K.local_topk(metric, higher, X[sel], ids[sel], Qm[qidx], kk)
+                rr.append(sel[r])
+                qq.append(qidx[q])
+                ss.append(sc)
+            if not rr:
+                continue
+            r, q, sc = np.concatenate(rr), np.concatenate(qq), np.concatenate(ss)
+            if rerank:
+                _, Xf = K.arrow_vectors(rb.column(vector_col).take(pa.array(rows[r])), dim)
+                sc = np.einsum("ij,ij->i", Xf, Qm[q]) if metric == "IP" else np.array(
+                    [K.scores(metric, Xf[i:i + 1], Qm[q[i]:q[i] + 1])[0, 0] for i in range(len(r))])
+            taken = pa.Table.from_batches([rb]).select(keep_cols).take(pa.array(rows[r]))
+            head = pa.table([pa.array(q_ids[q], pa.int64()), pa.array(sc, pa.float64())], schema=out_arrow)
+            acc.append(pa.Table.from_arrays(head.columns + taken.columns, names=["qid", "score"] + keep_cols))
+            acc_rows += len(r)
+            if acc_rows > limit:
+                acc = [_reduce_topk(acc, id_col, k, higher)]
+                acc_rows = acc[0].num_rows
+        if acc:
+            yield from _reduce_topk(acc, id_col, k, higher).to_batches()
+
+    base = assigned.select(*in_cols)
+    if cells and len(cells) < index.nlist:
+        base = base.where(F.col(cell_col).isin(cells))  # pushed to the scan: unprobed cells are skipped
+    return base.mapInArrow(run, schema)
+
+
+def _reduce_topk(tables, id_col, k, higher):
+    t = pa.concat_tables(tables)
+    s = t.column("score").to_numpy()
+    sel = K.select_topk(t.column("qid").to_numpy(), -s if higher else s,
+                        t.column(id_col).to_numpy(zero_copy_only=False), k)
+    return t.take(pa.array(sel))
+
+
 def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprobe: int | None = None, *,
                vector_col: str = "value", id_col: str = "id", cell_col: str = "cell",
                fields: Sequence[str] = (), tie_cols: Sequence[str] = (), codes_col: str | None = None,
-               rerank: bool = False, max_group_rows: int = 50000, max_group_queries: int = 4096) -> DataFrame:
+               rerank: bool = False, max_group_rows: int = 50000, max_group_queries: int = 4096,
+               method: str = "auto") -> DataFrame:
     """Top-k per query over the probed cells of an assigned table.
 
     ``codes_col``: score the SQ8 codes (decoded with ``index.lo/hi``) instead
     of the float vectors; ``rerank=True`` then re-scores the kept
     candidates with the float vectors (needs ``vector_col`` present).
+    ``method``: ``"broadcast"`` (queries + probes shipped to the scan, no
+    shuffle of the table), ``"cogroup"`` (both sides meet per cell), or
+    ``"auto"`` = broadcast when the query side passes its size checks.
     """
     metric = check_metric(index.metric)
     spark = assigned.sparkSession
@@ -171,6 +272,21 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
     probes = probe_cells(qdf, index, nprobe)
     if rerank and codes_col is None:
         raise ValueError("rerank needs codes_col")
+    keep_cols = list(dict.fromkeys([id_col] + list(fields) + list(tie_cols)))
+    if method in ("auto", "broadcast"):
+        from vecframe.operators.search import MAX_BROADCAST_QUERY_BYTES, _collect_queries
+        nq = qdf.count()
+        small = nq * index.dim * 8 <= MAX_BROADCAST_QUERY_BYTES and nq * min(nprobe, index.nlist) <= MAX_BROADCAST_PROBES
+        if small or method == "broadcast":
+            qids, Q, _ = _collect_queries(qdf)
+            pos = {int(q): i for i, q in enumerate(qids)}
+            pairs = probes.select("qid", "cell").toArrow()
+            pp = np.column_stack([np.array([pos[int(q)] for q in pairs.column("qid").to_pylist()], dtype=np.int64),
+                                  pairs.column("cell").to_numpy().astype(np.int64)]) if pairs.num_rows else \
+                np.zeros((0, 2), dtype=np.int64)
+            cands = _broadcast_ivf(assigned, qids, Q, pp, index, k, keep_cols, id_col, cell_col, vector_col,
+                                   codes_col, rerank)
+            return rank_candidates(cands, metric, k, id_col, tie_cols, list(fields) + list(tie_cols))
     # bounded side tables: one row per cell (nlist <= 4096)
     row_counts = {r[cell_col]: r["n"] for r in assigned.groupBy(cell_col).agg(F.count(F.lit(1)).alias("n")).collect()
                   if r[cell_col] is not None}
@@ -178,12 +294,15 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
     nsub = _split_table(spark, row_counts, max_group_rows)
     nqsub = _split_table(spark, probe_counts, max_group_queries)
     info_rows = [(c, nsub.get(c, 1), nqsub.get(c, 1)) for c in set(nsub) | set(nqsub)]
-    info = F.broadcast(spark.createDataFrame(info_rows, "cell int, nsub int, nqsub int"))
+    info = F.broadcast(spark.createDataFrame(info_rows, "cell int, nsub int, nqsub int"))  # <= nlist rows
 
-    keep_cols = list(dict.fromkeys([id_col] + list(fields) + list(tie_cols)))
     score_col = codes_col or vector_col
     in_cols = list(dict.fromkeys(keep_cols + [score_col, cell_col] + ([vector_col] if rerank else [])))
-    b = (assigned.select(*in_cols).withColumnRenamed(cell_col, "cell").join(info, "cell")
+    # the inner join with the per-cell table (probed cells only) drops rows of
+    # unprobed cells before the shuffle
+    info_probed = F.broadcast(spark.createDataFrame([r for r in info_rows if r[0] in probe_counts],
+                                                    "cell int, nsub int, nqsub int"))
+    b = (assigned.select(*in_cols).withColumnRenamed(cell_col, "cell").join(info_probed, "cell")
          .withColumn("_sub", F.pmod(F.xxhash64(F.col(id_col), F.monotonically_increasing_id()), F.col("nsub")).cast("int"))
          .withColumn("_qsub", F.explode(F.sequence(F.lit(0), F.col("nqsub") - 1)))
          .drop("nsub", "nqsub"))
