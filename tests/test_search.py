@@ -82,12 +82,12 @@ def test_arrow_path_equals_expression_path(spark):
         assert np.allclose([r["score"] for r in a], [r["score"] for r in e], rtol=0, atol=1e-9)
 
 
-def test_tiled_path_equals_broadcast_path(spark, monkeypatch):
+def test_blocked_path_equals_broadcast_path(spark, monkeypatch):
     from vecframe.plans.views import all_queries, collection_view
     view = collection_view(spark, "/root/testdata/sf0.001").select("id", "value")
     q = all_queries(view).where("qid < 60")
     a = search(view, q, "IP", 7, fields=[]).collect()
-    monkeypatch.setattr(S, "MAX_BROADCAST_QUERY_BYTES", 64 * 8 * 16)  # force 16-query blocks
+    monkeypatch.setattr(S, "MAX_BROADCAST_QUERY_BYTES", 64 * 8 * 16)  # force ~4 query blocks
     b = search(view, q, "IP", 7, fields=[]).collect()
     key = lambda r: (r["qid"], r["rank"])
     assert [(r["qid"], r["rank"], r["id"]) for r in sorted(a, key=key)] == \

@@ -12,9 +12,9 @@ Plan shape (method ``"arrow"``, the default):
 * a window ``row_number() over (partition by qid order by score, id, ...)``
   picks the final k; only those few candidates are shuffled.
 
-A query set too large to broadcast is cut into blocks by ``hash(qid)``; base
-rows are hashed into blocks as well and both sides meet in a co-grouped
-tile, so neither side is ever broadcast or collected whole.
+A query set too large to broadcast is cut into broadcast-sized blocks by
+``hash(qid)``; each block is one more scan of the base (never a shuffle of
+it), and the per-block candidates are unioned before the final window.
 
 Method ``"expr"`` keeps scoring inside the JVM with ``zip_with``/``aggregate``
 (single query vectors only); it is the reference the Arrow path is tested
@@ -148,40 +148,22 @@ def _reduce(tables: list[pa.Table], id_col: str, k: int, higher: bool) -> pa.Tab
     return t.take(pa.array(sel))
 
 
-def _tiled_candidates(base: DataFrame, qdf: DataFrame, vector_col: str, id_col: str, keep_cols: list[str],
-                      metric: str, k: int, nq: int, dim: int, partition_col: str = "dt") -> DataFrame:
-    """Both sides hashed into blocks; each (query block, base block) tile is one group."""
-    higher = higher_is_better(metric)
-    n_qb = max(1, math.ceil(nq * max(dim, 1) * 8 / MAX_BROADCAST_QUERY_BYTES))
-    n_bb = max(1, base.rdd.getNumPartitions())
-    schema = _candidate_schema(base, keep_cols)
-    has_parts = "parts" in qdf.columns
-    in_cols = list(dict.fromkeys(keep_cols + [vector_col, id_col] + ([partition_col] if has_parts else [])))
-    b = (base.select(*in_cols)
-         .withColumn("_bb", F.pmod(F.xxhash64(F.col(id_col), F.monotonically_increasing_id()), F.lit(n_bb)))
-         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1)))))
-    q = (qdf.withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(n_qb)))
-         .withColumn("_bb", F.explode(F.sequence(F.lit(0), F.lit(n_bb - 1)))))
-
-    def tile(bpdf, qpdf):
-        import pandas as pd
-        if len(bpdf) == 0 or len(qpdf) == 0:
-            return pd.DataFrame({f.name: [] for f in schema.fields})
-        rows, X = K.pandas_vectors(bpdf[vector_col], dim)
-        _, Qm = K.pandas_vectors(qpdf["vec"], dim)
-        q_ids = qpdf["qid"].to_numpy()
-        ids = bpdf[id_col].to_numpy()[rows]
-        allow = None
-        if has_parts:
-            q_parts = [None if p is None else set(p) for p in qpdf["parts"]]
-            allow = K.partition_mask(list(bpdf[partition_col].to_numpy()[rows]), q_parts)
-        r, qi, s = K.local_topk(metric, higher, X, ids, Qm, k, allow)
-        out = bpdf.iloc[rows[r]][keep_cols].reset_index(drop=True)
-        out.insert(0, "score", s)
-        out.insert(0, "qid", q_ids[qi])
-        return out
-
-    return b.groupBy("_qb", "_bb").cogroup(q.groupBy("_qb", "_bb")).applyInPandas(tile, schema)
+def _blocked_candidates(base: DataFrame, qdf: DataFrame, vector_col: str, id_col: str, keep_cols: list[str],
+                        metric: str, k: int, nq: int, dim: int, partition_col: str = "dt") -> DataFrame:
+    """A query set over the broadcast bound: ``n_blocks = ceil(bytes / bound)``
+    hash blocks of queries, each broadcast in turn against one scan of the
+    base.  The base is read ``n_blocks`` times but never shuffled; the
+    candidates of all blocks (k per query per task) are unioned."""
+    n_blocks = max(1, math.ceil(nq * max(dim, 1) * 8 / MAX_BROADCAST_QUERY_BYTES))
+    blk = F.pmod(F.xxhash64("qid"), F.lit(n_blocks))
+    out = None
+    for b in range(n_blocks):
+        qids, Q, parts = _collect_queries(qdf.where(blk == b))
+        if len(qids) == 0:
+            continue
+        c = _broadcast_candidates(base, vector_col, id_col, keep_cols, metric, k, qids, Q, dim, parts, partition_col)
+        out = c if out is None else out.unionByName(c)
+    return out if out is not None else base.sparkSession.createDataFrame([], _candidate_schema(base, keep_cols))
 
 
 def _expr_candidates(base: DataFrame, vector_col: str, keep_cols: list[str], metric: str,
@@ -240,7 +222,7 @@ def search(base: DataFrame, queries, metric: str = "IP", k: int = 10, *, vector_
         first = qdf.select(F.size("vec").alias("d")).distinct().collect()
         if len(first) > 1 or (first and base_dim is not None and first[0]["d"] != base_dim):
             raise ValueError("query dimension does not match table dimension")
-        cands = _tiled_candidates(base, qdf, vector_col, id_col, keep_cols, metric, k, nq, base_dim, partition_col)
+        cands = _blocked_candidates(base, qdf, vector_col, id_col, keep_cols, metric, k, nq, base_dim, partition_col)
     return rank_candidates(cands, metric, k, id_col, tie_cols, fields)
 
 
