@@ -21,8 +21,10 @@ def test_exact_percentiles_match_numpy(spark):
     vals = np.round(rnd.exponential(3, 5000), 2)
     grp = rnd.integers(0, 3, 5000)
     df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(grp, vals)], "g int, v double")
-    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v").collect()}
-    for g in range(3):
-        x = vals[grp == g]
-        for p, name in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99")):
-            assert abs(got[g][name] - np.quantile(x, p)) < 1e-9
+    for bound in (2_000_000, 10):  # one window per group / range-split hot groups
+        got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", max_window_values=bound).collect()}
+        for g in range(3):
+            x = vals[grp == g]
+            assert got[g]["n"] == len(x)
+            for p, name in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99")):
+                assert abs(got[g][name] - np.quantile(x, p)) < 1e-9

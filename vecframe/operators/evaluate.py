@@ -30,23 +30,44 @@ def recall_at_k(approx: DataFrame, exact: DataFrame, id_col: str = "id") -> Data
                     F.round(F.coalesce("hits", F.lit(0)) / F.col("expected"), 6).alias("recall")))
 
 
+# Largest number of distinct values of one group handled by a single window.
+MAX_WINDOW_VALUES = 2_000_000
+
+
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                      ps: Sequence[float] = (0.5, 0.95, 0.99), names: Sequence[str] | None = None) -> DataFrame:
+                      ps: Sequence[float] = (0.5, 0.95, 0.99), names: Sequence[str] | None = None,
+                      max_window_values: int = MAX_WINDOW_VALUES) -> DataFrame:
     """Exact, linearly interpolated percentiles without buffering a group.
 
     1. a histogram ``(group, value, count)`` - partial aggregation, one row
        per distinct value;
-    2. running counts over the histogram (a group's window holds its
-       *distinct* values, not its rows);
+    2. running counts over the histogram: when every group has at most
+       ``max_window_values`` distinct values, one window per group; else the
+       histogram is range-partitioned on ``(group, value)`` so a hot group is
+       split over many tasks, and each row's global position is its
+       partition's offset (a small per-(partition, group) table) plus its
+       running count inside the partition;
     3. the value at index i is the smallest value whose running count
        exceeds i - a conditional ``min`` per group.
     """
+    from vecframe.session import cut_lineage
     g = list(group_cols)
     names = list(names or [f"p{int(round(p * 100))}" for p in ps])
     hist = df.where(F.col(value_col).isNotNull()).groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*g).orderBy(value_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wall = Window.partitionBy(*g)
-    cum = hist.withColumn("_cum", F.sum("_c").over(w)).withColumn("_n", F.sum("_c").over(wall))
+    widest = hist.groupBy(*g).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0] or 0
+    if widest <= max_window_values:
+        w = Window.partitionBy(*g).orderBy(value_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cum = hist.withColumn("_cum", F.sum("_c").over(w)).withColumn("_n", F.sum("_c").over(Window.partitionBy(*g)))
+    else:
+        ranged = cut_lineage(hist.repartitionByRange(*[F.col(c) for c in g], F.col(value_col)))
+        tagged = ranged.withColumn("_pid", F.spark_partition_id())
+        part = tagged.groupBy("_pid", *g).agg(F.sum("_c").alias("_np"))  # partitions x groups: small
+        wo = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        part = (part.withColumn("_off", F.coalesce(F.sum("_np").over(wo), F.lit(0)))
+                .withColumn("_n", F.sum("_np").over(Window.partitionBy(*g))).drop("_np"))
+        wl = Window.partitionBy("_pid", *g).orderBy(value_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cum = (tagged.withColumn("_local", F.sum("_c").over(wl)).join(part, ["_pid", *g])
+               .withColumn("_cum", F.col("_off") + F.col("_local")))
     aggs = [F.first("_n").alias("_n")]
     for p, nm in zip(ps, names):
         h = (F.col("_n") - 1) * F.lit(float(p))
