@@ -82,7 +82,9 @@ def weighted_postings(index: BM25Index, drop_ratio: float = 0.0) -> DataFrame:
     """``(term, doc_id, w)``; with ``drop_ratio`` > 0 each document drops the
     terms in its lowest ``drop_ratio`` share of weights (A6, off by default).
     The window is per document: its distinct terms, a bounded group."""
-    p = index.postings.join(index.df(), "term")
+    # vocabulary-sized df table: broadcast while a count proves it small, so
+    # the doc-partitioned postings are not reshuffled by term
+    p = index.postings.join(bounded_broadcast(index.df()), "term")
     p = p.select("term", "doc_id", term_weight(index, F.col("tf"), F.col("dl"), idf(index.n_docs, F.col("df"))).alias("w"))
     if drop_ratio > 0:
         w = Window.partitionBy("doc_id").orderBy("w")
@@ -112,7 +114,8 @@ def search(index: BM25Index, queries: DataFrame, k: int = 10, qid_col: str = "qi
             "qid", "doc_id", (F.col("qtf") * term_weight(index, F.col("tf"), F.col("dl"), F.col("idf"))).alias("c"))
     # exact integer sum of fixed-point contributions: order-independent, so
     # copies of a document tie exactly (then doc_id decides)
-    fp = F.round(F.col("c") * F.lit(float(SCORE_SCALE))).cast("long")
+    # floor(x + 0.5): round half up without BigDecimal (exact: |x| << 2^52)
+    fp = F.floor(F.col("c") * F.lit(float(SCORE_SCALE)) + F.lit(0.5)).cast("long")
     scored = contrib.groupBy("qid", "doc_id").agg(F.sum(fp).alias("_fp"))
     w = Window.partitionBy("qid").orderBy(F.desc("_fp"), F.asc("doc_id"))
     return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -30,7 +30,7 @@ def _bm25_sql(where_w: str = "w") -> str:
     return f"""
 WITH {_BM25_CTE},
 ww AS (SELECT * FROM {where_w}),
-s AS (SELECT q.qid, ww.doc_id, sum(CAST(round(q.qtf * ww.w * 100000000.0::DOUBLE) AS BIGINT)) AS score FROM q JOIN ww ON q.term = ww.term GROUP BY 1, 2),
+s AS (SELECT q.qid, ww.doc_id, sum(CAST(floor(q.qtf * ww.w * 100000000.0::DOUBLE + 0.5::DOUBLE) AS BIGINT)) AS score FROM q JOIN ww ON q.term = ww.term GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rk FROM s)
 SELECT qid, CAST(rk AS BIGINT) AS rank, doc_id, round(score / 100000000.0::DOUBLE, 6) AS score FROM r WHERE rk <= 10
 """

@@ -96,10 +96,3 @@ def bounded_broadcast(df, max_rows: int = MAX_BROADCAST_ROWS):
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
-
-def spread(df, min_partitions: int | None = None):
-    """Round-robin rows over the cluster when the input has fewer partitions
-    than cores (one large file / row group) before CPU-heavy per-row work.
-    At scale the scan already has thousands of splits and this is a no-op."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
