@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 
 from vecframe.functions.vector import check_metric, higher_is_better
 from vecframe.operators import _kernels as K
+from vecframe.session import ship_package
 from vecframe.operators.search import query_frame, rank_candidates
 
 MAX_NLIST = 4096
@@ -117,6 +118,7 @@ def assign_cells(base: DataFrame, index: IVFIndex, vector_col: str = "value", ce
             mask = cells < 0
             yield rb.append_column(cell_col, pa.array(cells, pa.int32(), mask=mask))
 
+    ship_package(spark)
     return base.mapInArrow(run, schema)
 
 
@@ -147,6 +149,7 @@ def probe_cells(queries: DataFrame, index: IVFIndex, nprobe: int) -> DataFrame:
                 schema=pa.schema([pa.field("qid", pa.int64(), False), pa.field("cell", pa.int32(), False),
                                   pa.field("vec", pa.list_(pa.float64()))]))
 
+    ship_package(spark)
     return queries.select("qid", F.col("vec").cast("array<double>")).mapInArrow(run, schema)
 
 
@@ -240,6 +243,7 @@ def _broadcast_ivf(assigned: DataFrame, qids: np.ndarray, Q: np.ndarray, probe_p
     base = assigned.select(*in_cols)
     if cells and len(cells) < index.nlist:
         base = base.where(F.col(cell_col).isin(cells))  # pushed to the scan: unprobed cells are skipped
+    ship_package(spark)
     return base.mapInArrow(run, schema)
 
 
@@ -342,6 +346,7 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
         out.insert(0, "qid", qpdf["qid"].to_numpy()[qi])
         return out
 
+    ship_package(spark)
     cands = b.groupBy("cell", "_sub", "_qsub").cogroup(p.groupBy("cell", "_sub", "_qsub")).applyInPandas(group, schema)
     return rank_candidates(cands, metric, k, id_col, tie_cols, list(fields) + list(tie_cols))
 

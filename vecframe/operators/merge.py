@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from vecframe.session import ship_package
+
 
 def _no_dup_pairs(pairs):
     out = {}
@@ -87,6 +89,7 @@ def merge_tables(base: DataFrame, patch: DataFrame, key: str = "key", doc: str =
     """``(key, doc)`` for every key of either table."""
     b = base.select(F.col(key).alias("_k"), F.col(doc).alias("_b"))
     p = patch.select(F.col(key).alias("_k"), F.col(doc).alias("_p"))
+    ship_package(base.sparkSession)
     j = b.join(p, "_k", "full_outer")
     return j.select(F.col("_k").alias(key), merge_json_udf("_b", "_p").alias(doc))
 

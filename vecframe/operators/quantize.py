@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecframe.operators import _kernels as K
+from vecframe.session import ship_package
 
 
 def sq8_ranges(base: DataFrame, dim: int, vector_col: str = "value") -> tuple[np.ndarray, np.ndarray]:
@@ -31,6 +32,7 @@ def sq8_ranges(base: DataFrame, dim: int, vector_col: str = "value") -> tuple[np
             yield pa.RecordBatch.from_pydict({"lo": [np.nanmin(X, axis=0).tolist()], "hi": [np.nanmax(X, axis=0).tolist()]},
                                              schema=pa.schema([("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64()))]))
 
+    ship_package(base.sparkSession)
     part = base.select(vector_col).mapInArrow(run, schema)
     per_dim = (part.select(F.posexplode(F.arrays_zip("lo", "hi")).alias("pos", "p"))
                .groupBy("pos").agg(F.min("p.lo").alias("lo"), F.max("p.hi").alias("hi")).orderBy("pos").collect())
@@ -66,4 +68,5 @@ def sq8_encode(base: DataFrame, lo: np.ndarray, hi: np.ndarray, vector_col: str
                     out[r] = codes[i].tobytes()
             yield rb.append_column(codes_col, pa.array(out, pa.binary()))
 
+    ship_package(spark)
     return base.mapInArrow(run, schema)

@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 
 from vecframe.functions.vector import check_metric, higher_is_better, metric_score, vector_literal
 from vecframe.operators import _kernels as K
+from vecframe.session import ship_package
 
 # A broadcast query block is at most this large (float64 matrix bytes).
 MAX_BROADCAST_QUERY_BYTES = 64 << 20
@@ -135,6 +136,7 @@ def _broadcast_candidates(base: DataFrame, vector_col: str, id_col: str, keep_co
             for b in _reduce(acc, id_col, k, higher).to_batches():
                 yield b
 
+    ship_package(spark)
     return base.select(*in_cols).mapInArrow(run, schema)
 
 

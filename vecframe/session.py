@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -35,6 +36,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -96,3 +98,29 @@ def bounded_broadcast(df, max_rows: int = MAX_BROADCAST_ROWS):
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark) -> None:
+    """Make ``vecframe`` importable in Python workers (once per application).
+
+    The package is zipped and added with ``addPyFile`` - what ``--py-files``
+    does - so Arrow / pandas tasks can unpickle functions that live in it,
+    whatever the driver's working directory.  The zip is a code artifact that
+    Spark itself distributes to the executors.
+    """
+    import shutil
+    import tempfile
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    staging = tempfile.mkdtemp(prefix="vecframe-pyfiles-")
+    shutil.copytree(pkg_dir, os.path.join(staging, "src", "vecframe"),
+                    ignore=shutil.ignore_patterns("__pycache__", "*.pyc"))
+    archive = shutil.make_archive(os.path.join(staging, "vecframe"), "zip", os.path.join(staging, "src"))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
