@@ -50,3 +50,25 @@ def test_periodic_search_writes_each_batch(spark, tmp_dir):
                                trigger="availableNow"))
     out = spark.read.parquet(sink)
     assert out.count() == 10 and "ms" in out.columns and "batch_id" in out.columns
+
+
+def test_insert_requests_append_rows(spark, tmp_dir):
+    from vecframe.operators import tables as TB
+    from vecframe.streaming.requests import insert_request_stream
+    TB.create_collection(spark, "vf_ins", dim=4, location=tmp_dir + "/tbl", replace=True)
+    src = os.path.join(tmp_dir, "req")
+    spark.createDataFrame([(1, "3"), (2, "abc"), (3, "50001"), (4, "2")], "req_id long, num_text string") \
+        .write.parquet(src + "/p1")
+    reqs = file_stream(spark, src + "/*", T.StructType([T.StructField("req_id", T.LongType()),
+                                                        T.StructField("num_text", T.StringType())]))
+    sink, ckpt = os.path.join(tmp_dir, "isink"), os.path.join(tmp_dir, "ickpt")
+    run_to_end(insert_request_stream(reqs, sink, ckpt, table="vf_ins", dim=4))
+    log = {r["req_id"]: (r["num"], r["error"]) for r in spark.read.parquet(sink).collect()}
+    assert log[1] == (3, None) and log[2][0] is None and log[3][0] is None and log[4] == (2, None)
+    rows = spark.table("vf_ins")
+    assert rows.count() == 5 and sorted(r["id"] for r in rows.collect()) == [0, 0, 1, 1, 2]
+    assert TB.bounded_append(spark, "vf_ins", "4", now_ms=0, day="20250101") == 4
+    import pytest
+    with pytest.raises(ValueError):
+        TB.bounded_append(spark, "vf_ins", "50001", now_ms=0)
+    TB.drop_collection(spark, "vf_ins")

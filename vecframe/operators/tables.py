@@ -203,3 +203,30 @@ def create_numbered(spark: SparkSession, name: str, start: int, end: int, rows_p
     if location:
         w = w.option("path", location)
     w.saveAsTable(name)
+
+
+# -- bounded append (S8) ----------------------------------------------------
+
+def request_rows(requests: DataFrame, dim: int, now_ms: int, num_col: str = "num", seed: int = 7) -> DataFrame:
+    """Rows for accepted insert requests: ``num`` rows each, ids ``0..num-1``
+    per request (ids repeat across requests, as in the reference).  A request
+    is at most 50,000 rows, so the explode is bounded per row."""
+    from vecframe.sources.generate import bench_rows
+    ids = requests.where(F.col(num_col).isNotNull() & (F.col(num_col) > 0)).select(
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col(num_col).cast("long") - 1)).alias("id"))
+    return bench_rows(ids, dim, now_ms, seed=seed)
+
+
+def bounded_append(spark: SparkSession, name: str, num_text: str | None, now_ms: int, day: str | None = None) -> int:
+    """Validate the request size (integer text, 0..50000, default 1000),
+    then append that many generated rows; returns the number appended."""
+    from vecframe.functions.text import validate_insert_num
+    text = "1000" if num_text is None else num_text
+    req = spark.createDataFrame([(text,)], "num_text string")
+    num, err = validate_insert_num(F.col("num_text"))
+    row = req.select(num.alias("num"), err.alias("error")).first()
+    if row["error"] is not None:
+        raise ValueError(row["error"])
+    dim = int(collection_props(spark, name).get("vecframe.dim", "0"))
+    append(spark, name, request_rows(req.select(num.alias("num")), dim, now_ms), day=day)
+    return int(row["num"])

@@ -50,10 +50,25 @@ def validated_inserts(requests: DataFrame, text_col: str = "num_text") -> DataFr
     return requests.withColumn("num", num).withColumn("error", err)
 
 
-def insert_request_stream(requests: DataFrame, sink_path: str, checkpoint: str, trigger="availableNow") -> StreamingQuery:
-    """Validate a stream of insert requests; accepted and rejected rows
-    both go to the sink (rejected ones with their error text)."""
+def insert_request_stream(requests: DataFrame, sink_path: str, checkpoint: str, trigger="availableNow",
+                          table: str | None = None, dim: int | None = None) -> StreamingQuery:
+    """Validate a stream of insert requests.  Every request (accepted or
+    with its error text) goes to the sink; with ``table`` the accepted ones
+    also append their generated rows to today's partition of that table.
+    Both writes of a micro-batch are keyed by its batch id, so a replayed
+    batch overwrites its own request log."""
     out = validated_inserts(requests)
-    w = out.writeStream.format("parquet").option("path", sink_path).option("checkpointLocation", checkpoint)
+
+    def each(batch_df: DataFrame, batch_id: int) -> None:
+        import time as _time
+        batch_df.write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
+        if table is not None:
+            from vecframe.functions.dates import day_partition
+            from vecframe.operators.tables import append, request_rows
+            now_ms = int(_time.time() * 1000)
+            rows = request_rows(batch_df, dim or 0, now_ms)
+            append(batch_df.sparkSession, table, rows.withColumn("dt", day_partition(F.timestamp_millis(F.lit(now_ms)))))
+
+    w = out.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger == "availableNow" else w.trigger(processingTime=f"{trigger} seconds")
     return w.start()
