@@ -91,3 +91,19 @@ def test_sq8_rerank_recovers_exact_order(spark):
     e = search(view, q, "IP", 5, fields=[]).select("qid", "id", F.col("score").alias("s2"))
     j = a.join(e, ["qid", "id"]).collect()
     assert len(j) >= 95 and all(abs(r["score"] - r["s2"]) < 1e-9 for r in j)
+
+
+def test_index_round_trip_and_sorted_layout(spark, tmp_dir):
+    from vecframe.operators.ivf import load_index, save_index, write_assigned
+    view = collection_view(spark, SF)
+    idx = build_index(view.select("id", "value"), "IP", nlist=16, method="seed")
+    idx.lo, idx.hi = sq8_ranges(view, 64)
+    save_index(spark, idx, tmp_dir + "/idx")
+    back = load_index(spark, tmp_dir + "/idx")
+    assert np.array_equal(back.centroids, idx.centroids) and np.array_equal(back.lo, idx.lo)
+    write_assigned(assign_cells(view, back), tmp_dir + "/cells", n_files=4)
+    t = spark.read.parquet(tmp_dir + "/cells")
+    q = all_queries(view.select("id", "value")).where("qid < 10")
+    a = ivf_search(t, q, back, k=5, nprobe=3).select("qid", "rank", "id").collect()
+    b = ivf_search(assign_cells(view.select("id", "value"), idx), q, idx, k=5, nprobe=3).select("qid", "rank", "id").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))

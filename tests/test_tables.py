@@ -79,3 +79,17 @@ def test_other_generators(spark):
     assert pick_one(df).first()["id"] == pick_one(df.repartition(5)).first()["id"]
     a = {r["id"] for r in hash_ids(spark.range(50).withColumnRenamed("id", "x"), ["x"]).collect()}
     assert len(a) == 50
+
+
+def test_compact_day(spark, tmp_dir):
+    name = "vf_compact"
+    TB.create_collection(spark, name, dim=4, location=tmp_dir + "/c", replace=True)
+    for i in range(3):
+        TB.append(spark, name, bench_rows(spark.range(i * 10, i * 10 + 10), 4, now_ms=0), day="20250101")
+    before = sorted(r["id"] for r in spark.table(name).collect())
+    TB.compact_day(spark, name, "20250101", 1, tmp_dir + "/c_new/dt=20250101")
+    after = spark.table(name)
+    assert sorted(r["id"] for r in after.collect()) == before
+    files = after.select("_metadata.file_path").distinct().count()
+    assert files == 1
+    TB.drop_collection(spark, name)

@@ -58,6 +58,36 @@ class IVFIndex:
         return self.centroids.shape[1]
 
 
+def save_index(spark, index: IVFIndex, path: str) -> None:
+    """Centroids (and SQ8 ranges) as a small Parquet table: ``nlist + 2`` rows."""
+    rows = [("c", i, [float(x) for x in c]) for i, c in enumerate(index.centroids)]
+    if index.lo is not None:
+        rows += [("lo", 0, [float(x) for x in index.lo]), ("hi", 0, [float(x) for x in index.hi])]
+    df = spark.createDataFrame(rows, "kind string, cell int, v array<double>")
+    df.withColumn("metric", F.lit(index.metric)).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_index(spark, path: str) -> IVFIndex:
+    rows = spark.read.parquet(path).collect()  # nlist + 2 rows (nlist <= 4096)
+    cents = sorted((r["cell"], r["v"]) for r in rows if r["kind"] == "c")
+    extra = {r["kind"]: np.array(r["v"]) for r in rows if r["kind"] in ("lo", "hi")}
+    metric = rows[0]["metric"] if rows else "IP"
+    return IVFIndex(np.array([v for _, v in cents], dtype=np.float64), metric, extra.get("lo"), extra.get("hi"))
+
+
+def write_assigned(assigned: DataFrame, path: str, n_files: int, cell_col: str = "cell",
+                   partition_col: str | None = "dt") -> None:
+    """Lay the assigned rows out range-sorted by cell: each file (and row
+    group) covers a narrow cell range, so the probe filter ``cell IN (...)``
+    skips most of them.  Kept partitioned by day, so expiry drops a day from
+    the cell table too."""
+    out = assigned.repartitionByRange(n_files, cell_col).sortWithinPartitions(cell_col)
+    w = out.write.mode("overwrite")
+    if partition_col and partition_col in assigned.columns:
+        w = w.partitionBy(partition_col)
+    w.parquet(path)
+
+
 def default_nlist(n: int) -> int:
     return max(1, min(MAX_NLIST, math.ceil(4 * math.sqrt(max(n, 1)))))
 

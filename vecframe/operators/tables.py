@@ -230,3 +230,16 @@ def bounded_append(spark: SparkSession, name: str, num_text: str | None, now_ms:
     dim = int(collection_props(spark, name).get("vecframe.dim", "0"))
     append(spark, name, request_rows(req.select(num.alias("num")), dim, now_ms), day=day)
     return int(row["num"])
+
+
+# -- small files (streaming appends) ----------------------------------------
+
+def compact_day(spark: SparkSession, name: str, day: str, n_files: int, new_location: str) -> str:
+    """Rewrite one closed day into ``n_files`` files at a *new* folder, then
+    point the partition there.  The old files stay until the switch, so a
+    failed rewrite leaves the table unchanged."""
+    rows = spark.table(name).where(F.col("dt") == day).drop("dt")
+    rows.repartition(n_files).write.mode("error").parquet(new_location)
+    spark.sql(f"ALTER TABLE {name} PARTITION (dt='{day}') SET LOCATION '{new_location}'")
+    spark.catalog.refreshTable(name)
+    return new_location
