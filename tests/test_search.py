@@ -131,3 +131,15 @@ def test_per_query_partitions_mask(spark):
     q150 = [float(x) for x in view.where("id = 150").first()["value"]]
     want = search_one(view, q150, "IP", 5, partitions=["20250816", "20250814"], fields=[])
     assert sorted(r["id"] for r in by[150]) == sorted(r["id"] for r in want.collect())
+
+
+def test_two_level_topk_equals_one_level(spark):
+    from vecframe.operators.search import top_k_per_group
+    df = spark.range(0, 5000, numPartitions=40).select(
+        F.pmod("id", F.lit(3)).alias("qid"), F.col("id"), ((F.col("id") * 7919) % 1000).alias("score"))
+    order = [F.desc("score"), F.asc("id")]
+    a = top_k_per_group(df, ["qid"], order, 7, fan_in=1000).collect()
+    b = top_k_per_group(df, ["qid"], order, 7, fan_in=4).collect()
+    key = lambda r: (r["qid"], r["rank"])
+    assert [(r["qid"], r["rank"], r["id"]) for r in sorted(a, key=key)] == \
+           [(r["qid"], r["rank"], r["id"]) for r in sorted(b, key=key)]

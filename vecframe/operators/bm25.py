@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from vecframe.functions.text import tokenize
 from pyspark import StorageLevel
 
+from vecframe.operators.search import top_k_per_group
 from vecframe.session import bounded_broadcast
 
 # Fixed values (our definition of the scoring constants).
@@ -117,8 +118,7 @@ def search(index: BM25Index, queries: DataFrame, k: int = 10, qid_col: str = "qi
     # floor(x + 0.5): round half up without BigDecimal (exact: |x| << 2^52)
     fp = F.floor(F.col("c") * F.lit(float(SCORE_SCALE)) + F.lit(0.5)).cast("long")
     scored = contrib.groupBy("qid", "doc_id").agg(F.sum(fp).alias("_fp"))
-    w = Window.partitionBy("qid").orderBy(F.desc("_fp"), F.asc("doc_id"))
-    return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (top_k_per_group(scored, ["qid"], [F.desc("_fp"), F.asc("doc_id")], k)
             .select("qid", F.col("rank").cast("long").alias("rank"), "doc_id",
                     (F.col("_fp") / F.lit(float(SCORE_SCALE))).alias("score")))
 

@@ -228,14 +228,37 @@ def search(base: DataFrame, queries, metric: str = "IP", k: int = 10, *, vector_
     return rank_candidates(cands, metric, k, id_col, tie_cols, fields)
 
 
+# Candidate partitions merged by one final top-k task per query.
+TOPK_FAN_IN = 64
+
+
+def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, k: int,
+                    fan_in: int = TOPK_FAN_IN) -> DataFrame:
+    """``row_number() <= k`` per group, as a tree when the input is wide.
+
+    Each input partition holds at most k rows per group after the partial
+    ``WindowGroupLimit``, so a final task would see ``partitions x k`` rows of
+    a group.  With more than ``fan_in`` partitions a first level keeps the
+    top k per ``(group, partition bucket)``; no group then grows with the
+    number of tasks.  Adds ``rank``.
+    """
+    n_parts = df.rdd.getNumPartitions()
+    if n_parts > fan_in:
+        buckets = max(2, math.ceil(n_parts / fan_in))
+        w1 = Window.partitionBy(*keys, "_tb").orderBy(*order)
+        df = (df.withColumn("_tb", F.pmod(F.spark_partition_id(), F.lit(buckets)))
+              .withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_r1", "_tb"))
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
 def rank_candidates(cands: DataFrame, metric: str, k: int, id_col: str = "id",
                     tie_cols: Sequence[str] = (), fields: Sequence[str] | None = None) -> DataFrame:
     """Final per-query top-k over a candidate table ``(qid, score, id, ...)``."""
     cands = cands.where(F.col("score").isNotNull() & ~F.isnan("score"))
     order = [F.desc("score") if higher_is_better(metric) else F.asc("score"), F.asc(id_col)]
     order += [F.asc_nulls_last(c) for c in tie_cols]
-    w = Window.partitionBy("qid").orderBy(*order)
-    ranked = cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    ranked = top_k_per_group(cands, ["qid"], order, k)
     fields = [c for c in (fields if fields is not None else cands.columns) if c not in ("qid", "score", "rank", id_col)]
     return ranked.select("qid", F.col("rank").cast("long").alias("rank"), id_col, "score", *fields)
 
