@@ -203,12 +203,14 @@ def search(base: DataFrame, queries, metric: str = "IP", k: int = 10, *, vector_
     qdf = query_frame(spark, queries, parts_col=query_partitions_col)
 
     base_dim = dim or vector_dim(base, vector_col)
-    nq = qdf.count()
-    q_bytes = nq * max(base_dim or 1, 1) * 8
     if method == "auto":
         method = "arrow"
-    if method == "expr" or q_bytes <= MAX_BROADCAST_QUERY_BYTES:
-        qids, Q, parts = _collect_queries(qdf)
+    # one bounded collect decides: it either fits the broadcast bound or the
+    # query set goes to the blocked path (counted only then)
+    bound = max(1, MAX_BROADCAST_QUERY_BYTES // (8 * max(base_dim or 1, 1)))
+    probe = qdf.limit(bound + 1) if method != "expr" else qdf
+    qids, Q, parts = _collect_queries(probe)
+    if method == "expr" or len(qids) <= bound:
         if base_dim is not None and len(qids) and Q.shape[1] != base_dim:
             raise ValueError(f"query dimension {Q.shape[1]} does not match table dimension {base_dim}")
         if base_dim is None:  # empty table
@@ -221,9 +223,9 @@ def search(base: DataFrame, queries, metric: str = "IP", k: int = 10, *, vector_
             cands = _broadcast_candidates(base, vector_col, id_col, keep_cols, metric, k, qids, Q, base_dim,
                                           parts, partition_col)
     else:
-        first = qdf.select(F.size("vec").alias("d")).distinct().collect()
-        if len(first) > 1 or (first and base_dim is not None and first[0]["d"] != base_dim):
+        if base_dim is not None and Q.shape[1] != base_dim:
             raise ValueError("query dimension does not match table dimension")
+        nq = qdf.count()
         cands = _blocked_candidates(base, qdf, vector_col, id_col, keep_cols, metric, k, nq, base_dim, partition_col)
     return rank_candidates(cands, metric, k, id_col, tie_cols, fields)
 
