@@ -40,3 +40,10 @@ def test_merge_tables_full_outer(spark):
     got = {r["key"]: r["doc"] for r in merge_tables(base, patch).collect()}
     assert got == {1: '{"a":{"x":1}}', 2: '{"b":[1,2],"c":true}', 3: '{"n":null}'}
     assert json.loads(got[2]) == {"b": [1, 2], "c": True}
+
+
+def test_repeated_key_is_rejected(spark):
+    base = spark.createDataFrame([(1, '{"a":1}'), (1, '{"a":2}')], "key long, doc string")
+    patch = spark.createDataFrame([(1, '{"b":1}')], "key long, doc string")
+    with pytest.raises(ValueError, match="more than one"):
+        merge_tables(base, patch)

@@ -85,8 +85,21 @@ def merge_json_udf(base: pd.Series, patch: pd.Series) -> pd.Series:
                       for b, p in zip(base, patch)], dtype=object)
 
 
-def merge_tables(base: DataFrame, patch: DataFrame, key: str = "key", doc: str = "doc") -> DataFrame:
-    """``(key, doc)`` for every key of either table."""
+def _check_unique(df: DataFrame, key: str, what: str) -> None:
+    dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).limit(1).collect()
+    if dup:
+        raise ValueError(f"{what} has more than one document for key {dup[0][key]!r}")
+
+
+def merge_tables(base: DataFrame, patch: DataFrame, key: str = "key", doc: str = "doc",
+                 check_unique: bool = True) -> DataFrame:
+    """``(key, doc)`` for every key of either table.
+
+    One document per key and side (checked first): a repeated key would make
+    the join pair every copy with every other."""
+    if check_unique:
+        _check_unique(base, key, "base")
+        _check_unique(patch, key, "patch")
     b = base.select(F.col(key).alias("_k"), F.col(doc).alias("_b"))
     p = patch.select(F.col(key).alias("_k"), F.col(doc).alias("_p"))
     ship_package(base.sparkSession)
