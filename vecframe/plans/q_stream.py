@@ -77,3 +77,22 @@ def stream_insert_requests(spark, sf_dir):
     run_to_end(insert_request_stream(reqs, sink, ckpt))
     out = spark.read.parquet(sink)
     return out.groupBy("error").agg(F.count(F.lit(1)).alias("requests"), F.sum("num").alias("rows_requested"))
+
+
+@register("request_topk_own_days", f"""
+WITH c AS ({SQL_COLLECTION}),
+s AS (SELECT q.id AS qid, c.id, list_inner_product(c.value, q.value) AS score, c.dt
+      FROM c AS q CROSS JOIN c
+      WHERE c.dt IN (q.dt, strftime(strptime(q.dt, '%Y%m%d') - INTERVAL 1 DAY, '%Y%m%d'))),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rk FROM s)
+SELECT qid, CAST(rk AS BIGINT) AS rank, id, round(score, 6) AS score, dt FROM r WHERE rk <= 5
+""")
+def request_topk_own_days(spark, sf_dir):
+    """T5 with per-request day lists: each row asks for its own day and the day before."""
+    from vecframe.functions.dates import day_shift
+    from vecframe.streaming.requests import answer_search_requests
+    view = collection_view(spark, sf_dir)
+    reqs = view.select(F.col("id").alias("qid"), F.col("value").alias("vec"), F.lit(5).alias("topk"),
+                       F.concat_ws(",", "dt", day_shift(F.to_date("dt", "yyyyMMdd"), 1)).alias("partitions"))
+    res = answer_search_requests(view.select("id", "value", "dt"), reqs, "IP", max_k=5, fields=["dt"])
+    return res.select("qid", "rank", "id", F.round("score", 6).alias("score"), "dt")
