@@ -106,21 +106,31 @@ _SHIPPED: set[str] = set()
 def ship_package(spark) -> None:
     """Make ``vecframe`` importable in Python workers (once per application).
 
-    The package is zipped and added with ``addPyFile`` - what ``--py-files``
-    does - so Arrow / pandas tasks can unpickle functions that live in it,
-    whatever the driver's working directory.  The zip is a code artifact that
-    Spark itself distributes to the executors.
+    The package is zipped in memory, written into the shared checkpoint
+    folder through the Hadoop FileSystem API and added with ``addPyFile`` -
+    what ``--py-files`` does - so Arrow / pandas tasks can unpickle functions
+    that live in it, whatever the driver's working directory.
     """
-    import shutil
-    import tempfile
+    import io
+    import zipfile
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    staging = tempfile.mkdtemp(prefix="vecframe-pyfiles-")
-    shutil.copytree(pkg_dir, os.path.join(staging, "src", "vecframe"),
-                    ignore=shutil.ignore_patterns("__pycache__", "*.pyc"))
-    archive = shutil.make_archive(os.path.join(staging, "vecframe"), "zip", os.path.join(staging, "src"))
-    sc.addPyFile(archive)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, dirs, files in os.walk(pkg_dir):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("vecframe", os.path.relpath(full, pkg_dir)))
+    target = f"{scratch_path(spark, 'pyfiles')}/vecframe.zip"
+    jvm = sc._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(target)
+    out = jpath.getFileSystem(sc._jsc.hadoopConfiguration()).create(jpath, True)
+    out.write(bytearray(buf.getvalue()))
+    out.close()
+    sc.addPyFile(target)
     _SHIPPED.add(app)
