@@ -63,6 +63,21 @@ def scores(metric: str, X: np.ndarray, Q: np.ndarray) -> np.ndarray:
     return out
 
 
+def pair_scores(metric: str, X: np.ndarray, Q: np.ndarray) -> np.ndarray:
+    """Row-wise scores of matched pairs ``(X[i], Q[i])`` (NaN = no score)."""
+    ip = np.einsum("ij,ij->i", X, Q)
+    if metric == "IP":
+        return ip
+    if metric == "L2":
+        d = X - Q
+        return np.einsum("ij,ij->i", d, d)
+    denom = np.sqrt(np.einsum("ij,ij->i", X, X) * np.einsum("ij,ij->i", Q, Q))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out = ip / denom
+    out[denom == 0] = np.nan
+    return out
+
+
 def to_key(s: np.ndarray, higher_better: bool) -> np.ndarray:
     """Smaller key = better; NaN stays NaN."""
     return -s if higher_better else s

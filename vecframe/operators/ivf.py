@@ -258,8 +258,7 @@ def _broadcast_ivf(assigned: DataFrame, qids: np.ndarray, Q: np.ndarray, probe_p
             r, q, sc = np.concatenate(rr), np.concatenate(qq), np.concatenate(ss)
             if rerank:
                 _, Xf = K.arrow_vectors(rb.column(vector_col).take(pa.array(rows[r])), dim)
-                sc = np.einsum("ij,ij->i", Xf, Qm[q]) if metric == "IP" else np.array(
-                    [K.scores(metric, Xf[i:i + 1], Qm[q[i]:q[i] + 1])[0, 0] for i in range(len(r))])
+                sc = K.pair_scores(metric, Xf, Qm[q])
             taken = pa.Table.from_batches([rb]).select(keep_cols).take(pa.array(rows[r]))
             head = pa.table([pa.array(q_ids[q], pa.int64()), pa.array(sc, pa.float64())], schema=out_arrow)
             acc.append(pa.Table.from_arrays(head.columns + taken.columns, names=["qid", "score"] + keep_cols))
@@ -370,7 +369,7 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
         r, qi, s = K.local_topk(metric, higher, X, ids, Q, kk)
         if rerank and len(r):
             _, Xf = K.pandas_vectors(bpdf[vector_col].iloc[rows[r]].reset_index(drop=True), dim)
-            s = np.array([K.scores(metric, Xf[i:i + 1], Q[qi[i]:qi[i] + 1])[0, 0] for i in range(len(r))])
+            s = K.pair_scores(metric, Xf, Q[qi])
         out = bpdf.iloc[rows[r]][keep_cols].reset_index(drop=True)
         out.insert(0, "score", s)
         out.insert(0, "qid", qpdf["qid"].to_numpy()[qi])
