@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from vecframe.operators.backfill import assign_days, calendar
+from vecframe.operators.backfill import assign_days, plan_days
 
 
 def sequential(existing_by_index, n_batches, b, M):
@@ -23,11 +23,8 @@ def plan(spark, existing_by_index, n_batches, b, M):
     start = dt.date(2025, 8, 16)
     rows = [((start - dt.timedelta(days=i)).strftime("%Y%m%d"), n) for i, n in existing_by_index.items()]
     ex = spark.createDataFrame(rows, "dt string, n long")
-    cal = calendar(spark, ex, start, n_batches, b, M).collect()
-    out = []
-    for r in sorted(cal, key=lambda r: r["day_index"]):
-        out += [r["day_index"]] * r["batches"]
-    return out
+    plan = plan_days(spark, ex, start, n_batches, b, M)
+    return [r["day_index"] for r in plan.batches(spark).orderBy("batch").collect()]
 
 
 def test_fixture_cases(spark):
@@ -49,8 +46,8 @@ def test_closed_form_equals_loop(spark):
 def test_rows_land_in_planned_days(spark):
     rows = spark.range(95).select(F.col("id"), F.array(F.lit(1.0)).alias("value"))
     ex = spark.createDataFrame([("20250816", 10)], "dt string, n long")
-    assigned, cal = assign_days(rows, ex, dt.date(2025, 8, 16), 10, 30)
+    assigned, plan = assign_days(rows, ex, dt.date(2025, 8, 16), 10, 30)
     got = {r["dt"]: r["count"] for r in assigned.groupBy("dt").count().collect()}
     # day 0 holds 10 -> takes 2 batches (20 rows); then 3 batches per day
     assert got == {"20250816": 20, "20250815": 30, "20250814": 30, "20250813": 15}
-    assert sum(got.values()) == 95 and math.ceil(95 / 10) == cal.agg(F.sum("batches")).first()[0]
+    assert sum(got.values()) == 95 and plan.prefix_batches == 2 and plan.n_batches == math.ceil(95 / 10)

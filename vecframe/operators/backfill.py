@@ -17,82 +17,121 @@ from __future__ import annotations
 import datetime as _dt
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vecframe.session import bounded_broadcast
 from vecframe.sources.batches import batch_split_counted
 
 
-def calendar(spark: SparkSession, existing: DataFrame, start: _dt.date, n_batches: int, batch_size: int,
-             max_rows: int, partition_col: str = "dt") -> DataFrame:
-    """``(day_index, dt, existing, cap, first_batch, batches)`` for the days the walk touches.
+@dataclass
+class DayPlan:
+    """Where the batches of a backfill go.
 
-    ``existing``: ``(dt, n)`` counts read *before* the load (P4).
+    ``prefix``: one row per day from the start back to the oldest day that
+    already holds rows and is reached - ``(day_index, dt, existing, cap,
+    first_batch, batches)``; its size is bounded by the age span of the
+    existing day partitions, not by the load.  Every later day takes ``c0``
+    batches, so it is a formula of the batch number.
     """
+    prefix: DataFrame
+    prefix_days: int
+    prefix_batches: int
+    c0: int
+    start: _dt.date
+    n_batches: int
+    partition_col: str = "dt"
+
+    def day_index(self, batch: Column) -> Column:
+        """Day index of a tail batch (``batch >= prefix_batches``)."""
+        return F.lit(self.prefix_days) + F.floor((batch - F.lit(self.prefix_batches)) / F.lit(self.c0))
+
+    def attach(self, df: DataFrame, batch_col: str = "batch") -> DataFrame:
+        """Adds ``day_index`` and the day name to rows that carry a batch
+        number: a broadcast lookup for the prefix batches, a formula after it -
+        the rows are never shuffled."""
+        lookup = bounded_broadcast(batch_days(self.prefix, self.partition_col)
+                                   .select(F.col("batch").alias(batch_col), F.col("day_index").alias("_pidx")))
+        start_lit = F.lit(self.start.isoformat()).cast("date")
+        idx = F.coalesce(F.col("_pidx"), self.day_index(F.col(batch_col))).cast("long")
+        return (df.join(lookup, batch_col, "left").withColumn("day_index", idx).drop("_pidx")
+                .withColumn(self.partition_col, F.date_format(F.date_sub(start_lit, F.col("day_index").cast("int")),
+                                                              "yyyyMMdd")))
+
+    def batches(self, spark: SparkSession) -> DataFrame:
+        """``(batch, day_index, dt)`` for every batch, spread over the cluster."""
+        return self.attach(spark.range(self.n_batches).withColumnRenamed("id", "batch"))
+
+
+def plan_days(spark: SparkSession, existing: DataFrame, start: _dt.date, n_batches: int, batch_size: int,
+              max_rows: int, partition_col: str = "dt") -> DayPlan:
+    """The closed form of the reference's loop.  ``existing``: ``(dt, n)``
+    counts read *before* the load (P4)."""
     c0 = max(1, math.ceil(max_rows / batch_size))
-    # every day takes >= 1 batch, and a day with no rows takes c0
-    n_existing = existing.count()  # one row per existing day partition: small
-    n_days = max(1, min(n_batches, n_existing + math.ceil(n_batches / c0)))
     start_lit = F.lit(start.isoformat()).cast("date")
-    days = spark.range(n_days).select(
+    ex = (existing.select(F.col(partition_col), F.col("n").cast("long").alias("existing"))
+          .withColumn("day_index", F.datediff(start_lit, F.to_date(F.col(partition_col), "yyyyMMdd")).cast("long"))
+          .where((F.col("day_index") >= 0) & (F.col("day_index") < n_batches) & (F.col("existing") > 0)))
+    last = ex.agg(F.max("day_index")).first()[0]  # one row per existing day partition, aggregated
+    n_prefix = 0 if last is None else int(last) + 1
+    if n_prefix == 0:
+        empty = spark.createDataFrame([], f"day_index long, {partition_col} string, existing long, cap long, "
+                                          "first_batch long, batches long")
+        return DayPlan(empty, 0, 0, c0, start, n_batches, partition_col)
+    days = spark.range(n_prefix).select(
         F.col("id").alias("day_index"),
         F.date_format(F.date_sub(start_lit, F.col("id").cast("int")), "yyyyMMdd").alias(partition_col))
-    ex = existing.select(F.col(partition_col), F.col("n").cast("long").alias("existing"))
-    cal = (days.join(F.broadcast(ex), partition_col, "left")
+    cal = (days.join(bounded_broadcast(ex.select(partition_col, "existing")), partition_col, "left")
            .withColumn("existing", F.coalesce("existing", F.lit(0).cast("long")))
            .withColumn("cap", F.greatest(F.lit(1).cast("long"),
                                          F.ceil((F.lit(max_rows) - F.col("existing")) / F.lit(batch_size)).cast("long"))))
-    # running sum over the (small) calendar: one row per day touched
+    # running sum over the prefix only (bounded by the existing days' age span)
     w = Window.orderBy("day_index").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cal = cal.withColumn("first_batch", F.sum("cap").over(w) - F.col("cap"))
-    cal = cal.where(F.col("first_batch") < n_batches)
-    return cal.withColumn("batches", F.least(F.col("cap"), F.lit(n_batches) - F.col("first_batch")))
+    cal = (cal.where(F.col("first_batch") < n_batches)
+           .withColumn("batches", F.least(F.col("cap"), F.lit(n_batches) - F.col("first_batch")))).cache()
+    agg = cal.agg(F.count(F.lit(1)).alias("d"), F.sum("batches").alias("b")).first()
+    return DayPlan(cal, int(agg["d"]), int(agg["b"] or 0), c0, start, n_batches, partition_col)
 
 
 def batch_days(cal: DataFrame, partition_col: str = "dt") -> DataFrame:
-    """``(batch, dt)``: the calendar exploded to one row per batch."""
+    """``(batch, day_index, dt)``: prefix days exploded to one row per batch."""
     return cal.select(
         F.explode(F.sequence(F.col("first_batch"), F.col("first_batch") + F.col("batches") - 1)).alias("batch"),
-        partition_col)
+        "day_index", partition_col)
 
 
 def assign_days(rows: DataFrame, existing: DataFrame, start: _dt.date, batch_size: int, max_rows: int,
-                partition_col: str = "dt", stable: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Rows with ``batch`` and ``dt`` filled in, plus the calendar used."""
+                partition_col: str = "dt", stable: bool = True) -> tuple[DataFrame, DayPlan]:
+    """Rows with ``batch``, ``day_index`` and ``dt`` filled in, plus the plan used."""
     spark = rows.sparkSession
     with_batch, n = batch_split_counted(rows.drop(partition_col) if partition_col in rows.columns else rows,
                                         batch_size, stable=stable)
-    n_batches = max(0, math.ceil(n / batch_size))
-    cal = calendar(spark, existing, start, max(n_batches, 1), batch_size, max_rows, partition_col).cache()
-    c0 = max(1, math.ceil(max_rows / batch_size))
-    # prefix: days up to the last one that already holds rows (caps vary there)
-    last = cal.where(F.col("existing") > 0).agg(F.max("day_index").alias("d"), F.max(F.col("first_batch") + F.col("cap"))
-                                                .alias("b")).first()
-    last_day = -1 if last["d"] is None else int(last["d"])
-    prefix_batches = 0 if last["b"] is None else int(last["b"])
-    lookup = bounded_broadcast(batch_days(cal.where(F.col("day_index") <= last_day), partition_col)
-                               .withColumnRenamed(partition_col, "_pdt"))
-    start_lit = F.lit(start.isoformat()).cast("date")
-    tail_index = F.lit(last_day + 1) + F.floor((F.col("batch") - F.lit(prefix_batches)) / F.lit(c0))
-    tail_dt = F.date_format(F.date_sub(start_lit, tail_index.cast("int")), "yyyyMMdd")
-    out = (with_batch.join(lookup, "batch", "left")
-           .withColumn(partition_col, F.coalesce(F.col("_pdt"), tail_dt)).drop("_pdt"))
-    return out, cal
+    plan = plan_days(spark, existing, start, max(1, math.ceil(n / batch_size)), batch_size, max_rows, partition_col)
+    return plan.attach(with_batch), plan
+
+
+def _existing_of(plan: DayPlan) -> DataFrame:
+    return plan.prefix.select("day_index", "existing")
 
 
-def plan_summary(assigned: DataFrame, cal: DataFrame, partition_col: str = "dt") -> DataFrame:
+def plan_summary(assigned: DataFrame, plan: DayPlan, partition_col: str = "dt") -> DataFrame:
     """Per day: existing rows, batches and rows added, new total."""
-    per_day = assigned.groupBy(partition_col).agg(F.countDistinct("batch").cast("long").alias("batches"),
-                                                  F.count(F.lit(1)).alias("rows"))
-    return (per_day.join(cal.select(partition_col, "existing"), partition_col)
+    per_day = assigned.groupBy("day_index", partition_col).agg(
+        F.countDistinct("batch").cast("long").alias("batches"), F.count(F.lit(1)).alias("rows"))
+    return (per_day.join(_existing_of(plan), "day_index", "left")
+            .withColumn("existing", F.coalesce("existing", F.lit(0).cast("long")))
             .select(partition_col, "existing", "batches", "rows", (F.col("existing") + F.col("rows")).alias("total")))
 
 
-def progress(assigned: DataFrame, cal: DataFrame, partition_col: str = "dt") -> DataFrame:
-    """Per batch, the day's running total after that batch."""
-    per_batch = assigned.groupBy("batch", partition_col).agg(F.count(F.lit(1)).alias("rows"))
-    w = Window.partitionBy(partition_col).orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (per_batch.join(cal.select(partition_col, "existing"), partition_col)
+def progress(assigned: DataFrame, plan: DayPlan, partition_col: str = "dt") -> DataFrame:
+    """Per batch, the day's running total after that batch (a window per
+    day: its batches, at most ``c0`` or the day's cap)."""
+    per_batch = assigned.groupBy("batch", "day_index", partition_col).agg(F.count(F.lit(1)).alias("rows"))
+    w = Window.partitionBy("day_index").orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (per_batch.join(_existing_of(plan), "day_index", "left")
+            .withColumn("existing", F.coalesce("existing", F.lit(0).cast("long")))
             .withColumn("day_total", F.col("existing") + F.sum("rows").over(w))
             .select("batch", partition_col, "rows", "day_total"))
