@@ -110,7 +110,8 @@ def search(index: BM25Index, queries: DataFrame, k: int = 10, qid_col: str = "qi
         # then the query-side weights are broadcast against the postings
         terms = bounded_broadcast(qt.select("term").distinct())
         dfq = index.postings.join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        qw = qt.join(dfq, "term").select("qid", "term", "qtf", idf(index.n_docs, F.col("df")).alias("idf"))
+        # small (query terms): cached, so the size check materializes it once
+        qw = qt.join(dfq, "term").select("qid", "term", "qtf", idf(index.n_docs, F.col("df")).alias("idf")).cache()
         contrib = index.postings.join(bounded_broadcast(qw), "term").select(
             "qid", "doc_id", (F.col("qtf") * term_weight(index, F.col("tf"), F.col("dl"), F.col("idf"))).alias("c"))
     # exact integer sum of fixed-point contributions: order-independent, so
