@@ -93,3 +93,18 @@ def test_compact_day(spark, tmp_dir):
     files = after.select("_metadata.file_path").distinct().count()
     assert files == 1
     TB.drop_collection(spark, name)
+
+
+def test_collection_search_dispatch(spark, tmp_dir):
+    rows = bench_rows(spark.range(20), 4, now_ms=0)
+    TB.create_collection(spark, "vf_s_hnsw", dim=4, index="HNSW", metric="L2", location=tmp_dir + "/h", replace=True)
+    TB.append(spark, "vf_s_hnsw", rows, day="20250817")
+    q = [float(x) for x in rows.where("id = 3").first()["value"]]
+    res = TB.collection_search(spark, "vf_s_hnsw", [q], k=3).collect()
+    assert [r["id"] for r in sorted(res, key=lambda r: r["rank"])][0] == 3 and res[0]["score"] >= 0  # L2 from props
+    TB.create_collection(spark, "vf_s_odd", dim=4, index="NO_SUCH_INDEX", location=tmp_dir + "/o", replace=True)
+    TB.append(spark, "vf_s_odd", rows, day="20250817")
+    none = TB.collection_search(spark, "vf_s_odd", [q], k=3)
+    assert none.count() == 0 and "score" in none.columns
+    TB.drop_collection(spark, "vf_s_hnsw")
+    TB.drop_collection(spark, "vf_s_odd")

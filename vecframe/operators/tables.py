@@ -243,3 +243,36 @@ def compact_day(spark: SparkSession, name: str, day: str, n_files: int, new_loca
     spark.sql(f"ALTER TABLE {name} PARTITION (dt='{day}') SET LOCATION '{new_location}'")
     spark.catalog.refreshTable(name)
     return new_location
+
+
+# -- search through the collection's own settings (L1 + V4/V6, A1-A4) --------
+
+def collection_search(spark: SparkSession, name: str, queries, k: int = 10, *, partitions=None,
+                      fields=("deviceCode", "createTime", "dt"), metric: str | None = None,
+                      ivf_index=None, nprobe: int | None = None) -> DataFrame:
+    """Search a collection the way its ``TBLPROPERTIES`` say.
+
+    The metric is the one stored at creation unless ``metric`` overrides it
+    (the 2.4.2 behaviour).  ``HNSW`` / ``FLAT`` / ``AUTOINDEX`` answer exactly;
+    ``IVF_FLAT`` / ``GPU_IVF_FLAT`` / ``IVF_SQ8`` use ``ivf_index`` when one is
+    given (cells assigned on the fly) and exact search otherwise.  An index
+    name that is none of these created no index, so the search returns no
+    rows (with the result schema), as in the reference.
+    """
+    from vecframe.operators.ivf import assign_cells, index_request, ivf_search
+    from vecframe.operators.search import search
+    props = collection_props(spark, name)
+    kind = index_request(props.get("vecframe.index", ""))
+    m = (metric or props.get("vecframe.metric", "IP")).upper()
+    base = spark.table(name)
+    if partitions:
+        base = base.where(F.col("dt").isin(list(partitions)))
+    tie = ["dt", "createTime"]
+    if kind == "none":
+        return search(base.limit(0), queries, m, k, fields=list(fields), tie_cols=tie,
+                      dim=int(props.get("vecframe.dim", "1")))
+    if kind in ("ivf", "ivf_sq8") and ivf_index is not None:
+        ivf_index.metric = m
+        return ivf_search(assign_cells(base, ivf_index), queries, ivf_index, k, nprobe,
+                          fields=list(fields), tie_cols=tie)
+    return search(base, queries, m, k, fields=list(fields), tie_cols=tie)
