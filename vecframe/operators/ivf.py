@@ -207,7 +207,7 @@ def _arrow_rows(rb, dim, codes_col, vector_col, lo, hi):
 
 def _broadcast_ivf(assigned: DataFrame, qids: np.ndarray, Q: np.ndarray, probe_pairs: np.ndarray, index: IVFIndex,
                    k: int, keep_cols: list[str], id_col: str, cell_col: str, vector_col: str,
-                   codes_col: str | None, rerank: bool) -> DataFrame:
+                   codes_col: str | None) -> DataFrame:
     """Queries and their probed cells broadcast; the table is scanned once,
     rows of unprobed cells are filtered at the scan, and each task scores
     every (cell, probing queries) block it holds - the base is never shuffled."""
@@ -225,7 +225,7 @@ def _broadcast_ivf(assigned: DataFrame, qids: np.ndarray, Q: np.ndarray, probe_p
             by_cell[int(chunk[0, 1])] = chunk[:, 0].astype(np.int64)
     bc = spark.sparkContext.broadcast((qids, Q, by_cell, index.lo, index.hi))
     score_col = codes_col or vector_col
-    in_cols = list(dict.fromkeys(keep_cols + [score_col, cell_col] + ([vector_col] if rerank else [])))
+    in_cols = list(dict.fromkeys(keep_cols + [score_col, cell_col]))
     fields = [T.StructField("qid", T.LongType(), False), T.StructField("score", T.DoubleType(), True)]
     schema = T.StructType(fields + [assigned.schema[c] for c in keep_cols])
     out_arrow = pa.schema([pa.field("qid", pa.int64(), False), pa.field("score", pa.float64())])
@@ -248,17 +248,13 @@ def _broadcast_ivf(assigned: DataFrame, qids: np.ndarray, Q: np.ndarray, probe_p
                 if qidx is None:
                     continue
                 sel = np.nonzero(rc == c)[0]
-                kk = 4 * k if rerank else k
-                r, q, sc = K.local_topk(metric, higher, X[sel], ids[sel], Qm[qidx], kk)
+                r, q, sc = K.local_topk(metric, higher, X[sel], ids[sel], Qm[qidx], k)
                 rr.append(sel[r])
                 qq.append(qidx[q])
                 ss.append(sc)
             if not rr:
                 continue
             r, q, sc = np.concatenate(rr), np.concatenate(qq), np.concatenate(ss)
-            if rerank:
-                _, Xf = K.arrow_vectors(rb.column(vector_col).take(pa.array(rows[r])), dim)
-                sc = K.pair_scores(metric, Xf, Qm[q])
             taken = pa.Table.from_batches([rb]).select(keep_cols).take(pa.array(rows[r]))
             head = pa.table([pa.array(q_ids[q], pa.int64()), pa.array(sc, pa.float64())], schema=out_arrow)
             acc.append(pa.Table.from_arrays(head.columns + taken.columns, names=["qid", "score"] + keep_cols))
@@ -300,11 +296,15 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
     """
     metric = check_metric(index.metric)
     spark = assigned.sparkSession
+    if rerank:
+        if codes_col is None:
+            raise ValueError("rerank needs codes_col")
+        return _reranked(assigned, queries, index, k, nprobe, vector_col=vector_col, id_col=id_col,
+                         cell_col=cell_col, fields=fields, tie_cols=tie_cols, codes_col=codes_col,
+                         max_group_rows=max_group_rows, max_group_queries=max_group_queries, method=method)
     nprobe = nprobe or default_nprobe(index.nlist)
     qdf = query_frame(spark, queries)
     probes = probe_cells(qdf, index, nprobe)
-    if rerank and codes_col is None:
-        raise ValueError("rerank needs codes_col")
     keep_cols = list(dict.fromkeys([id_col] + list(fields) + list(tie_cols)))
     if method in ("auto", "broadcast"):
         from vecframe.operators.search import MAX_BROADCAST_QUERY_BYTES, _collect_queries
@@ -318,7 +318,7 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
                                   pairs.column("cell").to_numpy().astype(np.int64)]) if pairs.num_rows else \
                 np.zeros((0, 2), dtype=np.int64)
             cands = _broadcast_ivf(assigned, qids, Q, pp, index, k, keep_cols, id_col, cell_col, vector_col,
-                                   codes_col, rerank)
+                                   codes_col)
             return rank_candidates(cands, metric, k, id_col, tie_cols, list(fields) + list(tie_cols))
     # bounded side tables: one row per cell (nlist <= 4096)
     row_counts = {r[cell_col]: r["n"] for r in assigned.groupBy(cell_col).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -330,7 +330,7 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
     info = F.broadcast(spark.createDataFrame(info_rows, "cell int, nsub int, nqsub int"))  # <= nlist rows
 
     score_col = codes_col or vector_col
-    in_cols = list(dict.fromkeys(keep_cols + [score_col, cell_col] + ([vector_col] if rerank else [])))
+    in_cols = list(dict.fromkeys(keep_cols + [score_col, cell_col]))
     # the inner join with the per-cell table (probed cells only) drops rows of
     # unprobed cells before the shuffle
     info_probed = F.broadcast(spark.createDataFrame([r for r in info_rows if r[0] in probe_counts],
@@ -365,11 +365,7 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
             rows, X = K.pandas_vectors(bpdf[vector_col], dim)
         _, Q = K.pandas_vectors(qpdf["vec"], dim)
         ids = bpdf[id_col].to_numpy()[rows]
-        kk = max(k, 4 * k) if rerank else k
-        r, qi, s = K.local_topk(metric, higher, X, ids, Q, kk)
-        if rerank and len(r):
-            _, Xf = K.pandas_vectors(bpdf[vector_col].iloc[rows[r]].reset_index(drop=True), dim)
-            s = K.pair_scores(metric, Xf, Q[qi])
+        r, qi, s = K.local_topk(metric, higher, X, ids, Q, k)
         out = bpdf.iloc[rows[r]][keep_cols].reset_index(drop=True)
         out.insert(0, "score", s)
         out.insert(0, "qid", qpdf["qid"].to_numpy()[qi])
@@ -380,6 +376,35 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
     return rank_candidates(cands, metric, k, id_col, tie_cols, list(fields) + list(tie_cols))
 
 
+RERANK_FACTOR = 4
+
+
+def _reranked(assigned: DataFrame, queries, index: IVFIndex, k: int, nprobe: int | None, *, vector_col: str,
+              id_col: str, cell_col: str, fields, tie_cols, codes_col: str, max_group_rows: int,
+              max_group_queries: int, method: str) -> DataFrame:
+    """IVF_SQ8 with exact re-rank, in two Spark stages.
+
+    1. the ``R = 4k`` best rows per query by decoded (8-bit) score over the
+       probed cells - the normal search with the float vector carried along;
+    2. those R candidates re-scored exactly (a JVM expression against the
+       query vectors, a small broadcast) and cut to k.
+    """
+    from vecframe.functions.vector import metric_score
+    from vecframe.session import bounded_broadcast
+    spark = assigned.sparkSession
+    r = RERANK_FACTOR * k
+    extra = [c for c in fields if c != vector_col]
+    first = ivf_search(assigned, queries, index, r, nprobe, vector_col=vector_col, id_col=id_col,
+                       cell_col=cell_col, fields=list(extra) + [vector_col], tie_cols=tie_cols,
+                       codes_col=codes_col, max_group_rows=max_group_rows,
+                       max_group_queries=max_group_queries, method=method)
+    qv = bounded_broadcast(query_frame(spark, queries).select("qid", F.col("vec").alias("_qv")))
+    exact = (first.drop("rank", "score").join(qv, "qid")
+             .withColumn("score", metric_score(index.metric, vector_col, "_qv")).drop("_qv"))
+    keep = list(extra) + ([vector_col] if vector_col in fields else [])
+    return rank_candidates(exact, index.metric, k, id_col, tie_cols, keep + list(tie_cols))
+
+
 def decode_sq8(codes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return lo[None, :] + codes.astype(np.float64) * (hi - lo)[None, :] / 255
 
