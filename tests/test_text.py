@@ -69,3 +69,22 @@ def test_prefix_filter_pushed_down(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "StringStartsWith(url,https://m.)" in plan
     assert df.where(~F.col("url").startswith("https://m.")).count() == 0
+
+
+def test_bucketed_documents_build_without_shuffle(spark, tmp_dir):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    bm25.store_documents(docs, "vf_docs_b", 4, path=tmp_dir + "/docs")
+    stored = spark.table("vf_docs_b")
+    p = bm25.build_postings(stored, prepartitioned=True)
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    a = sorted(map(tuple, p.select("doc_id", "term", "tf").collect()))
+    b = sorted(map(tuple, bm25.build_postings(docs).select("doc_id", "term", "tf").collect()))
+    assert a == b
+    qs = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select(F.col("item_id").alias("qid"), "text")
+    x = bm25.search(bm25.build_index(stored, prepartitioned=True), qs, 5).collect()
+    y = bm25.search(bm25.build_index(docs), qs, 5).collect()
+    key = lambda r: (r["qid"], r["rank"])
+    assert [(r["qid"], r["rank"], r["doc_id"]) for r in sorted(x, key=key)] == \
+           [(r["qid"], r["rank"], r["doc_id"]) for r in sorted(y, key=key)]
+    spark.sql("DROP TABLE vf_docs_b")

@@ -45,25 +45,37 @@ class BM25Index:
         return self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def build_postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def store_documents(docs: DataFrame, name: str, n_buckets: int, id_col: str = "doc_id",
+                    path: str | None = None) -> None:
+    """Keep a document collection bucketed by ``doc_id``: one shuffle when it
+    is written, none when its index is built (``prepartitioned=True``)."""
+    w = docs.write.mode("overwrite").bucketBy(n_buckets, id_col).sortBy(id_col)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
+
+
+def build_postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   prepartitioned: bool = False) -> DataFrame:
     """``(doc_id, dl, term, tf)``, hash-partitioned by ``doc_id``.
 
     The raw text is shuffled once by ``doc_id`` (smaller than the postings
     it yields); counting terms per document then needs no second exchange,
     and every later per-document or per-(query, document) aggregate reuses
-    that partitioning."""
-    toks = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).repartition("doc_id")
-            .select("doc_id", tokenize(F.col("_text")).alias("_t")))
+    that partitioning.  ``prepartitioned=True`` is for a table stored
+    bucketed by ``doc_id`` (:func:`store_documents`): no shuffle at all."""
+    sel = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
+    toks = (sel if prepartitioned else sel.repartition("doc_id")).select("doc_id", tokenize(F.col("_text")).alias("_t"))
     return (toks.select("doc_id", F.size("_t").cast("long").alias("dl"), F.explode("_t").alias("term"))
             .groupBy("doc_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> BM25Index:
+                storage: StorageLevel = StorageLevel.MEMORY_AND_DISK, prepartitioned: bool = False) -> BM25Index:
     """Postings kept (``persist``) for the statistics and the queries; lost
     blocks are recomputed from lineage.  ``N`` counts every document (empty
     ones too); ``avgdl = total tokens / N``."""
-    postings = build_postings(docs, id_col, text_col).persist(storage)
+    postings = build_postings(docs, id_col, text_col, prepartitioned).persist(storage)
     n = docs.count()
     total = postings.agg(F.sum("tf")).first()[0] or 0
     return BM25Index(postings, int(n), float(total) / n if n else 0.0)
