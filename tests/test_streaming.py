@@ -72,3 +72,30 @@ def test_insert_requests_append_rows(spark, tmp_dir):
     with pytest.raises(ValueError):
         TB.bounded_append(spark, "vf_ins", "50001", now_ms=0)
     TB.drop_collection(spark, "vf_ins")
+
+
+def test_search_while_inserting(spark, tmp_dir):
+    """Each search batch sees the rows the ingest stream has committed so far."""
+    from pyspark.sql import types as TT
+    from vecframe.operators.search import search_one
+    from vecframe.streaming.ingest import periodic_search
+    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    rows = emb.select(F.col("vec_id").alias("id"), F.col("embedding").alias("value"),
+                      F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ts"))
+    src = os.path.join(tmp_dir, "in")
+    sink, ckpt = os.path.join(tmp_dir, "coll"), os.path.join(tmp_dir, "ck")
+    schema = rows.schema
+    out_schema = TT.StructType(schema.fields + [TT.StructField("dt", TT.StringType())])
+    seen = []
+    for part in range(2):
+        rows.where(F.col("id") % 2 == part).write.parquet(f"{src}/p{part}")
+        run_to_end(daily_append(file_stream(spark, src + "/*", schema), sink, ckpt))
+        ticks = os.path.join(tmp_dir, f"ticks{part}")
+        spark.range(1).write.parquet(ticks + "/t")
+        psink = os.path.join(tmp_dir, f"hits{part}")
+        run_to_end(periodic_search(file_stream(spark, ticks + "/*", spark.range(1).schema),
+                                   lambda: spark.read.schema(out_schema).parquet(sink),
+                                   lambda base: search_one(base, [0.1] * 64, "IP", 1000, fields=[]),
+                                   psink, os.path.join(tmp_dir, f"pck{part}"), trigger="availableNow"))
+        seen.append(spark.read.parquet(psink).count())
+    assert seen == [250, 500]

@@ -264,15 +264,15 @@ def collection_search(spark: SparkSession, name: str, queries, k: int = 10, *, p
     props = collection_props(spark, name)
     kind = index_request(props.get("vecframe.index", ""))
     m = (metric or props.get("vecframe.metric", "IP")).upper()
+    dim = int(props.get("vecframe.dim", "0")) or None  # stored: no probe job
     base = spark.table(name)
     if partitions:
         base = base.where(F.col("dt").isin(list(partitions)))
     tie = ["dt", "createTime"]
     if kind == "none":
-        return search(base.limit(0), queries, m, k, fields=list(fields), tie_cols=tie,
-                      dim=int(props.get("vecframe.dim", "1")))
+        return search(base.limit(0), queries, m, k, fields=list(fields), tie_cols=tie, dim=dim or 1)
     if kind in ("ivf", "ivf_sq8") and ivf_index is not None:
         ivf_index.metric = m
         return ivf_search(assign_cells(base, ivf_index), queries, ivf_index, k, nprobe,
                           fields=list(fields), tie_cols=tie)
-    return search(base, queries, m, k, fields=list(fields), tie_cols=tie)
+    return search(base, queries, m, k, fields=list(fields), tie_cols=tie, dim=dim)
