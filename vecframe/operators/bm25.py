@@ -40,9 +40,13 @@ class BM25Index:
     postings: DataFrame   # term, doc_id, tf, dl
     n_docs: int
     avgdl: float
+    _df: DataFrame | None = None
 
     def df(self) -> DataFrame:
-        return self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        """``(term, df)`` for the whole vocabulary, computed once per index."""
+        if self._df is None:
+            self._df = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).cache()
+        return self._df
 
 
 def store_documents(docs: DataFrame, name: str, n_buckets: int, id_col: str = "doc_id",
