@@ -48,6 +48,12 @@ class BM25Index:
             self._df = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).cache()
         return self._df
 
+    def release(self) -> None:
+        """Drop the cached postings and vocabulary (long-lived sessions)."""
+        self.postings.unpersist()
+        if self._df is not None:
+            self._df.unpersist()
+
 
 def store_documents(docs: DataFrame, name: str, n_buckets: int, id_col: str = "doc_id",
                     path: str | None = None) -> None:
