@@ -10,7 +10,7 @@ from vecframe.operators.quantize import sq8_encode, sq8_ranges
 from vecframe.operators.search import search
 from vecframe.plans.registry import register
 from vecframe.plans.sqlgen import topk_sql
-from vecframe.plans.views import SQL_COLLECTION, all_queries, collection_view, table
+from vecframe.plans.views import SQL_COLLECTION, SQL_COLLECTION_SCALED, all_queries, collection_view, table
 
 # -- oracle building blocks: seed quantizer, assignment, probes ---------------
 _IVF_CTE = """
@@ -53,6 +53,26 @@ r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS
 SELECT qid, CAST(rk AS BIGINT) AS rank, id, round(score, 6) AS score FROM r WHERE rk <= 10
 """
 
+_IVF_L2_SQL = f"""
+WITH {_IVF_CTE.replace(
+    "base AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)",
+    "base AS (SELECT id, value AS v FROM (" + SQL_COLLECTION_SCALED + "))").replace(
+    "ORDER BY list_inner_product(q.v, c.v) DESC, c.cell", "ORDER BY pow(list_distance(q.v, c.v), 2), c.cell")},
+s AS (SELECT prb.qid, a.id, pow(list_distance(a.v, prb.qv), 2) AS score FROM prb JOIN asg a ON a.cell = prb.cell),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score, id) AS rk FROM s)
+SELECT qid, CAST(rk AS BIGINT) AS rank, id, round(score, 6) AS score FROM r WHERE rk <= 10
+"""
+
+
+@register("ivf_topk_l2", _IVF_L2_SQL)
+def ivf_topk_l2(spark, sf_dir):
+    """A1 under squared L2 on the scaled copy: probe the nearest cells, rank by distance."""
+    view = collection_view(spark, sf_dir, scaled=True).select("id", "value")
+    index = build_index(view, "L2", method="seed")
+    res = ivf_search(assign_cells(view, index), all_queries(view), index, k=10)
+    return res.withColumn("score", F.round("score", 6))
+
+
 _EXACT_ALL = topk_sql(SQL_COLLECTION, "SELECT id AS qid, value AS qv FROM c", "IP", 10, fields="", out_fields="")
 
 
