@@ -108,3 +108,20 @@ def test_collection_search_dispatch(spark, tmp_dir):
     assert none.count() == 0 and "score" in none.columns
     TB.drop_collection(spark, "vf_s_hnsw")
     TB.drop_collection(spark, "vf_s_odd")
+
+
+def test_collection_index_build_and_fresh_days(spark, tmp_dir):
+    from vecframe.operators.search import search
+    for kind in ("IVF_FLAT", "IVF_SQ8"):
+        name = "vf_ivf_" + kind.lower()
+        TB.create_collection(spark, name, dim=8, index=kind, metric="IP", location=f"{tmp_dir}/{name}", replace=True)
+        TB.append(spark, name, bench_rows(spark.range(0, 300), 8, now_ms=0), day="20250816")
+        assert TB.build_collection_index(spark, name, f"{tmp_dir}/{name}_idx", nlist=4, method="seed") in ("ivf", "ivf_sq8")
+        TB.append(spark, name, bench_rows(spark.range(300, 400), 8, now_ms=0), day="20250817")  # after the build
+        q = [0.5] * 8
+        got = TB.collection_search(spark, name, [q], k=5, nprobe=4, rerank=True).collect()
+        want = search(spark.table(name), [q], "IP", 5, fields=["dt"]).collect()
+        assert [r["id"] for r in sorted(got, key=lambda r: r["rank"])] == [r["id"] for r in sorted(want, key=lambda r: r["rank"])]
+        fresh_only = TB.collection_search(spark, name, [q], k=3, nprobe=4, partitions=["20250817"]).collect()
+        assert len(fresh_only) == 3 and all(r["dt"] == "20250817" for r in fresh_only)
+        TB.drop_collection(spark, name)

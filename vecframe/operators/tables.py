@@ -245,24 +245,51 @@ def compact_day(spark: SparkSession, name: str, day: str, n_files: int, new_loca
     return new_location
 
 
-# -- search through the collection's own settings (L1 + V4/V6, A1-A4) --------
+# -- index structures and search through the collection's settings ---------
+
+def build_collection_index(spark: SparkSession, name: str, path: str, nlist: int | None = None,
+                           method: str = "kmeans", n_files: int | None = None) -> str:
+    """A1 / A2 for a collection: centroids (and SQ8 ranges) trained and saved
+    under ``path``, every row assigned to its cell and written day-partitioned
+    and cell-sorted, and ``vecframe.ivf.path`` recorded in TBLPROPERTIES.
+    Returns the index kind."""
+    from vecframe.operators import ivf
+    from vecframe.operators.quantize import sq8_encode, sq8_ranges
+    props = collection_props(spark, name)
+    kind = ivf.index_request(props.get("vecframe.index", ""))
+    if kind not in ("ivf", "ivf_sq8"):
+        raise ValueError(f"index {props.get('vecframe.index')!r} keeps no cell structure")
+    base = spark.table(name)
+    index = ivf.build_index(base, props.get("vecframe.metric", "IP"), nlist, method)
+    if kind == "ivf_sq8":
+        index.lo, index.hi = sq8_ranges(base, index.dim)
+    ivf.save_index(spark, index, f"{path}/centroids")
+    cells = ivf.assign_cells(base, index)
+    if kind == "ivf_sq8":
+        cells = sq8_encode(cells, index.lo, index.hi)
+    ivf.write_assigned(cells, f"{path}/cells", n_files or max(1, spark.sparkContext.defaultParallelism))
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('vecframe.ivf.path'='{path}')")
+    return kind
+
 
 def collection_search(spark: SparkSession, name: str, queries, k: int = 10, *, partitions=None,
                       fields=("deviceCode", "createTime", "dt"), metric: str | None = None,
-                      ivf_index=None, nprobe: int | None = None) -> DataFrame:
+                      ivf_index=None, nprobe: int | None = None, rerank: bool = False) -> DataFrame:
     """Search a collection the way its ``TBLPROPERTIES`` say.
 
     The metric is the one stored at creation unless ``metric`` overrides it
-    (the 2.4.2 behaviour).  ``HNSW`` / ``FLAT`` / ``AUTOINDEX`` answer exactly;
-    ``IVF_FLAT`` / ``GPU_IVF_FLAT`` / ``IVF_SQ8`` use ``ivf_index`` when one is
-    given (cells assigned on the fly) and exact search otherwise.  An index
-    name that is none of these created no index, so the search returns no
-    rows (with the result schema), as in the reference.
+    (the 2.4.2 behaviour).  ``HNSW`` / ``FLAT`` / ``AUTOINDEX`` answer exactly.
+    ``IVF_FLAT`` / ``GPU_IVF_FLAT`` / ``IVF_SQ8`` use the structure made by
+    :func:`build_collection_index` (or ``ivf_index`` given here): the stored
+    cell table, plus the days written after the build assigned on the fly
+    with the stored centroids; with no structure they answer exactly.  An
+    index name that is none of these created no index, so the search returns
+    no rows (with the result schema), as in the reference.
     """
-    from vecframe.operators.ivf import assign_cells, index_request, ivf_search
+    from vecframe.operators import ivf
     from vecframe.operators.search import search
     props = collection_props(spark, name)
-    kind = index_request(props.get("vecframe.index", ""))
+    kind = ivf.index_request(props.get("vecframe.index", ""))
     m = (metric or props.get("vecframe.metric", "IP")).upper()
     dim = int(props.get("vecframe.dim", "0")) or None  # stored: no probe job
     base = spark.table(name)
@@ -271,8 +298,24 @@ def collection_search(spark: SparkSession, name: str, queries, k: int = 10, *, p
     tie = ["dt", "createTime"]
     if kind == "none":
         return search(base.limit(0), queries, m, k, fields=list(fields), tie_cols=tie, dim=dim or 1)
-    if kind in ("ivf", "ivf_sq8") and ivf_index is not None:
-        ivf_index.metric = m
-        return ivf_search(assign_cells(base, ivf_index), queries, ivf_index, k, nprobe,
-                          fields=list(fields), tie_cols=tie)
+    path = props.get("vecframe.ivf.path")
+    if kind in ("ivf", "ivf_sq8") and (ivf_index is not None or path):
+        index = ivf_index or ivf.load_index(spark, f"{path}/centroids")
+        index.metric = m
+        if ivf_index is not None or not path:
+            cells = ivf.assign_cells(base, index)
+            codes = None
+        else:
+            stored = spark.read.parquet(f"{path}/cells")
+            if partitions:
+                stored = stored.where(F.col("dt").isin(list(partitions)))
+            built_days = stored.select("dt").distinct()
+            fresh = ivf.assign_cells(base.join(built_days, "dt", "left_anti"), index)
+            codes = "codes" if kind == "ivf_sq8" else None
+            if codes:
+                from vecframe.operators.quantize import sq8_encode
+                fresh = sq8_encode(fresh, index.lo, index.hi)
+            cells = stored.unionByName(fresh.select(*stored.columns))
+        return ivf.ivf_search(cells, queries, index, k, nprobe, fields=list(fields), tie_cols=tie,
+                              codes_col=codes, rerank=rerank and codes is not None)
     return search(base, queries, m, k, fields=list(fields), tie_cols=tie, dim=dim)
