@@ -97,10 +97,6 @@ def timed(action: Callable[[], object]) -> tuple[object, int]:
     return out, int((time.perf_counter() - t0) * 1000)
 
 
-def run_log_rows(name: str, ms: int, started_ms: int) -> tuple:
-    return (name, int(ms), int(started_ms))
-
-
 def capacity(df: DataFrame, dim: int, partition_col: str = "dt", with_files: bool = False) -> DataFrame:
     """Rows and vector bytes per day; files and bytes on disk when the
     input is a file table (``_metadata`` column)."""

@@ -85,10 +85,15 @@ def merge_json_udf(base: pd.Series, patch: pd.Series) -> pd.Series:
                       for b, p in zip(base, patch)], dtype=object)
 
 
-def _check_unique(df: DataFrame, key: str, what: str) -> None:
-    dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).limit(1).collect()
+def _check_unique(base: DataFrame, patch: DataFrame, key: str) -> None:
+    """One job for both sides: keys tagged by side, counted with partial
+    aggregation, stopped at the first repeat."""
+    keys = (base.select(F.lit("base").alias("_side"), F.col(key).alias("_k"))
+            .unionByName(patch.select(F.lit("patch").alias("_side"), F.col(key).alias("_k"))))
+    dup = (keys.groupBy("_side", "_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+           .limit(1).collect())
     if dup:
-        raise ValueError(f"{what} has more than one document for key {dup[0][key]!r}")
+        raise ValueError(f"{dup[0]['_side']} has more than one document for key {dup[0]['_k']!r}")
 
 
 def merge_tables(base: DataFrame, patch: DataFrame, key: str = "key", doc: str = "doc",
@@ -98,8 +103,7 @@ def merge_tables(base: DataFrame, patch: DataFrame, key: str = "key", doc: str =
     One document per key and side (checked first): a repeated key would make
     the join pair every copy with every other."""
     if check_unique:
-        _check_unique(base, key, "base")
-        _check_unique(patch, key, "patch")
+        _check_unique(base, patch, key)
     b = base.select(F.col(key).alias("_k"), F.col(doc).alias("_b"))
     p = patch.select(F.col(key).alias("_k"), F.col(doc).alias("_p"))
     ship_package(base.sparkSession)
