@@ -42,6 +42,8 @@ from vecframe.session import ship_package
 
 # A broadcast query block is at most this large (float64 matrix bytes).
 MAX_BROADCAST_QUERY_BYTES = 64 << 20
+# Most scans of the base one exact search may plan (one per query block).
+MAX_QUERY_BLOCKS = 256
 
 
 def vector_dim(df: DataFrame, vector_col: str) -> int | None:
@@ -157,6 +159,9 @@ def _blocked_candidates(base: DataFrame, qdf: DataFrame, vector_col: str, id_col
     base.  The base is read ``n_blocks`` times but never shuffled; the
     candidates of all blocks (k per query per task) are unioned."""
     n_blocks = max(1, math.ceil(nq * max(dim, 1) * 8 / MAX_BROADCAST_QUERY_BYTES))
+    if n_blocks > MAX_QUERY_BLOCKS:
+        raise ValueError(f"{nq} query vectors need {n_blocks} full scans for exact search; "
+                         "use ivf_search (cells, co-grouped per cell) for query sets this large")
     blk = F.pmod(F.xxhash64("qid"), F.lit(n_blocks))
     out = None
     for b in range(n_blocks):
