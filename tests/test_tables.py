@@ -21,6 +21,8 @@ def test_lifecycle_append_expire(spark, tmp_dir):
     assert sorted(TB.list_partitions(spark, name)) == ["20250809", "20250810", "20250811", "_default"]
     dropped = TB.expire_day(spark, name, dt.date(2025, 8, 17), 7)
     assert dropped == "20250810"
+    import os
+    assert not os.path.exists(tmp_dir + "/coll/dt=20250810") and os.path.exists(tmp_dir + "/coll/dt=20250809")
     assert sorted(TB.list_partitions(spark, name)) == ["20250809", "20250811", "_default"]
     counts = {r["dt"]: r["n"] for r in TB.count_partitions(spark.table(name), ["20250809", ""]).collect()}
     assert counts == {"20250809": 6}

@@ -137,10 +137,26 @@ def append_today(spark: SparkSession, name: str, rows: DataFrame, ts_col: str =
     append(spark, name, rows)
 
 
-def expire_day(spark: SparkSession, name: str, today: _dt.date, keep_days: int) -> str:
-    """Drop exactly the day ``today - keep_days`` (older days stay)."""
+def _partition_location(spark: SparkSession, name: str, day: str) -> str | None:
+    if not partition_exists(spark, name, day):
+        return None
+    rows = spark.sql(f"DESCRIBE FORMATTED {name} PARTITION (dt='{day}')").collect()
+    return next((r["data_type"] for r in rows if r["col_name"] == "Location"), None)
+
+
+def expire_day(spark: SparkSession, name: str, today: _dt.date, keep_days: int, purge: bool = True) -> str:
+    """Drop exactly the day ``today - keep_days`` (older days stay).
+
+    ``purge`` also deletes the partition's folder: on an external table the
+    catalog drop alone keeps the files, which would neither free the storage
+    nor stay expired if the location were registered again."""
     day = py_day_name(today, keep_days)
+    loc = _partition_location(spark, name, day) if purge else None
     spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (dt='{day}')")
+    if loc:
+        sc = spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(loc)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
     return day
 
 

@@ -71,3 +71,24 @@ def expire_one_day(spark, sf_dir):
     """Today 2025-08-17, keep 3 days: exactly 20250814 goes, older days stay."""
     view = collection_view(spark, sf_dir)
     return count_partitions(expire_filter(view, _dt.date(2025, 8, 17), 3), None)
+
+
+@register("collection_lifecycle", f"""
+SELECT dt, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum FROM ({SQL_COLLECTION}) WHERE dt <> '20250814' GROUP BY dt
+""")
+def collection_lifecycle(spark, sf_dir):
+    """L1, S6, L7, L8 on a real table: create it in the shared folder, append
+    every row to its own day, drop exactly today - 3, read the files back."""
+    import uuid
+
+    from vecframe.operators import tables as TB
+    from vecframe.session import scratch_path
+    name = f"vf_life_{uuid.uuid4().hex[:10]}"
+    location = scratch_path(spark, "life")
+    TB.create_collection(spark, name, dim=64, index="HNSW", metric="IP", location=location)
+    TB.append(spark, name, collection_view(spark, sf_dir).select("id", "value", "deviceCode", "createTime", "dt"))
+    TB.expire_day(spark, name, _dt.date(2025, 8, 17), 3)
+    schema = spark.table(name).schema
+    TB.drop_collection(spark, name)  # external table: the catalog entry goes, the files stay
+    return (spark.read.schema(schema).parquet(location)
+            .groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum")))
