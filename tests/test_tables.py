@@ -94,6 +94,8 @@ def test_compact_day(spark, tmp_dir):
     assert sorted(r["id"] for r in after.collect()) == before
     files = after.select("_metadata.file_path").distinct().count()
     assert files == 1
+    import os
+    assert not os.path.exists(tmp_dir + "/c/dt=20250101")  # the old small files are gone
     TB.drop_collection(spark, name)
 
 

@@ -250,14 +250,20 @@ def bounded_append(spark: SparkSession, name: str, num_text: str | None, now_ms:
 
 # -- small files (streaming appends) ----------------------------------------
 
-def compact_day(spark: SparkSession, name: str, day: str, n_files: int, new_location: str) -> str:
+def compact_day(spark: SparkSession, name: str, day: str, n_files: int, new_location: str,
+                delete_old: bool = True) -> str:
     """Rewrite one closed day into ``n_files`` files at a *new* folder, then
     point the partition there.  The old files stay until the switch, so a
-    failed rewrite leaves the table unchanged."""
+    failed rewrite leaves the table unchanged; after it they are deleted."""
+    old = _partition_location(spark, name, day)
     rows = spark.table(name).where(F.col("dt") == day).drop("dt")
     rows.repartition(n_files).write.mode("error").parquet(new_location)
     spark.sql(f"ALTER TABLE {name} PARTITION (dt='{day}') SET LOCATION '{new_location}'")
     spark.catalog.refreshTable(name)
+    if delete_old and old and old.rstrip("/") != new_location.rstrip("/"):
+        sc = spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(old)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
     return new_location
 
 
