@@ -128,4 +128,7 @@ def test_collection_index_build_and_fresh_days(spark, tmp_dir):
         assert [r["id"] for r in sorted(got, key=lambda r: r["rank"])] == [r["id"] for r in sorted(want, key=lambda r: r["rank"])]
         fresh_only = TB.collection_search(spark, name, [q], k=3, nprobe=4, partitions=["20250817"]).collect()
         assert len(fresh_only) == 3 and all(r["dt"] == "20250817" for r in fresh_only)
+        TB.expire_day(spark, name, dt.date(2025, 8, 17), 1)  # 20250816: built into the cell table
+        after = TB.collection_search(spark, name, [q], k=500, nprobe=4).collect()
+        assert len(after) == 100 and all(r["dt"] == "20250817" for r in after)
         TB.drop_collection(spark, name)

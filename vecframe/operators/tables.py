@@ -153,9 +153,11 @@ def expire_day(spark: SparkSession, name: str, today: _dt.date, keep_days: int,
     day = py_day_name(today, keep_days)
     loc = _partition_location(spark, name, day) if purge else None
     spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (dt='{day}')")
-    if loc:
-        sc = spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(loc)
+    ivf_path = collection_props(spark, name).get("vecframe.ivf.path")
+    doomed = ([loc] if loc else []) + ([f"{ivf_path}/cells/dt={day}"] if ivf_path else [])
+    sc = spark.sparkContext
+    for folder in doomed:  # the day's files, and its rows in the derived cell table
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
     return day
 
@@ -328,15 +330,24 @@ def collection_search(spark: SparkSession, name: str, queries, k: int = 10, *, p
             cells = ivf.assign_cells(base, index)
             codes = None
         else:
-            stored = spark.read.parquet(f"{path}/cells")
-            if partitions:
-                stored = stored.where(F.col("dt").isin(list(partitions)))
-            built_days = stored.select("dt").distinct()
-            fresh = ivf.assign_cells(base.join(built_days, "dt", "left_anti"), index)
+            # live days from the catalog (metadata only): stored cells of an
+            # expired day are never read, and days written after the build
+            # are assigned on the fly with the stored centroids
+            live = [d for d in list_partitions(spark, name) if not partitions or d in partitions]
             codes = "codes" if kind == "ivf_sq8" else None
-            if codes:
-                from vecframe.operators.quantize import sq8_encode
-                fresh = sq8_encode(fresh, index.lo, index.hi)
+
+            def assigned(df):
+                out = ivf.assign_cells(df, index)
+                if codes:
+                    from vecframe.operators.quantize import sq8_encode
+                    out = sq8_encode(out, index.lo, index.hi)
+                return out
+
+            schema = assigned(base.limit(0)).schema  # no inference: the folder may hold no day at all
+            stored = (spark.read.schema(schema).option("basePath", f"{path}/cells").parquet(f"{path}/cells")
+                      .where(F.col("dt").isin(live)))
+            built = {r["dt"] for r in stored.select("dt").distinct().collect()}  # partition values only
+            fresh = assigned(base.where(F.col("dt").isin([d for d in live if d not in built])))
             cells = stored.unionByName(fresh.select(*stored.columns))
         return ivf.ivf_search(cells, queries, index, k, nprobe, fields=list(fields), tie_cols=tie,
                               codes_col=codes, rerank=rerank and codes is not None)
