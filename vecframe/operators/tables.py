@@ -69,7 +69,7 @@ def collection_exists(spark: SparkSession, name: str) -> bool:
 
 
 def drop_collection(spark: SparkSession, name: str, if_exists: bool = True) -> None:
-    """L4.  ``if_exists=False`` fails on a missing table (2.5+ behaviour)."""
+    """L4.  ``if_exists=False`` fails on a missing table (the newer drivers' behaviour)."""
     spark.sql(f"DROP TABLE {'IF EXISTS ' if if_exists else ''}{name}")
 
 
@@ -302,7 +302,7 @@ def collection_search(spark: SparkSession, name: str, queries, k: int = 10, *, p
     """Search a collection the way its ``TBLPROPERTIES`` say.
 
     The metric is the one stored at creation unless ``metric`` overrides it
-    (the 2.4.2 behaviour).  ``HNSW`` / ``FLAT`` / ``AUTOINDEX`` answer exactly.
+    (as the older driver does).  ``HNSW`` / ``FLAT`` / ``AUTOINDEX`` answer exactly.
     ``IVF_FLAT`` / ``GPU_IVF_FLAT`` / ``IVF_SQ8`` use the structure made by
     :func:`build_collection_index` (or ``ivf_index`` given here): the stored
     cell table, plus the days written after the build assigned on the fly
