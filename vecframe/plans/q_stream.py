@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from vecframe.plans.q_functions import _REQ_SQL
 from vecframe.plans.registry import register
+from vecframe.plans.sqlgen import topk_sql
 from vecframe.plans.views import SQL_COLLECTION, collection_view, table
 from vecframe.streaming.ingest import daily_append, file_stream, phase_rates, run_to_end, scratch
 from vecframe.streaming.requests import insert_request_stream, search_request_stream
@@ -96,3 +97,23 @@ def request_topk_own_days(spark, sf_dir):
                        F.concat_ws(",", "dt", day_shift(F.to_date("dt", "yyyyMMdd"), 1)).alias("partitions"))
     res = answer_search_requests(view.select("id", "value", "dt"), reqs, "IP", max_k=5, fields=["dt"])
     return res.select("qid", "rank", "id", F.round("score", 6).alias("score"), "dt")
+
+
+@register("stream_periodic_topk", topk_sql(SQL_COLLECTION, "SELECT id AS qid, value AS qv FROM c WHERE id = 0",
+                                           "IP", 10, with_qid=False))
+def stream_periodic_topk(spark, sf_dir):
+    """Every micro-batch of the events stream is a tick that searches the
+    current collection snapshot (row 0's vector, IP, k = 10); hits read back."""
+    from vecframe.operators.search import search
+    from vecframe.plans.views import query_of
+    from vecframe.streaming.ingest import periodic_search
+    src, _ = _stream_of(spark, sf_dir, "events")
+    sink, ckpt = scratch(spark, "periodic")
+    view = collection_view(spark, sf_dir)
+    q = query_of(view, 0)
+    run_to_end(periodic_search(src.select("event_id"), lambda: view,
+                               lambda base: search(base, q, "IP", 10, fields=["deviceCode", "createTime", "dt"],
+                                                   tie_cols=["dt", "createTime"]).drop("qid"),
+                               sink, ckpt, trigger="availableNow"))
+    return spark.read.parquet(sink).select("rank", "id", F.round("score", 6).alias("score"),
+                                           "deviceCode", "createTime", "dt")
