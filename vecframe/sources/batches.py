@@ -4,9 +4,9 @@
 
 1. tag each row with ``spark_partition_id()`` and its index inside the
    partition (``monotonically_increasing_id() - (pid << 33)``);
-2. count rows per partition (one tiny row per partition), prefix-sum that
-   small table on the driver - its size is the partition count;
-3. broadcast-join the offsets back.
+2. count rows per partition (one tiny row per partition) and prefix-sum
+   that small table with a window - its size is the partition count;
+3. join the offsets back (broadcast while a count proves them small).
 
 Both passes must see the same partitions.  A Parquet scan is stable; any
 other input (after a shuffle, or non-deterministic) is first cut with a
@@ -15,11 +15,10 @@ reliable ``checkpoint()`` into the shared checkpoint folder (``stable=False``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from vecframe.session import cut_lineage
+from vecframe.session import bounded_broadcast, cut_lineage
 
 
 def with_row_numbers(df: DataFrame, col: str = "row_no", stable: bool = True) -> DataFrame:
@@ -27,25 +26,23 @@ def with_row_numbers(df: DataFrame, col: str = "row_no", stable: bool = True) ->
 
 
 def numbered(df: DataFrame, col: str = "row_no", stable: bool = True) -> tuple[DataFrame, int]:
-    """``(df with dense row numbers, total rows)`` - the total comes from the
-    per-partition counts, so no extra pass is needed for it."""
-    spark = df.sparkSession
+    """``(df with dense row numbers, total rows)``.
+
+    The per-partition counts stay in Spark: a small cached table (one row per
+    input partition) with a running sum over it, joined back behind a size
+    check; only the total comes to the driver."""
     if not stable:
         df = cut_lineage(df)
     tagged = (df.withColumn("_pid", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
-    counts = sorted((r["_pid"], r["n"]) for r in tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, run = [], 0
-    for pid, n in counts:
-        offsets.append((int(pid), run))
-        run += int(n)
-    schema = T.StructType([T.StructField("_pid", T.IntegerType(), False),
-                           T.StructField("_offset", T.LongType(), False)])
-    off_df = spark.createDataFrame(offsets, schema)  # one row per input partition: bounded
-    out = (tagged.join(F.broadcast(off_df), "_pid")
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).cache()
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = counts.withColumn("_offset", F.sum("_n").over(w) - F.col("_n")).select("_pid", "_offset")
+    total = int(counts.agg(F.sum("_n")).first()[0] or 0)
+    out = (tagged.join(bounded_broadcast(offsets), "_pid")
            .withColumn(col, F.col("_offset") + F.col("_local"))
            .drop("_pid", "_local", "_offset"))
-    return out, run
+    return out, total
 
 
 def batch_split(df: DataFrame, batch_size: int, col: str = "batch", stable: bool = True) -> DataFrame:
