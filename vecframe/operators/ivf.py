@@ -398,7 +398,9 @@ def _reranked(assigned: DataFrame, queries, index: IVFIndex, k: int, nprobe: int
                        cell_col=cell_col, fields=list(extra) + [vector_col], tie_cols=tie_cols,
                        codes_col=codes_col, max_group_rows=max_group_rows,
                        max_group_queries=max_group_queries, method=method)
-    qv = bounded_broadcast(query_frame(spark, queries).select("qid", F.col("vec").alias("_qv")))
+    from vecframe.operators.search import MAX_BROADCAST_QUERY_BYTES
+    qv = bounded_broadcast(query_frame(spark, queries).select("qid", F.col("vec").alias("_qv")),
+                           max_rows=max(1, MAX_BROADCAST_QUERY_BYTES // (8 * index.dim)))  # a byte bound
     exact = (first.drop("rank", "score").join(qv, "qid")
              .withColumn("score", metric_score(index.metric, vector_col, "_qv")).drop("_qv"))
     keep = list(extra) + ([vector_col] if vector_col in fields else [])
