@@ -211,10 +211,19 @@ def search(base: DataFrame, queries, metric: str = "IP", k: int = 10, *, vector_
     if method == "auto":
         method = "arrow"
     # one bounded collect decides: it either fits the broadcast bound or the
-    # query set goes to the blocked path (counted only then)
+    # query set goes to the blocked path (counted only then); vectors given
+    # on the driver are used as they are, without a job
     bound = max(1, MAX_BROADCAST_QUERY_BYTES // (8 * max(base_dim or 1, 1)))
-    probe = qdf.limit(bound + 1) if method != "expr" else qdf
-    qids, Q, parts = _collect_queries(probe)
+    if not isinstance(queries, DataFrame):
+        vecs = [queries] if queries and not isinstance(queries[0], (list, tuple, np.ndarray)) else queries
+        if len({len(v) for v in vecs}) > 1:
+            raise ValueError("query vectors differ in dimension")
+        qids = np.arange(len(vecs), dtype=np.int64)
+        Q = np.array([[float(x) for x in v] for v in vecs], dtype=np.float64).reshape(len(vecs), -1)
+        parts = None
+    else:
+        probe = qdf.limit(bound + 1) if method != "expr" else qdf
+        qids, Q, parts = _collect_queries(probe)
     if method == "expr" or len(qids) <= bound:
         if base_dim is not None and len(qids) and Q.shape[1] != base_dim:
             raise ValueError(f"query dimension {Q.shape[1]} does not match table dimension {base_dim}")
