@@ -50,3 +50,27 @@ def test_counts_read_no_vector_column(spark):
     view = collection_view(spark, SF)
     plan = plan_of(view.groupBy("dt").count())
     assert "ReadSchema: struct<vec_id:bigint>" in plan
+
+
+def test_sorted_layout_gives_disjoint_file_ranges(spark, tmp_path):
+    from vecframe.operators.filters import layout_sorted, range_filter
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    layout_sorted(orders, "o_orderkey", 4).write.parquet(str(tmp_path / "o"))
+    t = spark.read.parquet(str(tmp_path / "o"))
+    ranges = sorted((r["lo"], r["hi"]) for r in t.groupBy("_metadata.file_path").agg(
+        F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi")).collect())
+    assert len(ranges) == 4 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    plan = plan_of(range_filter(t, "o_orderkey", 100, 200))
+    assert "GreaterThanOrEqual(o_orderkey,100)" in plan and "LessThanOrEqual(o_orderkey,200)" in plan
+
+
+def test_bounded_broadcast_falls_back_past_its_bound(spark):
+    from vecframe.session import bounded_broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(1000).withColumnRenamed("id", "k")
+        small = spark.range(10).withColumnRenamed("id", "k")
+        assert "BroadcastHashJoin" in plan_of(big.join(bounded_broadcast(small, max_rows=100), "k"))
+        assert "BroadcastHashJoin" not in plan_of(big.join(bounded_broadcast(small, max_rows=5), "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
