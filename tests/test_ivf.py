@@ -107,3 +107,23 @@ def test_index_round_trip_and_sorted_layout(spark, tmp_dir):
     a = ivf_search(t, q, back, k=5, nprobe=3).select("qid", "rank", "id").collect()
     b = ivf_search(assign_cells(view.select("id", "value"), idx), q, idx, k=5, nprobe=3).select("qid", "rank", "id").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_cosine_cells_full_probe_equals_exact(spark):
+    view = collection_view(spark, SF, scaled=True).select("id", "value")  # lengths 1, 2, 3
+    idx = build_index(view, "COSINE", nlist=8, method="seed")
+    q = all_queries(view).where("qid < 30")
+    a = ivf_search(assign_cells(view, idx), q, idx, k=10, nprobe=8).select("qid", "rank", "id").collect()
+    e = search(view, q, "COSINE", 10, fields=[]).select("qid", "rank", "id").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, e))
+
+
+def test_cosine_assignment_is_highest_cosine(spark):
+    view = collection_view(spark, SF, scaled=True).select("id", "value")
+    idx = build_index(view, "COSINE", nlist=8, method="seed")
+    rows = assign_cells(view, idx).collect()
+    C = idx.centroids / np.linalg.norm(idx.centroids, axis=1, keepdims=True)
+    for r in rows:
+        x = np.array(r["value"], dtype=np.float64)
+        cos = C @ (x / np.linalg.norm(x))
+        assert cos[r["cell"]] >= cos.max() - 1e-12

@@ -137,6 +137,8 @@ def assign_cells(base: DataFrame, index: IVFIndex, vector_col: str = "value", ce
     dim = index.dim
     schema = T.StructType(base.schema.fields + [T.StructField(cell_col, T.IntegerType(), True)])
 
+    cosine = index.metric == "COSINE"
+
     def run(batches):
         C = bc.value
         cn = np.einsum("ij,ij->i", C, C)
@@ -144,6 +146,9 @@ def assign_cells(base: DataFrame, index: IVFIndex, vector_col: str = "value", ce
             cells = np.full(rb.num_rows, -1, dtype=np.int32)
             rows, X = K.arrow_vectors(rb.column(vector_col), dim)
             if len(rows):
+                if cosine:  # nearest unit centroid of the unit row = highest cosine
+                    norms = np.linalg.norm(X, axis=1, keepdims=True)
+                    X = np.divide(X, norms, out=np.zeros_like(X), where=norms > 0)
                 cells[rows] = _nearest(X, C, cn)
             mask = cells < 0
             yield rb.append_column(cell_col, pa.array(cells, pa.int32(), mask=mask))
