@@ -59,3 +59,15 @@ def test_insert_size_validation(spark):
 def test_split_by_comma(spark):
     out = [r["p"] for r in one_col(spark, ["a,,b", "", "x"]).select(split_by_comma("s").alias("p")).collect()]
     assert out == [["a", "", "b"], None, ["x"]]
+
+
+def test_epoch_millis_utc_ignores_session_zone(spark):
+    from vecframe.functions.dates import epoch_millis_utc
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        df = spark.createDataFrame([("2025-08-17 01:02:03.456",)], "s string").select(
+            epoch_millis_utc(F.col("s").cast("timestamp_ntz")).alias("ms"))
+        assert df.first()["ms"] == 1755392523456
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -57,9 +57,19 @@ def day_partition(ts) -> Column:
 
 
 def epoch_millis(ts) -> Column:
+    """epoch milliseconds of an instant (``TIMESTAMP``)."""
     return F.unix_millis(_col(ts).cast("timestamp"))
 
 
+def epoch_millis_utc(ts) -> Column:
+    """F6 for a wall-clock ``TIMESTAMP_NTZ`` read as UTC, whatever the
+    session time zone (the reference's "now" is passed in, never read)."""
+    t = _col(ts)
+    return (F.unix_date(F.to_date(t)).cast("long") * 86400000 + F.hour(t).cast("long") * 3600000
+            + F.minute(t).cast("long") * 60000 + F.second(t).cast("long") * 1000
+            + F.date_format(t, "SSS").cast("long"))
+
+
 def py_day_name(day: _dt.date, days_back: int = 0) -> str:
     """Driver-side twin of :func:`day_shift` for small scalar arguments."""
     return (day - _dt.timedelta(days=days_back)).strftime("%Y%m%d")
