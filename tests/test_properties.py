@@ -95,3 +95,20 @@ def test_merge_matches_model(base, patch):
     got = json.loads(merge_json(json.dumps(base), json.dumps(patch)))
     assert got == model(base, patch)
     assert list(got.keys())[:len(base)] == list(base.keys())  # base keys keep their order
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.integers(1, 60), st.integers(1, 4), st.integers(1, 6), st.integers(2, 12), st.data())
+def test_float32_prefilter_equals_exact(n, m, k, d, data):
+    # coarse values make exact ties and near-ties common
+    vals = data.draw(st.lists(st.sampled_from([0.0, 0.25, 0.5, 1.0, -1.0, 3.0, 1e-3]), min_size=n * d, max_size=n * d))
+    X = np.array(vals, dtype=np.float32).astype(np.float64).reshape(n, d)
+    Q = np.array(data.draw(st.lists(small_floats, min_size=m * d, max_size=m * d)), dtype=np.float64).reshape(m, d)
+    ids = np.arange(n, dtype=np.int64)
+    for metric in ("IP", "L2", "COSINE"):
+        higher = metric != "L2"
+        a = K.local_topk(metric, higher, X, ids, Q, k)
+        b = K.local_topk(metric, higher, X, ids, Q, k, precision="float32")
+        ka = sorted(zip(a[1].tolist(), a[0].tolist()))
+        kb = sorted(zip(b[1].tolist(), b[0].tolist()))
+        assert ka == kb, metric

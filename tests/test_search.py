@@ -143,3 +143,16 @@ def test_two_level_topk_equals_one_level(spark):
     key = lambda r: (r["qid"], r["rank"])
     assert [(r["qid"], r["rank"], r["id"]) for r in sorted(a, key=key)] == \
            [(r["qid"], r["rank"], r["id"]) for r in sorted(b, key=key)]
+
+
+def test_float32_precision_returns_the_same_rows(spark):
+    from vecframe.plans.views import all_queries, collection_view
+    view = collection_view(spark, "/root/testdata/sf0.001", scaled=True).select("id", "value")
+    q = all_queries(view).where("qid < 80")
+    for metric in ("IP", "L2", "COSINE"):
+        a = search(view, q, metric, 10, fields=[]).select("qid", "rank", "id", "score").collect()
+        b = search(view, q, metric, 10, fields=[], precision="float32").select("qid", "rank", "id", "score").collect()
+        key = lambda r: (r["qid"], r["rank"])
+        assert [(r["qid"], r["rank"], r["id"]) for r in sorted(a, key=key)] == \
+               [(r["qid"], r["rank"], r["id"]) for r in sorted(b, key=key)]
+        assert all(abs(x["score"] - y["score"]) < 1e-9 for x, y in zip(sorted(a, key=key), sorted(b, key=key)))

@@ -134,15 +134,65 @@ def partition_mask(row_values, query_parts):
     return lambda j0, j1: masks[vidx, j0:j1]
 
 
-def local_topk(metric: str, higher: bool, X: np.ndarray, ids: np.ndarray, Q: np.ndarray, k: int, allow=None):
+def _prefiltered(metric: str, higher: bool, X: np.ndarray, Q: np.ndarray, k: int, allow_blk):
+    """float32 product, then every row that could still be in the exact top k
+    (within twice the float32 error bound of the k-th best) re-scored in
+    float64.  Returns ``(rows, queries, exact scores)`` - a proven superset of
+    the exact top k per query, no cap."""
+    d = X.shape[1]
+    c = (d + 4) * 2.0 ** -23  # |ip32 - ip| <= c |x| |q|
+    xn = np.sqrt(np.einsum("ij,ij->i", X, X))
+    qn = np.sqrt(np.einsum("ij,ij->i", Q, Q))
+    ip = (X.astype(np.float32) @ Q.astype(np.float32).T).astype(np.float64)
+    if metric == "IP":
+        approx, err = ip, c * xn[:, None] * qn[None, :]
+    elif metric == "L2":
+        approx = np.maximum(xn[:, None] ** 2 + qn[None, :] ** 2 - 2.0 * ip, 0.0)
+        err = 2.0 * c * xn[:, None] * qn[None, :]
+    else:
+        denom = xn[:, None] * qn[None, :]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            approx = ip / denom
+        approx[denom == 0] = np.nan
+        err = np.full_like(approx, c)
+    key = to_key(approx, higher)
+    if allow_blk is not None:
+        key = np.where(allow_blk, key, np.nan)
+    finite = ~np.isnan(key)
+    n = key.shape[0]
+    if n <= k:
+        r, q = np.nonzero(finite)
+    else:
+        kth = np.partition(np.where(finite, key, np.inf), k - 1, axis=0)[k - 1]
+        slack = 2.0 * np.where(finite, err, 0.0).max(axis=0)
+        r, q = np.nonzero(finite & (key <= (kth + slack)[None, :]))
+    return r, q, pair_scores(metric, X[r], Q[q])
+
+
+def local_topk(metric: str, higher: bool, X: np.ndarray, ids: np.ndarray, Q: np.ndarray, k: int, allow=None,
+               precision: str = "float64"):
     """Best k rows for each query over one block of rows.
 
     ``allow``: optional :func:`partition_mask` result restricting which rows
-    each query may see.  Returns ``(row_index, query_index, score)`` arrays.
+    each query may see.  ``precision="float32"`` runs the product in float32
+    and re-scores the survivors exactly (same result, about half the
+    product time).  Returns ``(row_index, query_index, score)`` arrays.
     """
     rs, qs, ss = [], [], []
     step = block_size(X.shape[0], Q.shape[0])
     for j0 in range(0, Q.shape[0], step):
+        if precision == "float32":
+            blk = allow(j0, min(j0 + step, Q.shape[0])) if allow is not None else None
+            r, q, sc = _prefiltered(metric, higher, X, Q[j0:j0 + step], k, blk)
+            ex_key = to_key(sc, higher)
+            ok = ~np.isnan(ex_key)
+            r, q, sc, ex_key = r[ok], q[ok], sc[ok], ex_key[ok]
+            if len(r) > 0:
+                sel = select_topk(q, ex_key, ids[r], k)
+                rs.append(r[sel])
+                qs.append(q[sel] + j0)
+                ss.append(sc[sel])
+            continue
         s = scores(metric, X, Q[j0:j0 + step])
         key = to_key(s, higher)
         if allow is not None:

@@ -99,7 +99,7 @@ def _candidate_schema(base: DataFrame, keep_cols: Sequence[str]) -> T.StructType
 
 def _broadcast_candidates(base: DataFrame, vector_col: str, id_col: str, keep_cols: list[str],
                           metric: str, k: int, qids: np.ndarray, Q: np.ndarray, dim: int,
-                          parts=None, partition_col: str = "dt") -> DataFrame:
+                          parts=None, partition_col: str = "dt", precision: str = "float64") -> DataFrame:
     spark = base.sparkSession
     higher = higher_is_better(metric)
     bq = spark.sparkContext.broadcast((qids, Q, parts))
@@ -123,7 +123,7 @@ def _broadcast_candidates(base: DataFrame, vector_col: str, id_col: str, keep_co
             if q_parts is not None:
                 vals = rb.column(partition_col).to_pylist()
                 allow = K.partition_mask([vals[i] for i in rows], q_parts)
-            r, q, s = K.local_topk(metric, higher, X, ids, Qm, k, allow)
+            r, q, s = K.local_topk(metric, higher, X, ids, Qm, k, allow, precision)
             if len(r) == 0:
                 continue
             taken = pa.Table.from_batches([rb]).select(keep_cols).take(pa.array(rows[r]))
@@ -153,7 +153,8 @@ def _reduce(tables: list[pa.Table], id_col: str, k: int, higher: bool) -> pa.Tab
 
 
 def _blocked_candidates(base: DataFrame, qdf: DataFrame, vector_col: str, id_col: str, keep_cols: list[str],
-                        metric: str, k: int, nq: int, dim: int, partition_col: str = "dt") -> DataFrame:
+                        metric: str, k: int, nq: int, dim: int, partition_col: str = "dt",
+                        precision: str = "float64") -> DataFrame:
     """A query set over the broadcast bound: ``n_blocks = ceil(bytes / bound)``
     hash blocks of queries, each broadcast in turn against one scan of the
     base.  The base is read ``n_blocks`` times but never shuffled; the
@@ -168,7 +169,8 @@ def _blocked_candidates(base: DataFrame, qdf: DataFrame, vector_col: str, id_col
         qids, Q, parts = _collect_queries(qdf.where(blk == b))
         if len(qids) == 0:
             continue
-        c = _broadcast_candidates(base, vector_col, id_col, keep_cols, metric, k, qids, Q, dim, parts, partition_col)
+        c = _broadcast_candidates(base, vector_col, id_col, keep_cols, metric, k, qids, Q, dim, parts, partition_col,
+                                  precision)
         out = c if out is None else out.unionByName(c)
     return out if out is not None else base.sparkSession.createDataFrame([], _candidate_schema(base, keep_cols))
 
@@ -185,7 +187,7 @@ def search(base: DataFrame, queries, metric: str = "IP", k: int = 10, *, vector_
            id_col: str = "id", fields: Sequence[str] | None = None, tie_cols: Sequence[str] = (),
            partitions: Sequence[str] | None = None, partition_col: str = "dt",
            where=None, method: str = "auto", dim: int | None = None,
-           query_partitions_col: str | None = None) -> DataFrame:
+           query_partitions_col: str | None = None, precision: str = "float64") -> DataFrame:
     """Top-k rows of ``base`` for each query vector.
 
     ``queries``: one vector, a list of vectors, or a DataFrame ``(qid, vec)``.
@@ -193,7 +195,9 @@ def search(base: DataFrame, queries, metric: str = "IP", k: int = 10, *, vector_
     ``where``: an extra predicate applied *before* scoring (filtered search);
     ``query_partitions_col``: a column of the query DataFrame holding each
     query's own partition names (``array<string>``, NULL = all) - applied as
-    a mask inside the scoring tasks, so one search serves mixed requests.
+    a mask inside the scoring tasks, so one search serves mixed requests;
+    ``precision="float32"``: float32 products, survivors re-scored in float64
+    (same rows; the product is the cost that grows with the table).
     """
     metric = check_metric(metric)
     if k <= 0:
@@ -235,12 +239,13 @@ def search(base: DataFrame, queries, metric: str = "IP", k: int = 10, *, vector_
             cands = _expr_candidates(base, vector_col, keep_cols, metric, qids, Q)
         else:
             cands = _broadcast_candidates(base, vector_col, id_col, keep_cols, metric, k, qids, Q, base_dim,
-                                          parts, partition_col)
+                                          parts, partition_col, precision)
     else:
         if base_dim is not None and Q.shape[1] != base_dim:
             raise ValueError("query dimension does not match table dimension")
         nq = qdf.count()
-        cands = _blocked_candidates(base, qdf, vector_col, id_col, keep_cols, metric, k, nq, base_dim, partition_col)
+        cands = _blocked_candidates(base, qdf, vector_col, id_col, keep_cols, metric, k, nq, base_dim, partition_col,
+                                    precision)
     return rank_candidates(cands, metric, k, id_col, tie_cols, fields)
 
 
