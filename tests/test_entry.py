@@ -28,3 +28,11 @@ def test_exact_percentiles_match_numpy(spark):
             assert got[g]["n"] == len(x)
             for p, name in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99")):
                 assert abs(got[g][name] - np.quantile(x, p)) < 1e-9
+
+
+def test_code_archive_lives_in_the_shared_folder(spark):
+    import glob
+    from vecframe.session import local_path, ship_package
+    ship_package(spark)
+    ckpt = local_path(spark.sparkContext.getCheckpointDir())
+    assert glob.glob(f"{ckpt}/vecframe-pyfiles-*/vecframe.zip")
