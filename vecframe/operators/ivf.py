@@ -12,11 +12,17 @@ Build:
 Search:
 * probes: each query ranks the centroids by the search metric and keeps
   ``nprobe`` cells (a distributed step over the query table);
-* rows and probes meet per cell in ``applyInPandas`` co-groups.  A hot cell
-  is split into ``nsub`` sub-blocks of at most ``max_group_rows`` rows and a
-  much-probed cell into query sub-blocks, so no group grows with the data;
-  each group emits only its local top-k per query;
-* a per-query window keeps the final k.
+* bounded query batch (the default): queries and their probed cells are
+  broadcast, ``cell IN (probed)`` is pushed into the scan, and each task
+  scores only its (cell, probing queries) blocks - the table is never
+  shuffled;
+* otherwise rows and probes meet per cell in ``applyInPandas`` co-groups.  A
+  hot cell is split into ``nsub`` sub-blocks of at most ``max_group_rows``
+  rows and a much-probed cell into query sub-blocks, so no group grows with
+  the data; rows of unprobed cells are dropped before the shuffle;
+* either way each task or group emits only its local top-k per query, and a
+  per-query (tree) window keeps the final k.  SQ8 re-rank is a second Spark
+  stage over the best ``4k`` by code.
 
 HNSW / GPU index requests (A3, A4) are answered by the same cell structure
 or by exact search; no graph is built.
