@@ -127,3 +127,14 @@ def test_cosine_assignment_is_highest_cosine(spark):
         x = np.array(r["value"], dtype=np.float64)
         cos = C @ (x / np.linalg.norm(x))
         assert cos[r["cell"]] >= cos.max() - 1e-12
+
+
+def test_ivf_float32_precision_same_rows(spark):
+    view = _view(spark)
+    idx = build_index(view, "IP", nlist=8, method="seed")
+    asg = assign_cells(view, idx)
+    q = all_queries(view).where("qid < 40")
+    for method in ("broadcast", "cogroup"):
+        a = ivf_search(asg, q, idx, k=7, nprobe=3, method=method).select("qid", "rank", "id").collect()
+        b = ivf_search(asg, q, idx, k=7, nprobe=3, method=method, precision="float32").select("qid", "rank", "id").collect()
+        assert sorted(map(tuple, a)) == sorted(map(tuple, b))

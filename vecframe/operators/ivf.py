@@ -218,7 +218,7 @@ def _arrow_rows(rb, dim, codes_col, vector_col, lo, hi):
 
 def _broadcast_ivf(assigned: DataFrame, qids: np.ndarray, Q: np.ndarray, probe_pairs: np.ndarray, index: IVFIndex,
                    k: int, keep_cols: list[str], id_col: str, cell_col: str, vector_col: str,
-                   codes_col: str | None) -> DataFrame:
+                   codes_col: str | None, precision: str = "float64") -> DataFrame:
     """Queries and their probed cells broadcast; the table is scanned once,
     rows of unprobed cells are filtered at the scan, and each task scores
     every (cell, probing queries) block it holds - the base is never shuffled."""
@@ -259,7 +259,7 @@ def _broadcast_ivf(assigned: DataFrame, qids: np.ndarray, Q: np.ndarray, probe_p
                 if qidx is None:
                     continue
                 sel = np.nonzero(rc == c)[0]
-                r, q, sc = K.local_topk(metric, higher, X[sel], ids[sel], Qm[qidx], k)
+                r, q, sc = K.local_topk(metric, higher, X[sel], ids[sel], Qm[qidx], k, precision=precision)
                 rr.append(sel[r])
                 qq.append(qidx[q])
                 ss.append(sc)
@@ -295,7 +295,7 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
                vector_col: str = "value", id_col: str = "id", cell_col: str = "cell",
                fields: Sequence[str] = (), tie_cols: Sequence[str] = (), codes_col: str | None = None,
                rerank: bool = False, max_group_rows: int = 50000, max_group_queries: int = 4096,
-               method: str = "auto") -> DataFrame:
+               method: str = "auto", precision: str = "float64") -> DataFrame:
     """Top-k per query over the probed cells of an assigned table.
 
     ``codes_col``: score the SQ8 codes (decoded with ``index.lo/hi``) instead
@@ -329,7 +329,7 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
                                   pairs.column("cell").to_numpy().astype(np.int64)]) if pairs.num_rows else \
                 np.zeros((0, 2), dtype=np.int64)
             cands = _broadcast_ivf(assigned, qids, Q, pp, index, k, keep_cols, id_col, cell_col, vector_col,
-                                   codes_col)
+                                   codes_col, precision)
             return rank_candidates(cands, metric, k, id_col, tie_cols, list(fields) + list(tie_cols))
     # bounded side tables: one row per cell (nlist <= 4096)
     row_counts = {r[cell_col]: r["n"] for r in assigned.groupBy(cell_col).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -376,7 +376,7 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
             rows, X = K.pandas_vectors(bpdf[vector_col], dim)
         _, Q = K.pandas_vectors(qpdf["vec"], dim)
         ids = bpdf[id_col].to_numpy()[rows]
-        r, qi, s = K.local_topk(metric, higher, X, ids, Q, k)
+        r, qi, s = K.local_topk(metric, higher, X, ids, Q, k, precision=precision)
         out = bpdf.iloc[rows[r]][keep_cols].reset_index(drop=True)
         out.insert(0, "score", s)
         out.insert(0, "qid", qpdf["qid"].to_numpy()[qi])
