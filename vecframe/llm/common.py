@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import gc
 
 import numpy as np
@@ -57,6 +58,56 @@ def text_buffer(column: pa.Array) -> tuple[bytes, np.ndarray]:
     return raw[first:first + total].to_pybytes(), np.concatenate(([0], ends))
 
 
+FACTOR = 0x9E3779B97F4A7C15
+
+
+@functools.lru_cache(maxsize=1)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``FACTOR ** i`` and ``FACTOR ** -i`` modulo 2**64."""
+    up, down = np.full(n, FACTOR, np.uint64), np.full(n, pow(FACTOR, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
+def token_runs(data: np.ndarray, kind: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of texts laid end to end: runs of bytes of one non-zero ``kind``, with a 64-bit hash of their ``data``.
+
+    Returns ``(hash, first byte, end, first token of each text and the end)``; ``at`` has the texts' byte offsets."""
+    edge = np.zeros(len(data) + 1, bool)
+    edge[at] = True
+    change = edge.copy()
+    change[1:-1] |= kind[1:] != kind[:-1]
+    solid = kind != 0
+    first = np.flatnonzero(solid & change[:-1])
+    end = np.flatnonzero(solid & change[1:]) + 1
+    up, down = powers(1 << max(10, int(len(data)).bit_length()))
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(data * up[:len(data)], out=total[1:])
+    return (total[end] - total[first]) * down[first], first, end, np.searchsorted(first, at)
+
+
+#: Labelled rows that a model is fitted on at most: those whose ids have the smallest hashes.
+LABELLED_ROWS = 20_000
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text_col: str = "text",
+                    rows: int = LABELLED_ROWS, held_out=None) -> DataFrame:
+    """``(label int, text)`` of at most ``rows`` labelled ids, without those of the condition ``held_out``.
+
+    An id with several labels has the largest; the ids (``rows`` at most) are broadcast, so the texts are not shuffled."""
+    known = labels.select(F.col("doc_id").alias("__vf_id"), F.col(label).cast("int").alias("label")).where("__vf_id is not null and label is not null")
+    if held_out is not None:
+        known = known.where(~held_out(F.col("__vf_id")))
+    known = known.groupBy("__vf_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("__vf_id"), "__vf_id").limit(rows)
+    found = docs.join(F.broadcast(known), F.col(id_col) == F.col("__vf_id"))
+    return found.select("label", F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+
+def held_out(doc_id):
+    """Rows that no label is learned from: crc32 of the id as text leaves 2 by 4."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
+
+
 def map_text(df: DataFrame, columns: list[str], kernel, schema: str) -> DataFrame:
     """``kernel(record batch of columns) -> dict of columns`` over bounded slices; the text is the last column."""
     from pyspark.sql.types import StructType, _parse_datatype_string

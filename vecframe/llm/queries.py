@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecframe.llm import byte_bpe, near_dup, token_output
-from vecframe.llm.common import read_table
+from vecframe.llm import byte_bpe, decontaminate, near_dup, quality, token_output, toxicity
+from vecframe.llm.common import held_out, read_table
 from vecframe.session import scratch_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,15 @@ def hex16(fp) -> F.Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+@register("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text; the model learns from labelled rows outside the held-out fold."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "n_exact", "n_misspelled", "n_quoted", "n_direct")
+
+
 @register("op5_token_output")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-BPE ids of every text with end id 2, written as Simple-8b blocks in ascending id order and read back."""
@@ -58,7 +67,42 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+OP8_SQL = """
+WITH docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+     items AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+     windows AS (SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(list_slice(w, q, q + least(10, len(w)) - 1), ' ') AS win
+                 FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS q FROM items WHERE len(w) > 0)),
+     sizes AS (SELECT DISTINCT k FROM windows),
+     places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM docs),
+     hits AS (SELECT doc_id, p, s.k, item_id FROM places CROSS JOIN sizes s
+              JOIN windows v ON v.k = s.k AND v.win = array_to_string(list_slice(w, p, p + s.k - 1), ' ') WHERE p + s.k - 1 <= len(w)),
+     covered AS (SELECT doc_id, count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(range(p, p + k)) AS x FROM hits) GROUP BY doc_id),
+     named AS (SELECT doc_id, count(*) AS n, sha256(string_agg(item, ',' ORDER BY item)) AS h
+               FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(c.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(n.n, 0) AS BIGINT) AS n_items,
+       coalesce(n.h, sha256('')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN covered c USING (doc_id) LEFT JOIN named n USING (doc_id)
+"""
+
+
+@register("op8_decontamination", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every text that lie in ten-word windows of benchmark items."""
+    found = decontaminate.find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate(F.col("spans"), F.lit(0).cast("long"), lambda total, x: x - total)  # (e1 - s1) + (e2 - s2) + ...
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
+
+
 @register("op9_byte_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every text and back, as digests."""
     return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"))
+
+
+@register("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance resampling of all documents towards those labelled good."""
+    return quality.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
