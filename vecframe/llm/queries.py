@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecframe.llm import byte_bpe, decontaminate, near_dup, quality, token_output, toxicity
+from vecframe.llm import byte_bpe, decontaminate, near_dup, quality, secrets_scan, token_output, toxicity, url_filter
 from vecframe.llm.common import held_out, read_table
 from vecframe.session import scratch_path, ship_package
 
@@ -43,6 +43,29 @@ def hex16(fp) -> F.Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+# The rules (host, path) of the url query.
+BLOCK_RULES = [("net", "/"), ("example.com", "/de/")]
+ALLOW_RULES = [("example.net", "/en/"), ("org", "/fr/")]
+
+OP1_SQL = r"""
+WITH rest AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+     parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                      regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+     rules(rh, rp, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+     fits AS (SELECT page_id, host, path, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(v, length(rh || rp)) AS v
+              FROM parts LEFT JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY ALL)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM fits
+"""
+
+
+@register("op1_url_filter", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url against block and allow rules."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    found = url_filter.build(pages, url_filter.rule_table(spark, BLOCK_RULES), url_filter.rule_table(spark, ALLOW_RULES))
+    return found.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
 @register("op3_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text; the model learns from labelled rows outside the held-out fold."""
@@ -52,6 +75,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "n_exact", "n_misspelled", "n_quoted", "n_direct")
 
 
+@register("op4_secret_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text: counts of the base rules' spans, and all spans."""
+    found = secrets_scan.scan(read_table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secrets_scan.BASE]
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+    of_kind = lambda k: F.filter("spans", lambda s: s.kind == k)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in base]
+    return found.select("doc_id", *counts, F.sha2(listed(F.filter("spans", lambda s: s.kind.isin(base))), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 @register("op5_token_output")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-BPE ids of every text with end id 2, written as Simple-8b blocks in ascending id order and read back."""
