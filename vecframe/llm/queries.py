@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecframe.llm import byte_bpe, decontaminate, near_dup, quality, secrets_scan, token_output, toxicity, url_filter
+from vecframe.llm import byte_bpe, decontaminate, near_dup, quality, secrets_scan, simhash, token_output, toxicity, url_filter
 from vecframe.llm.common import held_out, read_table
 from vecframe.session import scratch_path, ship_package
 
@@ -101,6 +101,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@register("op7_fingerprints")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every text and of its edited text, and how near they and the next document are."""
+    found = simhash.compared(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", hex16(F.col("fp")).alias("fingerprint"),
+                        hex16(F.col("edited_fp")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 OP8_SQL = """
 WITH docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
