@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecframe.llm import byte_bpe, decontaminate, near_dup, quality, secrets_scan, simhash, token_output, toxicity, url_filter
+from vecframe.llm import byte_bpe, decontaminate, near_dup, quality, secrets_scan, simhash, token_output, toxicity, url_filter, warc
 from vecframe.llm.common import held_out, read_table
 from vecframe.session import scratch_path, ship_package
 
@@ -66,6 +66,33 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.judge(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+OP2_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+     f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first < page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.d = f.d AND n >= 100
+"""
+
+
+@register("op2_warc", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A WARC record for every page, read back: payload digests and revisits."""
+    path = scratch_path(spark, "warc")
+    pages = read_table(spark, sf_dir, "pages")
+    warc.write_archive(pages, path)
+    records = warc.read_archive(spark, path)
+    field = lambda name: F.regexp_extract("head", f"(?m)^{name}: *([^\r\n]*)", 1)
+    page = lambda name: F.regexp_extract(field(name), "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long")
+    again = field("WARC-Type") == "revisit"
+    kind = pages.schema["page_id"].dataType
+    return records.select(
+        page("WARC-Record-ID").cast(kind).alias("page_id"),
+        F.when(again, field("WARC-Payload-Length").try_cast("long")).otherwise(F.octet_length("payload").cast("long")).alias("payload_bytes"),
+        F.when(again, F.replace(field("WARC-Payload-Digest"), F.lit("sha256:"), F.lit(""))).otherwise(F.sha2("payload", 256)).alias("payload_digest"),
+        field("WARC-Type").alias("record_type"), F.when(again, page("WARC-Refers-To")).cast(kind).alias("refers_to"))
+
+
 @register("op3_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text; the model learns from labelled rows outside the held-out fold."""

@@ -20,9 +20,10 @@ from __future__ import annotations
 import functools
 import gc
 import os
+import re
 import struct
+import unicodedata
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -156,13 +157,27 @@ def unpack_block(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return doc_ids, known.astype(bool), counts.astype(np.int64), decode_words(words, offsets.astype(np.int64), n)
 
 
+#: A sign of ,. between a letter or number and white space: a token of its own.
+LONE_SIGN = re.compile(r"[.,](?<=[^\W_][.,])(?=\s)")
+
+
+#: Tokens of an ASCII piece in lower case without apostrophes.
+RUNS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+
+
 class PieceCoder:
-    """A tokenizer behind a bounded cache: pieces between white space and their ids as little-endian uint32."""
+    """A tokenizer behind a bounded cache: pieces between white space and their ids as little-endian uint32.
+
+    Texts are normalized first (lower case; they are in normal form already, or left to the library), so that a word
+    has one entry.  Words of letters then need no normalizer: the library encodes many of them in one call."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.ends_word = np.array([str(self.tokenizer.id_to_token(i)).endswith("</w>") for i in range(size)])
         self.cache: dict[str, bytes] = {}
@@ -175,40 +190,51 @@ class PieceCoder:
         out = []
         for i in range(0, len(words), 500):
             part = words[i:i + 500]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.plain.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             stops = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
             if len(stops) == len(part) and stops[-1] == len(ids):
-                out += [ids[a:b].tobytes() for a, b in zip([0, *stops], stops)]
+                raw = ids.tobytes()
+                out += [raw[4 * a:4 * b] for a, b in zip([0, *stops], stops)]
             else:
                 out += map(self.whole, part)
         return out
 
     def learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of new pieces.  ASCII pieces share their lower-case form's ids, and a sign of ,. after an ASCII letter is a token of its own."""
-        plan = []
-        for piece in new:
-            base, sign = (piece.lower(), "") if piece.isascii() else (piece, "")
-            if len(base) > 1 and base[-1] in ",." and base[-2].isascii() and base[-2].isalpha():
-                base, sign = base[:-1], base[-1]
-            plan.append((base, sign))
-        need = {x for pair in plan for x in pair if x}
-        plain = [x for x in need if x.isalpha()]
+        """Ids of new pieces: ASCII pieces by their runs of letters, digits and runs of other signs, as the pre-tokenizer splits them."""
+        plain = [x for x in new if x.isalpha()]
+        odd = [x for x in new if not x.isalpha()]
+        runs = {x: RUNS.findall(x) for x in odd if x.isascii() and "'" not in x}
+        rest = {r for parts in runs.values() for r in parts} | {x for x in odd if x not in runs}
+        plain += {x for x in rest if x.isalpha()} - self.cache.keys() - set(plain)
         got = dict(zip(plain, self.words(plain)))
-        got.update((x, self.whole(x)) for x in need if x not in got)
-        got[""] = b""
-        return {piece: got[base] + got[sign] for piece, (base, sign) in zip(new, plan)}
+        rest = [x for x in rest if x not in got and x not in self.cache]
+        got.update((x, np.array(e.ids, "<u4").tobytes()) for x, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)))
+        known = lambda r: got[r] if r in got else self.cache[r]
+        got.update((x, b"".join(map(known, parts))) for x, parts in runs.items() if len(parts) > 1)
+        return got
+
+    def pieces(self, text: str | None) -> list[str] | None:
+        """The normalized pieces of a text; None if only the library itself may split it."""
+        if not text:
+            return []
+        if not text.isascii():
+            # a capital sigma's lower case depends on its place for Python alone
+            if "\u03a3" in text or not unicodedata.is_normalized("NFC", text):
+                return None
+        if any(c in text for c in "\x1c\x1d\x1e\x1f") or any(t in text for t in self.special):  # the first four only Python takes for white space
+            return None
+        return LONE_SIGN.sub(r" \g<0>", text.lower()).split()
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        odd = [bool(t) and any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]  # only Python takes these for white space
-        split = [t.split() if t and not o else [] for t, o in zip(texts, odd)]
+        split = [self.pieces(t) for t in texts]
         cache = self.cache
-        new = [p for p in set(chain.from_iterable(split)) if p not in cache]
+        used = set().union(*(p for p in split if p))
+        new = [p for p in used if p not in cache]
         if len(cache) + len(new) > CACHE_PIECES:
             cache.clear()
-            new = list(set(chain.from_iterable(split)))
+            new = list(used)
         cache.update(self.learn(new))
-        return [np.frombuffer(self.whole(t) if o else b"".join(map(cache.__getitem__, pieces)), "<u4")
-                for t, o, pieces in zip(texts, odd, split)]
+        return [np.frombuffer(self.whole(t) if p is None else b"".join(map(cache.__getitem__, p)), "<u4") for t, p in zip(texts, split)]
 
 
 @functools.lru_cache(maxsize=2)
