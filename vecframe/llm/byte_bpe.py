@@ -21,7 +21,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from vecframe.llm.common import map_text, text_buffer
 
@@ -399,5 +398,16 @@ def round_trip(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_co
 
 
 def stage(spark, docs: DataFrame, ranks_path: str) -> DataFrame:
-    """Pipeline form: ``(doc_id, n_tokens, ids)`` of every document."""
-    return encode(docs, ranks_path).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """Pipeline form: ``(doc_id, n_tokens, ids, ids_sha256, decoded_sha256)`` of every document."""
+    def kernel(batch):
+        merger = load_merger(ranks_path)
+        lists, of_ids, of_bytes = [], [], []
+        for coded, _ in encode_column(batch.column(1), merger):
+            ids = list(chain.from_iterable(coded))
+            lists.append(np.array(ids, np.int32))
+            of_ids.append(hashlib.sha256(",".join(map(merger.decimal.__getitem__, ids)).encode()).hexdigest())
+            of_bytes.append(hashlib.sha256(merger.decode(ids)).hexdigest())
+        return batch.column(0), list(map(len, lists)), lists, of_ids, of_bytes
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_text(docs, ["doc_id", "text"], kernel, f"doc_id {kind}, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")
