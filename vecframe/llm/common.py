@@ -99,8 +99,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str
     if held_out is not None:
         known = known.where(~held_out(F.col("__vf_id")))
     known = known.groupBy("__vf_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("__vf_id"), "__vf_id").limit(rows)
-    found = docs.join(F.broadcast(known), F.col(id_col) == F.col("__vf_id"))
-    return found.select("label", F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = docs.select(F.col(id_col).alias("__vf_doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return texts.join(F.broadcast(known), F.col("__vf_doc") == F.col("__vf_id")).select("label", "text")
 
 
 def held_out(doc_id):
