@@ -1,0 +1,72 @@
+import random
+import re
+
+import pyarrow as pa
+
+from edge import TEXTS, edge_docs
+from vecframe.llm import secrets_scan as S
+
+ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"""
+                    r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def brute(text):
+    text = text or ""
+    return sorted([(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+                  + [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+                  + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16])
+
+
+def test_base_rules_match_brute_force():
+    random.seed(4)
+    bits = ["password", "PassWD", "secret", "token", "ToKen", "api_key", "APIKEY", '"', "'", " ", "  ", ":", "=", "abcdefghijkl", "abc", "0123456789abcdef",
+            "AKIA", "AKIAABCDEFGHIJKLMN", "é", "中", "K", "ſ", "\n", "tok", "en"]
+    texts = ["".join(random.choice(bits) for _ in range(random.randint(0, 14))) for _ in range(10_000)] + [None, ""]
+    index = S.Index(S.RULES)
+    for i in range(0, len(texts), 500):
+        part = texts[i:i + 500]
+        assert [[s for s in own if s[1] < 3] for own in index.scan(pa.array(part, pa.string()))] == [brute(t) for t in part]
+
+
+def test_queries_are_mandatory():
+    """No match of a rule in a text that its query rejects, for expressions of many kinds."""
+    random.seed(6)
+    rules = [S.Rule("r", p, i) for p in ("abc", "ab(c|d)e", "(abc|ab)", "a?bcd", "(abc)?def", "[ab]cde", "x(abc)+y", "(ab){2}c", "abc.def", "(abc|.)z", "a{0,2}bcde", "", "ab$",
+                                         "(foo|bar)baz", "[a-z]bc", "(?:abc)(?=d)") for i in (False, True)]
+    assert all(S.trigram_query(r) is S.ALL for r in rules if r.pattern in ("(abc|ab)", "(abc|.)z", "", "ab$"))
+    for rule in rules:
+        index = S.Index((rule,))
+        texts = ["".join(random.choice(["abc", "ab", "a", "b", "cd", "e", "def", "x", "y", "z", "ABC", "foo", "bar", "baz", "d"]) for _ in range(random.randint(0, 6))) for _ in range(300)]
+        got = index.scan(pa.array(texts, pa.string()))
+        assert [bool(g) for g in got] == [bool(t and rule.spans(t)) for t in texts], rule
+
+
+def test_other_rules():
+    text = "-----BEGIN RSA PRIVATE KEY----- ghp_" + "a1B2" * 9 + " xoxb-123456789-abc"
+    assert [S.RULES[r].kind for _, r, _ in S.Index(S.RULES).scan(pa.array([text]))[0]] == ["private_key", "hub_token", "chat_token"]
+
+
+def test_edge_table_and_redaction(spark):
+    docs = edge_docs(spark)
+    rows = S.scan(docs, S.BASE).collect()
+    rank = {r.kind: i for i, r in enumerate(S.BASE)}
+    assert sorted(((r.doc_id, [(s.start, rank[s.kind], s.end) for s in r.spans]) for r in rows), key=repr) == sorted(((i, brute(t)) for i, t in TEXTS), key=repr)
+    out = S.redact(docs)
+    assert out.columns == docs.columns
+    by = {}
+    for r in out.collect():
+        by.setdefault(r.doc_id, []).append(r)
+    assert by[7][0].text == "[SECRET]' and [SECRET] and [SECRET] é中😀" and by[7][0].n_chars == len(by[7][0].text)
+    assert by[2][0].text is None and by[2][0].n_chars is None and by[6][0].text == dict(TEXTS)[6]
+    assert all(not brute(r.text) for own in by.values() for r in own)
+
+
+def test_overlapping_spans_become_one_mark(spark):
+    docs = spark.createDataFrame([(1, "x token=0123456789abcdef0123 y", 30)], "doc_id long, text string, n_chars int")
+    (row,) = S.redact(docs).collect()
+    assert row.text == "x [SECRET] y" and row.n_chars == 12
+
+
+def test_empty_table(spark):
+    empty = edge_docs(spark, [])
+    assert S.scan(empty).collect() == [] and S.redact(empty).collect() == []
