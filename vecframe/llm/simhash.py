@@ -100,17 +100,19 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     ``(kd, kn, h, occ, nd, nn, nh, n, text, edited)``."""
     rows = keyed(docs, id_col, text_col)
     chain = written(successors(rows), "successors")
-    # equal rows are numbered; the shuffle and sort are those of the joins
+    # the texts are shuffled once: both joins, and the numbers of equal rows, use this partitioning
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     same = Window.partitionBy("kd", "kn", "h").orderBy("h")
-    numbered = rows.withColumn("occ", F.row_number().over(same))
+    numbered = rows.repartition(parts, "kd", "kn", "h").withColumn("occ", F.row_number().over(same))
     quarter = F.floor(F.col("n") / 4).cast("int")
     asked = chain.select(F.col("nd").alias("kd"), F.col("nn").alias("kn"), F.col("nh").alias("h"),
                          F.struct("kd", "kn", "h", "occ").alias("by"), quarter.alias("q"))
     pieces = numbered.where("occ = 1").join(asked, ["kd", "kn", "h"]).select(
         "by.kd", "by.kn", "by.h", F.col("by.occ").alias("number"), F.substring("text", F.lit(1), F.col("q")).alias("piece"))
     links = chain.select("kd", "kn", "h", F.col("occ").alias("number"), "n", "nd", "nn", "nh")
-    whole = numbered.join(links, ["kd", "kn", "h"]).where("occ = number").drop("number")
-    joined = whole.join(pieces, ["kd", "kn", "h"]).where("occ = number").drop("number")
+    alike = F.col("occ") - F.col("number") == 0  # no join key, or the texts would be dealt out by it once more
+    whole = numbered.join(links, ["kd", "kn", "h"]).where(alike).drop("number")
+    joined = whole.join(pieces, ["kd", "kn", "h"]).where(alike).drop("number")
     # floor(n / 4) code points leave, so n - floor(n / 4) stay
     kept = F.substring("text", F.lit(1), F.col("n") - F.floor(F.col("n") / 4).cast("int"))
     return joined.select(*KEY, "nd", "nn", "nh", "n", "text", F.concat(kept, F.col("piece")).alias("edited"))
