@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import gc
 
@@ -32,6 +33,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def long_lists():
+    """Kernels make long lists without cycles, and walking them again and again takes most of the time: garbage is
+    collected at the end of a task, not inside.  Workers are used again, so it must be then."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+        gc.collect()
+
+
 def text_slices(batch: pa.RecordBatch, column: int, limit: int = KERNEL_BYTES):
     """Cut a record batch where the text column reaches ``limit`` bytes."""
     n = batch.num_rows
@@ -118,12 +131,12 @@ def map_text(df: DataFrame, columns: list[str], kernel, schema: str) -> DataFram
     at = len(columns) - 1
 
     def run(batches):
-        gc.disable()  # kernels make long lists without cycles; walking them again and again takes most of the time
-        for batch in batches:
-            for part in text_slices(batch, at):
-                got = kernel(part)
-                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) and x.type == f.type else pa.array(x, f.type)
-                                                  for f, x in zip(out, got)], schema=out)
+        with long_lists():
+            for batch in batches:
+                for part in text_slices(batch, at):
+                    got = kernel(part)
+                    yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) and x.type == f.type else pa.array(x, f.type)
+                                                      for f, x in zip(out, got)], schema=out)
 
     return df.select(*columns).mapInArrow(run, fields)
 
@@ -133,10 +146,10 @@ def filter_text(df: DataFrame, text_col: str, decide) -> DataFrame:
     at = df.columns.index(text_col)
 
     def run(batches):
-        gc.disable()
-        for batch in batches:
-            for part in text_slices(batch, at):
-                yield part.filter(pa.array(decide(part, at), pa.bool_()))
+        with long_lists():
+            for batch in batches:
+                for part in text_slices(batch, at):
+                    yield part.filter(pa.array(decide(part, at), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 

@@ -18,7 +18,6 @@ read; an empty table writes no blocks and reads back as no rows.
 from __future__ import annotations
 
 import functools
-import gc
 import os
 import re
 import struct
@@ -31,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import text_slices
+from vecframe.llm.common import long_lists, text_slices
 
 # Ids per word and bits per id of the selectors 1 to 14; 0 is a run of zeros, 15 an escape.
 PACKED = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
@@ -44,7 +43,7 @@ SEGMENT = 240
 #: Ids after which a block is closed (it holds whole documents).
 BLOCK_IDS = 1 << 15
 #: Distinct pieces that a worker's cache holds before it starts afresh.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 400_000
 
 HEADER = struct.Struct("<4sIIII")
 MAGIC = b"S8B1"
@@ -229,7 +228,7 @@ class PieceCoder:
         split = [self.pieces(t) for t in texts]
         cache = self.cache
         used = set().union(*(p for p in split if p))
-        new = [p for p in used if p not in cache]
+        new = list(used.difference(cache))
         if len(cache) + len(new) > CACHE_PIECES:
             cache.clear()
             new = list(used)
@@ -246,7 +245,6 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
                  block_ids: int = BLOCK_IDS) -> None:
     """Encode every text, append ``end_id`` and write blocks in ascending id order to ``path``."""
     def run(batches):
-        gc.disable()  # long lists without cycles
         coder, part = load_coder(tokenizer_path), TaskContext.get().partitionId()
         block = before = size = 0
         held: list[tuple] = []
@@ -260,14 +258,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
             block, before, size, held = block + 1, before + len(flat), 0, []
             return row
 
-        for batch in batches:
-            for piece in text_slices(batch, 1):
-                for name, ids in zip(piece.column(0).to_pylist(), coder.encode(piece.column(1).to_pylist())):
-                    ids = np.append(ids, np.uint32(end_id))
-                    held.append((name or 0, name is not None, len(ids), ids))
-                    size += len(ids)
-                    if size >= block_ids:
-                        yield close()
+        with long_lists():
+            for batch in batches:
+                for piece in text_slices(batch, 1):
+                    for name, ids in zip(piece.column(0).to_pylist(), coder.encode(piece.column(1).to_pylist())):
+                        ids = np.append(ids, np.uint32(end_id))
+                        held.append((name or 0, name is not None, len(ids), ids))
+                        size += len(ids)
+                        if size >= block_ids:
+                            yield close()
         if held:
             yield close()
 
