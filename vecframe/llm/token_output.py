@@ -41,9 +41,9 @@ BITS = np.array([0, *(b for _, b in PACKED), 64], np.int64)
 #: Ids that are coded together; the last word of a segment may be part empty.
 SEGMENT = 240
 #: Ids after which a block is closed (it holds whole documents).
-BLOCK_IDS = 1 << 15
-#: Distinct pieces that a worker's cache holds before it starts afresh.
-CACHE_PIECES = 400_000
+BLOCK_IDS = 1 << 16
+#: Distinct pieces (some 200 bytes each) that a worker's cache holds before it starts afresh.
+CACHE_PIECES = 800_000
 
 HEADER = struct.Struct("<4sIIII")
 MAGIC = b"S8B1"
