@@ -1,13 +1,10 @@
-"""Property tests of the in-task kernels and the merge rules (no Spark)."""
-
-import json
+"""Property tests of the in-task kernels (no Spark)."""
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from vecframe.operators import _kernels as K
-from vecframe.operators.merge import merge_json
 from vecframe.operators.quantize import encode
 
 small_floats = st.floats(min_value=-4, max_value=4, allow_nan=False, width=32)
@@ -24,7 +21,7 @@ def test_local_topk_equals_brute_force(n, m, k, data):
     for metric in ("IP", "L2"):
         higher = metric == "IP"
         r, q, s = K.local_topk(metric, higher, X, ids, Q, k)
-        S = K.scores(metric, X, Q)
+        S = np.column_stack([K.pair_scores(metric, X, np.repeat(Q[j:j + 1], n, axis=0)) for j in range(m)])
         for j in range(m):
             col = [(-S[i, j] if higher else S[i, j], ids[i]) for i in range(n) if not np.isnan(S[i, j])]
             want = sorted(col)[:k]
@@ -64,39 +61,6 @@ def test_sq8_codes_in_range_and_decode_close(rows):
     assert np.all(np.abs(d - X) <= step / 2 + 1e-12)
 
 
-json_leaf = st.one_of(st.integers(-3, 3), st.booleans(), st.none(), st.sampled_from(["a", "b"]))
-json_val = st.recursive(json_leaf, lambda ch: st.one_of(st.lists(ch, max_size=3),
-                                                        st.dictionaries(st.sampled_from("xyz"), ch, max_size=3)),
-                        max_leaves=10)
-
-
-def model(t, s):
-    """Independent statement of the rules: maps merge, lists append unseen items, else patch wins."""
-    if not (isinstance(t, dict) and isinstance(s, dict)):
-        return t
-    out = dict(t)
-    for key, v in s.items():
-        if key not in out:
-            out[key] = v
-        elif isinstance(out[key], dict) and isinstance(v, dict):
-            out[key] = model(out[key], v)
-        elif isinstance(out[key], list) and isinstance(v, list):
-            canon = [json.dumps(x, sort_keys=True) for x in out[key]]
-            out[key] = out[key] + [x for x in v if json.dumps(x, sort_keys=True) not in canon]
-        else:
-            out[key] = v
-    return out
-
-
-@settings(max_examples=150, deadline=None)
-@given(st.dictionaries(st.sampled_from("abc"), json_val, max_size=4),
-       st.dictionaries(st.sampled_from("abc"), json_val, max_size=4))
-def test_merge_matches_model(base, patch):
-    got = json.loads(merge_json(json.dumps(base), json.dumps(patch)))
-    assert got == model(base, patch)
-    assert list(got.keys())[:len(base)] == list(base.keys())  # base keys keep their order
-
-
 @settings(max_examples=80, deadline=None)
 @given(st.integers(1, 60), st.integers(1, 4), st.integers(1, 6), st.integers(2, 12), st.data())
 def test_float32_prefilter_equals_exact(n, m, k, d, data):

@@ -1,120 +1,125 @@
-"""Deep merge of nested JSON documents by key.
-
-Table level (Spark): a full outer join of the base and patch tables on the
-key - each document pair meets in one row.  Document level (a small
-per-row helper run in Arrow batches): the merge rules
-
-* both sides maps: merge key by key; a key only in the patch is added at the
-  end;
-* both sides lists: append the patch items that are not in the *original*
-  base list (duplicates inside either list stay);
-* anything else: the patch value wins, an explicit ``null`` included.
-
-At the root, a patch that is not a map leaves a map base unchanged; a key
-with no base takes the patch document.  List items compare by canonical
-JSON text (sorted keys), so ``1`` and ``1.0`` differ and so do ``true`` and
-``1``.  Duplicate keys in a document are an error.
+"""Deep merge of nested JSON documents by key (D1-D3), as a plan over paths.
+
+The two tables meet once, in a full outer join on the key.  From there a node
+is a path of one document pair with both sides' values.  Where both are maps,
+the node is exploded into its keys (one pass per nesting level that the pair
+shares); every other node is a leaf with a result of its own:
+
+* both lists: the patch items that are not in the *original* base list are
+  appended (duplicates inside either list stay);
+* else the patch value, an explicit ``null`` included; without one, the base's.
+
+Then the results are put together again from the deepest level up, grouped by
+their parent path.  All of it is Spark SQL on VARIANT values; nothing is
+parsed in Python.
+
+At the root, a patch that is not a map leaves the base unchanged; a key with
+no base takes the patch document.  Keys keep the base's order, new keys follow
+in the patch's.  Numbers keep their value exactly (up to 38 digits; beyond that a
+decimal is a double).  List items are equal if type and canonical text (sorted
+keys) are, so ``1`` and ``1.0`` differ and so do ``true`` and ``1``.  Duplicate
+keys in a document, and more than one document for a key and side, are errors.
 """
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
-
-from vecframe.session import ship_package
 
+from vecframe.session import scratch_path
 
-def _no_dup_pairs(pairs):
-    out = {}
-    for k, v in pairs:
-        if k in out:
-            raise ValueError(f"duplicate key {k!r}")
-        out[k] = v
-    return out
+SIDES = ("b", "p")
 
 
-def loads(s: str):
-    return json.loads(s, object_pairs_hook=_no_dup_pairs)
+def _one_each(df: DataFrame, key: str, doc: str, side: str, check: bool) -> DataFrame:
+    """``(_k, text)``, one row a key: the aggregate shares the join's partitioning."""
+    if not check:
+        return df.select(F.col(key).alias("_k"), F.col(doc).alias(side))
+    found = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"), F.first(doc).alias(side))
+    message = F.concat(F.lit(f"{'base' if side == 'b' else 'patch'} has more than one document for key "), F.coalesce(F.col("_k").cast("string"), F.lit("NULL")))
+    return found.select("_k", F.when(F.col("_n") > 1, F.raise_error(message).cast("string")).otherwise(F.col(side)).alias(side))
 
 
-def dumps(v) -> str:
-    return json.dumps(v, separators=(",", ":"), ensure_ascii=False)
+def _is(j: str, opening: str) -> Column:
+    return F.coalesce(F.col(j).startswith(opening), F.lit(False))
 
 
-def _canon(v) -> str:
-    return json.dumps(v, sort_keys=True, separators=(",", ":"))
+def _text(side: str) -> Column:
+    """A side's text: as written where that reads back to the exact value, else canonical."""
+    raw, exact = F.col(f"{side}r"), F.col(f"{side}j")
+    return F.when(F.to_json(F.try_parse_json(raw)) == exact, raw).otherwise(exact)
 
 
-def merge_values(target, source):
-    """Merge ``source`` into ``target`` (both parsed JSON); returns the result."""
-    if isinstance(target, dict) and isinstance(source, dict):
-        out = dict(target)
-        for key, value in source.items():
-            if key in out:
-                cur = out[key]
-                if isinstance(cur, dict) and isinstance(value, dict):
-                    out[key] = merge_values(cur, value)
-                elif isinstance(cur, list) and isinstance(value, list):
-                    seen = {_canon(x) for x in cur}
-                    out[key] = cur + [x for x in value if _canon(x) not in seen]
-                else:
-                    out[key] = value
-            else:
-                out[key] = value
-        return out
-    return target
+def _items(side: str) -> str:
+    return f"transform(cast(parse_json({side}t) as array<variant>), x -> struct(schema_of_variant(x) as kind, to_json(x) as j))"
 
 
-def merge_json(base: str | None, patch: str | None) -> str | None:
-    if base is None:
-        return None if patch is None else dumps(loads(patch))
-    b = loads(base)
-    if patch is None:
-        return dumps(b)
-    return dumps(merge_values(b, loads(patch)))
+def _union() -> Column:
+    """D2 on two list nodes, as text."""
+    fresh = F.expr(f"filter({_items('p')}, x -> NOT array_contains({_items('b')}, x))")
+    added = F.array_join(F.transform(fresh, lambda x: x.j), ",")
+    comma = F.when(F.expr("size(cast(parse_json(bt) as array<variant>)) = 0"), "").otherwise(",")
+    return F.when(F.size(fresh) == 0, F.col("bt")).otherwise(F.concat(F.regexp_replace("bt", r"\s*\]\s*$", ""), comma, added, F.lit("]")))
 
 
-@pandas_udf(T.StringType())
-def merge_json_udf(base: pd.Series, patch: pd.Series) -> pd.Series:
-    return pd.Series([merge_json(None if pd.isna(b) else b, None if pd.isna(p) else p)
-                      for b, p in zip(base, patch)], dtype=object)
+def _children(maps: DataFrame) -> DataFrame:
+    """The nodes below nodes whose sides are both maps, in the order of their keys."""
+    both = maps
+    for s in SIDES:
+        both = (both.withColumn(f"{s}x", F.expr(f"transform_values(cast(parse_json({s}j) as map<string, variant>), (k, v) -> to_json(v))"))
+                .withColumn(f"{s}m", F.from_json(f"{s}r", "map<string,string>")).withColumn(f"{s}k", F.expr(f"json_object_keys({s}r)")))
+    keys = F.concat("bk", F.filter("pk", lambda x: ~F.array_contains("bk", x)))
+    rows = both.select("_k", "path", "bx", "bm", "px", "pm", F.posexplode(keys).alias("ord", "name"))
+    out = ["_k", F.concat("path", F.array("name")).alias("path"), "ord", "name"]
+    for s in SIDES:
+        j = F.col(f"{s}x")[F.col("name")]
+        # strings come unquoted from the map of texts: their exact text is quoted
+        out += [j.alias(f"{s}j"), F.when(j.startswith('"'), j).otherwise(F.coalesce(F.col(f"{s}m")[F.col("name")], j)).alias(f"{s}r")]
+    return rows.select(*out)
 
 
-def _check_unique(base: DataFrame, patch: DataFrame, key: str) -> None:
-    """One job for both sides: keys tagged by side, counted with partial
-    aggregation, stopped at the first repeat."""
-    keys = (base.select(F.lit("base").alias("_side"), F.col(key).alias("_k"))
-            .unionByName(patch.select(F.lit("patch").alias("_side"), F.col(key).alias("_k"))))
-    dup = (keys.groupBy("_side", "_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-           .limit(1).collect())
-    if dup:
-        raise ValueError(f"{dup[0]['_side']} has more than one document for key {dup[0]['_k']!r}")
+def _kept(df: DataFrame, place: str) -> DataFrame:
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
 def merge_tables(base: DataFrame, patch: DataFrame, key: str = "key", doc: str = "doc",
                  check_unique: bool = True) -> DataFrame:
     """``(key, doc)`` for every key of either table.
 
-    One document per key and side (checked first): a repeated key would make
-    the join pair every copy with every other."""
-    if check_unique:
-        _check_unique(base, patch, key)
-    b = base.select(F.col(key).alias("_k"), F.col(doc).alias("_b"))
-    p = patch.select(F.col(key).alias("_k"), F.col(doc).alias("_p"))
-    ship_package(base.sparkSession)
-    j = b.join(p, "_k", "full_outer")
-    return j.select(F.col("_k").alias(key), merge_json_udf("_b", "_p").alias(doc))
-
-
-def list_union(target, source):
-    """D2 on two plain lists (driver-side twin of the column rule below)."""
-    seen = {_canon(x) for x in target}
-    return list(target) + [x for x in source if _canon(x) not in seen]
+    Each level is written to the shared folder: it is read twice, for the next level and for the way up."""
+    place = scratch_path(base.sparkSession, "merge")
+    met = _one_each(base, key, doc, "b", check_unique).join(_one_each(patch, key, doc, "p", check_unique), "_k", "full_outer")
+    nodes = met.select("_k", F.array().cast("array<string>").alias("path"), F.lit(0).alias("ord"), F.lit("").alias("name"),
+                       F.to_json(F.parse_json("b")).alias("bj"), F.col("b").alias("br"), F.to_json(F.parse_json("p")).alias("pj"), F.col("p").alias("pr"))
+    levels = []
+    shared = _is("bj", "{") & _is("pj", "{")
+    while True:
+        nodes = _kept(nodes, f"{place}/level-{len(levels)}")
+        levels.append(nodes)
+        if nodes.where(shared).isEmpty():
+            break
+        nodes = _children(nodes.where(shared))
+    below = None
+    for depth in range(len(levels) - 1, -1, -1):
+        nodes = levels[depth].withColumns({"bt": _text("b"), "pt": _text("p")})
+        if depth:
+            own = (F.when(F.col("pj").isNull(), F.col("bt")).when(F.col("bj").isNull(), F.col("pt"))
+                   .when(_is("bj", "[") & _is("pj", "["), _union()).otherwise(F.col("pt")))
+        else:
+            own = F.when(F.col("bj").isNotNull(), F.col("bt")).otherwise(F.col("pt"))
+        done = nodes.where(~shared).select("_k", "path", "ord", "name", own.alias("text"))
+        if below is not None:
+            # a name is quoted as the one item of a list
+            entry = F.struct("ord", F.concat(F.expr("regexp_extract(to_json(array(name)), '^.(.*).$', 1)"), F.lit(":"), F.col("text")).alias("e"))
+            parts = below.groupBy("_k", F.slice("path", 1, depth).alias("path")).agg(F.array_sort(F.collect_list(entry)).alias("parts"))
+            parts = parts.select(F.col("_k").alias("_pk"), F.col("path").alias("_pp"), F.concat(
+                F.lit("{"), F.array_join(F.transform("parts", lambda x: x.e), ","), F.lit("}")).alias("made"))
+            maps = nodes.where(shared).select("_k", "path", "ord", "name")
+            made = maps.join(parts, F.col("_k").eqNullSafe(F.col("_pk")) & (F.col("path") == F.col("_pp")), "left")
+            done = done.unionByName(made.select("_k", "path", "ord", "name", F.coalesce("made", F.lit("{}")).alias("text")))
+        below = done
+    return below.select(F.col("_k").alias(key), F.col("text").alias(doc))
 
 
 def list_union_col(t, s):
