@@ -88,3 +88,31 @@ def test_bucketed_documents_build_without_shuffle(spark, tmp_dir):
     assert [(r["qid"], r["rank"], r["doc_id"]) for r in sorted(x, key=key)] == \
            [(r["qid"], r["rank"], r["doc_id"]) for r in sorted(y, key=key)]
     spark.sql("DROP TABLE vf_docs_b")
+
+
+def test_all_rows_of_an_id_are_one_document(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a c"), (2, "b"), (3, ""), (3, None), (None, "a")], "doc_id long, text string")
+    index = bm25.build_index(docs)
+    assert index.n_docs == 4  # ids, the null one among them
+    rows = {(r.doc_id, r.term): (r.tf, r.dl) for r in index.postings.collect()}
+    assert rows == {(1, "a"): (2, 4), (1, "b"): (1, 4), (1, "c"): (1, 4), (2, "b"): (1, 1), (None, "a"): (1, 1)}
+
+
+def test_topk_of_many_tasks_and_small_steps(spark, monkeypatch):
+    """Small kernel steps and query blocks change nothing."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    qs = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select(F.col("item_id").alias("qid"), "text")
+    index = bm25.build_index(docs)
+    rows = lambda: sorted((r.qid, r["rank"], r.doc_id, r.score) for r in bm25.search(index, qs, 3).collect())
+    want = rows()
+    monkeypatch.setattr(bm25, "QUERY_TERMS", 200)
+    assert rows() == want
+    assert bm25.search(index, qs.limit(0), 3).collect() == []
+
+
+def test_pruned_index_keeps_the_full_statistics(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    index = bm25.build_index(docs)
+    small = bm25.pruned(index, 0.5)
+    assert small.postings.count() < index.postings.count()
+    assert sorted(map(tuple, small.df().collect())) == sorted(map(tuple, index.df().collect()))

@@ -1,15 +1,17 @@
-"""BM25 text ranking over a postings table (A5, A6) and term match (Q7).
+"""BM25 text ranking over stored per-document term lists (A5, A6) and term match (Q7).
 
-Index build (one pass over the documents):
-  postings ``(term, doc_id, tf, dl)`` - the document length is carried on
-  every posting so scoring needs no join back to the documents; statistics
-  ``N``, ``avgdl`` and ``df(term)`` are aggregates of it.  Written bucketed by
-  ``term`` it serves lookups without a shuffle.
+Index build: the text is shuffled once by document; all rows of one id are one
+document.  What is stored is one row per document, ``(doc_id, dl, terms
+array<struct<term, tf>>)``, in the shared folder: a document never lies in two
+tasks, however the files are split, and nothing has to be cached or released.
+``N`` and ``avgdl`` are aggregates of the table.
 
-Query: query terms (small) join the postings on ``term``; contributions are
-summed per ``(qid, doc_id)`` and a per-query window keeps the top k.  A hot
-term (in every document) is handled by broadcasting the query side; the
-postings are never broadcast or collected.
+Query: the query terms (bounded blocks) with their ``idf`` are broadcast; each
+task scores its documents against all passages and keeps the best k of every
+passage, so no (passage, document) pair is shuffled but those.
+
+Pruning (A6) is done when an index is stored: every document drops the terms in
+the lowest share of its weights.
 
 Our definition (the reference leaves it to the server): Lucene-style
 ``idf = ln(1 + (N - df + 0.5) / (df + 0.5))``, ``k1 = 1.2``, ``b = 0.75``,
@@ -20,39 +22,55 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecframe.functions.text import tokenize
-from pyspark import StorageLevel
-
+from vecframe.operators import _kernels as K
 from vecframe.operators.search import top_k_per_group
-from vecframe.session import bounded_broadcast
+from vecframe.session import bounded_broadcast, scratch_path, ship_package
 
 # Fixed values (our definition of the scoring constants).
 K1 = 1.2
 B = 0.75
 SCORE_SCALE = 100_000_000  # scores summed as exact fixed-point longs (1e-8 units)
 
+# (query, term) pairs that are broadcast at a time, and (document, query) sums of one kernel step.
+QUERY_TERMS = 1_000_000
+SCORE_CELLS = 1 << 22
+
 
 @dataclass
 class BM25Index:
-    postings: DataFrame   # term, doc_id, tf, dl
+    table: DataFrame      # doc_id, dl, terms array<struct<term, tf>>
     n_docs: int
     avgdl: float
-    _df: DataFrame | None = None
+    full: DataFrame | None = None   # the unpruned table, where this one is pruned
+
+    @property
+    def postings(self) -> DataFrame:
+        """``(doc_id, dl, term, tf)``."""
+        return exploded(self.table)
+
+    def df(self, of: DataFrame | None = None) -> DataFrame:
+        """``(term, df)`` of the whole vocabulary, or of the terms ``of.term``."""
+        rows = exploded(self.full if self.full is not None else self.table)
+        if of is not None:
+            rows = rows.join(bounded_broadcast(of.select("term").distinct()), "term")
+        return rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
 
-    def df(self) -> DataFrame:
-        """``(term, df)`` for the whole vocabulary, computed once per index."""
-        if self._df is None:
-            self._df = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).cache()
-        return self._df
+def exploded(table: DataFrame) -> DataFrame:
+    return table.select("doc_id", "dl", F.explode("terms").alias("t")).select("doc_id", "dl", "t.term", "t.tf")
 
-    def release(self) -> None:
-        """Drop the cached postings and vocabulary (long-lived sessions)."""
-        self.postings.unpersist()
-        if self._df is not None:
-            self._df.unpersist()
+
+def _stored(df: DataFrame, path: str | None) -> DataFrame:
+    path = path or scratch_path(df.sparkSession, "bm25")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def store_documents(docs: DataFrame, name: str, n_buckets: int, id_col: str = "doc_id",
@@ -75,20 +93,31 @@ def build_postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     that partitioning.  ``prepartitioned=True`` is for a table stored
     bucketed by ``doc_id`` (:func:`store_documents`): no shuffle at all."""
     sel = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
-    toks = (sel if prepartitioned else sel.repartition("doc_id")).select("doc_id", tokenize(F.col("_text")).alias("_t"))
-    return (toks.select("doc_id", F.size("_t").cast("long").alias("dl"), F.explode("_t").alias("term"))
-            .groupBy("doc_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
+    toks = (sel if prepartitioned else sel.repartition("doc_id")).select("doc_id", F.explode(tokenize(F.col("_text"))).alias("term"))
+    tf = toks.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return tf.withColumn("dl", F.sum("tf").over(Window.partitionBy("doc_id"))).select("doc_id", "dl", "term", "tf")
+
+
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prepartitioned: bool = False,
+                path: str | None = None) -> BM25Index:
+    """The index stored at ``path`` (or in a folder of its own).  ``N`` counts
+    every id (empty documents too); ``avgdl = total tokens / N``."""
+    table = _stored(build_postings(docs, id_col, text_col, prepartitioned).groupBy("doc_id")
+                    .agg(F.first("dl").alias("dl"), F.collect_list(F.struct("term", "tf")).alias("terms")), path)
+    total = table.agg(F.sum("dl")).first()[0] or 0
+    n = docs.select(id_col).distinct().count()
+    return BM25Index(table, int(n), float(total) / n if n else 0.0)
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                storage: StorageLevel = StorageLevel.MEMORY_AND_DISK, prepartitioned: bool = False) -> BM25Index:
-    """Postings kept (``persist``) for the statistics and the queries; lost
-    blocks are recomputed from lineage.  ``N`` counts every document (empty
-    ones too); ``avgdl = total tokens / N``."""
-    postings = build_postings(docs, id_col, text_col, prepartitioned).persist(storage)
-    n = docs.count()
-    total = postings.agg(F.sum("tf")).first()[0] or 0
-    return BM25Index(postings, int(n), float(total) / n if n else 0.0)
+def pruned(index: BM25Index, drop_ratio: float, path: str | None = None) -> BM25Index:
+    """The index without every document's lowest ``drop_ratio`` share of
+    weights, stored.  The window is per document: its distinct terms."""
+    p = index.postings.join(index.df(), "term")
+    p = p.withColumn("w", term_weight(index, F.col("tf"), F.col("dl"), idf(index.n_docs, F.col("df"))))
+    w = Window.partitionBy("doc_id").orderBy("w")
+    kept = p.withColumn("_pr", F.percent_rank().over(w)).where(F.col("_pr") >= drop_ratio)
+    table = kept.groupBy("doc_id").agg(F.first("dl").alias("dl"), F.collect_list(F.struct("term", "tf")).alias("terms"))
+    return BM25Index(_stored(table, path), index.n_docs, index.avgdl, full=index.full if index.full is not None else index.table)
 
 
 def idf(n_docs: int, df: Column) -> Column:
@@ -101,47 +130,103 @@ def term_weight(index: BM25Index, tf: Column, dl: Column, idf_col: Column) -> Co
     return idf_col * (tf * F.lit(K1 + 1.0)) / (tf + norm)
 
 
-def weighted_postings(index: BM25Index, drop_ratio: float = 0.0) -> DataFrame:
-    """``(term, doc_id, w)``; with ``drop_ratio`` > 0 each document drops the
-    terms in its lowest ``drop_ratio`` share of weights (A6, off by default).
-    The window is per document: its distinct terms, a bounded group."""
-    # vocabulary-sized df table: broadcast while a count proves it small, so
-    # the doc-partitioned postings are not reshuffled by term
-    p = index.postings.join(bounded_broadcast(index.df()), "term")
-    p = p.select("term", "doc_id", term_weight(index, F.col("tf"), F.col("dl"), idf(index.n_docs, F.col("df"))).alias("w"))
-    if drop_ratio > 0:
-        w = Window.partitionBy("doc_id").orderBy("w")
-        p = p.withColumn("_pr", F.percent_rank().over(w)).where(F.col("_pr") >= drop_ratio).drop("_pr")
-    return p
-
-
 def query_terms(queries: DataFrame, qid_col: str = "qid", text_col: str = "text") -> DataFrame:
     q = queries.select(F.col(qid_col).alias("qid"), F.explode(tokenize(F.col(text_col))).alias("term"))
     return q.groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf"))
 
 
-def search(index: BM25Index, queries: DataFrame, k: int = 10, qid_col: str = "qid", text_col: str = "text",
-           drop_ratio: float = 0.0) -> DataFrame:
-    """``(qid, rank, doc_id, score)``, best first, ties by doc_id."""
-    qt = query_terms(queries, qid_col, text_col)
-    if drop_ratio > 0:  # pruning needs every weight of a document
-        wp = weighted_postings(index, drop_ratio)
-        contrib = wp.join(bounded_broadcast(qt), "term").select("qid", "doc_id", (F.col("qtf") * F.col("w")).alias("c"))
-    else:
-        # df of the query terms only (partial counts per task, tiny result),
-        # then the query-side weights are broadcast against the postings
-        terms = bounded_broadcast(qt.select("term").distinct())
-        dfq = index.postings.join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        # small (query terms): cached, so the size check materializes it once
-        qw = qt.join(dfq, "term").select("qid", "term", "qtf", idf(index.n_docs, F.col("df")).alias("idf")).cache()
-        contrib = index.postings.join(bounded_broadcast(qw), "term").select(
-            "qid", "doc_id", (F.col("qtf") * term_weight(index, F.col("tf"), F.col("dl"), F.col("idf"))).alias("c"))
-    # exact integer sum of fixed-point contributions: order-independent, so
-    # copies of a document tie exactly (then doc_id decides)
-    # floor(x + 0.5): round half up without BigDecimal (exact: |x| << 2^52)
-    fp = F.floor(F.col("c") * F.lit(float(SCORE_SCALE)) + F.lit(0.5)).cast("long")
-    scored = contrib.groupBy("qid", "doc_id").agg(F.sum(fp).alias("_fp"))
-    return (top_k_per_group(scored, ["qid"], [F.desc("_fp"), F.asc("doc_id")], k)
+def _task_topk(index: BM25Index, terms: list, k: int) -> DataFrame:
+    """``(qid, doc_id, _fp)``: the best k documents of every query in each task.
+
+    ``terms``: rows ``(qid, term, qtf, idf)``.  Sums are exact fixed-point integers, as the order of adding must not matter."""
+    spark = index.table.sparkSession
+    names = sorted({r[1] for r in terms})
+    place = {t: i for i, t in enumerate(names)}
+    qids = sorted({r[0] for r in terms})
+    column = {q: i for i, q in enumerate(qids)}
+    terms = sorted(terms, key=lambda r: place[r[1]])
+    of = np.array([place[r[1]] for r in terms], np.int64)
+    cut = np.searchsorted(of, np.arange(len(names) + 1))
+    data = (names, np.array([r[3] for r in terms])[cut[:-1]], cut, np.array([column[r[0]] for r in terms], np.int64),
+            np.array([r[2] for r in terms], np.float64), np.array(qids))
+    shared = spark.sparkContext.broadcast(data)
+    avgdl = index.avgdl
+
+    def run(batches):
+        names, weight, cut, query, times, qids = shared.value
+        vocabulary, nq = pa.array(names, pa.string()), len(qids)
+        best: list[tuple] = []
+        size = 0
+        floor = np.full(nq, -1, np.int64)  # k-th best so far
+
+        def reduce(parts):
+            q, s, d = (np.concatenate(x) for x in zip(*parts))
+            sel = K.select_topk(q, -s, d, k)
+            return q[sel], s[sel], d[sel]
+
+        for rb in batches:
+            lists = rb.column("terms")
+            counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            flat = lists.flatten()
+            found = pc.index_in(flat.field("term"), value_set=vocabulary)
+            hit = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+            if not len(hit):
+                continue
+            doc = np.repeat(np.arange(len(counts)), counts)[hit]
+            term = found.to_numpy(zero_copy_only=False)[hit].astype(np.int64)
+            tf = flat.field("tf").to_numpy(zero_copy_only=False)[hit].astype(np.float64)
+            dl = rb.column("dl").to_numpy(zero_copy_only=False)[doc].astype(np.float64)
+            norm = K1 * ((1.0 - B) + B * dl / avgdl)
+            w = weight[term] * (tf * (K1 + 1.0)) / (tf + norm)
+            ids = rb.column("doc_id").to_numpy(zero_copy_only=False)
+            step = max(1, SCORE_CELLS // nq)
+            for first in range(0, len(counts), step):
+                own = slice(*np.searchsorted(doc, [first, first + step]))
+                pairs = np.diff(cut)[term[own]]
+                at = np.repeat(cut[term[own]], pairs) + np.arange(pairs.sum()) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+                cell = (np.repeat(doc[own], pairs) - first) * nq + query[at]
+                fp = np.floor(times[at] * np.repeat(w[own], pairs) * float(SCORE_SCALE) + 0.5)
+                rows = min(step, len(counts) - first)
+                total = np.bincount(cell, weights=fp, minlength=rows * nq).astype(np.int64)  # exact below 2**53
+                there = np.bincount(cell, minlength=rows * nq) > 0
+                there &= total >= np.tile(floor, rows)
+                pick = np.flatnonzero(there)
+                best.append((pick % nq, total[pick], ids[first + pick // nq]))
+                size += len(pick)
+                if size > 4 * k * nq + 100_000:
+                    best = [reduce(best)]
+                    size = len(best[0][0])
+                    q, s, _ = best[0]
+                    full = np.bincount(q, minlength=nq) >= k
+                    low = np.full(nq, np.iinfo(np.int64).max)
+                    np.minimum.at(low, q, s)
+                    floor = np.where(full, low, -1)
+        if best:
+            q, s, d = reduce(best)
+            yield pa.RecordBatch.from_arrays([pa.array(qids[q]), pa.array(d), pa.array(s, pa.int64())], ["qid", "doc_id", "_fp"])
+
+    ship_package(spark)
+    kind = index.table.schema["doc_id"].dataType.simpleString()
+    return index.table.select("doc_id", "dl", "terms").mapInArrow(run, f"qid long, doc_id {kind}, _fp long")
+
+
+def search(index: BM25Index, queries: DataFrame, k: int = 10, qid_col: str = "qid", text_col: str = "text") -> DataFrame:
+    """``(qid, rank, doc_id, score)``, best first, ties by doc_id.
+
+    The query terms are read in blocks of about ``QUERY_TERMS`` (query, term) pairs; each is one scan of the index."""
+    spark = index.table.sparkSession
+    qt = query_terms(queries, qid_col, text_col).withColumn("qid", F.col("qid").cast("long")).where("qid is not null")
+    blocks = 1 + qt.count() // QUERY_TERMS
+    out = None
+    for i in range(blocks):
+        mine = qt if blocks == 1 else qt.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == i)
+        rows = [tuple(r) for r in mine.join(index.df(mine), "term").select("qid", "term", "qtf", idf(index.n_docs, F.col("df"))).collect()]
+        if rows:
+            part = _task_topk(index, rows, k)
+            out = part if out is None else out.unionByName(part)
+    if out is None:
+        out = spark.createDataFrame([], f"qid long, doc_id {index.table.schema['doc_id'].dataType.simpleString()}, _fp long")
+    return (top_k_per_group(out, ["qid"], [F.desc("_fp"), F.asc("doc_id")], k)
             .select("qid", F.col("rank").cast("long").alias("rank"), "doc_id",
                     (F.col("_fp") / F.lit(float(SCORE_SCALE))).alias("score")))
 

@@ -55,7 +55,7 @@ def bm25_topk(spark, sf_dir):
     "(SELECT * FROM (SELECT *, percent_rank() OVER (PARTITION BY doc_id ORDER BY w) AS pr FROM w) WHERE pr >= 0.2)"))
 def bm25_topk_pruned(spark, sf_dir):
     """As bm25_topk with drop ratio 0.2 on the index side."""
-    res = bm25.search(_index(spark, sf_dir), _queries(spark, sf_dir), k=10, drop_ratio=0.2)
+    res = bm25.search(bm25.pruned(_index(spark, sf_dir), 0.2), _queries(spark, sf_dir), k=10)
     return res.withColumn("score", F.round("score", 6))
 
 
