@@ -6,7 +6,8 @@ from vecframe.operators.ivf import assign_cells, build_index, ivf_search
 from vecframe.operators.quantize import sq8_ranges
 from vecframe.operators.quantize import encode, sq8_encode
 from vecframe.operators.search import search
-from vecframe.plans.views import all_queries, collection_view
+from helpers import all_queries
+from vecframe.plans.views import collection_view
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,7 +18,7 @@ def _view(spark):
 
 def test_full_probe_equals_exact(spark):
     view = _view(spark)
-    idx = build_index(view, "IP", nlist=8, method="seed")
+    idx = build_index(view, "IP", nlist=8, method="mean")
     asg = assign_cells(view, idx)
     q = all_queries(view).where("qid < 40")
     a = ivf_search(asg, q, idx, k=10, nprobe=8).select("qid", "rank", "id").collect()
@@ -37,7 +38,7 @@ def test_recall_grows_with_nprobe(spark):
 
 def test_hot_cell_split_gives_same_result(spark):
     view = _view(spark)
-    idx = build_index(view, "IP", nlist=4, method="seed")
+    idx = build_index(view, "IP", nlist=4, method="mean")
     asg = assign_cells(view, idx)
     q = all_queries(view).where("qid < 30")
     a = ivf_search(asg, q, idx, k=5, nprobe=2).select("qid", "rank", "id").collect()
@@ -46,9 +47,38 @@ def test_hot_cell_split_gives_same_result(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
+def test_nlist_as_asked(spark):
+    view = _view(spark)
+    assert build_index(view, "IP", nlist=37, method="mean").nlist == 37
+    assert build_index(view, "IP", nlist=33, method="kmeans").nlist == 33
+    assert build_index(view.limit(5), "IP", nlist=37, method="mean").nlist == 5
+
+
+def test_repeated_query_ids_are_refused(spark):
+    import pytest
+    view = _view(spark)
+    idx = build_index(view, "IP", nlist=4, method="mean")
+    q = all_queries(view).where("qid < 2")
+    with pytest.raises(ValueError):
+        ivf_search(assign_cells(view, idx), q.unionByName(q), idx, k=5).collect()
+
+
+def test_shifted_l2_cells_and_search_are_exact(spark):
+    view = collection_view(spark, SF, shift=10_000).select("id", "value")
+    idx = build_index(view, "L2", nlist=8, method="mean")
+    rows = assign_cells(view, idx).collect()
+    for r in rows[:100]:
+        d = ((idx.centroids - np.array(r["value"], dtype=np.float64)) ** 2).sum(axis=1)
+        assert d[r["cell"]] <= d.min() * (1 + 1e-9)
+    q = all_queries(view).where("qid < 20")
+    a = ivf_search(assign_cells(view, idx), q, idx, k=5, nprobe=8).select("qid", "rank", "id").collect()
+    e = search(view, q, "L2", 5, fields=[]).select("qid", "rank", "id").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, e))
+
+
 def test_broadcast_and_cogroup_paths_agree_sq8(spark):
     view = _view(spark)
-    idx = build_index(view, "IP", nlist=8, method="seed")
+    idx = build_index(view, "IP", nlist=8, method="mean")
     lo, hi = sq8_ranges(view, 64)
     idx.lo, idx.hi = lo, hi
     coded = sq8_encode(assign_cells(view, idx), lo, hi)
@@ -63,7 +93,7 @@ def test_broadcast_and_cogroup_paths_agree_sq8(spark):
 
 def test_probe_filter_reaches_the_scan(spark, tmp_dir):
     view = _view(spark)
-    idx = build_index(view, "IP", nlist=16, method="seed")
+    idx = build_index(view, "IP", nlist=16, method="mean")
     assign_cells(view, idx).write.parquet(tmp_dir + "/ivf")
     t = spark.read.parquet(tmp_dir + "/ivf")
     res = ivf_search(t, [[0.1] * 64], idx, k=5, nprobe=2)
@@ -82,7 +112,7 @@ def test_sq8_flat_dimension_and_clamp():
 
 def test_sq8_rerank_recovers_exact_order(spark):
     view = _view(spark)
-    idx = build_index(view, "IP", nlist=4, method="seed")
+    idx = build_index(view, "IP", nlist=4, method="mean")
     lo, hi = sq8_ranges(view, 64)
     idx.lo, idx.hi = lo, hi
     coded = sq8_encode(assign_cells(view, idx), lo, hi)
@@ -96,7 +126,7 @@ def test_sq8_rerank_recovers_exact_order(spark):
 def test_index_round_trip_and_sorted_layout(spark, tmp_dir):
     from vecframe.operators.ivf import load_index, save_index, write_assigned
     view = collection_view(spark, SF)
-    idx = build_index(view.select("id", "value"), "IP", nlist=16, method="seed")
+    idx = build_index(view.select("id", "value"), "IP", nlist=16, method="mean")
     idx.lo, idx.hi = sq8_ranges(view, 64)
     save_index(spark, idx, tmp_dir + "/idx")
     back = load_index(spark, tmp_dir + "/idx")
@@ -111,7 +141,7 @@ def test_index_round_trip_and_sorted_layout(spark, tmp_dir):
 
 def test_cosine_cells_full_probe_equals_exact(spark):
     view = collection_view(spark, SF, scaled=True).select("id", "value")  # lengths 1, 2, 3
-    idx = build_index(view, "COSINE", nlist=8, method="seed")
+    idx = build_index(view, "COSINE", nlist=8, method="mean")
     q = all_queries(view).where("qid < 30")
     a = ivf_search(assign_cells(view, idx), q, idx, k=10, nprobe=8).select("qid", "rank", "id").collect()
     e = search(view, q, "COSINE", 10, fields=[]).select("qid", "rank", "id").collect()
@@ -120,7 +150,7 @@ def test_cosine_cells_full_probe_equals_exact(spark):
 
 def test_cosine_assignment_is_highest_cosine(spark):
     view = collection_view(spark, SF, scaled=True).select("id", "value")
-    idx = build_index(view, "COSINE", nlist=8, method="seed")
+    idx = build_index(view, "COSINE", nlist=8, method="mean")
     rows = assign_cells(view, idx).collect()
     C = idx.centroids / np.linalg.norm(idx.centroids, axis=1, keepdims=True)
     for r in rows:
@@ -131,7 +161,7 @@ def test_cosine_assignment_is_highest_cosine(spark):
 
 def test_ivf_float32_precision_same_rows(spark):
     view = _view(spark)
-    idx = build_index(view, "IP", nlist=8, method="seed")
+    idx = build_index(view, "IP", nlist=8, method="mean")
     asg = assign_cells(view, idx)
     q = all_queries(view).where("qid < 40")
     for method in ("broadcast", "cogroup"):

@@ -83,7 +83,8 @@ def test_arrow_path_equals_expression_path(spark):
 
 
 def test_blocked_path_equals_broadcast_path(spark, monkeypatch):
-    from vecframe.plans.views import all_queries, collection_view
+    from helpers import all_queries
+    from vecframe.plans.views import collection_view
     view = collection_view(spark, "/root/testdata/sf0.001").select("id", "value")
     q = all_queries(view).where("qid < 60")
     a = search(view, q, "IP", 7, fields=[]).collect()
@@ -122,7 +123,7 @@ def test_per_query_partitions_mask(spark):
         F.col("id").alias("qid"), F.col("value").alias("vec"),
         F.when(F.col("id") == 0, 3).otherwise(5).alias("topk"),
         F.when(F.col("id") == 0, "").when(F.col("id") == 150, "20250816,,20250814").otherwise("19990101").alias("partitions"))
-    got = answer_search_requests(view, reqs, "IP", max_k=10, fields=["dt"]).collect()
+    got = answer_search_requests(view, reqs, "IP", fields=["dt"]).collect()
     by = {}
     for r in got:
         by.setdefault(r["qid"], []).append(r)
@@ -138,15 +139,16 @@ def test_two_level_topk_equals_one_level(spark):
     df = spark.range(0, 5000, numPartitions=40).select(
         F.pmod("id", F.lit(3)).alias("qid"), F.col("id"), ((F.col("id") * 7919) % 1000).alias("score"))
     order = [F.desc("score"), F.asc("id")]
-    a = top_k_per_group(df, ["qid"], order, 7, fan_in=1000).collect()
-    b = top_k_per_group(df, ["qid"], order, 7, fan_in=4).collect()
+    a = top_k_per_group(df, ["qid"], order, 7, buckets=1).collect()
+    b = top_k_per_group(df, ["qid"], order, 7, buckets=10).collect()
     key = lambda r: (r["qid"], r["rank"])
     assert [(r["qid"], r["rank"], r["id"]) for r in sorted(a, key=key)] == \
            [(r["qid"], r["rank"], r["id"]) for r in sorted(b, key=key)]
 
 
 def test_float32_precision_returns_the_same_rows(spark):
-    from vecframe.plans.views import all_queries, collection_view
+    from helpers import all_queries
+    from vecframe.plans.views import collection_view
     view = collection_view(spark, "/root/testdata/sf0.001", scaled=True).select("id", "value")
     q = all_queries(view).where("qid < 80")
     for metric in ("IP", "L2", "COSINE"):
@@ -156,3 +158,59 @@ def test_float32_precision_returns_the_same_rows(spark):
         assert [(r["qid"], r["rank"], r["id"]) for r in sorted(a, key=key)] == \
                [(r["qid"], r["rank"], r["id"]) for r in sorted(b, key=key)]
         assert all(abs(x["score"] - y["score"]) < 1e-9 for x, y in zip(sorted(a, key=key), sorted(b, key=key)))
+
+
+def test_l2_is_the_direct_difference_far_from_the_origin():
+    import numpy as np
+    from vecframe.operators import _kernels as K
+    rnd = np.random.default_rng(3)
+    for d, n, spread, shift in ((64, 300, 1e-3, 1e4), (8, 50, 1.0, 1e8), (16, 200, 1e-6, 1.0), (4, 3, 1.0, 0.0)):
+        X, Q = rnd.normal(size=(n, d)) * spread + shift, rnd.normal(size=(7, d)) * spread + shift
+        true = ((X[:, None, :] - Q[None]) ** 2).sum(axis=2)
+        for precision in ("float64", "float32"):
+            r, q, s = K.local_topk("L2", False, X, np.arange(n), Q, 5, precision=precision)
+            for j in range(7):
+                best = sorted(zip(true[:, j], range(n)))[:5]
+                got = sorted(zip(s[q == j], r[q == j]))[:5]
+                assert [i for _, i in got] == [i for _, i in best] and np.allclose([v for v, _ in got], [v for v, _ in best], rtol=1e-9)
+
+
+def test_many_query_blocks_give_the_same(spark, monkeypatch):
+    from helpers import all_queries
+    from vecframe.operators import search as S
+    from vecframe.plans.views import collection_view
+    view = collection_view(spark, "/root/testdata/sf0.001")
+    q = all_queries(view).where("qid < 60")
+    a = search(view, q, "IP", 5, fields=["dt"]).collect()
+    monkeypatch.setattr(S, "MAX_TASK_CANDIDATES", 200)  # ten queries a block
+    b = search(view, q, "IP", 5, fields=["dt"])
+    assert b.columns == ["qid", "rank", "id", "score", "dt"]
+    rows = lambda found: sorted((r.qid, r["rank"], r.id, round(r.score, 9), r.dt) for r in found)
+    assert rows(a) == rows(b.collect())
+
+
+def test_requests_fail_alone(spark):
+    from vecframe.plans.views import collection_view
+    from vecframe.streaming.requests import answer_search_requests, checked_requests
+    view = collection_view(spark, "/root/testdata/sf0.001")
+    v = [float(x) for x in view.where("id = 0").first()["value"]]
+    rows = [(3, v, None, ""), (3, v, 2, ""), (4, v, 120, None), (5, v[:7], 5, ""), (6, None, 5, ""), (7, v, 0, ""), (None, v, 1, "")]
+    reqs = spark.createDataFrame(rows, "qid long, vec array<double>, topk int, partitions string")
+    got = answer_search_requests(view, reqs).collect()
+    assert set(got[0].asDict()) == {"qid", "rank", "id", "score", "deviceCode", "createTime"}
+    count = {}
+    for r in got:
+        count[r.qid] = count.get(r.qid, 0) + 1
+    assert count == {3: 12, 4: 120, None: 1}
+    bad = {r.qid: r.error for r in checked_requests(reqs, 64).where("error is not null").collect()}
+    assert set(bad) == {5, 6, 7}
+    assert answer_search_requests(view, reqs.where("qid = 6")).collect() == []
+
+
+def test_planning_runs_no_job(spark):
+    from pyspark.sql import functions as F
+    from vecframe.operators.search import rank_candidates
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    df = spark.range(1000).repartition(70).select(F.pmod("id", F.lit(3)).alias("qid"), "id", F.rand(1).alias("score"))
+    rank_candidates(df, "IP", 5)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before

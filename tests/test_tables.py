@@ -120,15 +120,54 @@ def test_collection_index_build_and_fresh_days(spark, tmp_dir):
         name = "vf_ivf_" + kind.lower()
         TB.create_collection(spark, name, dim=8, index=kind, metric="IP", location=f"{tmp_dir}/{name}", replace=True)
         TB.append(spark, name, bench_rows(spark.range(0, 300), 8, now_ms=0), day="20250816")
-        assert TB.build_collection_index(spark, name, f"{tmp_dir}/{name}_idx", nlist=4, method="seed") in ("ivf", "ivf_sq8")
+        assert TB.build_collection_index(spark, name, f"{tmp_dir}/{name}_idx", nlist=4, method="mean") in ("ivf", "ivf_sq8")
         TB.append(spark, name, bench_rows(spark.range(300, 400), 8, now_ms=0), day="20250817")  # after the build
         q = [0.5] * 8
         got = TB.collection_search(spark, name, [q], k=5, nprobe=4, rerank=True).collect()
         want = search(spark.table(name), [q], "IP", 5, fields=["dt"]).collect()
         assert [r["id"] for r in sorted(got, key=lambda r: r["rank"])] == [r["id"] for r in sorted(want, key=lambda r: r["rank"])]
+        TB.append(spark, name, bench_rows(spark.range(400, 700), 8, now_ms=0), day="20250816")  # to a built day
+        TB.append(spark, name, bench_rows(spark.range(700, 800), 8, now_ms=0))  # to the default partition
+        got = TB.collection_search(spark, name, [q], k=40, nprobe=4, rerank=True).collect()
+        want = search(spark.table(name), [q], "IP", 40, fields=["dt"]).collect()
+        assert [r["id"] for r in sorted(got, key=lambda r: r["rank"])][:30] == [r["id"] for r in sorted(want, key=lambda r: r["rank"])][:30]
+        assert {r["id"] for r in TB.collection_search(spark, name, [q], k=1000, nprobe=4).collect()} == set(range(800))
+        import pytest
+        with pytest.raises(ValueError):
+            TB.collection_search(spark, name, [q], k=3, metric="L2")
         fresh_only = TB.collection_search(spark, name, [q], k=3, nprobe=4, partitions=["20250817"]).collect()
         assert len(fresh_only) == 3 and all(r["dt"] == "20250817" for r in fresh_only)
         TB.expire_day(spark, name, dt.date(2025, 8, 17), 1)  # 20250816: built into the cell table
         after = TB.collection_search(spark, name, [q], k=500, nprobe=4).collect()
-        assert len(after) == 100 and all(r["dt"] == "20250817" for r in after)
+        assert len(after) == 200 and {r["dt"] for r in after} == {"20250817", "_default"}
         TB.drop_collection(spark, name)
+
+
+def test_one_large_day_is_written_by_many_tasks(spark, tmp_dir):
+    import glob
+    TB.create_collection(spark, "vf_wide", dim=64, location=tmp_dir + "/wide", replace=True)
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        TB.append(spark, "vf_wide", bench_rows(spark.range(0, 40_000, numPartitions=8), 64, now_ms=0), day="20250817")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(glob.glob(tmp_dir + "/wide/dt=20250817/*.parquet")) >= 4
+    assert spark.table("vf_wide").count() == 40_000
+    TB.drop_collection(spark, "vf_wide")
+
+
+def test_batch_keyed_append_is_replayable(spark, tmp_dir):
+    TB.create_collection(spark, "vf_keyed", dim=4, location=tmp_dir + "/keyed", replace=True, batch_key=True)
+    for batch in (0, 1, 1, 0):
+        TB.append(spark, "vf_keyed", bench_rows(spark.range(10), 4, now_ms=0), day="20250817", batch_id=batch)
+    TB.append(spark, "vf_keyed", bench_rows(spark.range(3), 4, now_ms=0), day="20250816")
+    assert spark.table("vf_keyed").count() == 23
+    TB.drop_collection(spark, "vf_keyed")
+
+
+def test_backfill_over_the_default_partition(spark):
+    from vecframe.operators.backfill import plan_days
+    existing = spark.createDataFrame([("_default", 500), ("20250816", 30), (None, 4)], "dt string, n long")
+    plan = plan_days(spark, existing, dt.date(2025, 8, 16), 4, 10, 25)
+    assert sorted((r.dt, r.batches) for r in plan.prefix.collect()) == [("20250816", 1)]

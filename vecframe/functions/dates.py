@@ -84,4 +84,4 @@ def py_parse_day(s: str) -> _dt.date:
                 return _dt.datetime.strptime(s, fmt).date()
         except ValueError:
             continue
-    raise ValueError(f"error date format, eg: 20060102 (got {s!r})")
+    raise ValueError(f"not a date in a known layout: {s!r}")

@@ -38,7 +38,7 @@ def validate_insert_num(s) -> tuple[Column, Column]:
     c = _col(s)
     num = F.when(c.rlike(r"^[+-]?[0-9]+$"), c.try_cast("bigint"))
     err = (F.when(num.isNull(), F.lit("not an integer"))
-           .when(num > MAX_INSERT_NUM, F.lit("num should less than 50000"))
-           .when(num < 0, F.lit("num must not be negative")))
+           .when(num > MAX_INSERT_NUM, F.lit("too many rows"))
+           .when(num < 0, F.lit("negative")))
     ok_num = F.when(err.isNull(), num)
     return ok_num, err

@@ -128,45 +128,71 @@ def partition_mask(row_values, query_parts):
     ``query_parts[j]`` is None (all partitions) or a set of names."""
     if query_parts is None:
         return None
-    uniq = {v: i for i, v in enumerate(dict.fromkeys(row_values))}
-    vidx = np.fromiter((uniq[v] for v in row_values), dtype=np.int64, count=len(row_values))
+    coded = pa.array(row_values).dictionary_encode(null_encoding="encode") if not isinstance(row_values, pa.Array) \
+        else row_values.dictionary_encode(null_encoding="encode")
+    uniq = coded.dictionary.to_pylist()
+    vidx = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     masks = np.array([[p is None or v in p for p in query_parts] for v in uniq], dtype=bool).reshape(len(uniq), -1)
     return lambda j0, j1: masks[vidx, j0:j1]
 
 
-def _prefiltered(metric: str, higher: bool, X: np.ndarray, Q: np.ndarray, k: int, allow_blk):
-    """float32 product, then every row that could still be in the exact top k
-    (within twice the float32 error bound of the k-th best) re-scored in
-    float64.  Returns ``(rows, queries, exact scores)`` - a proven superset of
-    the exact top k per query, no cap."""
+# Matched pairs re-scored at a time (floats of one side).
+PAIR_CELLS = 1 << 22
+
+
+def paired(metric: str, X: np.ndarray, Q: np.ndarray, r: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """``pair_scores(X[r], Q[q])`` in bounded pieces."""
+    step = max(1, PAIR_CELLS // max(1, X.shape[1]))
+    if len(r) <= step:
+        return pair_scores(metric, X[r], Q[q])
+    return np.concatenate([pair_scores(metric, X[r[i:i + step]], Q[q[i:i + step]]) for i in range(0, len(r), step)])
+
+
+def _prefiltered(metric: str, higher: bool, X: np.ndarray, Q: np.ndarray, k: int, allow_blk, precision: str):
+    """A matrix product, then every row whose error bound reaches the exact top k
+    re-scored pair by pair in float64.  Returns ``(rows, queries, exact scores)`` -
+    a proven superset of the exact top k per query, no cap.
+
+    L2 is shift-invariant, so rows and queries are centred first: the product of
+    vectors far from the origin would cancel."""
     d = X.shape[1]
-    c = (d + 4) * 2.0 ** -23  # |ip32 - ip| <= c |x| |q|
-    xn = np.sqrt(np.einsum("ij,ij->i", X, X))
-    qn = np.sqrt(np.einsum("ij,ij->i", Q, Q))
-    ip = (X.astype(np.float32) @ Q.astype(np.float32).T).astype(np.float64)
-    if metric == "IP":
-        approx, err = ip, c * xn[:, None] * qn[None, :]
-    elif metric == "L2":
-        approx = np.maximum(xn[:, None] ** 2 + qn[None, :] ** 2 - 2.0 * ip, 0.0)
-        err = 2.0 * c * xn[:, None] * qn[None, :]
-    else:
-        denom = xn[:, None] * qn[None, :]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            approx = ip / denom
-        approx[denom == 0] = np.nan
-        err = np.full_like(approx, c)
-    key = to_key(approx, higher)
-    if allow_blk is not None:
-        key = np.where(allow_blk, key, np.nan)
-    finite = ~np.isnan(key)
-    n = key.shape[0]
-    if n <= k:
-        r, q = np.nonzero(finite)
+    unit = 2.0 ** -23 if precision == "float32" else 2.0 ** -52
+    c = (d + 4) * unit  # |product - ip| <= c |x| |q|
+    A, B = X, Q
+    if metric == "L2":
+        centre = np.where(np.isfinite(Q), Q, 0.0).mean(axis=0)
+        A, B = X - centre, Q - centre
+    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+        xn = np.sqrt(np.einsum("ij,ij->i", A, A))
+        qn = np.sqrt(np.einsum("ij,ij->i", B, B))
+        if precision == "float32":
+            ip = (A.astype(np.float32) @ B.astype(np.float32).T).astype(np.float64)
+        else:
+            ip = A @ B.T
+        size = xn[:, None] * qn[None, :]
+        if metric == "IP":
+            approx, err = ip, c * size
+        elif metric == "L2":
+            squares = xn[:, None] ** 2 + qn[None, :] ** 2
+            approx, err = squares - 2.0 * ip, 2.0 * c * size + 2.0 * (d + 4) * 2.0 ** -52 * squares
+        else:
+            approx, err = ip / size, np.full_like(ip, c + 4.0 * (d + 4) * 2.0 ** -52)
+        key = to_key(approx, higher)
+        # no score: a NaN or infinite input, or a zero vector under COSINE
+        usable = (np.isfinite(X).all(axis=1)[:, None] & np.isfinite(Q).all(axis=1)[None, :])
+        if metric == "COSINE":
+            usable &= size > 0
+        if allow_blk is not None:
+            usable &= allow_blk
+        known = np.isfinite(key) & np.isfinite(err)  # else the product overflowed: such a pair is always re-scored
+        low = np.where(usable, np.where(known, key - err, -np.inf), np.nan)
+        high = np.where(usable, np.where(known, key + err, np.inf), np.inf)
+    if key.shape[0] <= k:
+        r, q = np.nonzero(usable)
     else:
-        kth = np.partition(np.where(finite, key, np.inf), k - 1, axis=0)[k - 1]
-        slack = 2.0 * np.where(finite, err, 0.0).max(axis=0)
-        r, q = np.nonzero(finite & (key <= (kth + slack)[None, :]))
-    return r, q, pair_scores(metric, X[r], Q[q])
+        kth = np.partition(high, k - 1, axis=0)[k - 1]  # the k-th best is at least this good
+        r, q = np.nonzero(usable & (low <= kth[None, :]))
+    return r, q, paired(metric, X, Q, r, q)
 
 
 def local_topk(metric: str, higher: bool, X: np.ndarray, ids: np.ndarray, Q: np.ndarray, k: int, allow=None,
@@ -176,14 +202,14 @@ def local_topk(metric: str, higher: bool, X: np.ndarray, ids: np.ndarray, Q: np.
     ``allow``: optional :func:`partition_mask` result restricting which rows
     each query may see.  ``precision="float32"`` runs the product in float32
     and re-scores the survivors exactly (same result, about half the
-    product time).  Returns ``(row_index, query_index, score)`` arrays.
+    product time); L2 always re-scores survivors, by differences.  Returns ``(row_index, query_index, score)`` arrays.
     """
     rs, qs, ss = [], [], []
     step = block_size(X.shape[0], Q.shape[0])
     for j0 in range(0, Q.shape[0], step):
-        if precision == "float32":
+        if precision == "float32" or metric == "L2":
             blk = allow(j0, min(j0 + step, Q.shape[0])) if allow is not None else None
-            r, q, sc = _prefiltered(metric, higher, X, Q[j0:j0 + step], k, blk)
+            r, q, sc = _prefiltered(metric, higher, X, Q[j0:j0 + step], k, blk, precision)
             ex_key = to_key(sc, higher)
             ok = ~np.isnan(ex_key)
             r, q, sc, ex_key = r[ok], q[ok], sc[ok], ex_key[ok]

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vecframe.session import bounded_broadcast
+from vecframe.session import bounded_broadcast, cut_lineage
 from vecframe.sources.batches import batch_split_counted
 
 
@@ -68,11 +68,12 @@ class DayPlan:
 def plan_days(spark: SparkSession, existing: DataFrame, start: _dt.date, n_batches: int, batch_size: int,
               max_rows: int, partition_col: str = "dt") -> DayPlan:
     """The closed form of the reference's loop.  ``existing``: ``(dt, n)``
-    counts read *before* the load (P4)."""
+    counts read *before* the load (P4); partitions that are no days, such as the
+    default one, take no part."""
     c0 = max(1, math.ceil(max_rows / batch_size))
     start_lit = F.lit(start.isoformat()).cast("date")
     ex = (existing.select(F.col(partition_col), F.col("n").cast("long").alias("existing"))
-          .withColumn("day_index", F.datediff(start_lit, F.to_date(F.col(partition_col), "yyyyMMdd")).cast("long"))
+          .withColumn("day_index", F.datediff(start_lit, F.try_to_date(F.col(partition_col), "yyyyMMdd")).cast("long"))
           .where((F.col("day_index") >= 0) & (F.col("day_index") < n_batches) & (F.col("existing") > 0)))
     last = ex.agg(F.max("day_index")).first()[0]  # one row per existing day partition, aggregated
     n_prefix = 0 if last is None else int(last) + 1
@@ -91,7 +92,8 @@ def plan_days(spark: SparkSession, existing: DataFrame, start: _dt.date, n_batch
     w = Window.orderBy("day_index").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cal = cal.withColumn("first_batch", F.sum("cap").over(w) - F.col("cap"))
     cal = (cal.where(F.col("first_batch") < n_batches)
-           .withColumn("batches", F.least(F.col("cap"), F.lit(n_batches) - F.col("first_batch")))).cache()
+           .withColumn("batches", F.least(F.col("cap"), F.lit(n_batches) - F.col("first_batch"))))
+    cal = cut_lineage(cal)
     agg = cal.agg(F.count(F.lit(1)).alias("d"), F.sum("batches").alias("b")).first()
     return DayPlan(cal, int(agg["d"]), int(agg["b"] or 0), c0, start, n_batches, partition_col)
 
@@ -104,7 +106,7 @@ def batch_days(cal: DataFrame, partition_col: str = "dt") -> DataFrame:
 
 
 def assign_days(rows: DataFrame, existing: DataFrame, start: _dt.date, batch_size: int, max_rows: int,
-                partition_col: str = "dt", stable: bool = True) -> tuple[DataFrame, DayPlan]:
+                partition_col: str = "dt", stable: bool = False) -> tuple[DataFrame, DayPlan]:
     """Rows with ``batch``, ``day_index`` and ``dt`` filled in, plus the plan used."""
     spark = rows.sparkSession
     with_batch, n = batch_split_counted(rows.drop(partition_col) if partition_col in rows.columns else rows,

@@ -36,7 +36,7 @@ MAX_WINDOW_VALUES = 2_000_000
 
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                       ps: Sequence[float] = (0.5, 0.95, 0.99), names: Sequence[str] | None = None,
-                      max_window_values: int = MAX_WINDOW_VALUES) -> DataFrame:
+                      max_window_values: int = MAX_WINDOW_VALUES, with_mean: bool = False) -> DataFrame:
     """Exact, linearly interpolated percentiles without buffering a group.
 
     1. a histogram ``(group, value, count)`` - partial aggregation, one row
@@ -66,9 +66,13 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         part = (part.withColumn("_off", F.coalesce(F.sum("_np").over(wo), F.lit(0)))
                 .withColumn("_n", F.sum("_np").over(Window.partitionBy(*g))).drop("_np"))
         wl = Window.partitionBy("_pid", *g).orderBy(value_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cum = (tagged.withColumn("_local", F.sum("_c").over(wl)).join(part, ["_pid", *g])
+        named = part.select(F.col("_pid").alias("_of"), *[F.col(c).alias(f"_of_{c}") for c in g], "_off", "_n")
+        same = F.col("_pid") == F.col("_of")
+        for c in g:  # a group may be NULL
+            same &= F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+        cum = (tagged.withColumn("_local", F.sum("_c").over(wl)).join(named, same)
                .withColumn("_cum", F.col("_off") + F.col("_local")))
-    aggs = [F.first("_n").alias("_n")]
+    aggs = [F.first("_n").alias("_n"), (F.sum(F.col(value_col) * F.col("_c")) / F.sum("_c")).alias("_mean")]
     for p, nm in zip(ps, names):
         h = (F.col("_n") - 1) * F.lit(float(p))
         aggs.append(F.min(F.when(F.col("_cum") > F.floor(h), F.col(value_col))).alias(f"{nm}_lo"))
@@ -76,6 +80,8 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         aggs.append(F.first(h - F.floor(h)).alias(f"{nm}_f"))
     out = cum.groupBy(*g).agg(*aggs)
     cols = [F.col(c) for c in g] + [F.col("_n").alias("n")]
+    if with_mean:
+        cols.append(F.col("_mean").alias("mean"))
     for nm in names:
         lo, hi, f = F.col(f"{nm}_lo"), F.col(f"{nm}_hi"), F.col(f"{nm}_f")
         cols.append((lo + f * (hi - lo)).alias(nm))
@@ -83,10 +89,8 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
 
 
 def latency_summary(runs: DataFrame, group_cols: Sequence[str], ms_col: str = "ms") -> DataFrame:
-    """Count, p50 / p95 / p99 and mean of a run-log table."""
-    pct = exact_percentiles(runs, group_cols, ms_col)
-    mean = runs.groupBy(*group_cols).agg(F.avg(ms_col).alias("mean"))
-    return (pct.join(mean, list(group_cols))
+    """Count, p50 / p95 / p99 and mean of a run-log table (a NULL group is a group)."""
+    return (exact_percentiles(runs, group_cols, ms_col, with_mean=True)
             .select(*group_cols, "n", *[F.round(c, 6).alias(c) for c in ("p50", "p95", "p99", "mean")]))
 
 
@@ -97,11 +101,13 @@ def timed(action: Callable[[], object]) -> tuple[object, int]:
     return out, int((time.perf_counter() - t0) * 1000)
 
 
-def capacity(df: DataFrame, dim: int, partition_col: str = "dt", with_files: bool = False) -> DataFrame:
-    """Rows and vector bytes per day; files and bytes on disk when the
-    input is a file table (``_metadata`` column)."""
-    aggs = [F.count(F.lit(1)).alias("rows"), (F.count(F.lit(1)) * F.lit(dim * 4)).alias("vector_bytes")]
-    if with_files:
-        aggs += [F.countDistinct("_metadata.file_path").alias("files")]
-        df = df.select("*", "_metadata")
-    return df.groupBy(partition_col).agg(*aggs)
+def capacity(df: DataFrame, dim: int | None = None, partition_col: str = "dt", vector_col: str = "value", with_files: bool = False) -> DataFrame:
+    """Rows and vector bytes per day (of each row's own length, unless ``dim`` is given); with ``with_files``
+    also files and their bytes on disk, for a file table (``_metadata`` column)."""
+    size = F.lit(dim) if dim else F.coalesce(F.size(vector_col), F.lit(0))
+    aggs = [F.count(F.lit(1)).alias("rows"), F.sum((size * 4).cast("long")).alias("vector_bytes")]
+    if not with_files:
+        return df.groupBy(partition_col).agg(*aggs)
+    per_file = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_size")).groupBy(partition_col, "_file", "_size").agg(*aggs)
+    return per_file.groupBy(partition_col).agg(F.sum("rows").alias("rows"), F.sum("vector_bytes").alias("vector_bytes"),
+                                               F.count(F.lit(1)).alias("files"), F.sum("_size").alias("file_bytes"))

@@ -1,11 +1,11 @@
 """Clustered-cell (IVF) search with optional 8-bit codes (A1-A4).
 
 Build:
-* centroids: ``KMeans`` (pyspark.ml, distributed) trained on a sample of a
-  few hundred rows per cell, or the first ``nlist`` rows by id (a
-  deterministic seed quantizer the SQL oracle can repeat).  ``nlist`` is
-  capped at 4096, so the centroid matrix has a proven size bound and is
-  broadcast;
+* centroids: ``KMeans`` (pyspark.ml, distributed) over all rows, or ``mean``:
+  the rows with the smallest ``md5(id)`` as seeds and one update of every
+  centroid to the mean of its rows (deterministic; the SQL oracle repeats it).
+  There are as many cells as asked for; the centroid matrix (``nlist x dim``)
+  is broadcast;
 * assignment: every row gets its nearest centroid (squared L2, ties to the
   lowest cell) in one scan - a NumPy product per Arrow batch.
 
@@ -22,7 +22,7 @@ Search:
   the data; rows of unprobed cells are dropped before the shuffle;
 * either way each task or group emits only its local top-k per query, and a
   per-query (tree) window keeps the final k.  SQ8 re-rank is a second Spark
-  stage over the best ``4k`` by code.
+  stage over the best ``rerank_size`` (4 k if not given) by code.
 
 HNSW / GPU index requests (A3, A4) are answered by the same cell structure
 or by exact search; no graph is built.
@@ -45,7 +45,8 @@ from vecframe.operators import _kernels as K
 from vecframe.session import ship_package
 from vecframe.operators.search import query_frame, rank_candidates
 
-MAX_NLIST = 4096
+# Cells that are made at most when the caller names no number.
+DEFAULT_MAX_NLIST = 65_536
 
 
 @dataclass
@@ -74,20 +75,22 @@ def save_index(spark, index: IVFIndex, path: str) -> None:
 
 
 def load_index(spark, path: str) -> IVFIndex:
-    rows = spark.read.parquet(path).collect()  # nlist + 2 rows (nlist <= 4096)
+    rows = spark.read.parquet(path).collect()  # nlist + 2 rows
     cents = sorted((r["cell"], r["v"]) for r in rows if r["kind"] == "c")
     extra = {r["kind"]: np.array(r["v"]) for r in rows if r["kind"] in ("lo", "hi")}
     metric = rows[0]["metric"] if rows else "IP"
     return IVFIndex(np.array([v for _, v in cents], dtype=np.float64), metric, extra.get("lo"), extra.get("hi"))
 
 
-def write_assigned(assigned: DataFrame, path: str, n_files: int, cell_col: str = "cell",
-                   partition_col: str | None = "dt") -> None:
+def write_assigned(assigned: DataFrame, path: str, n_files: int | None = None, cell_col: str = "cell",
+                   partition_col: str | None = "dt", id_col: str = "id") -> None:
     """Lay the assigned rows out range-sorted by cell: each file (and row
     group) covers a narrow cell range, so the probe filter ``cell IN (...)``
-    skips most of them.  Kept partitioned by day, so expiry drops a day from
-    the cell table too."""
-    out = assigned.repartitionByRange(n_files, cell_col).sortWithinPartitions(cell_col)
+    skips most of them.  The ranges also run over a hash of the id, so a hot
+    cell is split over files.  Kept partitioned by day, so expiry drops a day
+    from the cell table too."""
+    keys = [F.col(cell_col), F.xxhash64(id_col)]
+    out = (assigned.repartitionByRange(n_files, *keys) if n_files else assigned.repartitionByRange(*keys)).sortWithinPartitions(cell_col)
     w = out.write.mode("overwrite")
     if partition_col and partition_col in assigned.columns:
         w = w.partitionBy(partition_col)
@@ -95,7 +98,7 @@ def write_assigned(assigned: DataFrame, path: str, n_files: int, cell_col: str =
 
 
 def default_nlist(n: int) -> int:
-    return max(1, min(MAX_NLIST, math.ceil(4 * math.sqrt(max(n, 1)))))
+    return max(1, min(DEFAULT_MAX_NLIST, math.ceil(4 * math.sqrt(max(n, 1)))))
 
 
 def default_nprobe(nlist: int) -> int:
@@ -103,31 +106,63 @@ def default_nprobe(nlist: int) -> int:
     return max(1, math.ceil(nlist / 32))
 
 
-def seed_centroids(base: DataFrame, nlist: int, vector_col: str = "value", id_col: str = "id") -> np.ndarray:
-    """The first ``nlist`` rows by id as centroids (cell = rank - 1)."""
-    nlist = min(nlist, MAX_NLIST)
-    rows = base.orderBy(id_col).limit(nlist).select(F.col(vector_col).cast("array<double>").alias("v")).toArrow()
+def hash_seeds(base: DataFrame, nlist: int, vector_col: str = "value", id_col: str = "id") -> np.ndarray:
+    """The vectors of the ``nlist`` rows whose ids have the smallest md5 (cell = rank - 1)."""
+    text = F.col(id_col).cast("string")
+    rows = base.orderBy(F.md5(text.cast("binary")), id_col).limit(nlist).select(F.col(vector_col).cast("array<double>").alias("v")).toArrow()
     v = rows.column("v").combine_chunks()
     d = len(v[0]) if len(v) else 0
     return v.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
 
 
-def train_centroids(base: DataFrame, nlist: int, vector_col: str = "value", seed: int = 42,
-                    rows_per_cell: int = 256, max_iter: int = 20) -> np.ndarray:
-    """KMeans centroids from a sample of about ``rows_per_cell`` rows per cell."""
+def mean_centroids(base: DataFrame, nlist: int, vector_col: str = "value", id_col: str = "id") -> np.ndarray:
+    """Hash-chosen seeds after one update over all rows: every centroid becomes
+    the mean of the rows nearest to it, rounded to six decimals (a seed without
+    rows stays).  Tasks add their rows up per cell; ``nlist x dim`` means reach
+    the driver."""
+    seeds = hash_seeds(base, nlist, vector_col, id_col)
+    if not len(seeds):
+        return seeds
+    dim = seeds.shape[1]
+    near = assign_cells(base.select(id_col, vector_col), IVFIndex(seeds, "L2"), vector_col)
+
+    def run(batches):
+        total, count = np.zeros(seeds.shape), np.zeros(len(seeds), np.int64)
+        for rb in batches:
+            rows, X = K.arrow_vectors(rb.column(vector_col), dim)
+            if len(rows):
+                cell = rb.column("cell").to_numpy(zero_copy_only=False)[rows].astype(np.int64)
+                np.add.at(total, cell, X)
+                count += np.bincount(cell, minlength=len(seeds))
+        used = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(count[used], pa.int64()),
+                                          pa.array(list(total[used]), pa.list_(pa.float64()))], ["cell", "n", "total"])
+
+    ship_package(base.sparkSession)
+    parts = near.mapInArrow(run, "cell int, n long, total array<double>")
+    means = (parts.select("cell", "n", F.posexplode("total").alias("pos", "x")).groupBy("cell", "pos")
+             .agg(F.round(F.sum("x") / F.sum("n"), 6).alias("mean")).collect())
+    out = seeds.copy()
+    for r in means:
+        out[r["cell"], r["pos"]] = r["mean"]
+    return out
+
+
+def train_centroids(base: DataFrame, nlist: int, vector_col: str = "value", seed: int = 42, max_iter: int = 20) -> np.ndarray:
+    """KMeans centroids over all rows."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
-    nlist = min(nlist, MAX_NLIST)
-    n = base.count()
-    frac = min(1.0, nlist * rows_per_cell / max(n, 1))
-    sample = base.sample(fraction=frac, seed=seed) if frac < 1.0 else base
-    feats = sample.select(array_to_vector(F.col(vector_col).cast("array<double>")).alias("features"))
+    feats = base.where(F.col(vector_col).isNotNull()).select(array_to_vector(F.col(vector_col).cast("array<double>")).alias("features"))
     model = KMeans(k=nlist, seed=seed, maxIter=max_iter, initMode="k-means||").fit(feats)
     return np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()], dtype=np.float64)
 
 
-def _nearest(X: np.ndarray, C: np.ndarray, cn: np.ndarray) -> np.ndarray:
-    """Index of the nearest centroid by squared L2; ties to the lowest index."""
+def _nearest(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    """Index of the nearest centroid by squared L2; ties to the lowest index.
+    Rows and centroids are centred, so that vectors far from the origin do not cancel."""
+    centre = C.mean(axis=0)
+    X, C = X - centre, C - centre
+    cn = np.einsum("ij,ij->i", C, C)
     out = np.empty(X.shape[0], dtype=np.int32)
     step = K.block_size(C.shape[0], X.shape[0])
     for i in range(0, X.shape[0], step):
@@ -137,7 +172,7 @@ def _nearest(X: np.ndarray, C: np.ndarray, cn: np.ndarray) -> np.ndarray:
 
 
 def assign_cells(base: DataFrame, index: IVFIndex, vector_col: str = "value", cell_col: str = "cell") -> DataFrame:
-    """Every row with its cell: one scan, centroids broadcast (<= 4096 x dim)."""
+    """Every row with its cell: one scan, centroids broadcast (``nlist x dim``)."""
     spark = base.sparkSession
     bc = spark.sparkContext.broadcast(index.centroids)
     dim = index.dim
@@ -147,7 +182,6 @@ def assign_cells(base: DataFrame, index: IVFIndex, vector_col: str = "value", ce
 
     def run(batches):
         C = bc.value
-        cn = np.einsum("ij,ij->i", C, C)
         for rb in batches:
             cells = np.full(rb.num_rows, -1, dtype=np.int32)
             rows, X = K.arrow_vectors(rb.column(vector_col), dim)
@@ -155,7 +189,7 @@ def assign_cells(base: DataFrame, index: IVFIndex, vector_col: str = "value", ce
                 if cosine:  # nearest unit centroid of the unit row = highest cosine
                     norms = np.linalg.norm(X, axis=1, keepdims=True)
                     X = np.divide(X, norms, out=np.zeros_like(X), where=norms > 0)
-                cells[rows] = _nearest(X, C, cn)
+                cells[rows] = _nearest(X, C)
             mask = cells < 0
             yield rb.append_column(cell_col, pa.array(cells, pa.int32(), mask=mask))
 
@@ -208,10 +242,9 @@ def _arrow_rows(rb, dim, codes_col, vector_col, lo, hi):
         col = rb.column(codes_col)
         valid = np.asarray(col.is_valid().to_numpy(zero_copy_only=False), dtype=bool)
         rows = np.nonzero(valid)[0]
-        vals = col.to_pylist()
         if len(rows) == 0:
             return rows, np.zeros((0, dim))
-        codes = np.frombuffer(b"".join(vals[i] for i in rows), dtype=np.uint8).reshape(-1, dim)
+        codes = np.frombuffer(b"".join(col.drop_null().to_pylist()), dtype=np.uint8).reshape(-1, dim)
         return rows, decode_sq8(codes, lo, hi)
     return K.arrow_vectors(rb.column(vector_col), dim)
 
@@ -294,13 +327,14 @@ def _reduce_topk(tables, id_col, k, higher):
 def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprobe: int | None = None, *,
                vector_col: str = "value", id_col: str = "id", cell_col: str = "cell",
                fields: Sequence[str] = (), tie_cols: Sequence[str] = (), codes_col: str | None = None,
-               rerank: bool = False, max_group_rows: int = 50000, max_group_queries: int = 4096,
+               rerank: bool = False, rerank_size: int | None = None, max_group_rows: int = 50000, max_group_queries: int = 4096,
                method: str = "auto", precision: str = "float64") -> DataFrame:
     """Top-k per query over the probed cells of an assigned table.
 
     ``codes_col``: score the SQ8 codes (decoded with ``index.lo/hi``) instead
-    of the float vectors; ``rerank=True`` then re-scores the kept
-    candidates with the float vectors (needs ``vector_col`` present).
+    of the float vectors; ``rerank=True`` then re-scores the best
+    ``rerank_size`` (4 k if not given) by code with the float vectors (needs
+    ``vector_col`` present).
     ``method``: ``"broadcast"`` (queries + probes shipped to the scan, no
     shuffle of the table), ``"cogroup"`` (both sides meet per cell), or
     ``"auto"`` = broadcast when the query side passes its size checks.
@@ -311,7 +345,7 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
         if codes_col is None:
             raise ValueError("rerank needs codes_col")
         return _reranked(assigned, queries, index, k, nprobe, vector_col=vector_col, id_col=id_col,
-                         cell_col=cell_col, fields=fields, tie_cols=tie_cols, codes_col=codes_col,
+                         cell_col=cell_col, fields=fields, tie_cols=tie_cols, codes_col=codes_col, rerank_size=rerank_size,
                          max_group_rows=max_group_rows, max_group_queries=max_group_queries, method=method)
     nprobe = nprobe or default_nprobe(index.nlist)
     qdf = query_frame(spark, queries)
@@ -323,15 +357,17 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
         small = nq * index.dim * 8 <= MAX_BROADCAST_QUERY_BYTES and nq * min(nprobe, index.nlist) <= MAX_BROADCAST_PROBES
         if small or method == "broadcast":
             qids, Q, _ = _collect_queries(qdf)
-            pos = {int(q): i for i, q in enumerate(qids)}
+            order = np.argsort(qids, kind="stable")
+            if len(np.unique(qids)) < len(qids):
+                raise ValueError("query ids must be unique")
             pairs = probes.select("qid", "cell").toArrow()
-            pp = np.column_stack([np.array([pos[int(q)] for q in pairs.column("qid").to_pylist()], dtype=np.int64),
+            pp = np.column_stack([order[np.searchsorted(qids[order], pairs.column("qid").to_numpy())],
                                   pairs.column("cell").to_numpy().astype(np.int64)]) if pairs.num_rows else \
                 np.zeros((0, 2), dtype=np.int64)
             cands = _broadcast_ivf(assigned, qids, Q, pp, index, k, keep_cols, id_col, cell_col, vector_col,
                                    codes_col, precision)
             return rank_candidates(cands, metric, k, id_col, tie_cols, list(fields) + list(tie_cols))
-    # bounded side tables: one row per cell (nlist <= 4096)
+    # bounded side tables: one row per cell
     row_counts = {r[cell_col]: r["n"] for r in assigned.groupBy(cell_col).agg(F.count(F.lit(1)).alias("n")).collect()
                   if r[cell_col] is not None}
     probe_counts = {r["cell"]: r["n"] for r in probes.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -347,7 +383,7 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
     info_probed = F.broadcast(spark.createDataFrame([r for r in info_rows if r[0] in probe_counts],
                                                     "cell int, nsub int, nqsub int"))
     b = (assigned.select(*in_cols).withColumnRenamed(cell_col, "cell").join(info_probed, "cell")
-         .withColumn("_sub", F.pmod(F.xxhash64(F.col(id_col), F.monotonically_increasing_id()), F.col("nsub")).cast("int"))
+         .withColumn("_sub", F.pmod(F.xxhash64(*keep_cols), F.col("nsub")).cast("int"))
          .withColumn("_qsub", F.explode(F.sequence(F.lit(0), F.col("nqsub") - 1)))
          .drop("nsub", "nqsub"))
     p = (probes.join(info, "cell")
@@ -387,23 +423,20 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
     return rank_candidates(cands, metric, k, id_col, tie_cols, list(fields) + list(tie_cols))
 
 
-RERANK_FACTOR = 4
-
-
 def _reranked(assigned: DataFrame, queries, index: IVFIndex, k: int, nprobe: int | None, *, vector_col: str,
-              id_col: str, cell_col: str, fields, tie_cols, codes_col: str, max_group_rows: int,
+              id_col: str, cell_col: str, fields, tie_cols, codes_col: str, rerank_size: int | None, max_group_rows: int,
               max_group_queries: int, method: str) -> DataFrame:
     """IVF_SQ8 with exact re-rank, in two Spark stages.
 
-    1. the ``R = 4k`` best rows per query by decoded (8-bit) score over the
+    1. the ``rerank_size`` best rows per query by decoded (8-bit) score over the
        probed cells - the normal search with the float vector carried along;
-    2. those R candidates re-scored exactly (a JVM expression against the
+    2. those candidates re-scored exactly (a JVM expression against the
        query vectors, a small broadcast) and cut to k.
     """
     from vecframe.functions.vector import metric_score
     from vecframe.session import bounded_broadcast
     spark = assigned.sparkSession
-    r = RERANK_FACTOR * k
+    r = max(k, rerank_size or 4 * k)
     extra = [c for c in fields if c != vector_col]
     first = ivf_search(assigned, queries, index, r, nprobe, vector_col=vector_col, id_col=id_col,
                        cell_col=cell_col, fields=list(extra) + [vector_col], tie_cols=tie_cols,
@@ -424,16 +457,16 @@ def decode_sq8(codes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 
 def build_index(base: DataFrame, metric: str = "IP", nlist: int | None = None, method: str = "kmeans",
                 vector_col: str = "value", id_col: str = "id", seed: int = 42) -> IVFIndex:
-    """A1/A3: centroids by ``kmeans`` (trained) or ``seed`` (first rows by id)."""
+    """A1/A3: centroids by ``kmeans`` or ``mean`` (see the module's docstring); ``nlist`` as asked, at most one per row."""
     metric = check_metric(metric)
     n = base.count()
-    nlist = nlist or default_nlist(n)
-    if method == "seed":
-        C = seed_centroids(base, nlist, vector_col, id_col)
+    nlist = min(nlist or default_nlist(n), max(n, 1))
+    if method == "mean":
+        C = mean_centroids(base, nlist, vector_col, id_col)
     elif method == "kmeans":
         C = train_centroids(base, nlist, vector_col, seed)
     else:
-        raise ValueError("method must be 'kmeans' or 'seed'")
+        raise ValueError("method must be 'kmeans' or 'mean'")
     if metric == "COSINE":  # cosine cells live on the unit sphere
         norms = np.linalg.norm(C, axis=1, keepdims=True)
         C = np.where(norms > 0, C / np.where(norms > 0, norms, 1), C)

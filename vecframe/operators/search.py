@@ -12,9 +12,10 @@ Plan shape (method ``"arrow"``, the default):
 * a window ``row_number() over (partition by qid order by score, id, ...)``
   picks the final k; only those few candidates are shuffled.
 
-A query set too large to broadcast is cut into broadcast-sized blocks by
-``hash(qid)``; each block is one more scan of the base (never a shuffle of
-it), and the per-block candidates are unioned before the final window.
+A query set too large to broadcast is cut into blocks by ``hash(qid)``, small
+enough for the broadcast and for what a task keeps; the blocks run one after
+the other, each one more scan of the base (never a shuffle of it), and their
+hits are written to the shared folder.
 
 Method ``"expr"`` keeps scoring inside the JVM with ``zip_with``/``aggregate``
 (single query vectors only); it is the reference the Arrow path is tested
@@ -38,12 +39,12 @@ from pyspark.sql import types as T
 
 from vecframe.functions.vector import check_metric, higher_is_better, metric_score, vector_literal
 from vecframe.operators import _kernels as K
-from vecframe.session import ship_package
+from vecframe.session import scratch_path, ship_package
 
 # A broadcast query block is at most this large (float64 matrix bytes).
 MAX_BROADCAST_QUERY_BYTES = 64 << 20
-# Most scans of the base one exact search may plan (one per query block).
-MAX_QUERY_BLOCKS = 256
+# Candidate rows that one task keeps for a query block (it keeps up to 4 k per query).
+MAX_TASK_CANDIDATES = 4_000_000
 
 
 def vector_dim(df: DataFrame, vector_col: str) -> int | None:
@@ -121,8 +122,7 @@ def _broadcast_candidates(base: DataFrame, vector_col: str, id_col: str, keep_co
             ids = rb.column(id_col).to_numpy(zero_copy_only=False)[rows]
             allow = None
             if q_parts is not None:
-                vals = rb.column(partition_col).to_pylist()
-                allow = K.partition_mask([vals[i] for i in rows], q_parts)
+                allow = K.partition_mask(rb.column(partition_col).take(pa.array(rows)), q_parts)
             r, q, s = K.local_topk(metric, higher, X, ids, Qm, k, allow, precision)
             if len(r) == 0:
                 continue
@@ -152,27 +152,30 @@ def _reduce(tables: list[pa.Table], id_col: str, k: int, higher: bool) -> pa.Tab
     return t.take(pa.array(sel))
 
 
-def _blocked_candidates(base: DataFrame, qdf: DataFrame, vector_col: str, id_col: str, keep_cols: list[str],
-                        metric: str, k: int, nq: int, dim: int, partition_col: str = "dt",
-                        precision: str = "float64") -> DataFrame:
-    """A query set over the broadcast bound: ``n_blocks = ceil(bytes / bound)``
-    hash blocks of queries, each broadcast in turn against one scan of the
-    base.  The base is read ``n_blocks`` times but never shuffled; the
-    candidates of all blocks (k per query per task) are unioned."""
-    n_blocks = max(1, math.ceil(nq * max(dim, 1) * 8 / MAX_BROADCAST_QUERY_BYTES))
-    if n_blocks > MAX_QUERY_BLOCKS:
-        raise ValueError(f"{nq} query vectors need {n_blocks} full scans for exact search; "
-                         "use ivf_search (cells, co-grouped per cell) for query sets this large")
+def query_bound(dim: int | None, k: int) -> int:
+    """Queries of one block: its bytes are bounded, and the candidates a task keeps for it."""
+    return max(1, min(MAX_BROADCAST_QUERY_BYTES // (8 * max(dim or 1, 1)), MAX_TASK_CANDIDATES // (4 * max(k, 1))))
+
+
+def _blocked_search(base: DataFrame, qdf: DataFrame, vector_col: str, id_col: str, keep_cols: list[str], fields: list[str],
+                    tie_cols, metric: str, k: int, nq: int, dim: int, partition_col: str, precision: str) -> DataFrame:
+    """A query set over the bound: ``ceil(queries / bound)`` hash blocks, one
+    after the other - collected, broadcast, searched in one scan of the base,
+    its k hits a query written to the shared folder, and the broadcast freed -
+    so the driver and the executors hold one block at a time.  The base is
+    never shuffled."""
+    spark = base.sparkSession
+    n_blocks = math.ceil(2 * nq / query_bound(dim, k))  # half full on average: hash blocks are uneven
     blk = F.pmod(F.xxhash64("qid"), F.lit(n_blocks))
-    out = None
+    path = scratch_path(spark, "query-blocks")
+    empty = rank_candidates(spark.createDataFrame([], _candidate_schema(base, keep_cols)), metric, k, id_col, tie_cols, fields)
+    empty.write.parquet(path)
     for b in range(n_blocks):
         qids, Q, parts = _collect_queries(qdf.where(blk == b))
-        if len(qids) == 0:
-            continue
-        c = _broadcast_candidates(base, vector_col, id_col, keep_cols, metric, k, qids, Q, dim, parts, partition_col,
-                                  precision)
-        out = c if out is None else out.unionByName(c)
-    return out if out is not None else base.sparkSession.createDataFrame([], _candidate_schema(base, keep_cols))
+        if len(qids):
+            c = _broadcast_candidates(base, vector_col, id_col, keep_cols, metric, k, qids, Q, dim, parts, partition_col, precision)
+            rank_candidates(c, metric, k, id_col, tie_cols, fields).write.mode("append").parquet(path)
+    return spark.read.schema(empty.schema).parquet(path)
 
 
 def _expr_candidates(base: DataFrame, vector_col: str, keep_cols: list[str], metric: str,
@@ -217,7 +220,7 @@ def search(base: DataFrame, queries, metric: str = "IP", k: int = 10, *, vector_
     # one bounded collect decides: it either fits the broadcast bound or the
     # query set goes to the blocked path (counted only then); vectors given
     # on the driver are used as they are, without a job
-    bound = max(1, MAX_BROADCAST_QUERY_BYTES // (8 * max(base_dim or 1, 1)))
+    bound = query_bound(base_dim, k)
     if not isinstance(queries, DataFrame):
         vecs = [queries] if queries and not isinstance(queries[0], (list, tuple, np.ndarray)) else queries
         if len({len(v) for v in vecs}) > 1:
@@ -243,32 +246,33 @@ def search(base: DataFrame, queries, metric: str = "IP", k: int = 10, *, vector_
     else:
         if base_dim is not None and Q.shape[1] != base_dim:
             raise ValueError("query dimension does not match table dimension")
-        nq = qdf.count()
-        cands = _blocked_candidates(base, qdf, vector_col, id_col, keep_cols, metric, k, nq, base_dim, partition_col,
-                                    precision)
+        if base_dim is None:  # empty table
+            cands = spark.createDataFrame([], _candidate_schema(base, keep_cols))
+        else:
+            if not isinstance(queries, DataFrame):
+                qdf = query_frame(spark, queries)
+            return _blocked_search(base, qdf, vector_col, id_col, keep_cols, fields, tie_cols, metric, k, qdf.count(), base_dim,
+                                   partition_col, precision)
     return rank_candidates(cands, metric, k, id_col, tie_cols, fields)
 
 
-# Candidate partitions merged by one final top-k task per query.
-TOPK_FAN_IN = 64
+# Buckets of the first level of a top-k tree.
+TOPK_BUCKETS = 64
 
 
 def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, k: int,
-                    fan_in: int = TOPK_FAN_IN) -> DataFrame:
-    """``row_number() <= k`` per group, as a tree when the input is wide.
+                    buckets: int = TOPK_BUCKETS) -> DataFrame:
+    """``row_number() <= k`` per group, in two levels.
 
     Each input partition holds at most k rows per group after the partial
-    ``WindowGroupLimit``, so a final task would see ``partitions x k`` rows of
-    a group.  With more than ``fan_in`` partitions a first level keeps the
-    top k per ``(group, partition bucket)``; no group then grows with the
-    number of tasks.  Adds ``rank``.
+    ``WindowGroupLimit``, so one level would bring ``partitions x k`` rows of a
+    group into a task.  The first level keeps the top k per ``(group, partition
+    bucket)``, the second at most ``buckets x k`` rows per group.  Planning it
+    runs nothing.  Adds ``rank``.
     """
-    n_parts = df.rdd.getNumPartitions()
-    if n_parts > fan_in:
-        buckets = max(2, math.ceil(n_parts / fan_in))
-        w1 = Window.partitionBy(*keys, "_tb").orderBy(*order)
-        df = (df.withColumn("_tb", F.pmod(F.spark_partition_id(), F.lit(buckets)))
-              .withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_r1", "_tb"))
+    w1 = Window.partitionBy(*keys, "_tb").orderBy(*order)
+    df = (df.withColumn("_tb", F.pmod(F.spark_partition_id(), F.lit(buckets)))
+          .withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_r1", "_tb"))
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,14 +51,17 @@ def _ddl_columns(dim: int, text: bool = False) -> str:
 
 
 def create_collection(spark: SparkSession, name: str, dim: int, index: str = "HNSW", metric: str = "IP",
-                      location: str | None = None, replace: bool = False, text: bool = False) -> None:
-    """L1 (create if absent) or L2 (``replace=True``: drop then create)."""
+                      location: str | None = None, replace: bool = False, text: bool = False, batch_key: bool = False) -> None:
+    """L1 (create if absent) or L2 (``replace=True``: drop then create).
+
+    ``batch_key``: days are sub-partitioned by ``batch_id`` (0 for plain
+    appends), so that a stream's micro-batch can be written again."""
     if replace:
         drop_collection(spark, name)
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({_ddl_columns(dim, text)}, dt STRING) USING parquet "
-        f"PARTITIONED BY (dt){loc} "
+        f"CREATE TABLE IF NOT EXISTS {name} ({_ddl_columns(dim, text)}, dt STRING{', batch_id BIGINT' if batch_key else ''}) USING parquet "
+        f"PARTITIONED BY (dt{', batch_id' if batch_key else ''}){loc} "
         f"TBLPROPERTIES ('vecframe.dim'='{int(dim)}', 'vecframe.index'='{index.upper()}', "
         f"'vecframe.metric'='{metric.upper()}')")
 
@@ -114,11 +117,12 @@ def _checked(df: DataFrame, dim: int) -> DataFrame:
         F.raise_error(F.concat(F.lit("vector dimension must be "), F.lit(str(dim)))).cast("array<float>")))
 
 
-def append(spark: SparkSession, name: str, rows: DataFrame, day: str | None = None) -> None:
+def append(spark: SparkSession, name: str, rows: DataFrame, day: str | None = None, batch_id: int | None = None) -> None:
     """S6/S7 (``day=None`` = default partition) and P1 (a named day).
 
     Rows carry their own ``dt`` when ``day`` is omitted and the column exists.
-    ``repartition('dt')`` first keeps one writer per day (few files).
+    ``REBALANCE(dt)`` brings a day's rows together (few files) and splits a
+    large day over tasks by its size.
     """
     props = collection_props(spark, name)
     dim = int(props.get("vecframe.dim", "0"))
@@ -128,7 +132,18 @@ def append(spark: SparkSession, name: str, rows: DataFrame, day: str | None = No
         rows = rows.withColumn("dt", F.lit(DEFAULT_PARTITION))
     cols = [c for c in spark.table(name).columns]
     out = _checked(rows, dim) if dim else rows
-    out.select(*cols).repartition("dt").write.insertInto(name)
+    if "batch_id" in cols:
+        out = out.withColumn("batch_id", F.lit(batch_id or 0).cast("long"))
+        if batch_id is not None:  # the batch's own partitions are replaced, all others stay
+            session, key = out.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+            before = session.conf.get(key)
+            session.conf.set(key, "dynamic")
+            try:
+                out.select(*cols).hint("rebalance", "dt").write.mode("overwrite").insertInto(name)
+            finally:
+                session.conf.set(key, before)
+            return
+    out.select(*cols).hint("rebalance", "dt").write.insertInto(name)
 
 
 def append_today(spark: SparkSession, name: str, rows: DataFrame, ts_col: str = "createTime") -> None:
@@ -217,7 +232,7 @@ def create_numbered(spark: SparkSession, name: str, start: int, end: int, rows_p
                     location: str | None = None, prefix: str = "coll_") -> None:
     """Create-and-fill: one table partitioned by ``collection``."""
     rows = numbered_rows(spark, start, end, rows_per, dim, prefix)
-    w = rows.repartition("collection").write.mode("overwrite").partitionBy("collection")
+    w = rows.hint("rebalance", "collection").write.mode("overwrite").partitionBy("collection")
     if location:
         w = w.option("path", location)
     w.saveAsTable(name)
@@ -225,14 +240,15 @@ def create_numbered(spark: SparkSession, name: str, start: int, end: int, rows_p
 
 # -- bounded append (S8) ----------------------------------------------------
 
-def request_rows(requests: DataFrame, dim: int, now_ms: int, num_col: str = "num", seed: int = 7) -> DataFrame:
-    """Rows for accepted insert requests: ``num`` rows each, ids ``0..num-1``
+def request_rows(requests: DataFrame, dim: int, now_ms, num_col: str = "num", seed: int = 7) -> DataFrame:
+    """``now_ms``: epoch ms, or a column of the requests.  Rows for accepted insert requests: ``num`` rows each, ids ``0..num-1``
     per request (ids repeat across requests, as in the reference).  A request
     is at most 50,000 rows, so the explode is bounded per row."""
     from vecframe.sources.generate import bench_rows
     ids = requests.where(F.col(num_col).isNotNull() & (F.col(num_col) > 0)).select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col(num_col).cast("long") - 1)).alias("id"))
-    return bench_rows(ids, dim, now_ms, seed=seed)
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col(num_col).cast("long") - 1)).alias("id"),
+        (now_ms if isinstance(now_ms, Column) else F.lit(int(now_ms)).cast("long")).alias("_now"))
+    return bench_rows(ids, dim, F.col("_now"), seed=seed)
 
 
 def bounded_append(spark: SparkSession, name: str, num_text: str | None, now_ms: int, day: str | None = None) -> int:
@@ -288,25 +304,45 @@ def build_collection_index(spark: SparkSession, name: str, path: str, nlist: int
     if kind == "ivf_sq8":
         index.lo, index.hi = sq8_ranges(base, index.dim)
     ivf.save_index(spark, index, f"{path}/centroids")
-    cells = ivf.assign_cells(base, index)
+    # the files that the cells are made of; rows of other files are assigned when they are searched
+    files = live_files(spark, name)
+    spark.createDataFrame([(f,) for f in sorted(files)], "source string").write.mode("overwrite").parquet(f"{path}/files")
+    cells = ivf.assign_cells(base.withColumn(SOURCE, source_file()).where(F.col(SOURCE).isin(sorted(files))), index)
     if kind == "ivf_sq8":
         cells = sq8_encode(cells, index.lo, index.hi)
-    ivf.write_assigned(cells, f"{path}/cells", n_files or max(1, spark.sparkContext.defaultParallelism))
+    ivf.write_assigned(cells, f"{path}/cells", n_files)
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('vecframe.ivf.path'='{path}')")
     return kind
 
 
+# Column of the cell table with the file that a row comes from.
+SOURCE = "_source"
+
+
+def source_file():
+    """A row's file by the last two parts of its path (folder and name: unique, and the same however the path is written)."""
+    return F.regexp_extract("_metadata.file_path", "([^/]+/[^/]+)$", 1)
+
+
+def live_files(spark: SparkSession, name: str) -> dict[str, str]:
+    """Files of a collection by their last two parts (a listing, no job)."""
+    spark.catalog.refreshTable(name)
+    return {"/".join(f.split("/")[-2:]): f for f in spark.table(name).inputFiles()}
+
+
 def collection_search(spark: SparkSession, name: str, queries, k: int = 10, *, partitions=None,
                       fields=("deviceCode", "createTime", "dt"), metric: str | None = None,
                       ivf_index=None, nprobe: int | None = None, rerank: bool = False) -> DataFrame:
     """Search a collection the way its ``TBLPROPERTIES`` say.
 
     The metric is the one stored at creation unless ``metric`` overrides it
-    (as the older driver does).  ``HNSW`` / ``FLAT`` / ``AUTOINDEX`` answer exactly.
+    (as the older driver does); a stored cell structure serves its own metric
+    only, another is refused.  ``HNSW`` / ``FLAT`` / ``AUTOINDEX`` answer exactly.
     ``IVF_FLAT`` / ``GPU_IVF_FLAT`` / ``IVF_SQ8`` use the structure made by
     :func:`build_collection_index` (or ``ivf_index`` given here): the stored
-    cell table, plus the days written after the build assigned on the fly
-    with the stored centroids; with no structure they answer exactly.  An
+    cell table for the files that it was made of and that are still there, plus
+    the rows of all other files - appended since to whatever day - assigned on
+    the fly with the stored centroids; with no structure they answer exactly.  An
     index name that is none of these created no index, so the search returns
     no rows (with the result schema), as in the reference.
     """
@@ -325,15 +361,12 @@ def collection_search(spark: SparkSession, name: str, queries, k: int = 10, *, p
     path = props.get("vecframe.ivf.path")
     if kind in ("ivf", "ivf_sq8") and (ivf_index is not None or path):
         index = ivf_index or ivf.load_index(spark, f"{path}/centroids")
-        index.metric = m
-        if ivf_index is not None or not path:
+        if index.metric != m:
+            raise ValueError(f"the index was built for {index.metric}; it can't serve {m}")
+        codes = None
+        if ivf_index is not None:
             cells = ivf.assign_cells(base, index)
-            codes = None
         else:
-            # live days from the catalog (metadata only): stored cells of an
-            # expired day are never read, and days written after the build
-            # are assigned on the fly with the stored centroids
-            live = [d for d in list_partitions(spark, name) if not partitions or d in partitions]
             codes = "codes" if kind == "ivf_sq8" else None
 
             def assigned(df):
@@ -343,12 +376,21 @@ def collection_search(spark: SparkSession, name: str, queries, k: int = 10, *, p
                     out = sq8_encode(out, index.lo, index.hi)
                 return out
 
-            schema = assigned(base.limit(0)).schema  # no inference: the folder may hold no day at all
-            stored = (spark.read.schema(schema).option("basePath", f"{path}/cells").parquet(f"{path}/cells")
-                      .where(F.col("dt").isin(live)))
-            built = {r["dt"] for r in stored.select("dt").distinct().collect()}  # partition values only
-            fresh = assigned(base.where(F.col("dt").isin([d for d in live if d not in built])))
-            cells = stored.unionByName(fresh.select(*stored.columns))
+            tagged = base.withColumn(SOURCE, source_file())
+            live = live_files(spark, name)
+            built = {r[0] for r in spark.read.parquet(f"{path}/files").collect()}  # one short name a file
+            fresh = sorted(set(live) - built)
+            gone = sorted(built - set(live))
+            schema = assigned(tagged.limit(0)).schema  # no inference: the folder may hold no day at all
+            stored = spark.read.schema(schema).option("basePath", f"{path}/cells").parquet(f"{path}/cells")
+            if partitions:
+                stored = stored.where(F.col("dt").isin(list(partitions)))
+            if gone:  # expired or rewritten since
+                stored = stored.where(~F.col(SOURCE).isin(gone))
+            cells = stored
+            if fresh:
+                # a filter on the file name prunes the listing: only new files are read
+                cells = stored.unionByName(assigned(tagged.where(F.col(SOURCE).isin(fresh))).select(*stored.columns))
         return ivf.ivf_search(cells, queries, index, k, nprobe, fields=list(fields), tie_cols=tie,
                               codes_col=codes, rerank=rerank and codes is not None)
     return search(base, queries, m, k, fields=list(fields), tie_cols=tie, dim=dim)

@@ -8,7 +8,7 @@ from vecframe.functions.dates import day_shift, parse_date_string
 from vecframe.functions.text import split_by_comma, validate_insert_num
 from vecframe.functions.vector import chunk_array, vector_text
 from vecframe.plans.registry import register
-from vecframe.plans.views import collection_view, table
+from vecframe.plans.views import SQL_COLLECTION, collection_view, table
 
 _SPARK_LAYOUTS = ["yyyy-MM-dd", "yyyy/MM/dd", "dd-MM-yyyy", "dd/MM/yyyy", "yyyyMMdd", "yyyy-MM-dd HH:mm:ss",
                   "yyyy-M-d"]
@@ -119,8 +119,8 @@ FROM events
 WITH r AS ({_REQ_SQL}), p AS (SELECT *, TRY_CAST(num_text AS BIGINT) AS v FROM r)
 SELECT event_id, num_text,
   CASE WHEN v IS NOT NULL AND v BETWEEN 0 AND 50000 THEN v END AS num,
-  CASE WHEN v IS NULL THEN 'not an integer' WHEN v > 50000 THEN 'num should less than 50000'
-       WHEN v < 0 THEN 'num must not be negative' END AS error
+  CASE WHEN v IS NULL THEN 'not an integer' WHEN v > 50000 THEN 'too many rows'
+       WHEN v < 0 THEN 'negative' END AS error
 FROM p
 """)
 def validate_requests(spark, sf_dir):
@@ -141,23 +141,33 @@ FROM (SELECT row_number() OVER () - 1 AS rn FROM lineitem) GROUP BY 1
 def batch_counts_q(spark, sf_dir):
     """Lineitem cut into batches of 1000 rows; rows per batch."""
     from vecframe.sources.batches import batch_counts
-    return batch_counts(table(spark, sf_dir, "lineitem").select("l_orderkey"), 1000)
+    return batch_counts(table(spark, sf_dir, "lineitem").select("l_orderkey"), 1000, stable=True)
 
 
-@register("generated_rows")
-def generated_rows(spark, sf_dir):
-    """Repeatable bench rows (dim 64) for every id of the collection; rows-only check."""
-    from vecframe.sources.generate import bench_rows
-    ids = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"))
-    rows = bench_rows(ids, 64, now_ms=1755388800000)
-    return rows.select("id", F.size("value").cast("long").alias("dim"), "deviceCode", "createTime",
-                       F.round(F.array_min("value").cast("double"), 6).alias("vmin"),
-                       F.round(F.array_max("value").cast("double"), 6).alias("vmax"))
-
-
-@register("pick_query")
+@register("pick_query", f"""
+SELECT id, '[' || array_to_string(list_transform(value, lambda x: printf('%.7f', x)), ',') || ']' AS value_text
+FROM ({SQL_COLLECTION}) ORDER BY md5(id || '-42'), id LIMIT 1
+""")
 def pick_query(spark, sf_dir):
-    """One repeatable pick from the query set (hash order); rows-only check."""
+    """One repeatable pick from the query set (hash order)."""
     from vecframe.sources.generate import pick_one
     view = collection_view(spark, sf_dir)
     return pick_one(view).select("id", vector_text("value").alias("value_text"))
+
+
+@register("epoch_millis", "SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events")
+def epoch_millis_q(spark, sf_dir):
+    """epoch milliseconds of every event's wall-clock time."""
+    from vecframe.functions.dates import epoch_millis_utc
+    return table(spark, sf_dir, "events").select("event_id", epoch_millis_utc("ts").cast("long").alias("ms"))
+
+
+@register("assigned_ids", """
+SELECT count(*) AS n, 7 AS first_id, CAST(count(*) + 6 AS BIGINT) AS last_id, count(*) AS distinct_ids FROM orders
+""")
+def assigned_ids(spark, sf_dir):
+    """Dense ids from 7 on for every order."""
+    from vecframe.sources.batches import assign_ids
+    rows = assign_ids(table(spark, sf_dir, "orders").select("o_orderkey"), start=7, stable=True)
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.min("id").cast("int").alias("first_id"), F.max("id").alias("last_id"),
+                    F.countDistinct("id").alias("distinct_ids"))

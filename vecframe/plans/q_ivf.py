@@ -10,23 +10,32 @@ from vecframe.operators.quantize import sq8_encode, sq8_ranges
 from vecframe.operators.search import search
 from vecframe.plans.registry import register
 from vecframe.plans.sqlgen import topk_sql
-from vecframe.plans.views import SQL_COLLECTION, SQL_COLLECTION_SCALED, all_queries, collection_view, table
+from vecframe.plans.views import SQL_COLLECTION, SQL_COLLECTION_SCALED, SQL_GROUP_QUERIES, collection_view, group_queries, table
 
-# -- oracle building blocks: seed quantizer, assignment, probes ---------------
-_IVF_CTE = """
-base AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-p AS (SELECT least(4096, CAST(ceil(4 * sqrt(count(*))) AS BIGINT)) AS nlist FROM base),
-pp AS (SELECT nlist, greatest(1, CAST(ceil(nlist / 32.0) AS BIGINT)) AS nprobe FROM p),
-cent AS (SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS cell, v FROM base)
-         WHERE cell < (SELECT nlist FROM p)),
-asg AS (SELECT id, v, cell FROM (
+# -- oracle building blocks: hash seeds, one mean update, assignment, probes ---
+_NEAREST = """SELECT id, v, cell FROM (
           SELECT b.id, b.v, c.cell,
                  row_number() OVER (PARTITION BY b.id ORDER BY pow(list_distance(b.v, c.v), 2), c.cell) AS r
-          FROM base b CROSS JOIN cent c) WHERE r = 1),
+          FROM base b CROSS JOIN {cells} c) WHERE r = 1"""
+
+_IVF_CTE = f"""
+c AS ({SQL_COLLECTION}),
+base AS (SELECT id, value AS v FROM c),
+p AS (SELECT least(count(*), CAST(ceil(4 * sqrt(count(*))) AS BIGINT)) AS nlist FROM base),
+pp AS (SELECT nlist, greatest(1, CAST(ceil(nlist / 32.0) AS BIGINT)) AS nprobe FROM p),
+seeds AS (SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR)), id) - 1 AS INTEGER) AS cell, v FROM base)
+          WHERE cell < (SELECT nlist FROM p)),
+asg0 AS ({_NEAREST.format(cells="seeds")}),
+means AS (SELECT cell, list(m ORDER BY pos) AS v
+          FROM (SELECT cell, pos, round(avg(x), 6) AS m
+                FROM (SELECT cell, unnest(generate_series(1, len(v))) AS pos, unnest(v) AS x FROM asg0) GROUP BY cell, pos) GROUP BY cell),
+cent AS (SELECT s.cell, coalesce(m.v, s.v) AS v FROM seeds s LEFT JOIN means m ON s.cell = m.cell),
+asg AS ({_NEAREST.format(cells="cent")}),
+qs AS ({SQL_GROUP_QUERIES}),
 prb AS (SELECT qid, qv, cell FROM (
-          SELECT q.id AS qid, q.v AS qv, c.cell,
-                 row_number() OVER (PARTITION BY q.id ORDER BY list_inner_product(q.v, c.v) DESC, c.cell) AS r
-          FROM base q CROSS JOIN cent c) WHERE r <= (SELECT nprobe FROM pp))
+          SELECT q.qid, q.qv, c.cell,
+                 row_number() OVER (PARTITION BY q.qid ORDER BY list_inner_product(q.qv, c.v) DESC, c.cell) AS r
+          FROM qs q CROSS JOIN cent c) WHERE r <= (SELECT nprobe FROM pp))
 """
 
 _IVF_TOPK_SQL = f"""
@@ -54,10 +63,8 @@ SELECT qid, CAST(rk AS BIGINT) AS rank, id, round(score, 6) AS score FROM r WHER
 """
 
 _IVF_L2_SQL = f"""
-WITH {_IVF_CTE.replace(
-    "base AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)",
-    "base AS (SELECT id, value AS v FROM (" + SQL_COLLECTION_SCALED + "))").replace(
-    "ORDER BY list_inner_product(q.v, c.v) DESC, c.cell", "ORDER BY pow(list_distance(q.v, c.v), 2), c.cell")},
+WITH {_IVF_CTE.replace(SQL_COLLECTION, SQL_COLLECTION_SCALED).replace(
+    "ORDER BY list_inner_product(q.qv, c.v) DESC, c.cell", "ORDER BY pow(list_distance(q.qv, c.v), 2), c.cell")},
 s AS (SELECT prb.qid, a.id, pow(list_distance(a.v, prb.qv), 2) AS score FROM prb JOIN asg a ON a.cell = prb.cell),
 r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score, id) AS rk FROM s)
 SELECT qid, CAST(rk AS BIGINT) AS rank, id, round(score, 6) AS score FROM r WHERE rk <= 10
@@ -67,53 +74,53 @@ SELECT qid, CAST(rk AS BIGINT) AS rank, id, round(score, 6) AS score FROM r WHER
 @register("ivf_topk_l2", _IVF_L2_SQL)
 def ivf_topk_l2(spark, sf_dir):
     """A1 under squared L2 on the scaled copy: probe the nearest cells, rank by distance."""
-    view = collection_view(spark, sf_dir, scaled=True).select("id", "value")
-    index = build_index(view, "L2", method="seed")
-    res = ivf_search(assign_cells(view, index), all_queries(view), index, k=10)
+    view = collection_view(spark, sf_dir, scaled=True)
+    index = build_index(view, "L2", method="mean")
+    res = ivf_search(assign_cells(view.select("id", "value"), index), group_queries(view), index, k=10)
     return res.withColumn("score", F.round("score", 6))
 
 
-_EXACT_ALL = topk_sql(SQL_COLLECTION, "SELECT id AS qid, value AS qv FROM c", "IP", 10, fields="", out_fields="")
+_EXACT_ALL = topk_sql(SQL_COLLECTION, SQL_GROUP_QUERIES, "IP", 10, fields="", out_fields="")
 
 
 def _view(spark, sf_dir):
-    return collection_view(spark, sf_dir).select("id", "value")
+    return collection_view(spark, sf_dir).select("id", "value", "label", "deviceCode")
 
 
-def _seed_ivf(spark, sf_dir):
+def _mean_ivf(spark, sf_dir):
     view = _view(spark, sf_dir)
-    index = build_index(view, "IP", method="seed")
-    return view, index, assign_cells(view, index)
+    index = build_index(view, "IP", method="mean")
+    return view, index, assign_cells(view.select("id", "value"), index)
 
 
 def _ivf_topk(spark, sf_dir):
-    view, index, assigned = _seed_ivf(spark, sf_dir)
-    return ivf_search(assigned, all_queries(view), index, k=10).withColumn("score", F.round("score", 6))
+    view, index, assigned = _mean_ivf(spark, sf_dir)
+    return ivf_search(assigned, group_queries(view), index, k=10).withColumn("score", F.round("score", 6))
 
 
 @register("ivf_assign", f"""
 WITH {_IVF_CTE} SELECT id, cell FROM asg
 """)
 def ivf_assign(spark, sf_dir):
-    """A1 build: nearest cell of every row (seed quantizer, nlist = 4 sqrt(n))."""
-    _, _, assigned = _seed_ivf(spark, sf_dir)
+    """A1 build: nearest cell of every row (mean-updated hash seeds, nlist = 4 sqrt(n))."""
+    _, _, assigned = _mean_ivf(spark, sf_dir)
     return assigned.select("id", "cell")
 
 
 @register("ivf_topk", _IVF_TOPK_SQL)
 def ivf_topk(spark, sf_dir):
-    """A1 search: all rows as queries, nprobe = nlist/32 cells, exact re-score, top 10."""
+    """A1 search: group means as queries, nprobe = nlist/32 cells, exact re-score, top 10."""
     return _ivf_topk(spark, sf_dir)
 
 
 @register("ivf_sq8_topk", _SQ8_TOPK_SQL)
 def ivf_sq8_topk(spark, sf_dir):
     """A2: IVF over 8-bit codes; scores from decoded values, no re-rank."""
-    view, index, assigned = _seed_ivf(spark, sf_dir)
+    view, index, assigned = _mean_ivf(spark, sf_dir)
     lo, hi = sq8_ranges(view, index.dim)
     index.lo, index.hi = lo, hi
     coded = sq8_encode(assigned, lo, hi)
-    res = ivf_search(coded, all_queries(view), index, k=10, codes_col="codes")
+    res = ivf_search(coded, group_queries(view), index, k=10, codes_col="codes")
     return res.withColumn("score", F.round("score", 6))
 
 
@@ -121,9 +128,9 @@ _SQ8_RERANK_SQL = f"""
 WITH {_IVF_CTE}, {_SQ8_CTE},
 s1 AS (SELECT prb.qid, a.id, list_inner_product(d.dv, prb.qv) AS dscore, list_inner_product(a.v, prb.qv) AS score
        FROM prb JOIN asg a ON a.cell = prb.cell JOIN dec d ON d.id = a.id),
-c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dscore DESC, id) AS r1 FROM s1)
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dscore DESC, id) AS r1 FROM s1)
       WHERE r1 <= 40),
-r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rk FROM c)
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rk FROM best)
 SELECT qid, CAST(rk AS BIGINT) AS rank, id, round(score, 6) AS score FROM r WHERE rk <= 10
 """
 
@@ -131,11 +138,11 @@ SELECT qid, CAST(rk AS BIGINT) AS rank, id, round(score, 6) AS score FROM r WHER
 @register("ivf_sq8_rerank_topk", _SQ8_RERANK_SQL)
 def ivf_sq8_rerank_topk(spark, sf_dir):
     """A2 with exact re-rank: 40 best by 8-bit codes per query, re-scored exactly, top 10."""
-    view, index, assigned = _seed_ivf(spark, sf_dir)
+    view, index, assigned = _mean_ivf(spark, sf_dir)
     lo, hi = sq8_ranges(view, index.dim)
     index.lo, index.hi = lo, hi
     coded = sq8_encode(assigned, lo, hi)
-    res = ivf_search(coded, all_queries(view), index, k=10, codes_col="codes", rerank=True)
+    res = ivf_search(coded, group_queries(view), index, k=10, codes_col="codes", rerank=True)
     return res.select("qid", "rank", "id", F.round("score", 6).alias("score"))
 
 
@@ -161,9 +168,9 @@ WITH t AS ({_EXACT_ALL})
 SELECT qid, string_agg(CAST(id AS VARCHAR), ',' ORDER BY rank) AS ids FROM t GROUP BY qid
 """)
 def ground_truth_q(spark, sf_dir):
-    """Exact neighbour ids (rank order) of every row."""
+    """Exact neighbour ids (rank order) of every query."""
     view = _view(spark, sf_dir)
-    return ground_truth(search(view, all_queries(view), "IP", 10, fields=[]))
+    return ground_truth(search(view, group_queries(view), "IP", 10, fields=[]))
 
 
 @register("recall_at_k", f"""
@@ -176,19 +183,22 @@ SELECT (SELECT count(DISTINCT qid) FROM ex) AS queries, (SELECT hits FROM h) AS
 def recall_q(spark, sf_dir):
     """recall@10 of ivf_topk against exact search."""
     view = _view(spark, sf_dir)
-    exact = search(view, all_queries(view), "IP", 10, fields=[])
+    exact = search(view, group_queries(view), "IP", 10, fields=[])
     return recall_at_k(_ivf_topk(spark, sf_dir), exact)
 
 
-@register("ivf_recall_trained")
+@register("ivf_recall_trained", f"""
+WITH t AS ({_EXACT_ALL})
+SELECT count(DISTINCT qid) AS queries, count(*) AS hits, count(*) AS expected, 1.0::DOUBLE AS recall FROM t
+""")
 def ivf_recall_trained(spark, sf_dir):
-    """A1 with KMeans-trained cells: recall@10 at nprobe = nlist/8 (rows-only check)."""
+    """A1 with KMeans cells (trained on every row): probing all of them finds every exact neighbour."""
     view = _view(spark, sf_dir)
     index = build_index(view, "IP", method="kmeans")
-    assigned = assign_cells(view, index)
-    approx = ivf_search(assigned, all_queries(view), index, k=10, nprobe=max(1, index.nlist // 8))
-    exact = search(view, all_queries(view), "IP", 10, fields=[])
-    return recall_at_k(approx, exact)
+    assigned = assign_cells(view.select("id", "value"), index)
+    queries = group_queries(view)
+    approx = ivf_search(assigned, queries, index, k=10, nprobe=index.nlist)
+    return recall_at_k(approx, search(view, queries, "IP", 10, fields=[]))
 
 
 @register("latency_summary", """
@@ -204,8 +214,18 @@ def latency_summary_q(spark, sf_dir):
 
 
 @register("capacity_per_day", f"""
-SELECT dt, count(*) AS rows, count(*) * 256 AS vector_bytes FROM ({SQL_COLLECTION}) GROUP BY dt
+SELECT dt, count(*) AS rows, CAST(sum(len(value) * 4) AS BIGINT) AS vector_bytes FROM ({SQL_COLLECTION}) GROUP BY dt
 """)
 def capacity_per_day(spark, sf_dir):
     """Rows and raw vector bytes per day of the collection."""
-    return capacity(collection_view(spark, sf_dir), 64)
+    return capacity(collection_view(spark, sf_dir))
+
+
+@register("capacity_files", """
+SELECT 'all' AS kind, 1 AS has_files, CAST(count(*) AS BIGINT) AS rows, CAST(sum(len(embedding) * 4) AS BIGINT) AS vector_bytes FROM embeddings
+""")
+def capacity_files(spark, sf_dir):
+    """E6 with bytes on disk (from the files' metadata); they must be there, their number is the engine's own."""
+    view = table(spark, sf_dir, "embeddings").select("*", F.lit("all").alias("kind"), "_metadata")
+    got = capacity(view, partition_col="kind", vector_col="embedding", with_files=True)
+    return got.select("kind", ((F.col("files") > 0) & (F.col("file_bytes") > 0)).cast("int").alias("has_files"), "rows", "vector_bytes")

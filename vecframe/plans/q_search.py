@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vecframe.operators.search import search
 from vecframe.plans.registry import register
 from vecframe.plans.sqlgen import topk_sql
-from vecframe.plans.views import SQL_COLLECTION, SQL_COLLECTION_SCALED, all_queries, collection_view, query_of
+from vecframe.plans.views import SQL_COLLECTION, SQL_COLLECTION_SCALED, SQL_COLLECTION_SHIFTED, SQL_GROUP_QUERIES, collection_view, group_queries, query_of
 
 BENCH_FIELDS = ["deviceCode", "createTime", "dt"]
 TIE = ["dt", "createTime"]
@@ -22,14 +22,14 @@ def _one(view, qid, metric, k, fields=BENCH_FIELDS, **kw):
 
 
 def _all(view, metric, k, fields=(), **kw):
-    return _round(search(view, all_queries(view), metric, k, fields=list(fields), tie_cols=TIE, **kw)
+    return _round(search(view, group_queries(view), metric, k, fields=list(fields), tie_cols=TIE, **kw)
                   .select("qid", "rank", "id", "score"))
 
 
 Q_ROW0 = "SELECT id AS qid, value AS qv FROM c WHERE id = 0"
 Q_ROW1 = "SELECT id AS qid, value AS qv FROM c WHERE id = 1"
 Q_LAST = "SELECT id AS qid, value AS qv FROM c WHERE id = (SELECT max(id) FROM c)"
-Q_ALL = "SELECT id AS qid, value AS qv FROM c"
+Q_GROUPS = SQL_GROUP_QUERIES
 
 
 @register("topk_ip", topk_sql(SQL_COLLECTION, Q_ROW0, "IP", 10, with_qid=False))
@@ -44,6 +44,18 @@ def topk_l2(spark, sf_dir):
     return _one(collection_view(spark, sf_dir, scaled=True), 1, "L2", 10)
 
 
+@register("topk_l2_shifted", topk_sql(SQL_COLLECTION_SHIFTED, Q_ROW1, "L2", 10, with_qid=False))
+def topk_l2_shifted(spark, sf_dir):
+    """V2 far from the origin, where |x|^2 + |q|^2 - 2xq would cancel."""
+    return _one(collection_view(spark, sf_dir, shift=10_000), 1, "L2", 10)
+
+
+@register("topk_batch_l2_shifted", topk_sql(SQL_COLLECTION_SHIFTED, Q_GROUPS, "L2", 10, fields="", out_fields=""))
+def topk_batch_l2_shifted(spark, sf_dir):
+    """V2 + V5 far from the origin."""
+    return _all(collection_view(spark, sf_dir, shift=10_000), "L2", 10)
+
+
 @register("topk_cosine", topk_sql(SQL_COLLECTION_SCALED, Q_ROW1, "COSINE", 10, with_qid=False))
 def topk_cosine(spark, sf_dir):
     """V3: cosine top 10 on the scaled copy."""
@@ -56,21 +68,21 @@ def topk_ip_scaled(spark, sf_dir):
     return _one(collection_view(spark, sf_dir, scaled=True), 1, "IP", 10)
 
 
-@register("topk_batch", topk_sql(SQL_COLLECTION_SCALED, Q_ALL, "IP", 10, fields="", out_fields=""))
+@register("topk_batch", topk_sql(SQL_COLLECTION_SCALED, Q_GROUPS, "IP", 10, fields="", out_fields=""))
 def topk_batch(spark, sf_dir):
-    """V5: every row of the scaled collection is a query; IP top 10 each."""
+    """V5: the group means of the scaled collection are the queries; IP top 10 each."""
     return _all(collection_view(spark, sf_dir, scaled=True), "IP", 10)
 
 
-@register("topk_batch_l2", topk_sql(SQL_COLLECTION_SCALED, Q_ALL, "L2", 10, fields="", out_fields=""))
+@register("topk_batch_l2", topk_sql(SQL_COLLECTION_SCALED, Q_GROUPS, "L2", 10, fields="", out_fields=""))
 def topk_batch_l2(spark, sf_dir):
-    """V5 under squared L2: all rows as queries."""
+    """V5 under squared L2."""
     return _all(collection_view(spark, sf_dir, scaled=True), "L2", 10)
 
 
-@register("topk_batch_cosine", topk_sql(SQL_COLLECTION_SCALED, Q_ALL, "COSINE", 10, fields="", out_fields=""))
+@register("topk_batch_cosine", topk_sql(SQL_COLLECTION_SCALED, Q_GROUPS, "COSINE", 10, fields="", out_fields=""))
 def topk_batch_cosine(spark, sf_dir):
-    """V5 under COSINE: all rows as queries."""
+    """V5 under COSINE."""
     return _all(collection_view(spark, sf_dir, scaled=True), "COSINE", 10)
 
 
@@ -109,7 +121,7 @@ def topk_partition(spark, sf_dir):
 
 
 def _filter_sql(p: float) -> str:
-    return topk_sql(SQL_COLLECTION, Q_ALL, "IP", 10, fields="", out_fields="",
+    return topk_sql(SQL_COLLECTION, Q_GROUPS, "IP", 10, fields="", out_fields="",
                     where=f"c.id >= (SELECT CAST(floor(count(*) * {p}) AS BIGINT) FROM embeddings)")
 
 
@@ -122,20 +134,20 @@ def _int_filtered(spark, sf_dir, rate):
 
 @register("topk_int_filter_1p", _filter_sql(0.01))
 def topk_int_filter_1p(spark, sf_dir):
-    """1 % of ids filtered out (id >= 1 % of n), all rows as queries."""
+    """1 % of ids filtered out (id >= 1 % of n); the group means are the queries."""
     return _int_filtered(spark, sf_dir, 0.01)
 
 
 @register("topk_int_filter_99p", _filter_sql(0.99))
 def topk_int_filter_99p(spark, sf_dir):
-    """99 % of ids filtered out (id >= 99 % of n), all rows as queries."""
+    """99 % of ids filtered out (id >= 99 % of n); the group means are the queries."""
     return _int_filtered(spark, sf_dir, 0.99)
 
 
-@register("topk_label_filter", topk_sql(SQL_COLLECTION, Q_ALL, "IP", 10, fields="", out_fields="",
+@register("topk_label_filter", topk_sql(SQL_COLLECTION, Q_GROUPS, "IP", 10, fields="", out_fields="",
                                         where="c.label = 3"))
 def topk_label_filter(spark, sf_dir):
-    """E5: label equality filter before top-k, all rows as queries."""
+    """E5: label equality filter before top-k; the group means are the queries."""
     view = collection_view(spark, sf_dir)
     return _all(view, "IP", 10, where=F.col("label") == 3)
 

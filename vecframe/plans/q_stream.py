@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 from vecframe.plans.q_functions import _REQ_SQL
 from vecframe.plans.registry import register
 from vecframe.plans.sqlgen import topk_sql
-from vecframe.plans.views import SQL_COLLECTION, collection_view, table
-from vecframe.streaming.ingest import daily_append, file_stream, phase_rates, run_to_end, scratch
+from vecframe.plans.views import SQL_COLLECTION, SQL_GROUP_QUERIES, collection_view, group_queries, table
+from vecframe.session import scratch_path
+from vecframe.streaming.ingest import cycle_rates, daily_append, file_stream, phase_rates, run_to_end, scratch
 from vecframe.streaming.requests import insert_request_stream, search_request_stream
 
 
@@ -42,29 +43,64 @@ def ingest_phase_rates(spark, sf_dir):
     return phase_rates(table(spark, sf_dir, "events"), "ts")
 
 
+@register("ingest_cycle_rates", """
+WITH x AS (SELECT CAST(floor(epoch(ts)) AS BIGINT) AS sec FROM events),
+y AS (SELECT sec // 60 AS cycle, CASE WHEN sec % 60 < 10 THEN 'high' ELSE 'low' END AS phase, sec FROM x)
+SELECT cycle, phase, count(*) AS rows, count(DISTINCT sec) AS seconds,
+       CAST(CASE phase WHEN 'high' THEN 10000 ELSE 50 * count(DISTINCT sec) END AS BIGINT) AS expected
+FROM y GROUP BY cycle, phase
+""")
+def ingest_cycle_rates(spark, sf_dir):
+    """Rows of each phase of each cycle against the load plan."""
+    return cycle_rates(table(spark, sf_dir, "events"), "ts")
+
+
+_REQUESTS_SQL = f"""
+c AS ({SQL_COLLECTION}),
+qs AS ({SQL_GROUP_QUERIES}),
+reqs AS (SELECT qid, qv, CASE qid % 4 WHEN 0 THEN 10 WHEN 1 THEN 3 WHEN 2 THEN 25 ELSE 100 END AS topk,
+                CASE qid % 3 WHEN 0 THEN '' WHEN 1 THEN '20250817,,20250815' ELSE '20250816' END AS days FROM qs WHERE qid NOT IN (5, 7)
+         UNION ALL SELECT qid, qv, 2, '' FROM qs WHERE qid = 3),
+n AS (SELECT *, row_number() OVER () AS no FROM reqs),
+s AS (SELECT no, qid, topk, c.id, list_inner_product(c.value, qv) AS score, deviceCode, createTime, dt
+      FROM n JOIN c ON days = '' OR list_contains(string_split(days, ','), c.dt)),
+r AS (SELECT *, row_number() OVER (PARTITION BY no ORDER BY score DESC, id, dt, createTime) AS rk FROM s)
+"""
+
+
 @register("stream_request_topk", f"""
-WITH c AS ({SQL_COLLECTION}),
-s AS (SELECT q.id AS qid, c.id, list_inner_product(c.value, q.value) AS score FROM c AS q CROSS JOIN c),
-r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rk FROM s)
-SELECT qid, CAST(rk AS BIGINT) AS rank, id, round(score, 6) AS score FROM r WHERE rk <= 1 + qid % 10
+WITH {_REQUESTS_SQL}
+SELECT qid, CAST(rk AS BIGINT) AS rank, id, round(score, 6) AS score, deviceCode, createTime, NULL AS error FROM r WHERE rk <= topk
+UNION ALL SELECT 5, NULL, NULL, NULL, NULL, NULL, 'a vector of 64 values is needed'
+UNION ALL SELECT 7, NULL, NULL, NULL, NULL, NULL, 'no vector'
+UNION ALL SELECT 8, NULL, NULL, NULL, NULL, NULL, 'topk must be positive'
 """)
 def stream_request_topk(spark, sf_dir):
-    """T5: a stream of search requests (every row, topk = 1 + id % 10) against the collection."""
-    src, _ = _stream_of(spark, sf_dir, "embeddings")
-    reqs = src.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vec"),
-                      (F.lit(1) + F.pmod(F.col("vec_id"), F.lit(10))).cast("int").alias("topk"),
-                      F.lit("").alias("partitions"))
-    base = collection_view(spark, sf_dir).select("id", "value")
+    """T5: a stream of search requests: topk absent (10), small and large; day lists; two requests of one qid;
+    requests that can't be answered."""
+    view = collection_view(spark, sf_dir)
+    qs = group_queries(view)
+    topk = F.expr("CASE qid % 4 WHEN 1 THEN 3 WHEN 2 THEN 25 WHEN 3 THEN 100 END").cast("int")
+    vec = F.when(F.col("qid") == 5, F.slice("vec", 1, 10)).when(F.col("qid") != 7, F.col("vec"))
+    reqs = qs.select("qid", vec.alias("vec"), topk.alias("topk"), F.expr("CASE qid % 3 WHEN 0 THEN '' WHEN 1 THEN '20250817,,20250815' ELSE '20250816' END").alias("partitions"))
+    again = qs.where("qid = 3").select("qid", "vec", F.lit(2).alias("topk"), F.lit("").alias("partitions"))
+    none = qs.where("qid = 8").select("qid", "vec", F.lit(0).alias("topk"), F.lit("").alias("partitions"))
+    source = scratch_path(spark, "request-rows")
+    rows = reqs.unionByName(again).unionByName(none)
+    rows.write.parquet(source)
     sink, ckpt = scratch(spark, "search-requests")
-    run_to_end(search_request_stream(reqs, base, sink, ckpt, "IP", max_k=10))
-    return (spark.read.parquet(sink).select("qid", "rank", "id", F.round("score", 6).alias("score")))
+    run_to_end(search_request_stream(file_stream(spark, source, rows.schema), view.select("id", "value", "deviceCode", "createTime", "dt"), sink, ckpt, "IP",
+                                     error_path=f"{sink}-errors", tie_cols=["dt", "createTime"]))
+    hits = spark.read.parquet(sink).select("qid", "rank", "id", F.round("score", 6).alias("score"), "deviceCode", "createTime")
+    return hits.withColumn("error", F.lit(None).cast("string")).unionByName(
+        spark.read.parquet(f"{sink}-errors").select("qid", "error"), allowMissingColumns=True)
 
 
 @register("stream_insert_requests", f"""
 WITH r AS ({_REQ_SQL}), p AS (SELECT *, TRY_CAST(num_text AS BIGINT) AS v FROM r),
 x AS (SELECT CASE WHEN v IS NOT NULL AND v BETWEEN 0 AND 50000 THEN v END AS num,
-             CASE WHEN v IS NULL THEN 'not an integer' WHEN v > 50000 THEN 'num should less than 50000'
-                  WHEN v < 0 THEN 'num must not be negative' END AS error FROM p)
+             CASE WHEN v IS NULL THEN 'not an integer' WHEN v > 50000 THEN 'too many rows'
+                  WHEN v < 0 THEN 'negative' END AS error FROM p)
 SELECT error, count(*) AS requests, CAST(sum(num) AS BIGINT) AS rows_requested FROM x GROUP BY error
 """)
 def stream_insert_requests(spark, sf_dir):
@@ -80,22 +116,80 @@ def stream_insert_requests(spark, sf_dir):
     return out.groupBy("error").agg(F.count(F.lit(1)).alias("requests"), F.sum("num").alias("rows_requested"))
 
 
+@register("stream_insert_rows", """
+WITH e AS (SELECT epoch_ms(ts) AS ms, strftime(ts, '%Y%m%d') AS dt, CASE WHEN event_id % 5 = 4 THEN NULL ELSE event_id % 5 - 1 END AS num FROM events
+           WHERE event_id % 5 <> 4 OR event_id % 1000 = 4),
+r AS (SELECT dt, ms, unnest(range(0, coalesce(num, 1000))) AS id FROM e WHERE coalesce(num, 1000) > 0)
+SELECT dt, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum, count(DISTINCT ms) AS times FROM r GROUP BY dt
+""")
+def stream_insert_rows(spark, sf_dir):
+    """T6 + S8: accepted insert requests append their rows to the request's day, also when a micro-batch is
+    written again; a request without a number makes 1000 rows, a negative one none."""
+    import uuid
+
+    from vecframe.functions.dates import epoch_millis_utc
+    from vecframe.operators import tables as TB
+    src, _ = _stream_of(spark, sf_dir, "events")
+    num = F.when(F.col("event_id") % 5 != 4, (F.col("event_id") % 5 - 1).cast("string"))
+    reqs = src.where("event_id % 5 <> 4 OR event_id % 1000 = 4").select(
+        F.col("event_id").alias("req_id"), num.alias("num_text"), epoch_millis_utc("ts").alias("at_ms"))
+    name = f"vf_ins_{uuid.uuid4().hex[:10]}"
+    TB.create_collection(spark, name, dim=2, location=scratch_path(spark, "inserts"), batch_key=True)
+    for turn in range(2):  # the second run, with a checkpoint of its own, writes batch 0 once more
+        sink, ckpt = scratch(spark, f"insert-rows-{turn}")
+        run_to_end(insert_request_stream(reqs, sink, ckpt, table=name, dim=2, time_col="at_ms"))
+    spark.catalog.refreshTable(name)
+    counts = spark.table(name).groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum"), F.countDistinct("createTime").alias("times"))
+    path = scratch_path(spark, "insert-counts")
+    counts.write.parquet(path)
+    TB.drop_collection(spark, name)
+    return spark.read.schema(counts.schema).parquet(path)
+
+
+_STEP_SQL = topk_sql("SELECT * FROM all_rows WHERE {}", SQL_GROUP_QUERIES, "IP", 5, fields="", out_fields="").replace("WITH c AS", "c AS", 1)
+
+
+def _step(number: int, where: str) -> str:
+    return f"SELECT {number} AS step, t.* FROM (WITH all_rows AS ({SQL_COLLECTION}), {_STEP_SQL.format(where).strip()}) t"
+
+
+@register("search_while_inserting", _step(1, "id % 2 = 0") + " UNION ALL " + _step(2, "TRUE"))
+def search_while_inserting(spark, sf_dir):
+    """A collection is searched after each of two ingest steps and finds what has been committed by then."""
+    import uuid
+
+    from vecframe.operators import tables as TB
+    from vecframe.operators.search import search
+    view = collection_view(spark, sf_dir)
+    name = f"vf_live_{uuid.uuid4().hex[:10]}"
+    TB.create_collection(spark, name, dim=64, location=scratch_path(spark, "live"))
+    path = scratch_path(spark, "live-hits")
+    for step, part in ((1, "id % 2 = 0"), (2, "id % 2 = 1")):
+        TB.append_today(spark, name, view.where(part).select("id", "value", "deviceCode", "createTime"))
+        spark.catalog.refreshTable(name)
+        now = spark.table(name).join(view.select("id", "label"), "id")
+        hits = search(spark.table(name), group_queries(now), "IP", 5, fields=[], tie_cols=["dt", "createTime"])
+        hits.select(F.lit(step).alias("step"), "qid", "rank", "id", F.round("score", 6).alias("score")).write.mode("append").parquet(path)
+    TB.drop_collection(spark, name)
+    return spark.read.parquet(path)
+
+
 @register("request_topk_own_days", f"""
-WITH c AS ({SQL_COLLECTION}),
-s AS (SELECT q.id AS qid, c.id, list_inner_product(c.value, q.value) AS score, c.dt
-      FROM c AS q CROSS JOIN c
-      WHERE c.dt IN (q.dt, strftime(strptime(q.dt, '%Y%m%d') - INTERVAL 1 DAY, '%Y%m%d'))),
+WITH c AS ({SQL_COLLECTION}), qs AS ({SQL_GROUP_QUERIES}),
+s AS (SELECT qid, c.id, list_inner_product(c.value, qv) AS score, c.dt
+      FROM qs JOIN c ON c.dt IN (strftime(DATE '2025-08-17' - CAST(qid % 5 AS INTEGER), '%Y%m%d'),
+                                 strftime(DATE '2025-08-16' - CAST(qid % 5 AS INTEGER), '%Y%m%d'))),
 r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rk FROM s)
 SELECT qid, CAST(rk AS BIGINT) AS rank, id, round(score, 6) AS score, dt FROM r WHERE rk <= 5
 """)
 def request_topk_own_days(spark, sf_dir):
-    """T5 with per-request day lists: each row asks for its own day and the day before."""
+    """T5 with per-request day lists: a day that depends on the query, and the day before."""
     from vecframe.functions.dates import day_shift
     from vecframe.streaming.requests import answer_search_requests
     view = collection_view(spark, sf_dir)
-    reqs = view.select(F.col("id").alias("qid"), F.col("value").alias("vec"), F.lit(5).alias("topk"),
-                       F.concat_ws(",", "dt", day_shift(F.to_date("dt", "yyyyMMdd"), 1)).alias("partitions"))
-    res = answer_search_requests(view.select("id", "value", "dt"), reqs, "IP", max_k=5, fields=["dt"])
+    day = F.date_sub(F.lit("2025-08-17").cast("date"), F.pmod(F.col("qid"), F.lit(5)).cast("int"))
+    reqs = group_queries(view).select("qid", "vec", F.lit(5).alias("topk"), F.concat_ws(",", day_shift(day, 0), day_shift(day, 1)).alias("partitions"))
+    res = answer_search_requests(view.select("id", "value", "dt"), reqs, "IP", fields=["dt"])
     return res.select("qid", "rank", "id", F.round("score", 6).alias("score"), "dt")
 
 

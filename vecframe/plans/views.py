@@ -22,11 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def collection_view(spark: SparkSession, sf_dir: str, scaled: bool = False) -> DataFrame:
+def collection_view(spark: SparkSession, sf_dir: str, scaled: bool = False, shift: int = 0) -> DataFrame:
     """Bench-schema collection derived from ``embeddings``.
 
     ``scaled=True`` multiplies each vector by ``1 + vec_id % 3`` so that IP,
-    L2 and COSINE rank differently (the raw vectors all have unit length).
+    L2 and COSINE rank differently (the raw vectors all have unit length);
+    ``shift`` moves every value away from the origin (in float32).
     """
     e = table(spark, sf_dir, "embeddings")
     day = F.date_sub(F.lit(TODAY).cast("date"), (F.col("vec_id") / ROWS_PER_DAY).cast("int"))
@@ -34,6 +35,8 @@ def collection_view(spark: SparkSession, sf_dir: str, scaled: bool = False) -> D
     if scaled:
         factor = (F.lit(1) + F.pmod(F.col("vec_id"), F.lit(3))).cast("float")
         value = F.transform(value, lambda x: x * factor)
+    if shift:
+        value = F.transform(value, lambda x: (x.cast("double") + shift).cast("float"))
     return e.select(
         F.col("vec_id").alias("id"),
         value.alias("value"),
@@ -44,9 +47,16 @@ def collection_view(spark: SparkSession, sf_dir: str, scaled: bool = False) -> D
     )
 
 
-def all_queries(view: DataFrame) -> DataFrame:
-    """Every row of the collection as a query vector ``(qid, vec)``."""
-    return view.select(F.col("id").alias("qid"), F.col("value").alias("vec"))
+def group_queries(view: DataFrame) -> DataFrame:
+    """The query set ``(qid, vec)``: the mean vector of every label (qid = label) and of
+    every device code (qid = 1000 + its number), rounded to six decimals.  It reads every
+    row and has some 110 rows at any size."""
+    device = F.substring("deviceCode", 7, 10).cast("int") + 1000
+    parts = view.select(F.explode(F.array(F.col("label").cast("long"), device.cast("long"))).alias("qid"), "value")
+    cells = parts.select("qid", F.posexplode("value").alias("pos", "x")).groupBy("qid", "pos").agg(
+        F.round(F.avg(F.col("x").cast("double")), 6).alias("m"))
+    return (cells.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("p"))
+            .select("qid", F.transform("p", lambda x: x.m).alias("vec")))
 
 
 def query_of(view: DataFrame, qid: int) -> DataFrame:
@@ -73,3 +83,16 @@ SELECT vec_id AS id,
        strftime(DATE '2025-08-17' - CAST(vec_id // 100 AS INTEGER), '%Y%m%d') AS dt
 FROM embeddings
 """
+
+SQL_COLLECTION_SHIFTED = SQL_COLLECTION.replace(
+    "CAST(embedding AS DOUBLE[])", "CAST(list_transform(embedding, lambda x: CAST(CAST(x AS DOUBLE) + 10000 AS FLOAT)) AS DOUBLE[])")
+
+# DuckDB twin of group_queries over a relation ``c``.
+SQL_GROUP_QUERIES = """
+SELECT qid, list(m ORDER BY pos) AS qv
+FROM (SELECT qid, pos, round(avg(x), 6) AS m
+      FROM (SELECT CAST(label AS BIGINT) AS qid, unnest(generate_series(1, len(value))) AS pos, unnest(value) AS x FROM c
+            UNION ALL
+            SELECT 1000 + CAST(substr(deviceCode, 7) AS BIGINT), unnest(generate_series(1, len(value))), unnest(value) FROM c)
+      GROUP BY qid, pos) GROUP BY qid
+"""

@@ -8,9 +8,9 @@
    that small table with a window - its size is the partition count;
 3. join the offsets back (broadcast while a count proves them small).
 
-Both passes must see the same partitions.  A Parquet scan is stable; any
-other input (after a shuffle, or non-deterministic) is first cut with a
-reliable ``checkpoint()`` into the shared checkpoint folder (``stable=False``).
+Both passes must see the same partitions.  The input is first cut with a
+reliable ``checkpoint()`` into the shared checkpoint folder; ``stable=True``
+saves that where it is a plain file scan.
 """
 
 from __future__ import annotations
@@ -21,21 +21,22 @@ from pyspark.sql import functions as F
 from vecframe.session import bounded_broadcast, cut_lineage
 
 
-def with_row_numbers(df: DataFrame, col: str = "row_no", stable: bool = True) -> DataFrame:
+def with_row_numbers(df: DataFrame, col: str = "row_no", stable: bool = False) -> DataFrame:
     return numbered(df, col, stable)[0]
 
 
-def numbered(df: DataFrame, col: str = "row_no", stable: bool = True) -> tuple[DataFrame, int]:
+def numbered(df: DataFrame, col: str = "row_no", stable: bool = False) -> tuple[DataFrame, int]:
     """``(df with dense row numbers, total rows)``.
 
-    The per-partition counts stay in Spark: a small cached table (one row per
+    The per-partition counts stay in Spark: a small checkpointed table (one row per
     input partition) with a running sum over it, joined back behind a size
     check; only the total comes to the driver."""
     if not stable:
         df = cut_lineage(df)
     tagged = (df.withColumn("_pid", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).cache()
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    counts = cut_lineage(counts)
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.withColumn("_offset", F.sum("_n").over(w) - F.col("_n")).select("_pid", "_offset")
     total = int(counts.agg(F.sum("_n")).first()[0] or 0)
@@ -45,13 +46,13 @@ def numbered(df: DataFrame, col: str = "row_no", stable: bool = True) -> tuple[D
     return out, total
 
 
-def batch_split(df: DataFrame, batch_size: int, col: str = "batch", stable: bool = True) -> DataFrame:
+def batch_split(df: DataFrame, batch_size: int, col: str = "batch", stable: bool = False) -> DataFrame:
     """``batch = floor(row_no / batch_size)``; ``ceil(n / size)`` batches."""
     return batch_split_counted(df, batch_size, col, stable)[0]
 
 
 def batch_split_counted(df: DataFrame, batch_size: int, col: str = "batch",
-                        stable: bool = True) -> tuple[DataFrame, int]:
+                        stable: bool = False) -> tuple[DataFrame, int]:
     """:func:`batch_split` plus the row total."""
     if batch_size <= 0:
         raise ValueError("batch size must be positive")
@@ -59,12 +60,12 @@ def batch_split_counted(df: DataFrame, batch_size: int, col: str = "batch",
     return rows.withColumn(col, F.floor(F.col("_row_no") / batch_size).cast("long")).drop("_row_no"), n
 
 
-def batch_counts(df: DataFrame, batch_size: int, stable: bool = True) -> DataFrame:
+def batch_counts(df: DataFrame, batch_size: int, stable: bool = False) -> DataFrame:
     """Rows per batch (progress report of a batched load)."""
     return batch_split(df, batch_size, stable=stable).groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
 
 
-def assign_ids(df: DataFrame, col: str = "id", start: int = 0, stable: bool = True) -> DataFrame:
+def assign_ids(df: DataFrame, col: str = "id", start: int = 0, stable: bool = False) -> DataFrame:
     """S14, ``auto_id``: dense ids ``start .. start+n-1`` in input order."""
     return with_row_numbers(df, "_rn", stable).withColumn(col, F.col("_rn") + F.lit(start)).drop("_rn")
 

@@ -29,14 +29,14 @@ def random_vector(id_col: Column, dim: int, seed: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.lit(dim)), lambda j: uniform(id_col, j, seed).cast("float"))
 
 
-def bench_rows(ids: DataFrame, dim: int, now_ms: int, seed: int = 7, id_col: str = "id") -> DataFrame:
-    """``id, value, deviceCode, createTime`` for each input id."""
+def bench_rows(ids: DataFrame, dim: int, now_ms, seed: int = 7, id_col: str = "id") -> DataFrame:
+    """``id, value, deviceCode, createTime`` for each input id; ``now_ms`` is epoch ms or a column."""
     i = F.col(id_col).cast("long")
     return ids.select(
         i.alias("id"),
         random_vector(i, dim, seed).alias("value"),
         device_code(F.xxhash64(i, F.lit(seed + 1))).alias("deviceCode"),
-        F.lit(int(now_ms)).cast("long").alias("createTime"))
+        (now_ms if isinstance(now_ms, Column) else F.lit(int(now_ms))).cast("long").alias("createTime"))
 
 
 def hello_rows(ids: DataFrame, dim: int, seed: int = 11, id_col: str = "id") -> DataFrame:
@@ -69,5 +69,6 @@ def query_vector(spark, dim: int, seed: int = 5) -> list[float]:
 
 
 def pick_one(df: DataFrame, id_col: str = "id", seed: int = 42) -> DataFrame:
-    """A repeatable "random" row: smallest ``xxhash64(id, seed)``."""
-    return df.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), F.col(id_col)).limit(1)
+    """A repeatable "random" row: smallest ``md5(id || '-' || seed)``."""
+    text = F.concat(F.col(id_col).cast("string"), F.lit(f"-{seed}"))
+    return df.orderBy(F.md5(text.cast("binary")), F.col(id_col)).limit(1)

@@ -24,8 +24,9 @@ def read_vectors(spark: SparkSession, path: str, vector_col: str = "emb", id_col
 def read_query_vectors(spark: SparkSession, path: str, schema: T.StructType = QUERY_SCHEMA) -> DataFrame:
     """JSON query vectors, either one JSON array of ``{"vec": [...]}``
     objects or JSON Lines (what :func:`write_query_vectors` produces)."""
-    first = spark.read.text(path).limit(1).collect()
-    multiline = bool(first) and first[0][0].lstrip().startswith("[")
+    # one character reaches the driver: an array may be one line of any length
+    first = spark.read.text(path).select(F.substring(F.ltrim(F.col("value")), 1, 1).alias("c")).where("c <> ''").limit(1).collect()
+    multiline = bool(first) and first[0][0] == "["
     return spark.read.schema(schema).option("multiLine", str(multiline).lower()).json(path)
 
 

@@ -71,6 +71,21 @@ def phase_rates(df: DataFrame, ts_col: str = "ts", cycle_seconds: int = 60, high
     return x.groupBy("phase").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("cycle").alias("cycles"))
 
 
+def cycle_rates(df: DataFrame, ts_col: str = "ts", cycle_seconds: int = 60, high_seconds: int = 10, high_rows: int = 10_000,
+                low_rate: int = 50) -> DataFrame:
+    """T2 cycle by cycle: rows of each phase against what the load plan expects - ``high_rows`` in the high phase,
+    ``low_rate`` for each second of the low phase that has rows."""
+    ts = F.col(ts_col)
+    sec = F.unix_date(F.to_date(ts)).cast("long") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    x = df.where(ts.isNotNull()).select(
+        F.floor(sec / cycle_seconds).alias("cycle"), sec.alias("sec"),
+        F.when(F.pmod(sec, F.lit(cycle_seconds)) < high_seconds, "high").otherwise("low").alias("phase"))
+    seconds = x.groupBy("cycle", "phase", "sec").agg(F.count(F.lit(1)).alias("n"))
+    per = seconds.groupBy("cycle", "phase").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("seconds"))
+    expected = F.when(F.col("phase") == "high", F.lit(high_rows)).otherwise(F.col("seconds") * low_rate).cast("long")
+    return per.select("cycle", "phase", "rows", "seconds", expected.alias("expected"))
+
+
 def periodic_search(trigger_stream: DataFrame, snapshot: Callable[[], DataFrame],
                     run_search: Callable[[DataFrame], DataFrame], sink_path: str, checkpoint: str,
                     trigger: str | float = 60.0) -> StreamingQuery:
