@@ -71,3 +71,21 @@ def test_epoch_millis_utc_ignores_session_zone(spark):
         assert df.first()["ms"] == 1755392523456
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_dates_with_one_digit_hours_and_fractions(spark):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from vecframe.functions.dates import parse_date_string
+    rows = [("2025-08-13 1:02:03", dt.datetime(2025, 8, 13, 1, 2, 3)), ("2025-08-13 01:02:03.5", dt.datetime(2025, 8, 13, 1, 2, 3, 500000)),
+            ("2025-08-13 23:02:03,25", dt.datetime(2025, 8, 13, 23, 2, 3, 250000)), ("2025-08-13 1:2:03", None), ("2025-08-13 24:02:03", None)]
+    df = spark.createDataFrame([(s,) for s, _ in rows], "s string")
+    assert [r.t for r in df.select(parse_date_string(F.col("s")).alias("t")).collect()] == [t for _, t in rows]
+
+
+def test_sq8_codes_keep_null_vectors(spark):
+    import numpy as np
+    from vecframe.operators.quantize import sq8_encode
+    df = spark.createDataFrame([(1, [0.0, 1.0]), (2, None), (3, [1.0, 0.0])], "id long, value array<float>").coalesce(1)
+    got = sq8_encode(df, np.zeros(2), np.ones(2)).orderBy("id").collect()
+    assert [None if r.codes is None else bytes(r.codes) for r in got] == [b"\x00\xff", None, b"\xff\x00"]

@@ -14,18 +14,18 @@ DATE_LAYOUTS = (
     "dd-MM-yyyy",
     "dd/MM/yyyy",
     "yyyyMMdd",
-    "yyyy-MM-dd HH:mm:ss",
+    "yyyy-MM-dd H:mm:ss[.SSSSSSSSS]",
 )
 
-# The exact digit shape of each layout above, same order
-# (fields have exactly these widths, as in the reference's layouts).
+# The exact digit shape of each layout above, same order (an
+# hour may have one digit, and seconds a fraction).
 DATE_SHAPES = (
     r"^\d{4}-\d{2}-\d{2}$",
     r"^\d{4}/\d{2}/\d{2}$",
     r"^\d{2}-\d{2}-\d{4}$",
     r"^\d{2}/\d{2}/\d{4}$",
     r"^\d{8}$",
-    r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+    r"^\d{4}-\d{2}-\d{2} \d{1,2}:\d{2}:\d{2}([.,]\d{1,9})?$",
 )
 
 DAY_FORMAT = "yyyyMMdd"
@@ -41,6 +41,7 @@ def parse_date_string(s) -> Column:
     A layout is only tried on a string of its exact shape: a cheap regular
     expression instead of a failed parse per layout and row."""
     c = _col(s)
+    c = F.replace(c, F.lit(","), F.lit("."))
     return F.coalesce(*[F.when(c.rlike(shape), F.try_to_timestamp(c, F.lit(fmt)))
                         for fmt, shape in zip(DATE_LAYOUTS, DATE_SHAPES)])
 

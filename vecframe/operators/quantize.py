@@ -61,12 +61,12 @@ def sq8_encode(base: DataFrame, lo: np.ndarray, hi: np.ndarray, vector_col: str
         lo_, hi_ = bc.value
         for rb in batches:
             rows, X = K.arrow_vectors(rb.column(vector_col), dim)
-            out = [None] * rb.num_rows
-            if len(rows):
-                codes = encode(X, lo_, hi_)
-                for i, r in enumerate(rows):
-                    out[r] = codes[i].tobytes()
-            yield rb.append_column(codes_col, pa.array(out, pa.binary()))
+            there = np.zeros(rb.num_rows, bool)
+            there[rows] = True
+            codes = encode(X, lo_, hi_).tobytes() if len(rows) else b""  # row after row: one buffer
+            offsets = np.concatenate(([0], np.cumsum(there * dim))).astype(np.int32)
+            column = pa.Array.from_buffers(pa.binary(), rb.num_rows, [pa.array(there).buffers()[1], pa.py_buffer(offsets.tobytes()), pa.py_buffer(codes)])
+            yield rb.append_column(codes_col, column)
 
     ship_package(spark)
     return base.mapInArrow(run, schema)
