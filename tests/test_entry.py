@@ -14,6 +14,28 @@ def test_every_oracle_has_a_query():
     assert len(q) >= 50
 
 
+def test_entry_works_without_the_training_data_queries(monkeypatch):
+    import sys
+    for gone in ("corpus_pipeline", "vecframe.llm"):
+        with monkeypatch.context() as m:
+            m.delitem(sys.modules, "corpus_pipeline", raising=False)
+            for name in [n for n in sys.modules if n.startswith("vecframe.llm")]:
+                m.delitem(sys.modules, name)
+            m.setitem(sys.modules, gone, None)
+            names = set(E.queries())
+            assert "topk_ip" in names and not any(n.startswith("op") or n == "pipeline" for n in names)
+            assert set(E.oracle_sql()) <= names
+
+
+def test_percentiles_keep_a_null_group(spark):
+    from vecframe.operators.evaluate import exact_percentiles, latency_summary
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), (None, 7.0), (None, None)], "g string, ms double")
+    for bound in (2_000_000, 1):
+        got = {r["g"]: (r["n"], r["p50"]) for r in exact_percentiles(df, ["g"], "ms", max_window_values=bound).collect()}
+        assert got == {"a": (2, 2.0), None: (2, 6.0)}
+    assert {(r["g"], r["mean"]) for r in latency_summary(df, ["g"]).collect()} == {("a", 2.0), (None, 6.0)}
+
+
 def test_exact_percentiles_match_numpy(spark):
     import numpy as np
     from vecframe.operators.evaluate import exact_percentiles
