@@ -45,8 +45,8 @@ def test_groups_match_all_pairs(spark):
         assert {r.doc_id: r.component_id for r in got} == want
 
 
-@pytest.mark.parametrize("hot", [1000, 3])
-def test_chains_of_fingerprints(spark, hot):
+@pytest.mark.parametrize("hot, finish", [(1000, 1 << 20), (3, 1 << 20), (1000, 0)])
+def test_chains_of_fingerprints(spark, hot, finish):
     """Long chains of one-bit steps and dense clusters, through pairs and through points."""
     r = np.random.default_rng(0)
     prints = set()
@@ -60,7 +60,7 @@ def test_chains_of_fingerprints(spark, hot):
     prints = sorted(prints)
     nodes = spark.createDataFrame(pd.DataFrame({"fp": np.array(prints, np.uint64).view(np.int64)}))
     groups = {}
-    for row in N.components(N.close_links(nodes, 2, hot)).collect():
+    for row in N.components(N.close_links(nodes, 2, hot), finish_links=finish).collect():
         groups.setdefault(row.root, {row.root % (1 << 64)}).add(row.node % (1 << 64))
     want = {}
     for p, root in components({p: p for p in prints}).items():
@@ -68,6 +68,14 @@ def test_chains_of_fingerprints(spark, hot):
     assert sorted(map(sorted, groups.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
 
 
+def test_contract_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(N, "HELD_LINKS", 10)
+    edges = spark.range(0, 400).selectExpr("id a", "(id * 7 + 3) % 50 + id div 100 * 100 b")
+    whole = {r.node: r.root for r in N.components(edges).collect()}
+    monkeypatch.setattr(N, "HELD_LINKS", 1 << 20)
+    assert whole == {r.node: r.root for r in N.components(edges).collect()}
+
+
 def test_edge_table(spark):
     docs = edge_docs(spark)
     rows = N.groups(docs).collect()

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from vecframe.llm.common import map_text, text_buffer
 
 #: Pieces that a worker's cache holds before it starts afresh.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 150_000
 
 # Classes of code points.  Fixed values: the pattern's letters \p{L}, numbers \p{N}, the space, other white space \s.
 LETTER, NUMBER, SPACE, WHITE, OTHER, SHORT, LONG = range(7)

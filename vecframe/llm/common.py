@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import functools
 import gc
 
 import numpy as np
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from vecframe.session import scratch_path
 
 #: Bytes of text that one kernel call works on at most (a single longer text is one call).
-KERNEL_BYTES = 2 << 20
+KERNEL_BYTES = 1 << 20
 
 #: A key is heavy if it has more than 1/HEAVY_SHARE of all rows, so there are at most HEAVY_SHARE heavy keys.
 HEAVY_SHARE = 1000
@@ -25,11 +24,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Narrow rows that one file of a written table has: small tables are written by few tasks.
+ROWS_PER_FILE = 200_000
+
+
+def files_for(rows: int) -> int:
+    return 1 + rows // ROWS_PER_FILE
+
+
+def written(df: DataFrame, name: str, files: int | None = None, dealt: bool = False) -> DataFrame:
     """``df`` written once into the shared folder and read back: cuts the lineage,
-    survives lost executors, and gives the optimizer its real size."""
+    survives lost executors, and gives the optimizer its real size.
+
+    ``files``: as many tasks write it.  ``dealt``: its rows are dealt out to them by a shuffle, so that what
+    makes the rows keeps its own number of tasks; otherwise those tasks also make the rows."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    out = df if files is None else df.repartition(files) if dealt else df.coalesce(files)
+    # only this driver reads the table, and not before the job is over: no marker file
+    out.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -43,6 +55,7 @@ def long_lists():
     finally:
         gc.enable()
         gc.collect()
+        pa.default_memory_pool().release_unused()
 
 
 def text_slices(batch: pa.RecordBatch, column: int, limit: int = KERNEL_BYTES):
@@ -74,12 +87,18 @@ def text_buffer(column: pa.Array) -> tuple[bytes, np.ndarray]:
 FACTOR = 0x9E3779B97F4A7C15
 
 
-@functools.lru_cache(maxsize=1)
+POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``FACTOR ** i`` and ``FACTOR ** -i`` modulo 2**64."""
-    up, down = np.full(n, FACTOR, np.uint64), np.full(n, pow(FACTOR, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+    """``FACTOR ** i`` and ``FACTOR ** -i`` modulo 2**64 for ``i`` below ``n``; a process keeps the longest it has made."""
+    if len(POWERS[0]) < n:
+        size = -(-n // (1 << 18)) << 18
+        for j, base in enumerate((FACTOR, pow(FACTOR, -1, 1 << 64))):
+            POWERS[j] = np.full(size, base, np.uint64)
+            POWERS[j][0] = 1
+            np.cumprod(POWERS[j], out=POWERS[j])
+    return POWERS[0][:n], POWERS[1][:n]
 
 
 def token_runs(data: np.ndarray, kind: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -93,14 +112,17 @@ def token_runs(data: np.ndarray, kind: np.ndarray, at: np.ndarray) -> tuple[np.n
     solid = kind != 0
     first = np.flatnonzero(solid & change[:-1])
     end = np.flatnonzero(solid & change[1:]) + 1
-    up, down = powers(1 << max(10, int(len(data)).bit_length()))
+    up, down = powers(max(1, len(data)))
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(data * up[:len(data)], out=total[1:])
+    np.multiply(data, up[:len(data)], out=total[1:])
+    np.cumsum(total[1:], out=total[1:])
     return (total[end] - total[first]) * down[first], first, end, np.searchsorted(first, at)
 
 
 #: Labelled rows that a model is fitted on at most: those whose ids have the smallest hashes.
 LABELLED_ROWS = 20_000
+#: Files that the sample is written to.
+SAMPLE_FILES = 8
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text_col: str = "text",

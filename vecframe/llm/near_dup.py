@@ -6,8 +6,8 @@ one of the tables keyed by the agreeing blocks; the Hamming distance is verified
 node from the start.  A bucket with more than ``HOT_BUCKET`` distinct fingerprints would give too many pairs; its
 members are linked without pairs: two fingerprints are within ``max_bits`` (2) bits of each other exactly if some point
 lies within one bit of both, so each member goes to its 65 points, and the members at a point (65 at most) form a star.
-This covers every link within the bucket; nothing is dropped.  Groups are found by alternating large-star and
-small-star rounds, each round written to the shared folder.
+This covers every link within the bucket; nothing is dropped.  Groups are found by forests within tasks and
+alternating large-star and small-star rounds, each written to the shared folder, until few enough links are left for one task.
 
 Defined results: null and empty texts and texts without words have fingerprint zero, linked like any other; texts with
 fewer words than a shingle use the whole sequence; repeated rows come back once each; a row with a null id has its
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import lookup_join, map_text, text_buffer, written
+from vecframe.llm.common import files_for, lookup_join, map_text, text_buffer, written
 
 #: Blocks that a fingerprint is split into; with two bits allowed there are six tables keyed by two of four blocks.
 BLOCKS = 4
@@ -93,9 +93,10 @@ def close_links(nodes: DataFrame, max_bits: int = 2, hot_bucket: int = HOT_BUCKE
     keys = F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("k")) for t, m in enumerate(tables)])
     entries = nodes.select("fp", F.explode(keys).alias("e")).select("fp", "e.t", "e.k")
     shared = entries.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("low")).where("n > 1")
-    shared = written(shared, "buckets")
+    files = files_for(nodes.count())
+    shared = written(shared, "buckets", 2 * files)
     few = entries.join(shared.where(F.col("n") <= hot_bucket).select("t", "k"), ["t", "k"])
-    few = written(few, "members")
+    few = written(few, "members", 2 * files)
     left = few.select("t", "k", F.col("fp").alias("a"))
     right = few.select("t", "k", F.col("fp").alias("b"))
     pairs = (left.join(right, ["t", "k"]).where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
@@ -135,38 +136,53 @@ def forest(edges) -> tuple[np.ndarray, np.ndarray]:
     return names[keep], names[root[keep]]
 
 
+#: Links that a task of ``contract`` holds before it reduces them, and at which one task finishes the components.
+HELD_LINKS = 1_000_000
+FINISH_LINKS = 500_000
+
+
 def contract(edges: DataFrame) -> DataFrame:
     """Each task replaces its links ``(a, b)`` by a forest over the same nodes."""
     def run(batches):
-        got = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)) for b in batches if b.num_rows]
-        if got:
-            hi, lo = forest((np.concatenate([x for x, _ in got]), np.concatenate([y for _, y in got])))
+        held, size = [], 0
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)))
+            size += batch.num_rows
+            if size > HELD_LINKS:
+                held = [forest(tuple(map(np.concatenate, zip(*held))))]
+                size = len(held[0][0]) // 2  # what is left grows with the nodes
+        if held:
+            hi, lo = forest(tuple(map(np.concatenate, zip(*held))))
             for i in range(0, len(hi), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(hi[i:i + 100_000], pa.int64()), pa.array(lo[i:i + 100_000], pa.int64())], ["a", "b"])
 
     return edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, nodes: int = 0, finish_links: int = FINISH_LINKS) -> DataFrame:
     """``(node, root)`` for every node of links ``(a, b)``: root is the least node that it reaches.
 
-    Large-star and small-star rounds until nothing changes.  A node's least neighbour comes from a partial aggregate
-    and meets the links in a join that keeps heavy nodes apart, so a hub does not land in one task."""
-    links = written(contract(edges.where("a <> b")), "links")
+    Tasks first reduce their links to forests (``nodes``: about how many nodes there are, for their number).  Once
+    ``finish_links`` links or fewer are left, one task joins them; until then large-star and small-star rounds go on.
+    A node's least neighbour comes from a partial aggregate and meets the links in a join that keeps heavy nodes apart,
+    so a hub does not land in one task."""
+    links = written(contract(edges.where("a <> b").coalesce(2 * files_for(nodes))), "links")
     while True:
-        if links.isEmpty():
-            return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        n = links.count()
+        files = files_for(n)
+        if n <= finish_links:
+            return contract(links.coalesce(1)).select(F.col("a").alias("node"), F.col("b").alias("root"))
         # large star: every larger neighbour of a node moves to the node's least neighbour
         both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        tally = written(both.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("m")), "least")
+        tally = written(both.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("m")), "least", files)
         least = tally.select("u", F.least("m", "u").alias("m"))
         large = lookup_join(both, least, "u", counts=tally.select("u", "n")).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         # small star: a node and its smaller neighbours move to the least of them
-        large = written(large, "large")
-        tally = written(large.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("m")), "least")
+        large = written(large, "large", files)
+        tally = written(large.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("m")), "least", files)
         met = lookup_join(large, tally.select("a", "m"), "a", counts=tally.select("a", "n"))
         small = met.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        after = written(small.distinct(), "links")
+        after = written(small.distinct(), "links", files)
         # every node has one link, to a root that has none: done
         heads = after.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
         if heads.where("n > 1").isEmpty() and after.join(after.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
@@ -177,24 +193,26 @@ def components(edges: DataFrame) -> DataFrame:
 def groups(docs: DataFrame, words: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text",
            hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """``(id, fp long, component_id)`` of every row: the smallest id reachable over links of ``max_bits`` bits or fewer."""
-    rows = written(fingerprints(docs, words, id_col, text_col), "fingerprints")
-    nodes = written(rows.groupBy("fp").agg(F.min(id_col).alias("low"), F.count(F.lit(1)).alias("n")), "nodes")
-    linked = components(close_links(nodes.select("fp"), max_bits, hot_bucket))
+    files = files_for(docs.count())
+    rows = written(fingerprints(docs, words, id_col, text_col), "fingerprints", files, dealt=True)
+    nodes = written(rows.groupBy("fp").agg(F.min(id_col).alias("low"), F.count(F.lit(1)).alias("n")), "nodes", files)
+    linked = components(close_links(nodes.select("fp"), max_bits, hot_bucket), nodes.count())
     # node -> least fingerprint of its group -> least id of its group
     named = nodes.join(linked.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
-    named = written(named, "roots")
+    named = written(named, "roots", files)
     least = named.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("n"))
-    least = written(least, "least_ids")
+    least = written(least, "least_ids", files)
     of = lookup_join(named.select("fp", "root"), least.select("root", "component_id"), "root", counts=least.select("root", "n"))
     return lookup_join(rows, of.select("fp", "component_id"), "fp", counts=nodes.select("fp", "n")).select(id_col, "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group: that with the smallest id (of rows with that id, one).  Rows without an id stay."""
-    found = written(groups(docs, words, max_bits, id_col, text_col), "groups")
+    files = files_for(docs.count())
+    found = written(groups(docs, words, max_bits, id_col, text_col), "groups", files)
     out = docs.join(found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), id_col, "left_anti")
-    twice = written(found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col), "repeated")
+    twice = written(found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col), "repeated", files)
     if not twice.isEmpty():
         out = out.join(twice, id_col, "left_anti").unionByName(out.join(twice, id_col, "left_semi").dropDuplicates([id_col]))
     return out.select(*docs.columns)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import filter_text, held_out, labelled_sample, map_text, text_buffer, text_slices, token_runs, written
+from vecframe.llm.common import SAMPLE_FILES, files_for, filter_text, held_out, labelled_sample, map_text, text_buffer, text_slices, token_runs, written
 
 #: Buckets that n-grams are hashed into.
 BUCKETS = 1 << 15
@@ -121,7 +121,7 @@ def parting(weight: np.ndarray, good: np.ndarray) -> float:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = BUCKETS) -> Model:
     """Raw model from all of ``docs``; target model and parting weight from a bounded sample of labelled rows."""
-    sample = written(labelled_sample(docs, labels, "quality", id_col, text_col, held_out=held_out), "labelled")
+    sample = written(labelled_sample(docs, labels, "quality", id_col, text_col, held_out=held_out), "labelled", SAMPLE_FILES, dealt=True)
     raw, good = counted(docs, text_col, size), counted(sample.where("label = 1"), "text", size)
     if not good.sum() or sample.where("label = 0").isEmpty():
         return Model(np.zeros(size), -np.inf)
@@ -171,7 +171,7 @@ def chosen(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
            seed: int = 7) -> tuple[DataFrame, Model, float]:
     """``(scored rows, model, key that the last chosen row has)``."""
     model = fit(docs, labels, id_col, text_col)
-    rows = written(scores(docs, model, id_col, text_col, seed), "weights")
+    rows = written(scores(docs, model, id_col, text_col, seed), "weights", files_for(docs.count()), dealt=True)
     k = rows.where(F.col("log_weight") >= model.cut).count() if k is None else k
     return rows, model, kth_largest(rows, "key", k) if k and not rows.isEmpty() else np.inf if k == 0 else -np.inf
 

@@ -25,7 +25,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import written
+from vecframe.llm.common import files_for, written
 
 #: Votes that one occurrence of a term has at most.
 MAX_WEIGHT = 16
@@ -78,13 +78,13 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.xxhash64(text).alias("h"), text.alias("text"))
 
 
-def successors(rows: DataFrame) -> DataFrame:
+def successors(rows: DataFrame, files: int) -> DataFrame:
     """Each row's key with that of the next row, ascending and round, and its length: ``(kd, kn, h, occ, n, nd, nn, nh)``."""
     order = ["kn", "kd", "h"]
     ranged = rows.select("kn", "kd", "h", F.length("text").alias("n")).repartitionByRange(*order).withColumn("part", F.spark_partition_id())
     inside = Window.partitionBy("part").orderBy(*order)
     step = written(ranged.select("*", (F.row_number().over(inside) - F.rank().over(inside) + 1).alias("occ"),
-                                 F.lead(F.struct(*order)).over(inside).alias("next")), "order")
+                                 F.lead(F.struct(*order)).over(inside).alias("next")), "order", files)
     # one row a range: its first key is what follows the range before
     firsts = step.groupBy("part").agg(F.min(F.struct(*order)).alias("first"))
     over = Window.orderBy("part")
@@ -99,7 +99,8 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """Every row's text and its edited text, whose last quarter is the first characters of the next document:
     ``(kd, kn, h, occ, nd, nn, nh, n, text, edited)``."""
     rows = keyed(docs, id_col, text_col)
-    chain = written(successors(rows), "successors")
+    files = files_for(docs.count())
+    chain = written(successors(rows, files), "successors", files)
     # the texts are shuffled once: both joins, and the numbers of equal rows, use this partitioning
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     same = Window.partitionBy("kd", "kn", "h").orderBy("h")
@@ -125,7 +126,7 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("body")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("body")))).alias("v"))
     both = both.select(*KEY, "nd", "nn", "nh", "n", "edited_sha256", "v.which", "v.body")
     keys = [*KEY, "nd", "nn", "nh", "n", "edited_sha256", "which"]
-    marks = written(votes(both, keys, "body").select(*keys, majority().alias("fp")), "fingerprints")
+    marks = written(votes(both, keys, "body").select(*keys, majority().alias("fp")), "fingerprints", files_for(2 * docs.count()), dealt=True)
     own = marks.where("which = 0").drop("which")
     after = marks.where("which = 1").select(*KEY, F.col("fp").alias("edited_fp"))
     follow = marks.where("which = 0 and occ = 1").select(F.col("kd").alias("nd"), F.col("kn").alias("nn"), F.col("h").alias("nh"), F.col("fp").alias("next_fp"))

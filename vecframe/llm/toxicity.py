@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import held_out, labelled_sample, map_text, text_slices, written
+from vecframe.llm.common import SAMPLE_FILES, held_out, labelled_sample, map_text, text_slices, written
 
 #: Terms that are in the lexicon whatever the labels say.
 SEED = ("idiot", "moron", "stupid", "loser", "scum", "trash", "worthless", "pathetic", "disgusting", "imbecile", "dumbass", "bastard")
@@ -312,7 +312,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Lexicon and weights from a bounded sample of labelled rows."""
-    sample = written(labelled_sample(docs, labels, "toxic", id_col, text_col, held_out=held_out), "labelled")
+    sample = written(labelled_sample(docs, labels, "toxic", id_col, text_col, held_out=held_out), "labelled", SAMPLE_FILES, dealt=True)
     lexicon = learn_lexicon(sample)
     rows = map_text(sample, ["label", "text"], lambda b: (b.column(0), *hit_counts(b.column(1).to_pylist(), lexicon)[0].T),
                     "label int, a long, b long, c long, d long").collect()

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import written
+from vecframe.llm.common import files_for, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -107,18 +107,19 @@ class Cascade:
 
 def cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
     """Cascade of ``listed.key`` over ``universe.key`` (both distinct)."""
-    listed = written(listed.select("key").distinct(), "listed")
-    n, size = listed.count(), universe.count()
+    size = universe.count()
+    listed = written(listed.select("key").distinct(), "listed", files_for(size))
+    n = listed.count()
     if not n:
         return Cascade([])
     rate = min(0.5, max(2.0 ** -30, n / (math.sqrt(2) * max(1, size))))
     levels = [bloom(listed, n, rate, 0)]
     inside = listed
-    outside = written(universe.where(levels[0].passes(F.col("key"))).join(listed, "key", "left_anti"), "passing")
+    outside = written(universe.where(levels[0].passes(F.col("key"))).join(listed, "key", "left_anti"), "passing", files_for(size))
     while (n := outside.count()):
         levels.append(bloom(outside, n, 0.5, len(levels)))
         # what the new level should stop, and does not
-        inside, outside = outside, written(inside.where(levels[-1].passes(F.col("key"))), "passing")
+        inside, outside = outside, written(inside.where(levels[-1].passes(F.col("key"))), "passing", files_for(size))
     return Cascade(levels)
 
 
@@ -151,7 +152,7 @@ def build(pages: DataFrame, block: DataFrame, allow: DataFrame, url_col: str = "
     lengths = sorted(r[0] for r in block.select("n").union(allow.select("n")).distinct().collect())  # lengths of paths: few
     urls = pages.select(host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     keys = urls.select(F.explode(candidate_keys(F.col("host"), F.col("path"), lengths)).alias("k")).select("k.key").distinct()
-    universe = written(keys, "universe")
+    universe = written(keys, "universe", files_for(pages.count()))
     return UrlFilter(cascade(block, universe), cascade(allow, universe), lengths)
 
 
