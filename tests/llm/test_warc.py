@@ -59,6 +59,27 @@ def test_long_payload_over_many_splits(spark):
 def test_chained_leaves_the_split():
     offset, follow = np.array([0, 10, 20, 30]), np.array([10, 30, 25, 99])
     assert W.chained(offset, follow, 40).tolist() == [99, 99, -1, 99]
+    assert W.chained(offset, np.array([10, 20, 25, -1]), 40).tolist() == [W.BROKEN, W.BROKEN, -1, -1]
+
+
+@pytest.mark.parametrize("split", [100, 1 << 20])
+@pytest.mark.parametrize("tail", ["garbage", W.MAGIC + "no length\r\n\r\nx", W.MAGIC + "Content-Length: 3\r\n\r\nlonger than three\r\n\r\n" + "record",
+                                  W.MAGIC + "Content-Length: 999\r\n\r\ncut off"])
+def test_records_before_a_broken_place_are_read(spark, tail, split):
+    one = lambda text: W.MAGIC + f"X: y\r\nContent-Length: {len(text)}\r\n\r\n{text}\r\n\r\n"
+    good = ["first " * 20, "second " + FAKE, "", "third"]
+    archive = "".join(map(one, good)) + tail.replace("record", one("after"))
+    path = scratch_path(spark, "warc-broken")
+    spark.createDataFrame([(archive,)], "value string").coalesce(1).write.option("lineSep", "\n").text(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        got = [bytes(r.payload).decode() for r in sorted(W.read_archive(spark, path).collect(), key=lambda r: r.offset)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got[:3] == good[:3] and got[3:] in ([], good[3:])
 
 
 def test_empty_table(spark):

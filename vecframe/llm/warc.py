@@ -15,17 +15,20 @@ Offsets are absolute: a split's first offset is the total of the splits before i
 
 Defined results: a null html has an empty payload; control characters in urls are percent-encoded; rows with equal ids are
 written each, and the response among equal payloads is the one with the smallest id (of equal ids, each of them); a row without an id is a response;
-pages that share no payload of ``least`` bytes or more are all responses; an empty table writes and reads no records; other columns are not read.
+pages that share no payload of ``least`` bytes or more are all responses; an empty table writes and reads no records; where a foreign archive
+is broken, the records before that place are read; other columns are not read.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vecframe.llm.common import KERNEL_BYTES, lookup_join, written
+from vecframe.llm.common import KERNEL_BYTES, files_for, lookup_join, written
 from vecframe.session import bounded_broadcast
 
 # Fixed values of the format.
@@ -34,7 +37,7 @@ NEWLINE = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 
-LENGTH_FIELD = "(?im)^Content-Length: *([0-9]{1,9}) *\r?$"
+LENGTH_FIELD = r"(?im)^Content-Length: *([0-9]{1,9}) *\r?$"
 
 #: Payloads of fewer bytes are always written in full.
 LEAST_BYTES = 100
@@ -60,15 +63,16 @@ def revisits(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
     """``(page_id, digest, refers_to)`` of pages whose payload a page with a smaller id has."""
     payload = payload_of(html_col)
     narrow = pages.where(F.col(id_col).isNotNull() & (F.octet_length(payload) >= least)).select(F.col(id_col).alias("page_id"), F.sha2(payload, 256).alias("digest"))
-    narrow = written(narrow, "digests")
-    shared = written(narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    files = files_for(pages.count())
+    narrow = written(narrow, "digests", files, dealt=True)
+    shared = written(narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "shared", files)
     met = lookup_join(narrow, shared.select("digest", "first"), "digest", counts=shared.select("digest", "n"))
     return met.where(F.col("first") < F.col("page_id")).select("page_id", "digest", F.col("first").alias("refers_to")).distinct()
 
 
 def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = LEAST_BYTES) -> None:
     """One record a page; the optimizer may broadcast the revisits if their written table is small, and joins by shuffle otherwise."""
-    again = written(revisits(pages, id_col, html_col, least), "revisits")
+    again = written(revisits(pages, id_col, html_col, least), "revisits", files_for(pages.count()))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), payload_of(html_col).alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256)).join(again, ["page_id", "digest"], "left")
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(NEWLINE))
@@ -90,11 +94,23 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value")))
 
 
+def archive_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the archive's files (a listing)."""
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
 HEAD = len(MAGIC)
 
 
+#: Where a chain leads whose next record is broken: nowhere, but the records before it stand.
+BROKEN = 1 << 62
+
+
 def chained(offset: np.ndarray, follow: np.ndarray, region_end: int) -> np.ndarray:
-    """For every candidate of a split the first offset at or beyond ``region_end`` that its chain reaches; -1 if it breaks off."""
+    """For every candidate of a split the first offset at or beyond ``region_end`` that its chain reaches; ``BROKEN`` if
+    a later candidate of the chain has no successor; -1 if the candidate itself has none."""
     place = {int(o): i for i, o in enumerate(offset.tolist())}
     out = np.full(len(offset), -1, np.int64)
     for i in range(len(offset) - 1, -1, -1):
@@ -102,7 +118,7 @@ def chained(offset: np.ndarray, follow: np.ndarray, region_end: int) -> np.ndarr
         if n >= region_end:
             out[i] = n
         elif n >= 0 and n in place:
-            out[i] = out[place[n]]
+            out[i] = out[place[n]] if out[place[n]] >= 0 else BROKEN
     return out
 
 
@@ -159,32 +175,33 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
 def entries(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(splits, entries)``: the splits ``(file, split, base, total)`` and, for every split that the chain from its file's
     start enters, the offset ``(file, split, entry)`` where it does.  ``found``: ``candidates``, written."""
+    files = files_for(found.count())
     order = Window.partitionBy("file").orderBy("split")
     splits = found.where("total is not null").select("file", "split", "total")
-    splits = written(splits.withColumn("base", F.sum("total").over(order) - F.col("total")), "splits")
+    splits = written(splits.withColumn("base", F.sum("total").over(order) - F.col("total")), "splits", files)
     # absolute links; a split's region is [base - HEAD, base + total - HEAD)
     links = found.where("total is null and leaves >= 0").join(splits, ["file", "split"]).select(
-        "file", "split", (F.col("base") + F.col("offset")).alias("at"), (F.col("base") + F.col("leaves")).alias("to"))
-    links = written(links, "links")
+        "file", "split", (F.col("base") + F.col("offset")).alias("at"), F.when(F.col("leaves") < BROKEN, F.col("base") + F.col("leaves")).otherwise(F.lit(BROKEN)).alias("to"))
+    links = written(links, "links", files)
     begins = splits.where("split = 0").select("file", F.lit(0).cast("long").alias("at"))
     # only where a file starts or a link ends can a chain enter a split
     doors = begins.union(links.select("file", F.col("to").alias("at"))).distinct()
-    jumps = written(links.join(doors, ["file", "at"]).select("file", "split", "at", "to"), "jumps")
-    reached = written(begins, "reached")
+    jumps = written(links.join(doors, ["file", "at"]).select("file", "split", "at", "to"), "jumps", files)
+    reached = written(begins, "reached", 1)
     places = jumps.select("file", "at", "split")
     jumps = jumps.select("file", "at", "to")
     n = reached.count()
     while True:
         more = reached.join(jumps, ["file", "at"]).select("file", F.col("to").alias("at"))
-        reached = written(reached.union(more).distinct(), "reached")
+        reached = written(reached.union(more).distinct(), "reached", files)
         now = reached.count()
         if now == n:
             break
         n = now
         # pointers jump twice as far
         jumps = written(jumps.join(jumps.select("file", F.col("at").alias("to"), F.col("to").alias("far")), ["file", "to"])
-                        .select("file", "at", F.col("far").alias("to")), "jumps")
-    return splits, written(reached.join(places, ["file", "at"]).select("file", "split", F.col("at").alias("entry")), "entries")
+                        .select("file", "at", F.col("far").alias("to")), "jumps", files)
+    return splits, written(reached.join(places, ["file", "at"]).select("file", "split", F.col("at").alias("entry")), "entries", files)
 
 
 def cut_records(batches):
@@ -194,12 +211,14 @@ def cut_records(batches):
     head, begin, parts, size = None, 0, [], 0
     out: list[tuple] = []
 
-    def close():
+    def close(end):
+        """``end``: the offset that closes the record; one that should have ended before it is broken."""
         nonlocal parts
-        if parts:
-            body, parts = b"".join(parts), []
-            over = len(body) >= size
+        if parts and boundary >= end:
+            body = b"".join(parts)
+            over = boundary == end
             out.append((0 if over else 1, key[0], begin, head, body[:size] if over else body, boundary))
+        parts = []
 
     def flush():
         batch = pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*out), TYPES)], NAMES)
@@ -211,40 +230,48 @@ def cut_records(batches):
         held = 0
         for name, split, base, entry, ends, value in zip(*columns, batch.column(5).cast(pa.binary()).to_pylist()):
             if key != (name, split):
-                close()
+                close(at - HEAD)
                 key, first, at, boundary, head = (name, split), split == 0, base, entry, None
             offset, at = at - HEAD, at + len(value) + HEAD
             if first:  # before a file's first magic
                 first = False
             elif offset == boundary:
-                close()
-                top, _, body = value.partition(b"\r\n\r\n")
-                head, begin, parts = top.decode("utf-8", "replace"), offset, [body]
-                size = int(dict(field_pairs(head))["content-length"])
-                boundary = offset + HEAD + len(top) + 4 + size + 4
+                close(offset)
+                top, blank, body = value.partition(b"\r\n\r\n")
+                head, begin = top.decode("utf-8", "replace"), offset
+                length = re.search(LENGTH_FIELD, head)
+                if blank and length:
+                    size, parts = int(length[1]), [body]
+                    boundary = offset + HEAD + len(top) + 4 + size + 4
+                else:  # broken: the chain ends here
+                    boundary = None
             elif head is not None:  # the magic inside a payload
-                parts.append(MAGIC.encode() + value)
-            else:
+                if boundary is not None and offset > boundary:  # the record's end is not a record's start
+                    parts, boundary = [], None
+                elif parts:
+                    parts.append(MAGIC.encode() + value)
+            elif ends is not None:
                 out.append((2, name, offset, None, MAGIC.encode() + value, ends))
             held += len(value)
             if held > KERNEL_BYTES and out:
                 held = 0
                 yield flush()
-    close()
+    if key is not None:
+        close(at - HEAD)
     if out:
         yield flush()
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """``(file, offset, head string, payload binary)`` of the records on the chain from each file's start."""
-    found = written(candidates(spark, path), "candidates")
+    found = written(candidates(spark, path), "candidates", 1 + archive_bytes(spark, path) // (256 << 20), dealt=True)
     splits, entered = entries(found)
     later = Window.partitionBy("file").orderBy("split").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     # the first entry at or behind a split: what stands before it belongs to the record that ends there
     plan = splits.join(entered, ["file", "split"], "left").withColumn("ends", F.min("entry").over(later))
     broken = (F.col("split") > 0) & (F.col("total") > 0) & (F.col("entry").isNull() | (F.col("entry") > F.col("base") - HEAD))
     plan = plan.withColumn("broken", F.max(broken).over(Window.partitionBy("file")))
-    plan = written(plan.select(F.col("file").alias("f"), F.col("split").alias("s"), "base", "entry", "ends", "broken"), "plan")
+    plan = written(plan.select(F.col("file").alias("f"), F.col("split").alias("s"), "base", "entry", "ends", "broken"), "plan", files_for(found.count()))
 
     def records(which: DataFrame) -> DataFrame:
         rows = pieces(spark, path).withColumn("nth", F.monotonically_increasing_id())
@@ -265,16 +292,9 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("offset", "body"))).alias("parts"))
     body = F.aggregate("parts", F.lit(b"").cast("binary"), lambda all_, x: F.concat(all_, x.body))
     size = F.regexp_extract("head", LENGTH_FIELD, 1).cast("int")
-    return whole.unionByName(parts.select("file", "offset", "head", F.substring(body, F.lit(1), size).alias("payload")))
+    parts = parts.select("file", "offset", "head", body.alias("body"), size.alias("size")).where(F.octet_length("body") >= F.col("size"))  # else cut off
+    return whole.unionByName(parts.select("file", "offset", "head", F.substring("body", F.lit(1), F.col("size")).alias("payload")))
 
 
 TYPES = (pa.int32(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.int64())
 NAMES = ["kind", "file", "offset", "head", "body", "ends"]
-
-
-def field_pairs(head: str):
-    """Names (lower case) and values of a header; like the length's expression, the first length counts."""
-    for line in head.split("\r\n"):
-        name, colon, value = line.partition(":")
-        if colon:
-            yield name.strip().lower(), value.strip()
