@@ -42,6 +42,8 @@ BITS = np.array([0, *(b for _, b in PACKED), 64], np.int64)
 SEGMENT = 240
 #: Ids after which a block is closed (it holds whole documents).
 BLOCK_IDS = 1 << 16
+#: Bytes of text whose pieces are looked up together.
+SLICE_BYTES = 4 << 20
 #: Distinct pieces (some 200 bytes each) that a worker's cache holds before it starts afresh.
 CACHE_PIECES = 800_000
 
@@ -260,7 +262,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
 
         with long_lists():
             for batch in batches:
-                for piece in text_slices(batch, 1):
+                for piece in text_slices(batch, 1, SLICE_BYTES):
                     for name, ids in zip(piece.column(0).to_pylist(), coder.encode(piece.column(1).to_pylist())):
                         ids = np.append(ids, np.uint32(end_id))
                         held.append((name or 0, name is not None, len(ids), ids))
