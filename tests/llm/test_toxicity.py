@@ -68,7 +68,7 @@ def test_edge_table(spark, rows):
     assert len(got) == len(TEXTS) and all(0 <= r.score <= 1 for r in got)
     of = {r.doc_id: r.score for r in got}
     assert of[9] > X.THRESHOLD > of[1] and of[1] == of[5] and of[2] == of[3]
-    assert X.spans(docs, model).where("doc_id = 9").count() == 2
+    assert X.spans(docs, model).where("doc_id = 9").count() == 4  # two hits in each of two equal rows
 
 
 def test_empty_table(spark):
