@@ -35,6 +35,48 @@ def test_stems_accept_what_begins_with_them():
     assert automaton.match("idot") == ("idiot", 1)
 
 
+def test_stems_are_misspelled_like_words():
+    """A stem matches by the least distance of any beginning of the word; word and stem at one node each match."""
+    lexicon = X.Lexicon(("lowei*", "idiot*", "idiot"))
+    assert lexicon.match("lowxischaft") == ("lowei*", 1) and lexicon.match("loweischaft") == ("lowei*", 0)
+    assert lexicon.match("idot") == ("idiot", 1) and lexicon.match("idoit") is None and lexicon.match("idixts") == ("idiot*", 1)
+    random.seed(3)
+    for _ in range(20):
+        terms = ["".join(random.choice("abcd") for _ in range(random.randint(1, 9))) + random.choice(["", "*"]) for _ in range(8)]
+        automaton = X.Automaton(terms, near_stems=True)
+        for _ in range(300):
+            word = "".join(random.choice("abcde") for _ in range(random.randint(1, 12)))
+            least = {t: min(distance(word[:i], t[:-1]) for i in range(1, len(word) + 1)) if t.endswith("*") else distance(word, t) for t in terms}
+            near = min(((n, t) for t, n in least.items() if n <= X.edits(t)), default=None)
+            got = automaton.match(word)
+            assert (got and got[1]) == (near and near[0])
+            assert got is None or least[got[0]] == got[1]
+
+
+def test_seed_keeps_its_edits_beside_a_learned_stem(spark):
+    rows = [(1, f"ab{i} {w} cd{i}") for i in range(40) for w in ("idiot", "idiots", "idiotic")] + [(0, f"ef{i} plain gh{i}") for i in range(200)]
+    lexicon = X.learn_lexicon(spark.createDataFrame(rows, "label int, text string"))
+    assert {"idiot", "idiot*"} <= set(lexicon.terms)
+    assert lexicon.match("idot") == ("idiot", 1) and lexicon.match("idixtic") == ("idiot*", 1)
+
+
+def test_exceptions_are_words_that_clean_texts_use_more(spark):
+    """Clean near words are exceptions by themselves: they do not keep other misspellings of the term from being found."""
+    near = ["moran", "moren", "morin", "morons"]
+    rows = [(0, f"ab{i} {w} cd{i}") for i in range(3) for w in near] + [(1, f"ef{i} morom gh{i}") for i in range(2)] + [(0, "once morom too")]
+    lexicon = X.learn_lexicon(spark.createDataFrame(rows, "label int, text string"))
+    assert all(lexicon.match(w) is None for w in near)
+    assert lexicon.match("morom") == ("moron", 1) and lexicon.match("mroon") is None and lexicon.match("moronn") == ("moron", 1)
+
+
+def test_limit_counts_chosen_terms(spark, monkeypatch):
+    """The limit holds for terms, not for the stems that they are chosen from."""
+    monkeypatch.setattr(X, "MAX_TERMS", 3)
+    words = ["blortish", "crunkled", "drimbole"]
+    rows = [(1, f"ab{i} {w} cd{i}") for i in range(40) for w in words] + [(0, f"ef{i} plain gh{i}") for i in range(400)]
+    assert set(X.learn_lexicon(spark.createDataFrame(rows, "label int, text string")).terms) - set(X.SEED) == set(words)
+
+
 def test_choose_terms():
     units = {"scum": 50, "scu*": 50, "scum*": 50, "low*": 40, "lowe*": 40, "lowei*": 40, "loweis*": 15, "loweit*": 12, "loweisch": 10, "odd": 9}
     assert X.choose_terms(units) == ["lowei*", "odd", "scum"]

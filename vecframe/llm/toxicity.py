@@ -9,8 +9,8 @@ that has the expected signs, gives the score.
 
 Terms are learned from labelled rows: words, and stems of words, that toxic texts have far more often, counted by distinct
 contexts, so that copies of one text teach nothing; a few seed terms are always there.  A stem (written ``stem*``) accepts
-every word that begins with it.  Words near a term that clean labelled texts use are
-exceptions, not misspellings, and a term with several of them is matched exactly only.  The sample, and with it lexicon and exceptions, is bounded.
+every word with a beginning within its edits.  Words near a term that clean labelled texts use more often than toxic ones
+are exceptions, not misspellings.  The sample, and with it lexicon and exceptions, is bounded.
 
 Defined results: null and empty texts have no hits and get the score of such texts; equal texts get equal scores;
 repeated rows and null ids are scored like others; an empty table gives no rows; without labelled rows the prior alone
@@ -20,7 +20,6 @@ scores; other columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,12 +31,10 @@ from vecframe.llm.common import SAMPLE_FILES, held_out, labelled_sample, map_tex
 
 #: Terms that are in the lexicon whatever the labels say.
 SEED = ("idiot", "moron", "stupid", "loser", "scum", "trash", "worthless", "pathetic", "disgusting", "imbecile", "dumbass", "bastard")
-#: Terms that are learned at most, and exceptions that are kept at most.
+#: Terms that are learned at most (of those chosen, the ones that tell most), and exceptions that are kept at most.
 MAX_TERMS, MAX_EXCEPTIONS = 2000, 20_000
 #: Letters of a stem, and the share of a shorter stem's toxic texts that a longer one keeps if it replaces it.
 STEM_LETTERS, STEM_SHARE = range(3, 9), 0.9
-#: Distinct near words in clean texts beyond which a term is not taken to be misspelled.
-MAX_VARIANTS = 2
 #: Least log odds of a learned term, and least likelihood ratio (G) of its counts.
 MIN_ODDS, MIN_G, MIN_CONTEXTS = 3.0, 30.0, 5
 #: Words before and after a hit that are its context window.
@@ -53,19 +50,21 @@ THRESHOLD = 0.3
 
 
 def edits(term: str) -> int:
-    """Edits that a misspelling of the term may have (none in stems)."""
-    return 0 if len(term) < 5 or term.endswith("*") else 1 if len(term) < 8 else 2
+    """Edits that a misspelling of the term, or of a stem's letters, may have."""
+    letters = len(term.rstrip("*"))
+    return 0 if letters < 5 else 1 if letters < 8 else 2
 
 
 class Automaton:
     """Levenshtein automata of all terms over their trie, made deterministic as words are read.
 
-    A state is a set of ``(trie node, edits spent)``, closed under letters of the term that are left out."""
+    A state is a set of ``(trie node, edits spent)``, closed under letters of the term that are left out.  A word and a
+    stem may end at one node.  Stems accept beginnings within their edits with ``near_stems``, else beginnings that are equal."""
 
-    def __init__(self, terms, rigid=frozenset()):
-        self.edits = {t: 0 if t in rigid else edits(t) for t in terms}
+    def __init__(self, terms, near_stems=False):
+        self.edits = {t: 0 if t.endswith("*") and not near_stems else edits(t) for t in terms}
         self.children: list[dict[str, int]] = [{}]
-        self.term: list[str | None] = [None]
+        self.ends: list[list[str]] = [[]]  # word and stem that end at the node
         self.slack: list[int] = [-1]  # most edits that a term below the node may have
         for term in sorted(set(terms)):
             node = 0
@@ -74,18 +73,17 @@ class Automaton:
                 if c not in self.children[node]:
                     self.children[node][c] = len(self.children)
                     self.children.append({})
-                    self.term.append(None)
+                    self.ends.append([])
                     self.slack.append(-1)
                 node = self.children[node][c]
                 self.slack[node] = max(self.slack[node], self.edits[term])
-            if not (self.term[node] or "").endswith("*"):
-                self.term[node] = term
+            self.ends[node].append(term)
         self.alphabet = {c for kids in self.children for c in kids}
         self.states: list[frozenset] = []
         self.number: dict[frozenset, int] = {}
         self.next: list[dict[str, int]] = []
-        self.accepts: list[tuple[str, int] | None] = []
-        self.begins: list[tuple[str, int] | None] = []
+        self.accepts: list[tuple[int, str] | None] = []
+        self.begins: list[tuple[int, str] | None] = []
         self.dead = self.intern(frozenset())
         self.start = self.intern(self.close({(0, 0)} if self.slack[0] >= 0 else set()))
 
@@ -108,10 +106,9 @@ class Automaton:
             self.number[state] = len(self.states)
             self.states.append(state)
             self.next.append({})
-            ends = [(spent, self.term[node]) for node, spent in state if self.term[node] and spent <= self.edits[self.term[node]]]
-            self.accepts.append((min(ends)[1], min(ends)[0]) if ends else None)
-            stems = [t for spent, t in ends if t.endswith("*")]
-            self.begins.append((min(stems), 0) if stems else None)
+            ends = [(spent, t) for node, spent in state for t in self.ends[node] if spent <= self.edits[t]]
+            self.accepts.append(min(ends, default=None))
+            self.begins.append(min((e for e in ends if e[1].endswith("*")), default=None))
         return self.number[state]
 
     def step(self, number: int, letter: str) -> int:
@@ -126,8 +123,8 @@ class Automaton:
         return self.intern(self.close(out))
 
     def match(self, word: str) -> tuple[str, int] | None:
-        """``(nearest term, edits)`` of a word within a term's edits."""
-        state, steps, alphabet = self.start, self.next, self.alphabet
+        """``(nearest term, edits)`` of a word within a term's edits, or with a beginning within a stem's."""
+        state, steps, alphabet, stem = self.start, self.next, self.alphabet, None
         for c in word:
             if c not in alphabet:
                 c = ""  # all letters that no term has are alike
@@ -136,24 +133,27 @@ class Automaton:
             if after is None:
                 after = row[c] = self.step(state, c)
             if after == self.dead:
-                return None
-            if self.begins[after]:
-                return self.begins[after]
+                return stem and (stem[1], stem[0])
+            begun = self.begins[after]
+            if begun and (stem is None or begun < stem):
+                stem = begun
+                if stem[0] == 0:
+                    return stem[1], 0
             state = after
-        return self.accepts[state]
+        best = min((x for x in (stem, self.accepts[state]) if x), default=None)
+        return best and (best[1], best[0])
 
 
 @dataclass
 class Lexicon:
     terms: tuple[str, ...]
     exceptions: frozenset = field(default_factory=frozenset)
-    rigid: frozenset = field(default_factory=frozenset)  # terms that only match exactly
 
     def __post_init__(self):
-        self.automaton = Automaton(self.terms, self.rigid)
+        self.automaton = Automaton(self.terms, near_stems=True)
 
     def __reduce__(self):  # the automaton's states are each process's own
-        return Lexicon, (self.terms, self.exceptions, self.rigid)
+        return Lexicon, (self.terms, self.exceptions)
 
     def match(self, word: str):
         return None if word in self.exceptions else self.automaton.match(word)
@@ -294,21 +294,20 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     n = backed + F.col("clean")
     part = lambda k, share: F.when(k > 0, k * F.log(k / (n * share))).otherwise(0.0)
     g = 2 * (part(backed, max(t, 1) / max(1, t + c)) + part(F.col("clean"), max(c, 1) / max(1, t + c)))
-    units = both.where((odds >= MIN_ODDS) & (g >= MIN_G)).orderBy(g.desc(), "word").limit(MAX_TERMS).select("word", "toxic").collect()
-    terms = tuple(sorted({*SEED, *choose_terms({r[0]: r[1] for r in units})}))
+    units = both.where((odds >= MIN_ODDS) & (g >= MIN_G)).select("word", "toxic", g.alias("g")).collect()
+    telling = {r[0]: r[2] for r in units}
+    chosen = sorted(choose_terms({r[0]: r[1] for r in units}), key=lambda x: (-telling[x], x))
+    terms = tuple(sorted({*SEED, *chosen[:MAX_TERMS]}))
 
     def close(batches):
         lexicon = Lexicon(terms)
         for batch in batches:
             matched = [lexicon.match(w) for w in batch.column(0).to_pylist()]
-            near = [m[0] if m and m[1] else None for m in matched]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.string())], ["word", "clean", "term"])
+            yield batch.filter(pa.array([bool(m and m[1]) for m in matched], pa.bool_()))
 
-    suspects = tally.where("clean > 0").where(~F.col("word").endswith("*")).select("word", "clean").mapInArrow(
-        close, "word string, clean long, term string").where("term is not null")
+    suspects = tally.where("clean > toxic").where(~F.col("word").endswith("*")).select("word", "clean").mapInArrow(close, "word string, clean long")
     near = suspects.orderBy(F.col("clean").desc(), "word").limit(MAX_EXCEPTIONS).collect()
-    variants = Counter(r[2] for r in near)
-    return Lexicon(terms, frozenset(r[0] for r in near), frozenset(t for t, n in variants.items() if n > MAX_VARIANTS))
+    return Lexicon(terms, frozenset(r[0] for r in near))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
