@@ -36,6 +36,15 @@ def test_recall_grows_with_nprobe(spark):
     assert rec[0] <= rec[1] <= rec[2] == 1.0
 
 
+def test_trained_cells_find_nine_of_ten_at_the_default_nprobe(spark):
+    from vecframe.operators.ivf import default_nprobe
+    from vecframe.plans.q_ivf import ivf_recall_production
+    assert default_nprobe(179) < 179
+    for sf in (SF, "/root/testdata/sf0.1"):
+        got = ivf_recall_production(spark, sf).first()
+        assert got["expected"] == 10 * got["queries"] > 0 and got["recall"] >= 0.9
+
+
 def test_hot_cell_split_gives_same_result(spark):
     view = _view(spark)
     idx = build_index(view, "IP", nlist=4, method="mean")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vecframe.operators.evaluate import capacity, ground_truth, latency_summary, recall_at_k
-from vecframe.operators.ivf import assign_cells, build_index, ivf_search
+from vecframe.operators.ivf import assign_cells, build_index, ivf_search, reference_nprobe
 from vecframe.operators.quantize import sq8_encode, sq8_ranges
 from vecframe.operators.search import search
 from vecframe.plans.registry import register
@@ -76,7 +76,7 @@ def ivf_topk_l2(spark, sf_dir):
     """A1 under squared L2 on the scaled copy: probe the nearest cells, rank by distance."""
     view = collection_view(spark, sf_dir, scaled=True)
     index = build_index(view, "L2", method="mean")
-    res = ivf_search(assign_cells(view.select("id", "value"), index), group_queries(view), index, k=10)
+    res = ivf_search(assign_cells(view.select("id", "value"), index), group_queries(view), index, k=10, nprobe=reference_nprobe(index.nlist))
     return res.withColumn("score", F.round("score", 6))
 
 
@@ -95,7 +95,7 @@ def _mean_ivf(spark, sf_dir):
 
 def _ivf_topk(spark, sf_dir):
     view, index, assigned = _mean_ivf(spark, sf_dir)
-    return ivf_search(assigned, group_queries(view), index, k=10).withColumn("score", F.round("score", 6))
+    return ivf_search(assigned, group_queries(view), index, k=10, nprobe=reference_nprobe(index.nlist)).withColumn("score", F.round("score", 6))
 
 
 @register("ivf_assign", f"""
@@ -120,7 +120,7 @@ def ivf_sq8_topk(spark, sf_dir):
     lo, hi = sq8_ranges(view, index.dim)
     index.lo, index.hi = lo, hi
     coded = sq8_encode(assigned, lo, hi)
-    res = ivf_search(coded, group_queries(view), index, k=10, codes_col="codes")
+    res = ivf_search(coded, group_queries(view), index, k=10, nprobe=reference_nprobe(index.nlist), codes_col="codes")
     return res.withColumn("score", F.round("score", 6))
 
 
@@ -142,7 +142,7 @@ def ivf_sq8_rerank_topk(spark, sf_dir):
     lo, hi = sq8_ranges(view, index.dim)
     index.lo, index.hi = lo, hi
     coded = sq8_encode(assigned, lo, hi)
-    res = ivf_search(coded, group_queries(view), index, k=10, codes_col="codes", rerank=True)
+    res = ivf_search(coded, group_queries(view), index, k=10, nprobe=reference_nprobe(index.nlist), codes_col="codes", rerank=True)
     return res.select("qid", "rank", "id", F.round("score", 6).alias("score"))
 
 
@@ -201,6 +201,16 @@ def ivf_recall_trained(spark, sf_dir):
     return recall_at_k(approx, search(view, queries, "IP", 10, fields=[]))
 
 
+@register("ivf_recall_production")
+def ivf_recall_production(spark, sf_dir):
+    """E2 with KMeans cells at the default nprobe: every 20th stored row as a query, against exact search (no SQL: KMeans)."""
+    view = _view(spark, sf_dir)
+    index = build_index(view, "IP", method="kmeans")
+    queries = view.where("id % 20 = 0").select(F.col("id").alias("qid"), F.col("value").alias("vec"))
+    approx = ivf_search(assign_cells(view.select("id", "value"), index), queries, index, k=10)
+    return recall_at_k(approx, search(view, queries, "IP", 10, fields=[]))
+
+
 @register("latency_summary", """
 SELECT event_type, count(*) AS n, round(quantile_cont(value, 0.5), 6) AS p50,
        round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99,
