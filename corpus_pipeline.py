@@ -20,9 +20,11 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup: of each group of near copies the document with the smallest id stays."""
+    """SimHash near-dedup: of each group of near copies the document with the smallest id stays.
+
+    Texts of a repeated id that are no near copies are documents of their own."""
     ship_package(spark)
-    return near_dup.keep_one(docs, words=3, max_bits=2)
+    return near_dup.keep_one(docs, words=3, max_bits=2, one_per_id=False)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -88,6 +88,25 @@ def test_edge_table(spark):
     assert sorted((r.doc_id for r in kept), key=repr) == sorted([1, 2, 6, 7, 8, 9, 10, None, None], key=repr)
 
 
+def test_repeated_ids_with_other_texts(spark):
+    """Every group keeps one row, whatever other rows its id has."""
+    a, b, c = ("the first text is about rivers and hills", "another one counts ships in a far harbour", "a third tells of bread and of salt")
+    near = [(5, a), (7, a), (5, b), (3, b)]
+    keep = lambda rows, **how: sorted((r.doc_id, r.text) for r in N.keep_one(edge_docs(spark, rows), **how).collect())
+    assert keep(near) == keep(near, one_per_id=False) == [(3, b), (5, a)]
+    versions = [(10, a), (10, b), (12, b), (12, c), (12, c), (10, a), (14, c)]
+    assert keep(versions, one_per_id=False) == sorted([(10, a), (10, b), (12, c)])
+    assert [i for i, _ in keep(versions)] == [10, 12]
+
+
+def test_stage_keeps_texts_of_a_repeated_id(spark):
+    from corpus_pipeline import one_of_each_group
+    docs = edge_docs(spark)
+    kept = one_of_each_group(spark, docs, None)
+    assert kept.columns == docs.columns
+    assert sorted(r.text for r in kept.where("doc_id = 10").collect()) == ["same id, another text", "same id, one text"]
+
+
 def test_empty_table(spark):
     empty = edge_docs(spark, [])
     assert N.groups(empty).collect() == [] and N.keep_one(empty).collect() == []

@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from vecframe.llm.common import files_for, lookup_join, map_text, text_buffer, written
+from vecframe.llm.common import files_for, lookup_join, map_text, text_buffer, text_slices, written
 
 #: Blocks that a fingerprint is split into; with two bits allowed there are six tables keyed by two of four blocks.
 BLOCKS = 4
@@ -191,8 +192,11 @@ def components(edges: DataFrame, nodes: int = 0, finish_links: int = FINISH_LINK
 
 
 def groups(docs: DataFrame, words: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text",
-           hot_bucket: int = HOT_BUCKET) -> DataFrame:
-    """``(id, fp long, component_id)`` of every row: the smallest id reachable over links of ``max_bits`` bits or fewer."""
+           hot_bucket: int = HOT_BUCKET, with_root: bool = False) -> DataFrame:
+    """``(id, fp long, component_id)`` of every row: the smallest id reachable over links of ``max_bits`` bits or fewer.
+
+    ``with_root`` adds ``root``, the group's least fingerprint: groups of a repeated id may share a ``component_id``."""
+    more = ["root"] if with_root else []
     files = files_for(docs.count())
     rows = written(fingerprints(docs, words, id_col, text_col), "fingerprints", files, dealt=True)
     nodes = written(rows.groupBy("fp").agg(F.min(id_col).alias("low"), F.count(F.lit(1)).alias("n")), "nodes", files)
@@ -204,15 +208,40 @@ def groups(docs: DataFrame, words: int = 3, max_bits: int = 2, id_col: str = "do
     least = named.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("n"))
     least = written(least, "least_ids", files)
     of = lookup_join(named.select("fp", "root"), least.select("root", "component_id"), "root", counts=least.select("root", "n"))
-    return lookup_join(rows, of.select("fp", "component_id"), "fp", counts=nodes.select("fp", "n")).select(id_col, "fp", "component_id")
+    found = lookup_join(rows, of.select("fp", "component_id", *more), "fp", counts=nodes.select("fp", "n"))
+    return found.select(id_col, "fp", "component_id", *more)
+
+
+def with_fingerprints(docs: DataFrame, words: int, text_col: str, name: str) -> DataFrame:
+    """``docs`` and the fingerprint of every row as the column ``name``."""
+    at = docs.columns.index(text_col)
 
+    def run(batches):
+        for batch in batches:
+            for part in text_slices(batch, at):
+                yield part.append_column(name, pa.array(fingerprint_texts(part.column(at), words).view(np.int64), pa.int64()))
 
-def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group: that with the smallest id (of rows with that id, one).  Rows without an id stay."""
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+
+
+def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text",
+             one_per_id: bool = True) -> DataFrame:
+    """``docs`` with one row of each group: that with the smallest id (of rows with that id in the group, that with the
+    least fingerprint).  Rows without an id stay.
+
+    An id that stands for several groups, its texts being no near copies, keeps one row for each of them, or with
+    ``one_per_id`` a single one."""
     files = files_for(docs.count())
-    found = written(groups(docs, words, max_bits, id_col, text_col), "groups", files)
-    out = docs.join(found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), id_col, "left_anti")
+    found = written(groups(docs, words, max_bits, id_col, text_col, with_root=True), "groups", files)
     twice = written(found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col), "repeated", files)
-    if not twice.isEmpty():
-        out = out.join(twice, id_col, "left_anti").unionByName(out.join(twice, id_col, "left_semi").dropDuplicates([id_col]))
-    return out.select(*docs.columns)
+    some_twice = not twice.isEmpty()
+    # a single row goes by its id; rows of a repeated id go each by its fingerprint
+    gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col)
+    out = docs.join(gone.unionByName(twice).distinct() if some_twice else gone.distinct(), id_col, "left_anti").select(*docs.columns)
+    if some_twice:
+        heads = found.where(F.col(id_col) == F.col("component_id")).join(twice, id_col, "left_semi")
+        heads = heads.groupBy(id_col, *([] if one_per_id else ["root"])).agg(F.min("fp").alias("__vf_fp")).select(id_col, "__vf_fp")
+        rows = with_fingerprints(docs.join(twice, id_col, "left_semi").select(*docs.columns), words, text_col, "__vf_fp")
+        rows = rows.dropDuplicates([id_col, "__vf_fp"])  # reduced within tasks, so copies of one row don't meet in one
+        out = out.unionByName(rows.join(heads, [id_col, "__vf_fp"], "left_semi").select(*docs.columns))
+    return out
