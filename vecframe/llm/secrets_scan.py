@@ -56,8 +56,18 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", least=18),
     Rule("hex", r"[0-9a-f]{16,}"),  # the runs of [0-9a-f]+ that are long enough
 )
+# A key in PEM form: from its header over base64 and header lines to the END line.  Lines may be indented, quoted, or set
+# apart by blanks or written escapes.  Without an END line it goes as far as whole lines of base64, and long runs, do.
+GAP = r"""(?:[\s>#*|"',;]|\\[nrt]?)*+"""
+BREAK = r"""[\x20\t"',;]*+(?:(?:\r?\n|(?:\\r)?\\n)[\x20\t>#*|"']*+)++"""
+LINE_END = r"""(?=[\x20\t"',;]*+(?:[\r\n\\]|\Z))"""
+VALUE = r":(?:[^\r\n\\-]|-(?!----))*+"
+PEM_KEY = ("-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+           f"(?:(?:{GAP}(?:[A-Za-z][A-Za-z0-9-]*+{VALUE}|[A-Za-z0-9+/=]++))*+{GAP}-----END [A-Z ]{{0,20}}PRIVATE KEY-----"
+           f"|(?:{GAP}[A-Za-z0-9]++(?:-[A-Za-z0-9]++)++{VALUE})*+"
+           f"(?:{BREAK}[A-Za-z0-9+/=]++{LINE_END}|{GAP}[A-Za-z0-9+/=]{{32,}}+)*+)")
 RULES = BASE + (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("private_key", PEM_KEY),
     Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
 )
