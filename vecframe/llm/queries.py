@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecframe.llm import byte_bpe, decontaminate, near_dup, quality, secrets_scan, simhash, token_output, toxicity, url_filter, warc
+from vecframe.llm import (byte_bpe, decontaminate, importance, near_dup, pii, quality, secrets_scan, simhash, token_output, toxicity, url_filter, warc,
+                          whitening)
 from vecframe.llm.common import held_out, read_table
 from vecframe.session import scratch_path, ship_package
 
@@ -175,3 +176,27 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance resampling of all documents towards those labelled good."""
     return quality.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@register("op11_pii")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text, and the terms that disclose it."""
+    found = pii.scan(read_table(spark, sf_dir, "documents")).rows
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+    of_kind = lambda k: F.filter("spans", lambda s: s.kind == k)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed(F.filter("spans", lambda s: s.kind.isin(pii.KINDS))), 256).alias("base_sha256"),
+                        listed(F.col("spans")).alias("spans"))
+
+
+@register("op12_importance")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance resampling of all documents towards the benchmark's words: weights, scores, and ranks of those drawn."""
+    return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the 16 leading whitened components."""
+    found = whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
