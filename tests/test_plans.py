@@ -26,14 +26,25 @@ def test_exact_search_never_exchanges_the_base(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_bm25_scoring_sums_without_exchange(spark):
+def test_bm25_reads_only_the_asked_terms(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    qs = spark.read.parquet(f"{SF}/benchmark.parquet").select(F.col("item_id").alias("qid"), "text")
-    res = bm25.search(bm25.build_index(docs), qs, 10)
-    plan = plan_of(res)
-    # documents are scored where they are; only each task's best k are shuffled, in the top-k tree's two levels
-    assert plan.count("Exchange") == 2 and plan.index("MapInArrow") > plan.rindex("Exchange")
+    qs = spark.createDataFrame([(1, "the Quick zzyzx")], "qid long, text string")
+    index = bm25.build_index(docs)
+    plan = plan_of(bm25.search(index, qs, 10))
+    # the scan is asked for the query's terms; their blocks meet by shard, then only each task's best k are shuffled
+    assert re.search(r"PushedFilters: \[[^]]*(In|EqualTo)\(term", plan)
+    assert plan.count("Exchange") == 3 and plan.index("MapInArrow") > plan.rindex("Exchange hashpartitioning(qid")
     assert "Join" not in plan
+    read = index.blocks.where(F.col("term").isin(["the", "quick", "zzyzx"])).count()
+    assert 0 < read < index.blocks.count() / 50
+
+
+def test_text_is_not_shuffled_to_be_matched(spark, tmp_path):
+    spark.read.parquet(f"{SF}/documents.parquet").repartition(8).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    qs = spark.read.parquet(f"{SF}/benchmark.parquet").select(F.col("item_id").alias("qid"), "text")
+    plan = plan_of(bm25.scan_match(docs, qs, "all"))
+    assert "Exchange" not in plan and "Join" not in plan
 
 
 def test_ivf_broadcast_path_never_exchanges_the_table(spark):

@@ -234,3 +234,75 @@ def local_topk(metric: str, higher: bool, X: np.ndarray, ids: np.ndarray, Q: np.
         z = np.zeros(0, dtype=np.int64)
         return z, z, np.zeros(0)
     return np.concatenate(rs), np.concatenate(qs), np.concatenate(ss)
+
+
+def coded_bounds(metric: str, codes: np.ndarray, err: np.ndarray, lo: np.ndarray, step: np.ndarray, Q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(low, high)`` keys (smaller is better) between which the exact score of every (row, query) pair lies.
+
+    ``codes`` (uint8) decode to ``lo + codes * step``, at most ``err`` (Euclidean) from the row.  The product runs on
+    the codes themselves in float32, where they are whole numbers; its rounding is part of the bounds."""
+    d = codes.shape[1]
+    c32, c64 = (d + 4) * 2.0 ** -23, (d + 4) * 2.0 ** -52
+    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+        A = codes.astype(np.float32)
+        weights = Q * step
+        base = Q @ lo
+        qn = np.sqrt(np.einsum("ij,ij->i", Q, Q))
+        size = np.sqrt(np.einsum("ij,ij->i", A, A).astype(np.float64))
+        ip = (A @ weights.astype(np.float32).T).astype(np.float64) + base[None, :]
+        slack = 2 * c32 * size[:, None] * np.sqrt(np.einsum("ij,ij->i", weights, weights))[None, :]
+        slack += c64 * (np.abs(base) + qn * float(np.sqrt(lo @ lo)))[None, :] + c64 * np.abs(ip)
+        e = err[:, None].astype(np.float64)
+        if metric == "IP":
+            off = qn[None, :] * e * (1 + c64) + slack
+            low, high = -(ip + off), -(ip - off)
+        else:
+            D = lo + codes * step
+            xn = np.sqrt(np.einsum("ij,ij->i", D, D))[:, None]
+            if metric == "L2":
+                square = xn ** 2 + qn[None, :] ** 2 - 2.0 * ip
+                off = 2 * slack + 4 * c64 * (xn ** 2 + qn[None, :] ** 2)
+                low = np.maximum(np.sqrt(np.maximum(square - off, 0)) - e, 0) ** 2 * (1 - 8 * c64)
+                high = (np.sqrt(np.maximum(square + off, 0)) + e) ** 2 * (1 + 8 * c64)
+            else:
+                off = qn[None, :] * e + slack
+                near, far = (xn - e) * (1 - 4 * c64), (xn + e) * (1 + 4 * c64)
+                ends = [(ip + s * off) / (qn[None, :] * n) for s in (1, -1) for n in (near, far)]
+                low = np.where(near > 0, -np.maximum(ends[0], ends[1]) - 4 * c64, -np.inf)
+                high = np.where(near > 0, -np.minimum(ends[2], ends[3]) + 4 * c64, np.inf)
+        low = np.where(np.isnan(low), -np.inf, low)  # nothing is known of such a pair: it is always scored
+        high = np.where(np.isnan(high), np.inf, high)
+    return low, high
+
+
+def coded_topk(metric: str, higher: bool, codes: np.ndarray, err: np.ndarray, lo: np.ndarray, step: np.ndarray, X: np.ndarray,
+               ids: np.ndarray, Q: np.ndarray, k: int):
+    """:func:`local_topk` that reads vectors of those rows only whose bounds reach the k best: a proven superset, no cap.
+    Also returns how many pairs were scored exactly."""
+    rs, qs, ss, scored = [], [], [], 0
+    size = block_size(codes.shape[0], Q.shape[0])
+    for j0 in range(0, Q.shape[0], size):
+        part = Q[j0:j0 + size]
+        low, high = coded_bounds(metric, codes, err, lo, step, part)
+        if len(codes) <= k:
+            r, q = np.nonzero(np.ones(low.shape, bool))
+        else:
+            kth = np.partition(high, k - 1, axis=0)[k - 1]
+            r, q = np.nonzero(low <= kth[None, :])
+        scored += len(r)
+        key = to_key(paired(metric, X, part, r, q), higher)
+        ok = ~np.isnan(key)
+        if not ok.all() and len(codes) > k:  # rows without a score must not have pushed others out
+            r, q = np.nonzero(np.ones(low.shape, bool))
+            scored += len(r) - len(ok)
+            key = to_key(paired(metric, X, part, r, q), higher)
+            ok = ~np.isnan(key)
+        r, q, key = r[ok], q[ok], key[ok]
+        sel = select_topk(q, key, ids[r], k)
+        rs.append(r[sel])
+        qs.append(q[sel] + j0)
+        ss.append(to_key(key[sel], higher))
+    if not rs:
+        z = np.zeros(0, dtype=np.int64)
+        return z, z, np.zeros(0), 0
+    return np.concatenate(rs), np.concatenate(qs), np.concatenate(ss), scored

@@ -1,4 +1,7 @@
-"""Ground truth, recall and latency."""
+"""Ground truth, recall and latency.
+
+Percentiles are exact (:func:`latency_summary`), or from stored sketches that runs and days merge into
+(:func:`latency_sketches`).  A neighbours table follows its collection (:func:`add_neighbours`, :func:`drop_neighbours`)."""
 
 from __future__ import annotations
 
@@ -30,6 +33,29 @@ def recall_at_k(approx: DataFrame, exact: DataFrame, id_col: str = "id") -> Data
                     F.round(F.coalesce("hits", F.lit(0)) / F.col("expected"), 6).alias("recall")))
 
 
+# -- neighbours kept up to date ----------------------------------------------
+
+def add_neighbours(stored: DataFrame, new_rows: DataFrame, queries: DataFrame, metric: str = "IP", k: int = 10, *, id_col: str = "id",
+                   fields: Sequence[str] = ("dt",)) -> DataFrame:
+    """E1 after an append: the ``k`` best of the stored neighbours and of the new rows, which alone are searched.
+
+    ``stored``: ``(qid, rank, id, score, fields...)`` of the same queries."""
+    from vecframe.operators.search import rank_candidates, search
+    found = search(new_rows, queries, metric, k, id_col=id_col, fields=list(fields))
+    return rank_candidates(stored.drop("rank").unionByName(found.drop("rank")), metric, k, id_col, [], list(fields))
+
+
+def drop_neighbours(stored: DataFrame, left: DataFrame, queries: DataFrame, gone, metric: str = "IP", k: int = 10, *, id_col: str = "id",
+                    fields: Sequence[str] = ("dt",)) -> DataFrame:
+    """E1 after an expiry: only the queries that lose a neighbour (``gone``: a predicate on its fields) are searched again,
+    over the rows that are ``left``; the others keep theirs."""
+    from vecframe.operators.search import search
+    from vecframe.session import bounded_broadcast
+    lost = bounded_broadcast(stored.where(gone).select("qid").distinct())
+    again = search(left, queries.join(lost, "qid", "left_semi"), metric, k, id_col=id_col, fields=list(fields))
+    return stored.join(lost, "qid", "left_anti").unionByName(again.select(*stored.columns))
+
+
 # Largest number of distinct values of one group handled by a single window.
 MAX_WINDOW_VALUES = 2_000_000
 
@@ -94,6 +120,28 @@ def latency_summary(runs: DataFrame, group_cols: Sequence[str], ms_col: str = "m
             .select(*group_cols, "n", *[F.round(c, 6).alias(c) for c in ("p50", "p95", "p99", "mean")]))
 
 
+# Size of a percentile sketch: ranks are off by less than a thousandth of the rows or so, whatever their number.
+SKETCH_K = 4096
+
+
+def latency_sketches(runs: DataFrame, group_cols: Sequence[str], ms_col: str = "ms", k: int = SKETCH_K) -> DataFrame:
+    """E3 to be added up: a quantile sketch, the count and the sum for each group (for instance day and kind of request)."""
+    value = F.col(ms_col).cast("double")
+    return (runs.where(value.isNotNull()).groupBy(*group_cols)
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"), F.kll_sketch_agg_double(value, F.lit(k)).alias("sketch")))
+
+
+def merged_sketches(sketches: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Sketches of runs, days or kinds as those of the coarser groups; nothing but the sketches is read."""
+    return sketches.groupBy(*group_cols).agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sketched_summary(sketches: DataFrame, group_cols: Sequence[str], ps: Sequence[float] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """Count, percentiles and mean of each sketch; a percentile is a value whose rank is nearly the one asked for."""
+    found = [F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias(f"p{int(round(p * 100))}") for p in ps]
+    return sketches.select(*group_cols, "n", *found, (F.col("total") / F.col("n")).alias("mean"))
+
+
 def timed(action: Callable[[], object]) -> tuple[object, int]:
     """V9: run an action and return ``(result, whole milliseconds)``."""
     t0 = time.perf_counter()

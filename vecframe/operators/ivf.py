@@ -1,17 +1,24 @@
 """Clustered-cell (IVF) search with optional 8-bit codes (A1-A4).
 
 Build:
-* centroids: ``KMeans`` (pyspark.ml, distributed) over all rows, or ``mean``:
-  the rows with the smallest ``md5(id)`` as seeds and one update of every
-  centroid to the mean of its rows (deterministic; the SQL oracle repeats it).
-  There are as many cells as asked for; the centroid matrix (``nlist x dim``)
-  is broadcast;
+* centroids: ``kmeans`` in two levels on a bounded sample (``ivf_train``), or
+  ``mean``: the rows with the smallest ``md5(id)`` as seeds and one update of
+  every centroid to the mean of its rows (deterministic; the SQL oracle repeats
+  it).  There are as many cells as asked for; the centroid matrix
+  (``nlist x dim``) is broadcast;
 * assignment: every row gets its nearest centroid (squared L2, ties to the
-  lowest cell) in one scan - a NumPy product per Arrow batch.
+  lowest cell) in one scan - a NumPy product per Arrow batch.  With ``spill``
+  it also gets a second cell, the one in which its residual points elsewhere
+  than in the first, and :func:`spilled` has a copy of the row for each;
+* ``calibrate`` measures on a bounded set of stored rows how many cells, and how
+  far behind the best one, must be probed for the recall that is asked for.
 
 Search:
-* probes: each query ranks the centroids by the search metric and keeps
-  ``nprobe`` cells (a distributed step over the query table);
+* probes: each query ranks the centroids by the search metric and keeps the best
+  ``nprobe`` cells, or the calibrated number; then it stops early at cells
+  whose score falls further behind the best than any that mattered in the
+  calibration.  With a filter, cells without a passing row are left out, and a
+  query goes on until enough passing rows are in its cells;
 * bounded query batch (the default): queries and their probed cells are
   broadcast, ``cell IN (probed)`` is pushed into the scan, and each task
   scores only its (cell, probing queries) blocks - the table is never
@@ -21,8 +28,12 @@ Search:
   rows and a much-probed cell into query sub-blocks, so no group grows with
   the data; rows of unprobed cells are dropped before the shuffle;
 * either way each task or group emits only its local top-k per query, and a
-  per-query (tree) window keeps the final k.  SQ8 re-rank is a second Spark
-  stage over the best ``rerank_size`` (4 k if not given) by code.
+  per-query (tree) window keeps the final k.  Copies of a spilled row are one
+  row again before that;
+* SQ8 re-rank is certified: a row's codes and the stored distance between codes
+  and row bound its score, and exactly the rows that may be among the best are
+  scored on their vectors, in the same task.  The result is that of the search
+  on vectors, however alike the codes are.
 
 HNSW / GPU index requests (A3, A4) are answered by the same cell structure
 or by exact search; no graph is built.
@@ -36,12 +47,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecframe.functions.vector import check_metric, higher_is_better
 from vecframe.operators import _kernels as K
+from vecframe.operators.quantize import decode, error_col
 from vecframe.session import ship_package
 from vecframe.operators.search import query_frame, rank_candidates
 
@@ -55,6 +68,9 @@ class IVFIndex:
     metric: str = "IP"
     lo: np.ndarray | None = None   # SQ8 per-dimension range
     hi: np.ndarray | None = None
+    nprobe: int | None = None      # calibrated: cells to probe at most ...
+    gap: float | None = None       # ... and how far behind the best one's score, in units of a cell's spread
+    spread: np.ndarray | None = None  # (nlist,) root mean square of the residuals, per dimension
 
     @property
     def nlist(self) -> int:
@@ -66,20 +82,30 @@ class IVFIndex:
 
 
 def save_index(spark, index: IVFIndex, path: str) -> None:
-    """Centroids (and SQ8 ranges) as a small Parquet table: ``nlist + 2`` rows."""
-    rows = [("c", i, [float(x) for x in c]) for i, c in enumerate(index.centroids)]
-    if index.lo is not None:
-        rows += [("lo", 0, [float(x) for x in index.lo]), ("hi", 0, [float(x) for x in index.hi])]
-    df = spark.createDataFrame(rows, "kind string, cell int, v array<double>")
-    df.withColumn("metric", F.lit(index.metric)).coalesce(1).write.mode("overwrite").parquet(path)
+    """Centroids (with spreads), SQ8 ranges and the calibration as a small Parquet table: ``nlist + 3`` rows."""
+    spread = index.spread if index.spread is not None else [None] * index.nlist
+    parts = [("c", np.arange(index.nlist), index.centroids, spread)]
+    parts += [(kind, np.zeros(1), v[None, :], [None]) for kind, v in (("lo", index.lo), ("hi", index.hi)) if v is not None]
+    if index.nprobe is not None:
+        parts.append(("probe", np.array([index.nprobe]), np.zeros((1, 1)), [index.gap]))
+    rows = pa.concat_tables([pa.table({"kind": pa.array([kind] * len(v), pa.string()), "cell": pa.array(cell.astype(np.int32)),
+                                       "v": pa.array(list(v), pa.list_(pa.float64())), "x": pa.array(list(x), pa.float64())}) for kind, cell, v, x in parts])
+    spark.createDataFrame(rows).withColumn("metric", F.lit(index.metric)).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def load_index(spark, path: str) -> IVFIndex:
-    rows = spark.read.parquet(path).collect()  # nlist + 2 rows
-    cents = sorted((r["cell"], r["v"]) for r in rows if r["kind"] == "c")
-    extra = {r["kind"]: np.array(r["v"]) for r in rows if r["kind"] in ("lo", "hi")}
-    metric = rows[0]["metric"] if rows else "IP"
-    return IVFIndex(np.array([v for _, v in cents], dtype=np.float64), metric, extra.get("lo"), extra.get("hi"))
+    rows = spark.read.parquet(path).toArrow()  # nlist + 3 rows
+
+    def part(kind):
+        t = rows.filter(pa.compute.equal(rows["kind"], kind)).sort_by("cell")
+        return t, np.array(t["v"].to_pylist(), dtype=np.float64)
+
+    cells, centroids = part("c")
+    spread = cells["x"].to_numpy() if cells.num_rows and cells["x"].null_count == 0 else None
+    ranges = [v[0] if t.num_rows else None for t, v in (part("lo"), part("hi"))]
+    probe, _ = part("probe")
+    return IVFIndex(centroids, rows["metric"][0].as_py() if rows.num_rows else "IP", *ranges,
+                    nprobe=probe["cell"][0].as_py() if probe.num_rows else None, gap=probe["x"][0].as_py() if probe.num_rows else None, spread=spread)
 
 
 def write_assigned(assigned: DataFrame, path: str, n_files: int | None = None, cell_col: str = "cell",
@@ -102,7 +128,8 @@ def default_nlist(n: int) -> int:
 
 
 def default_nprobe(nlist: int) -> int:
-    """Half of the cells: the least power of two as a share at which KMeans cells find 0.9 of the given tables' neighbours."""
+    """Half of the cells, for an index that was not calibrated: the least power of two as a share at which KMeans cells find
+    0.9 of the given tables' neighbours."""
     return max(1, math.ceil(nlist / 2))
 
 
@@ -128,38 +155,46 @@ def mean_centroids(base: DataFrame, nlist: int, vector_col: str = "value", id_co
     seeds = hash_seeds(base, nlist, vector_col, id_col)
     if not len(seeds):
         return seeds
-    dim = seeds.shape[1]
     near = assign_cells(base.select(id_col, vector_col), IVFIndex(seeds, "L2"), vector_col)
+    out = seeds.copy()
+    for cell, _, mean in cell_means(near, seeds.shape, vector_col):
+        out[cell] = np.round(mean, 6)
+    return out
+
+
+def cell_means(assigned: DataFrame, shape: tuple[int, int], vector_col: str = "value"):
+    """``(cell, rows, mean vector)`` of every cell that has rows: tasks add up their rows per cell, one task a cell the rest."""
+    dim = shape[1]
 
     def run(batches):
-        total, count = np.zeros(seeds.shape), np.zeros(len(seeds), np.int64)
+        total, count = np.zeros(shape), np.zeros(shape[0], np.int64)
         for rb in batches:
             rows, X = K.arrow_vectors(rb.column(vector_col), dim)
             if len(rows):
                 cell = rb.column("cell").to_numpy(zero_copy_only=False)[rows].astype(np.int64)
                 np.add.at(total, cell, X)
-                count += np.bincount(cell, minlength=len(seeds))
+                count += np.bincount(cell, minlength=shape[0])
         used = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(count[used], pa.int64()),
                                           pa.array(list(total[used]), pa.list_(pa.float64()))], ["cell", "n", "total"])
 
-    ship_package(base.sparkSession)
-    parts = near.mapInArrow(run, "cell int, n long, total array<double>")
-    means = (parts.select("cell", "n", F.posexplode("total").alias("pos", "x")).groupBy("cell", "pos")
-             .agg(F.round(F.sum("x") / F.sum("n"), 6).alias("mean")).collect())
-    out = seeds.copy()
-    for r in means:
-        out[r["cell"], r["pos"]] = r["mean"]
-    return out
-
-
-def train_centroids(base: DataFrame, nlist: int, vector_col: str = "value", seed: int = 42, max_iter: int = 20) -> np.ndarray:
-    """KMeans centroids over all rows."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-    feats = base.where(F.col(vector_col).isNotNull()).select(array_to_vector(F.col(vector_col).cast("array<double>")).alias("features"))
-    model = KMeans(k=nlist, seed=seed, maxIter=max_iter, initMode="k-means||").fit(feats)
-    return np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()], dtype=np.float64)
+    def add(batches):
+        sums: dict[int, list] = {}
+        for rb in batches:
+            rows, X = K.arrow_vectors(rb.column("total"), dim)
+            for cell, n, x in zip(rb.column("cell").to_pylist(), rb.column("n").to_pylist(), X):
+                have = sums.setdefault(cell, [0, np.zeros(dim)])
+                have[0] += n
+                have[1] += x
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([n for n, _ in sums.values()], pa.int64()),
+                                              pa.array([x for _, x in sums.values()], pa.list_(pa.float64()))], ["cell", "n", "total"])
+
+    ship_package(assigned.sparkSession)
+    schema = "cell int, n long, total array<double>"
+    got = assigned.select("cell", vector_col).mapInArrow(run, schema).repartition("cell").mapInArrow(add, schema).toArrow()  # a row a cell
+    totals = K.arrow_vectors(got["total"], dim)[1] if got.num_rows else np.zeros((0, dim))
+    return [(c, n, x / n) for c, n, x in zip(got["cell"].to_pylist(), got["n"].to_pylist(), totals)]
 
 
 def _nearest(X: np.ndarray, C: np.ndarray) -> np.ndarray:
@@ -176,12 +211,42 @@ def _nearest(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     return out
 
 
-def assign_cells(base: DataFrame, index: IVFIndex, vector_col: str = "value", cell_col: str = "cell") -> DataFrame:
-    """Every row with its cell: one scan, centroids broadcast (``nlist x dim``)."""
+# Weight of the part of the second residual that points like the first one.
+SPILL_WEIGHT = 1.0
+#: Columns of rows with a second cell: that cell, and the row's key.
+SPILL, ROW = "spill", "_row"
+
+
+def _second(X: np.ndarray, C: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The cell (not the first) with the least ``|r|^2 + w (r . u)^2``: ``r`` is its residual, ``u`` the direction of the
+    first cell's.  A query that misses the row in its first cell does so along ``u``, and there the second one is good."""
+    centre = C.mean(axis=0)
+    X, C = X - centre, C - centre
+    cn = np.einsum("ij,ij->i", C, C)
+    u = X - C[first]
+    length = np.linalg.norm(u, axis=1, keepdims=True)
+    u = np.divide(u, length, out=np.zeros_like(u), where=length > 0)
+    out = np.empty(len(X), np.int32)
+    step = K.block_size(C.shape[0], X.shape[0])
+    for i in range(0, len(X), step):
+        x, v = X[i:i + step], u[i:i + step]
+        along = np.einsum("ij,ij->i", x, v)[:, None] - v @ C.T
+        cost = cn[None, :] - 2.0 * (x @ C.T) + SPILL_WEIGHT * along ** 2
+        cost[np.arange(len(x)), first[i:i + step]] = np.inf
+        out[i:i + step] = np.argmin(cost, axis=1)
+    return out
+
+
+def assign_cells(base: DataFrame, index: IVFIndex, vector_col: str = "value", cell_col: str = "cell", spill: bool = False) -> DataFrame:
+    """Every row with its cell: one scan, centroids broadcast (``nlist x dim``).  ``spill`` adds a second cell and a row key."""
     spark = base.sparkSession
     bc = spark.sparkContext.broadcast(index.centroids)
     dim = index.dim
-    schema = T.StructType(base.schema.fields + [T.StructField(cell_col, T.IntegerType(), True)])
+    spill = spill and index.nlist > 1
+    if spill:
+        base = base.withColumn(ROW, F.monotonically_increasing_id())
+    fields = [T.StructField(c, T.IntegerType(), True) for c in ([cell_col, SPILL] if spill else [cell_col])]
+    schema = T.StructType(base.schema.fields + fields)
 
     cosine = index.metric == "COSINE"
 
@@ -189,50 +254,93 @@ def assign_cells(base: DataFrame, index: IVFIndex, vector_col: str = "value", ce
         C = bc.value
         for rb in batches:
             cells = np.full(rb.num_rows, -1, dtype=np.int32)
+            seconds = cells.copy()
             rows, X = K.arrow_vectors(rb.column(vector_col), dim)
             if len(rows):
                 if cosine:  # nearest unit centroid of the unit row = highest cosine
                     norms = np.linalg.norm(X, axis=1, keepdims=True)
                     X = np.divide(X, norms, out=np.zeros_like(X), where=norms > 0)
                 cells[rows] = _nearest(X, C)
+                if spill:
+                    seconds[rows] = _second(X, C, cells[rows])
             mask = cells < 0
-            yield rb.append_column(cell_col, pa.array(cells, pa.int32(), mask=mask))
+            rb = rb.append_column(cell_col, pa.array(cells, pa.int32(), mask=mask))
+            yield rb.append_column(SPILL, pa.array(seconds, pa.int32(), mask=mask)) if spill else rb
 
     ship_package(spark)
     return base.mapInArrow(run, schema)
 
 
-def probe_cells(queries: DataFrame, index: IVFIndex, nprobe: int) -> DataFrame:
-    """``(qid, cell, vec)``: the ``nprobe`` best cells of each query under the metric."""
+def spilled(assigned: DataFrame, cell_col: str = "cell") -> DataFrame:
+    """A copy of every row for each of its cells; searches make them one row again by the row key.
+
+    The copies of a row must agree on its key wherever they are read, so write them before they are searched in parts."""
+    if SPILL not in assigned.columns:
+        return assigned
+    both = F.explode_outer(F.array_compact(F.array(cell_col, SPILL)))
+    return assigned.select(*[c for c in assigned.columns if c not in (cell_col, SPILL)], both.alias(cell_col))
+
+
+def probe_cells(queries: DataFrame, index: IVFIndex, nprobe: int | None, passing: np.ndarray | None = None, least: int = 0) -> DataFrame:
+    """``(qid, cell, vec)``: the best cells of each query under the metric.
+
+    As many as ``nprobe`` says; without it as many as the calibration says, and none whose score falls further behind the
+    best than its gap.  ``passing``: rows of each cell that a filter lets through; cells without any are left out, and a
+    query goes on until its cells have ``least`` such rows."""
     spark = queries.sparkSession
-    bc = spark.sparkContext.broadcast(index.centroids)
+    bc = spark.sparkContext.broadcast((index.centroids, index.spread, passing))
     metric = index.metric
     higher = higher_is_better(metric)
     dim = index.dim
-    nprobe = min(nprobe, index.nlist)
+    gap = index.gap if nprobe is None else None
+    most = min(nprobe or index.nprobe or default_nprobe(index.nlist), index.nlist)
     schema = T.StructType([T.StructField("qid", T.LongType(), False), T.StructField("cell", T.IntegerType(), False),
                            T.StructField("vec", T.ArrayType(T.DoubleType()), True)])
 
     def run(batches):
-        C = bc.value
-        cells_ids = np.arange(C.shape[0])
+        C, spread, passing = bc.value
         for rb in batches:
             rows, Q = K.arrow_vectors(rb.column("vec"), dim)
             if len(rows) == 0:
                 continue
             qids = rb.column("qid").to_numpy(zero_copy_only=False)[rows]
-            # centroids play the role of rows: best nprobe "rows" per query column
-            r, q, _ = K.local_topk(metric, higher, C, cells_ids, Q, nprobe)
-            vec = pa.Table.from_batches([rb]).column("vec").take(pa.array(rows[q]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(qids[q], pa.int64()), pa.array(r.astype(np.int32), pa.int32()), vec.combine_chunks()],
-                schema=pa.schema([pa.field("qid", pa.int64(), False), pa.field("cell", pa.int32(), False),
-                                  pa.field("vec", pa.list_(pa.float64()))]))
+            step = K.block_size(C.shape[0], len(Q))
+            for i in range(0, len(Q), step):
+                part = Q[i:i + step]
+                key = K.to_key(K.scores(metric, C, part).T, higher)
+                key = np.where(np.isnan(key), np.inf, key)
+                order = np.argsort(key, axis=1, kind="stable")
+                place = np.arange(C.shape[0])[None, :]
+                wanted = np.broadcast_to(place < most, order.shape)
+                if gap is not None:
+                    wanted = wanted & (np.take_along_axis(behind(metric, key, part, spread), order, axis=1) <= gap)
+                if passing is not None:
+                    n = passing[order]
+                    wanted = (wanted | (np.cumsum(n, axis=1) - n < least)) & (n > 0)
+                q, at = np.nonzero(wanted)
+                vec = pa.Table.from_batches([rb]).column("vec").take(pa.array(rows[i + q]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(qids[i + q], pa.int64()), pa.array(order[q, at].astype(np.int32), pa.int32()), vec.combine_chunks()],
+                    schema=pa.schema([pa.field("qid", pa.int64(), False), pa.field("cell", pa.int32(), False),
+                                      pa.field("vec", pa.list_(pa.float64()))]))
 
     ship_package(spark)
     return queries.select("qid", F.col("vec").cast("array<double>")).mapInArrow(run, schema)
 
 
+def behind(metric: str, key: np.ndarray, Q: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """How far each cell's key falls behind the query's best, in units of what the cell's rows vary by along the query."""
+    best = key.min(axis=1, keepdims=True)
+    if metric == "L2":  # distances, not squares
+        key, best, unit = np.sqrt(np.maximum(key, 0)), np.sqrt(np.maximum(best, 0)), spread[None, :]
+    elif metric == "IP":
+        unit = spread[None, :] * np.linalg.norm(Q, axis=1)[:, None]
+    else:
+        unit = spread[None, :]
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where(key <= best, 0.0, np.where(unit > 0, (key - best) / unit, np.inf))
+
+
 def _split_table(spark, counts: dict[int, int], max_rows: int) -> dict[int, int]:
     return {int(c): max(1, math.ceil(n / max_rows)) for c, n in counts.items()}
 
@@ -250,16 +358,22 @@ def _arrow_rows(rb, dim, codes_col, vector_col, lo, hi):
         if len(rows) == 0:
             return rows, np.zeros((0, dim))
         codes = np.frombuffer(b"".join(col.drop_null().to_pylist()), dtype=np.uint8).reshape(-1, dim)
-        return rows, decode_sq8(codes, lo, hi)
+        return rows, decode(codes, lo, hi)
     return K.arrow_vectors(rb.column(vector_col), dim)
 
 
+def _codes(column, dim: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, dim)
+
+
 def _broadcast_ivf(assigned: DataFrame, qids: np.ndarray, Q: np.ndarray, probe_pairs: np.ndarray, index: IVFIndex,
                    k: int, keep_cols: list[str], id_col: str, cell_col: str, vector_col: str,
-                   codes_col: str | None, precision: str = "float64") -> DataFrame:
+                   codes_col: str | None, precision: str = "float64", certified: bool = False, count_only: bool = False) -> DataFrame:
     """Queries and their probed cells broadcast; the table is scanned once,
     rows of unprobed cells are filtered at the scan, and each task scores
-    every (cell, probing queries) block it holds - the base is never shuffled."""
+    every (cell, probing queries) block it holds - the base is never shuffled.
+
+    ``certified``: codes choose the rows whose vectors are scored.  ``count_only``: ``(probed, scored)`` pairs of each task."""
     spark = assigned.sparkSession
     metric = index.metric
     higher = higher_is_better(metric)
@@ -273,8 +387,8 @@ def _broadcast_ivf(assigned: DataFrame, qids: np.ndarray, Q: np.ndarray, probe_p
         for chunk in np.split(pp, splits):
             by_cell[int(chunk[0, 1])] = chunk[:, 0].astype(np.int64)
     bc = spark.sparkContext.broadcast((qids, Q, by_cell, index.lo, index.hi))
-    score_col = codes_col or vector_col
-    in_cols = list(dict.fromkeys(keep_cols + [score_col, cell_col]))
+    score_cols = [vector_col, codes_col, error_col(codes_col)] if certified else [codes_col or vector_col]
+    in_cols = list(dict.fromkeys(keep_cols + score_cols + [cell_col]))
     fields = [T.StructField("qid", T.LongType(), False), T.StructField("score", T.DoubleType(), True)]
     schema = T.StructType(fields + [assigned.schema[c] for c in keep_cols])
     out_arrow = pa.schema([pa.field("qid", pa.int64(), False), pa.field("score", pa.float64())])
@@ -283,25 +397,38 @@ def _broadcast_ivf(assigned: DataFrame, qids: np.ndarray, Q: np.ndarray, probe_p
         q_ids, Qm, cell_q, lo, hi = bc.value
         acc, acc_rows = [], 0
         limit = 4 * k * max(1, len(q_ids)) + 65536
+        probed = scored = 0
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            rows, X = _arrow_rows(rb, dim, codes_col, vector_col, lo, hi)
+            if certified:
+                rb = rb.filter(rb.column(vector_col).is_valid())
+            rows, X = _arrow_rows(rb, dim, None if certified else codes_col, vector_col, lo, hi)
             if len(rows) == 0:
                 continue
+            if certified:
+                codes, err = _codes(rb.column(codes_col), dim), rb.column(error_col(codes_col)).to_numpy(zero_copy_only=False)
             ids = rb.column(id_col).to_numpy(zero_copy_only=False)[rows]
             rc = rb.column(cell_col).to_numpy(zero_copy_only=False)[rows]
+            by = np.argsort(rc, kind="stable")
+            edges = np.concatenate(([0], np.flatnonzero(np.diff(rc[by])) + 1, [len(by)]))
             rr, qq, ss = [], [], []
-            for c in np.unique(rc):
-                qidx = cell_q.get(int(c))
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                sel = by[a:b]
+                qidx = cell_q.get(int(rc[sel[0]]))
                 if qidx is None:
                     continue
-                sel = np.nonzero(rc == c)[0]
-                r, q, sc = K.local_topk(metric, higher, X[sel], ids[sel], Qm[qidx], k, precision=precision)
+                if certified:
+                    r, q, sc, n = K.coded_topk(metric, higher, codes[sel], err[sel], lo, (hi - lo) / 255, X[sel], ids[sel], Qm[qidx], k)
+                else:
+                    r, q, sc = K.local_topk(metric, higher, X[sel], ids[sel], Qm[qidx], k, precision=precision)
+                    n = len(sel) * len(qidx)
+                probed += len(sel) * len(qidx)
+                scored += n
                 rr.append(sel[r])
                 qq.append(qidx[q])
                 ss.append(sc)
-            if not rr:
+            if not rr or count_only:
                 continue
             r, q, sc = np.concatenate(rr), np.concatenate(qq), np.concatenate(ss)
             taken = pa.Table.from_batches([rb]).select(keep_cols).take(pa.array(rows[r]))
@@ -311,67 +438,109 @@ def _broadcast_ivf(assigned: DataFrame, qids: np.ndarray, Q: np.ndarray, probe_p
             if acc_rows > limit:
                 acc = [_reduce_topk(acc, id_col, k, higher)]
                 acc_rows = acc[0].num_rows
-        if acc:
+        if count_only:
+            yield pa.RecordBatch.from_arrays([pa.array([probed], pa.int64()), pa.array([scored], pa.int64())], ["probed", "scored"])
+        elif acc:
             yield from _reduce_topk(acc, id_col, k, higher).to_batches()
 
     base = assigned.select(*in_cols)
     if cells and len(cells) < index.nlist:
         base = base.where(F.col(cell_col).isin(cells))  # pushed to the scan: unprobed cells are skipped
     ship_package(spark)
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(run, "probed long, scored long" if count_only else schema)
 
 
 def _reduce_topk(tables, id_col, k, higher):
     t = pa.concat_tables(tables)
     s = t.column("score").to_numpy()
-    sel = K.select_topk(t.column("qid").to_numpy(), -s if higher else s,
-                        t.column(id_col).to_numpy(zero_copy_only=False), k)
+    g = t.column("qid").to_numpy()
+    if ROW in t.column_names:  # copies of a spilled row
+        row = t.column(ROW).to_numpy()
+        first = np.sort(np.unique(np.column_stack([g, row]), axis=0, return_index=True)[1])
+        t, s, g = t.take(pa.array(first)), s[first], g[first]
+    sel = K.select_topk(g, -s if higher else s, t.column(id_col).to_numpy(zero_copy_only=False), k)
     return t.take(pa.array(sel))
 
 
+def _probe_plan(assigned: DataFrame, queries, index: IVFIndex, k: int, nprobe: int | None, where, least: int | None, cell_col: str):
+    """``(rows to search, queries, probes)``; with a filter the passing rows of each cell are counted first (one scan of
+    the filter's columns, a row a cell reaches the driver)."""
+    qdf = query_frame(assigned.sparkSession, queries)
+    passing, least_rows = None, 0
+    if where is not None:
+        assigned = assigned.where(where)
+        passing = np.zeros(index.nlist, np.int64)
+        for cell, n in assigned.where(F.col(cell_col).isNotNull()).groupBy(cell_col).agg(F.count(F.lit(1)).alias("n")).collect():
+            passing[cell] = n
+        least_rows = FILTERED_ROWS * k if least is None else least
+    return assigned, qdf, probe_cells(qdf, index, nprobe, passing, least_rows)
+
+
+# Passing rows that a filtered query looks at, for each neighbour it asks for: few passing rows lie anywhere.
+FILTERED_ROWS = 64
+
+
+def _pairs(qdf: DataFrame, probes: DataFrame):
+    from vecframe.operators.search import _collect_queries
+    qids, Q, _ = _collect_queries(qdf)
+    order = np.argsort(qids, kind="stable")
+    if len(np.unique(qids)) < len(qids):
+        raise ValueError("query ids must be unique")
+    pairs = probes.select("qid", "cell").toArrow()
+    if not pairs.num_rows:
+        return qids, Q, np.zeros((0, 2), dtype=np.int64)
+    at = order[np.searchsorted(qids[order], pairs.column("qid").to_numpy())]
+    return qids, Q, np.column_stack([at, pairs.column("cell").to_numpy().astype(np.int64)])
+
+
+def probe_work(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprobe: int | None = None, *, vector_col: str = "value",
+               id_col: str = "id", cell_col: str = "cell", codes_col: str | None = None, where=None, least: int | None = None) -> DataFrame:
+    """One row ``(probed, scored)``: (row, query) pairs that a search of these queries visits, and those whose vectors it scores."""
+    certified = codes_col is not None
+    assigned, qdf, probes = _probe_plan(assigned, queries, index, k, nprobe, where, least, cell_col)
+    qids, Q, pairs = _pairs(qdf, probes)
+    done = _broadcast_ivf(assigned, qids, Q, pairs, index, k, [id_col], id_col, cell_col, vector_col, codes_col, certified=certified, count_only=True)
+    return done.agg(F.sum("probed").alias("probed"), F.sum("scored").alias("scored"))
+
+
 def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprobe: int | None = None, *,
                vector_col: str = "value", id_col: str = "id", cell_col: str = "cell",
                fields: Sequence[str] = (), tie_cols: Sequence[str] = (), codes_col: str | None = None,
-               rerank: bool = False, rerank_size: int | None = None, max_group_rows: int = 50000, max_group_queries: int = 4096,
-               method: str = "auto", precision: str = "float64") -> DataFrame:
+               rerank: bool = False, max_group_rows: int = 50000, max_group_queries: int = 4096,
+               method: str = "auto", precision: str = "float64", where=None, least: int | None = None) -> DataFrame:
     """Top-k per query over the probed cells of an assigned table.
 
     ``codes_col``: score the SQ8 codes (decoded with ``index.lo/hi``) instead
-    of the float vectors; ``rerank=True`` then re-scores the best
-    ``rerank_size`` (4 k if not given) by code with the float vectors (needs
-    ``vector_col`` present).
+    of the float vectors; ``rerank=True`` scores the vectors of exactly those rows
+    whose codes leave it open whether they are among the best, so that the
+    result is that of a search on vectors (needs ``vector_col``).
+    ``where``: a predicate on the rows; ``least``: passing rows that a query's cells have at least
+    (``FILTERED_ROWS`` for each neighbour if not given).
     ``method``: ``"broadcast"`` (queries + probes shipped to the scan, no
     shuffle of the table), ``"cogroup"`` (both sides meet per cell), or
     ``"auto"`` = broadcast when the query side passes its size checks.
     """
     metric = check_metric(index.metric)
     spark = assigned.sparkSession
-    if rerank:
-        if codes_col is None:
-            raise ValueError("rerank needs codes_col")
-        return _reranked(assigned, queries, index, k, nprobe, vector_col=vector_col, id_col=id_col,
-                         cell_col=cell_col, fields=fields, tie_cols=tie_cols, codes_col=codes_col, rerank_size=rerank_size,
-                         max_group_rows=max_group_rows, max_group_queries=max_group_queries, method=method)
-    nprobe = nprobe or default_nprobe(index.nlist)
-    qdf = query_frame(spark, queries)
-    probes = probe_cells(qdf, index, nprobe)
-    keep_cols = list(dict.fromkeys([id_col] + list(fields) + list(tie_cols)))
+    if rerank and codes_col is None:
+        raise ValueError("rerank needs codes_col")
+    assigned, qdf, probes = _probe_plan(assigned, queries, index, k, nprobe, where, least, cell_col)
+    copies = [ROW] if ROW in assigned.columns else []
+    keep_cols = list(dict.fromkeys([id_col] + list(fields) + list(tie_cols) + copies))
+
+    def ranked(cands):
+        if copies:
+            cands = cands.dropDuplicates(["qid", ROW])
+        return rank_candidates(cands, metric, k, id_col, tie_cols, list(fields) + list(tie_cols))
+
     if method in ("auto", "broadcast"):
-        from vecframe.operators.search import MAX_BROADCAST_QUERY_BYTES, _collect_queries
+        from vecframe.operators.search import MAX_BROADCAST_QUERY_BYTES
         nq = qdf.count()
-        small = nq * index.dim * 8 <= MAX_BROADCAST_QUERY_BYTES and nq * min(nprobe, index.nlist) <= MAX_BROADCAST_PROBES
+        most = min(nprobe or index.nprobe or default_nprobe(index.nlist), index.nlist) if where is None else index.nlist
+        small = nq * index.dim * 8 <= MAX_BROADCAST_QUERY_BYTES and nq * most <= MAX_BROADCAST_PROBES
         if small or method == "broadcast":
-            qids, Q, _ = _collect_queries(qdf)
-            order = np.argsort(qids, kind="stable")
-            if len(np.unique(qids)) < len(qids):
-                raise ValueError("query ids must be unique")
-            pairs = probes.select("qid", "cell").toArrow()
-            pp = np.column_stack([order[np.searchsorted(qids[order], pairs.column("qid").to_numpy())],
-                                  pairs.column("cell").to_numpy().astype(np.int64)]) if pairs.num_rows else \
-                np.zeros((0, 2), dtype=np.int64)
-            cands = _broadcast_ivf(assigned, qids, Q, pp, index, k, keep_cols, id_col, cell_col, vector_col,
-                                   codes_col, precision)
-            return rank_candidates(cands, metric, k, id_col, tie_cols, list(fields) + list(tie_cols))
+            qids, Q, pp = _pairs(qdf, probes)
+            return ranked(_broadcast_ivf(assigned, qids, Q, pp, index, k, keep_cols, id_col, cell_col, vector_col, codes_col, precision, certified=rerank))
     # bounded side tables: one row per cell
     row_counts = {r[cell_col]: r["n"] for r in assigned.groupBy(cell_col).agg(F.count(F.lit(1)).alias("n")).collect()
                   if r[cell_col] is not None}
@@ -381,8 +550,8 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
     info_rows = [(c, nsub.get(c, 1), nqsub.get(c, 1)) for c in set(nsub) | set(nqsub)]
     info = F.broadcast(spark.createDataFrame(info_rows, "cell int, nsub int, nqsub int"))  # <= nlist rows
 
-    score_col = codes_col or vector_col
-    in_cols = list(dict.fromkeys(keep_cols + [score_col, cell_col]))
+    score_cols = [vector_col, codes_col, error_col(codes_col)] if rerank else [codes_col or vector_col]
+    in_cols = list(dict.fromkeys(keep_cols + score_cols + [cell_col]))
     # the inner join with the per-cell table (probed cells only) drops rows of
     # unprobed cells before the shuffle
     info_probed = F.broadcast(spark.createDataFrame([r for r in info_rows if r[0] in probe_counts],
@@ -408,16 +577,22 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
         import pandas as pd
         if len(bpdf) == 0 or len(qpdf) == 0:
             return pd.DataFrame({n: [] for n in names})
-        if codes_col:
+        if rerank:
+            bpdf = bpdf[bpdf[vector_col].notna()].reset_index(drop=True)
+        if codes_col and not rerank:
             ok = bpdf[codes_col].notna().to_numpy()
             rows = np.nonzero(ok)[0]
             codes = np.frombuffer(b"".join(bpdf[codes_col].to_numpy()[rows]), dtype=np.uint8).reshape(-1, dim)
-            X = decode_sq8(codes, lo, hi)
+            X = decode(codes, lo, hi)
         else:
             rows, X = K.pandas_vectors(bpdf[vector_col], dim)
         _, Q = K.pandas_vectors(qpdf["vec"], dim)
         ids = bpdf[id_col].to_numpy()[rows]
-        r, qi, s = K.local_topk(metric, higher, X, ids, Q, k, precision=precision)
+        if rerank:
+            codes = np.frombuffer(b"".join(bpdf[codes_col]), dtype=np.uint8).reshape(-1, dim)
+            r, qi, s, _ = K.coded_topk(metric, higher, codes, bpdf[error_col(codes_col)].to_numpy(), lo, (hi - lo) / 255, X, ids, Q, k)
+        else:
+            r, qi, s = K.local_topk(metric, higher, X, ids, Q, k, precision=precision)
         out = bpdf.iloc[rows[r]][keep_cols].reset_index(drop=True)
         out.insert(0, "score", s)
         out.insert(0, "qid", qpdf["qid"].to_numpy()[qi])
@@ -425,39 +600,10 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
 
     ship_package(spark)
     cands = b.groupBy("cell", "_sub", "_qsub").cogroup(p.groupBy("cell", "_sub", "_qsub")).applyInPandas(group, schema)
-    return rank_candidates(cands, metric, k, id_col, tie_cols, list(fields) + list(tie_cols))
-
-
-def _reranked(assigned: DataFrame, queries, index: IVFIndex, k: int, nprobe: int | None, *, vector_col: str,
-              id_col: str, cell_col: str, fields, tie_cols, codes_col: str, rerank_size: int | None, max_group_rows: int,
-              max_group_queries: int, method: str) -> DataFrame:
-    """IVF_SQ8 with exact re-rank, in two Spark stages.
-
-    1. the ``rerank_size`` best rows per query by decoded (8-bit) score over the
-       probed cells - the normal search with the float vector carried along;
-    2. those candidates re-scored exactly (a JVM expression against the
-       query vectors, a small broadcast) and cut to k.
-    """
-    from vecframe.functions.vector import metric_score
-    from vecframe.session import bounded_broadcast
-    spark = assigned.sparkSession
-    r = max(k, rerank_size or 4 * k)
-    extra = [c for c in fields if c != vector_col]
-    first = ivf_search(assigned, queries, index, r, nprobe, vector_col=vector_col, id_col=id_col,
-                       cell_col=cell_col, fields=list(extra) + [vector_col], tie_cols=tie_cols,
-                       codes_col=codes_col, max_group_rows=max_group_rows,
-                       max_group_queries=max_group_queries, method=method)
-    from vecframe.operators.search import MAX_BROADCAST_QUERY_BYTES
-    qv = bounded_broadcast(query_frame(spark, queries).select("qid", F.col("vec").alias("_qv")),
-                           max_rows=max(1, MAX_BROADCAST_QUERY_BYTES // (8 * index.dim)))  # a byte bound
-    exact = (first.drop("rank", "score").join(qv, "qid")
-             .withColumn("score", metric_score(index.metric, vector_col, "_qv")).drop("_qv"))
-    keep = list(extra) + ([vector_col] if vector_col in fields else [])
-    return rank_candidates(exact, index.metric, k, id_col, tie_cols, keep + list(tie_cols))
+    return ranked(cands)
 
 
-def decode_sq8(codes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    return lo[None, :] + codes.astype(np.float64) * (hi - lo)[None, :] / 255
+decode_sq8 = decode
 
 
 def build_index(base: DataFrame, metric: str = "IP", nlist: int | None = None, method: str = "kmeans",
@@ -469,7 +615,8 @@ def build_index(base: DataFrame, metric: str = "IP", nlist: int | None = None, m
     if method == "mean":
         C = mean_centroids(base, nlist, vector_col, id_col)
     elif method == "kmeans":
-        C = train_centroids(base, nlist, vector_col, seed)
+        from vecframe.operators.ivf_train import two_level_centroids
+        C = two_level_centroids(base, nlist, vector_col, seed, n=n, unit=metric == "COSINE")
     else:
         raise ValueError("method must be 'kmeans' or 'mean'")
     if metric == "COSINE":  # cosine cells live on the unit sphere

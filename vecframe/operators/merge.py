@@ -1,17 +1,20 @@
 """Deep merge of nested JSON documents by key (D1-D3), as a plan over paths.
 
-The two tables meet once, in a full outer join on the key.  From there a node
-is a path of one document pair with both sides' values.  Where both are maps,
-the node is exploded into its keys (one pass per nesting level that the pair
-shares); every other node is a leaf with a result of its own:
+The two tables meet once, in a full outer join on the key.  A pair of documents
+is then merged in its row, by an expression that goes down the maps that both
+share: a node where both sides are maps is put together from its keys, and every
+other node is a leaf with a result of its own:
 
 * both lists: the patch items that are not in the *original* base list are
   appended (duplicates inside either list stay);
 * else the patch value, an explicit ``null`` included; without one, the base's.
 
-Then the results are put together again from the deepest level up, grouped by
-their parent path.  All of it is Spark SQL on VARIANT values; nothing is
-parsed in Python.
+The expression goes ``INLINE_DEPTH`` shared maps deep.  Pairs that share more are
+marked by it, and merged as a plan over paths: a node is a path of one document
+pair with both sides' values, exploded into its keys (one pass per nesting level
+that the pair shares), and the results are put together again from the deepest
+level up, grouped by their parent path.  All of it is Spark SQL on VARIANT
+values; nothing is parsed in Python.
 
 At the root, a patch that is not a map leaves the base unchanged; a key with
 no base takes the patch document.  Keys keep the base's order, new keys follow
@@ -83,13 +86,99 @@ def _kept(df: DataFrame, place: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
+# Shared maps, one inside the other, that the expression of a row merges.
+INLINE_DEPTH = 5
+# What stands for a node that lies deeper: no JSON text has it.
+DEEPER = "\x00"
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _written(raw: Column, exact: Column) -> Column:
+    return F.when(F.to_json(F.try_parse_json(raw)) == exact, raw).otherwise(exact)
+
+
+def _list_items(text: Column) -> Column:
+    return F.transform(F.parse_json(text).cast("array<variant>"), lambda x: F.struct(F.schema_of_variant(x).alias("kind"), F.to_json(x).alias("j")))
+
+
+def _joined_lists(base: Column, patch: Column) -> Column:
+    """:func:`_union` of two texts."""
+    def added(items):
+        fresh = F.filter(items["p"], lambda x: ~F.array_contains(items["b"], x))
+        comma = F.when(F.size(items["b"]) == 0, "").otherwise(",")
+        return F.when(F.size(fresh) == 0, base).otherwise(
+            F.concat(F.regexp_replace(base, r"\s*\]\s*$", ""), comma, F.array_join(F.transform(fresh, lambda x: x["j"]), ","), F.lit("]")))
+
+    return _let(F.struct(_list_items(base).alias("b"), _list_items(patch).alias("p")), added)
+
+
+def _opens(text: Column, sign: str) -> Column:
+    return F.coalesce(text.startswith(sign), F.lit(False))
+
+
+def _sides(bj: Column, br: Column, pj: Column, pr: Column) -> Column:
+    return F.struct(bj.alias("bj"), br.alias("br"), pj.alias("pj"), pr.alias("pr"))
+
+
+def _merged(n: Column, depth: int, root: bool = False) -> Column:
+    """The text of a node from its sides' canonical (``j``) and own (``r``) texts."""
+    bt, pt = _written(n["br"], n["bj"]), _written(n["pr"], n["pj"])
+    if root:
+        leaf = F.when(n["bj"].isNotNull(), bt).otherwise(pt)
+    else:
+        lists = _opens(n["bj"], "[") & _opens(n["pj"], "[")
+        leaf = (F.when(n["pj"].isNull(), bt).when(n["bj"].isNull(), pt)
+                .when(lists, _let(F.struct(bt.alias("b"), pt.alias("p")), lambda t: _joined_lists(t["b"], t["p"]))).otherwise(pt))
+    both = _opens(n["bj"], "{") & _opens(n["pj"], "{")
+    if depth == 0:
+        return F.when(both, F.lit(DEEPER)).otherwise(leaf)
+    open_map = []
+    for s in SIDES:
+        exact = F.transform_values(F.parse_json(n[f"{s}j"]).cast("map<string,variant>"), lambda _, v: F.to_json(v))
+        open_map += [exact.alias(f"{s}x"), F.from_json(n[f"{s}r"], "map<string,string>").alias(f"{s}m"), F.json_object_keys(n[f"{s}r"]).alias(f"{s}k")]
+
+    def entry(m, name):
+        values = []
+        for s in SIDES:
+            j = m[f"{s}x"][name]
+            values += [j, F.when(j.startswith('"'), j).otherwise(F.coalesce(m[f"{s}m"][name], j))]
+        quoted = F.to_json(F.array(name))
+        return F.concat(F.substring(quoted, F.lit(2), F.length(quoted) - 2), F.lit(":"), _let(_sides(*values), lambda child: _merged(child, depth - 1)))
+
+    def whole(m):
+        keys = F.concat(m["bk"], F.filter(m["pk"], lambda x: ~F.array_contains(m["bk"], x)))
+        return F.concat(F.lit("{"), F.array_join(F.transform(keys, lambda name: entry(m, name)), ","), F.lit("}"))
+
+    return F.when(both, _let(F.struct(*open_map), whole)).otherwise(leaf)
+
+
 def merge_tables(base: DataFrame, patch: DataFrame, key: str = "key", doc: str = "doc",
-                 check_unique: bool = True) -> DataFrame:
+                 check_unique: bool = True, inline_depth: int = INLINE_DEPTH) -> DataFrame:
     """``(key, doc)`` for every key of either table.
 
-    Each level is written to the shared folder: it is read twice, for the next level and for the way up."""
+    The merged rows are written once to the shared folder; pairs that share more than ``inline_depth`` maps, one inside
+    the other, are then merged level by level."""
     place = scratch_path(base.sparkSession, "merge")
     met = _one_each(base, key, doc, "b", check_unique).join(_one_each(patch, key, doc, "p", check_unique), "_k", "full_outer")
+    sides = _sides(F.to_json(F.parse_json("b")), F.col("b"), F.to_json(F.parse_json("p")), F.col("p"))
+    done = _kept(met.select(F.col("_k").alias(key), _let(sides, lambda n: _merged(n, inline_depth, root=True)).alias(doc), "b", "p")
+                 .withColumn("deeper", F.coalesce(F.contains(doc, F.lit(DEEPER)), F.lit(False)))
+                 .withColumns({s: F.when(F.col("deeper"), F.col(s)) for s in SIDES}), f"{place}/done")
+    out = done.where(~F.col("deeper")).select(key, doc)
+    deep = done.where("deeper")
+    if deep.isEmpty():
+        return out
+    return out.unionByName(_merge_levels(deep.select(F.col(key).alias("_k"), "b", "p"), place, key, doc))
+
+
+def _merge_levels(met: DataFrame, place: str, key: str, doc: str) -> DataFrame:
+    """Pairs ``(_k, b, p)`` merged over paths.
+
+    Each level is written to the shared folder: it is read twice, for the next level and for the way up."""
     nodes = met.select("_k", F.array().cast("array<string>").alias("path"), F.lit(0).alias("ord"), F.lit("").alias("name"),
                        F.to_json(F.parse_json("b")).alias("bj"), F.col("b").alias("br"), F.to_json(F.parse_json("p")).alias("pj"), F.col("p").alias("pr"))
     levels = []

@@ -100,19 +100,23 @@ def _candidate_schema(base: DataFrame, keep_cols: Sequence[str]) -> T.StructType
 
 def _broadcast_candidates(base: DataFrame, vector_col: str, id_col: str, keep_cols: list[str],
                           metric: str, k: int, qids: np.ndarray, Q: np.ndarray, dim: int,
-                          parts=None, partition_col: str = "dt", precision: str = "float64") -> DataFrame:
+                          parts=None, partition_col: str = "dt", precision: str = "float64", ks: np.ndarray | None = None) -> DataFrame:
+    """``ks``: how many rows each query asks for (``k`` for all if not given).  Queries of one size are scored together:
+    a task keeps what each asks for, in one pass over its rows."""
     spark = base.sparkSession
     higher = higher_is_better(metric)
-    bq = spark.sparkContext.broadcast((qids, Q, parts))
+    sizes = [(k, np.arange(len(qids)))] if ks is None else [(int(x), np.flatnonzero(ks == x)) for x in np.unique(ks)]
+    bq = spark.sparkContext.broadcast((qids, Q, parts, sizes))
     schema = _candidate_schema(base, keep_cols)
     in_cols = list(dict.fromkeys(keep_cols + [vector_col, id_col] + ([partition_col] if parts is not None else [])))
     out_arrow = pa.schema([pa.field("qid", pa.int64(), False), pa.field("score", pa.float64())])
 
     def run(batches):
-        q_ids, Qm, q_parts = bq.value
+        q_ids, Qm, q_parts, sizes = bq.value
         acc: list[pa.Table] = []
         acc_rows = 0
-        limit = 4 * k * max(1, len(q_ids)) + 65536
+        limit = 4 * sum(n * len(own) for n, own in sizes) + 65536
+        most = {q: n for n, own in sizes for q in q_ids[own].tolist()}
         for rb in batches:
             if rb.num_rows == 0:
                 continue
@@ -120,10 +124,14 @@ def _broadcast_candidates(base: DataFrame, vector_col: str, id_col: str, keep_co
             if len(rows) == 0:
                 continue
             ids = rb.column(id_col).to_numpy(zero_copy_only=False)[rows]
-            allow = None
-            if q_parts is not None:
-                allow = K.partition_mask(rb.column(partition_col).take(pa.array(rows)), q_parts)
-            r, q, s = K.local_topk(metric, higher, X, ids, Qm, k, allow, precision)
+            hits = []
+            for n, own in sizes:
+                allow = None
+                if q_parts is not None:
+                    allow = K.partition_mask(rb.column(partition_col).take(pa.array(rows)), [q_parts[i] for i in own.tolist()])
+                r, q, s = K.local_topk(metric, higher, X, ids, Qm[own], n, allow, precision)
+                hits.append((r, own[q], s))
+            r, q, s = (np.concatenate(x) for x in zip(*hits)) if hits else (np.zeros(0, int),) * 3
             if len(r) == 0:
                 continue
             taken = pa.Table.from_batches([rb]).select(keep_cols).take(pa.array(rows[r]))
@@ -132,24 +140,27 @@ def _broadcast_candidates(base: DataFrame, vector_col: str, id_col: str, keep_co
                                             names=["qid", "score"] + keep_cols))
             acc_rows += len(r)
             if acc_rows > limit:
-                acc = [_reduce(acc, id_col, k, higher)]
+                acc = [_reduce(acc, id_col, most, higher)]
                 acc_rows = acc[0].num_rows
         if acc:
-            for b in _reduce(acc, id_col, k, higher).to_batches():
+            for b in _reduce(acc, id_col, most, higher).to_batches():
                 yield b
 
     ship_package(spark)
     return base.select(*in_cols).mapInArrow(run, schema)
 
 
-def _reduce(tables: list[pa.Table], id_col: str, k: int, higher: bool) -> pa.Table:
+def _reduce(tables: list[pa.Table], id_col: str, most: dict[int, int], higher: bool) -> pa.Table:
+    """What each query asks for of the rows gathered so far."""
     t = pa.concat_tables(tables)
     g = t.column("qid").to_numpy()
     s = t.column("score").to_numpy()
     key = -s if higher else s
     ids = t.column(id_col).to_numpy(zero_copy_only=False)
-    sel = K.select_topk(g, key, ids, k)
-    return t.take(pa.array(sel))
+    names, at = np.unique(g, return_inverse=True)
+    asked = np.array([most[q] for q in names.tolist()], np.int64)[at]
+    sel = [np.flatnonzero(asked == k)[K.select_topk(g[asked == k], key[asked == k], ids[asked == k], int(k))] for k in np.unique(asked)]
+    return t.take(pa.array(np.concatenate(sel) if sel else np.zeros(0, np.int64)))
 
 
 def query_bound(dim: int | None, k: int) -> int:
@@ -288,6 +299,29 @@ def rank_candidates(cands: DataFrame, metric: str, k: int, id_col: str = "id",
     return ranked.select("qid", F.col("rank").cast("long").alias("rank"), id_col, "score", *fields)
 
 
+def sized_search(base: DataFrame, queries: DataFrame, metric: str, *, dim: int, vector_col: str = "value", id_col: str = "id",
+                 fields: Sequence[str] = (), tie_cols: Sequence[str] = (), partition_col: str = "dt") -> DataFrame | None:
+    """Top-k with a number for each query, in one scan: ``queries`` are ``(qid, vec, parts, k)``.
+
+    None if the set is over what one broadcast, or the candidates that a task keeps, may hold."""
+    metric = check_metric(metric)
+    n, total = queries.agg(F.count(F.lit(1)), F.coalesce(F.sum("k"), F.lit(0))).first()
+    if n * dim * 8 > MAX_BROADCAST_QUERY_BYTES or 4 * total > MAX_TASK_CANDIDATES:
+        return None
+    # numbered, so that the sizes stand beside their queries
+    rows = queries.select("qid", F.col("vec").cast("array<double>").alias("vec"), "parts", "k").toArrow()
+    spark = base.sparkSession
+    keep_cols = list(dict.fromkeys([id_col, *fields, *tie_cols]))
+    if not rows.num_rows:
+        return rank_candidates(spark.createDataFrame([], _candidate_schema(base, keep_cols)), metric, 1, id_col, tie_cols, fields)
+    Q = K.arrow_vectors(rows["vec"], dim)[1]
+    parts = [None if p is None else set(p) for p in rows["parts"].to_pylist()]
+    ks = rows["k"].to_numpy().astype(np.int64)
+    cands = _broadcast_candidates(base, vector_col, id_col, keep_cols, metric, int(ks.max()), rows["qid"].to_numpy(), Q, dim,
+                                  None if all(p is None for p in parts) else parts, partition_col, ks=ks)
+    return rank_candidates(cands, metric, int(ks.max()), id_col, tie_cols, fields)
+
+
 def search_one(base: DataFrame, query: Sequence[float], metric: str = "IP", k: int = 10, **kw) -> DataFrame:
     """V4: top-k for a single vector, without the ``qid`` column."""
     return search(base, [list(query)], metric, k, **kw).drop("qid")

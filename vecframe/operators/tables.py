@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecframe.functions.dates import day_partition, py_day_name
+from vecframe.session import bounded_broadcast, scratch_path
 
 DEFAULT_PARTITION = "_default"
 
@@ -91,22 +92,42 @@ def collection_props(spark: SparkSession, name: str) -> dict:
     return {r["key"]: r["value"] for r in rows}
 
 
+def partition_specs(spark: SparkSession, name: str, day: str | None = None) -> list[dict[str, str]]:
+    """The partitions of a collection (of one day) as ``{column: value}``; a day of a ``batch_key`` table has many."""
+    from urllib.parse import unquote
+    only = f" PARTITION (dt='{_quoted(day)}')" if day is not None else ""
+    return [{k: unquote(v) for k, v in (part.split("=", 1) for part in r[0].split("/"))}
+            for r in spark.sql(f"SHOW PARTITIONS {name}{only}").collect()]
+
+
+def _quoted(value: str) -> str:
+    return value.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _spec(values: dict[str, str]) -> str:
+    return "PARTITION (" + ", ".join(f"{k}='{_quoted(v)}'" for k, v in values.items()) + ")"
+
+
 def list_partitions(spark: SparkSession, name: str) -> list[str]:
     """Day names that exist (creation is implicit on write)."""
-    return [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    return sorted({p["dt"] for p in partition_specs(spark, name)})
 
 
 def partition_exists(spark: SparkSession, name: str, day: str) -> bool:
-    return spark.sql(f"SHOW PARTITIONS {name} PARTITION (dt='{day}')").count() > 0
+    return bool(partition_specs(spark, name, day))
 
 
 def load(df: DataFrame) -> DataFrame:
-    """Keep a collection in executor memory for repeated searches."""
-    return df.cache()
+    """Read a collection into executor memory (what does not fit goes to disk), so that searches read it there."""
+    from pyspark import StorageLevel
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept.count()
+    return kept
 
 
 def release(df: DataFrame) -> DataFrame:
-    return df.unpersist()
+    """Free the memory; later searches read the files again."""
+    return df.unpersist(blocking=True)
 
 
 # -- writes -----------------------------------------------------------------
@@ -152,28 +173,41 @@ def append_today(spark: SparkSession, name: str, rows: DataFrame, ts_col: str =
     append(spark, name, rows)
 
 
-def _partition_location(spark: SparkSession, name: str, day: str) -> str | None:
-    if not partition_exists(spark, name, day):
-        return None
-    rows = spark.sql(f"DESCRIBE FORMATTED {name} PARTITION (dt='{day}')").collect()
+def _partition_location(spark: SparkSession, name: str, values: dict[str, str]) -> str | None:
+    rows = spark.sql(f"DESCRIBE FORMATTED {name} {_spec(values)}").collect()
     return next((r["data_type"] for r in rows if r["col_name"] == "Location"), None)
 
 
+def _delete(spark: SparkSession, folders) -> None:
+    sc = spark.sparkContext
+    for folder in folders:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+# Partitions that one catalog statement drops.
+SPECS_PER_DROP = 500
+
+
+def _drop_partitions(spark: SparkSession, name: str, specs: list[dict[str, str]]) -> None:
+    for i in range(0, len(specs), SPECS_PER_DROP):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(_spec(p) for p in specs[i:i + SPECS_PER_DROP])}")
+
+
 def expire_day(spark: SparkSession, name: str, today: _dt.date, keep_days: int, purge: bool = True) -> str:
-    """Drop exactly the day ``today - keep_days`` (older days stay).
+    """Drop exactly the day ``today - keep_days`` (older days stay), with all its batches.
 
-    ``purge`` also deletes the partition's folder: on an external table the
+    ``purge`` also deletes the partitions' folders: on an external table the
     catalog drop alone keeps the files, which would neither free the storage
     nor stay expired if the location were registered again."""
     day = py_day_name(today, keep_days)
-    loc = _partition_location(spark, name, day) if purge else None
-    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (dt='{day}')")
+    specs = partition_specs(spark, name, day)
+    doomed = [_partition_location(spark, name, p) for p in specs] if purge else []
+    _drop_partitions(spark, name, specs)
     ivf_path = collection_props(spark, name).get("vecframe.ivf.path")
-    doomed = ([loc] if loc else []) + ([f"{ivf_path}/cells/dt={day}"] if ivf_path else [])
-    sc = spark.sparkContext
-    for folder in doomed:  # the day's files, and its rows in the derived cell table
-        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    if ivf_path:
+        doomed.append(f"{ivf_path}/cells/dt={day}")
+    _delete(spark, [x for x in doomed if x])  # the day's files, and its rows in the derived cell table
     return day
 
 
@@ -268,32 +302,44 @@ def bounded_append(spark: SparkSession, name: str, num_text: str | None, now_ms:
 
 # -- small files (streaming appends) ----------------------------------------
 
+# Batch number of a compacted day: no stream writes it.
+COMPACTED = -1
+
+
 def compact_day(spark: SparkSession, name: str, day: str, n_files: int, new_location: str,
                 delete_old: bool = True) -> str:
     """Rewrite one closed day into ``n_files`` files at a *new* folder, then
     point the partition there.  The old files stay until the switch, so a
-    failed rewrite leaves the table unchanged; after it they are deleted."""
-    old = _partition_location(spark, name, day)
-    rows = spark.table(name).where(F.col("dt") == day).drop("dt")
+    failed rewrite leaves the table unchanged; after it they are deleted.
+
+    All batches of a ``batch_key`` table's day become the batch ``COMPACTED``; do that only when the stream's
+    checkpoint has passed the day, since a batch that is written again would come back beside it."""
+    old = partition_specs(spark, name, day)
+    places = [_partition_location(spark, name, p) for p in old]
+    keys = ["dt", "batch_id"] if any("batch_id" in p for p in old) else ["dt"]
+    rows = spark.table(name).where(F.col("dt") == day).drop(*keys)
     rows.repartition(n_files).write.mode("error").parquet(new_location)
-    spark.sql(f"ALTER TABLE {name} PARTITION (dt='{day}') SET LOCATION '{new_location}'")
+    if keys == ["dt"]:
+        spark.sql(f"ALTER TABLE {name} PARTITION (dt='{_quoted(day)}') SET LOCATION '{new_location}'")
+    else:  # dropping an external partition leaves its files; they go when the new one is there
+        one = {"dt": day, "batch_id": str(COMPACTED)}
+        _drop_partitions(spark, name, old)
+        spark.sql(f"ALTER TABLE {name} ADD {_spec(one)} LOCATION '{new_location}'")
     spark.catalog.refreshTable(name)
-    if delete_old and old and old.rstrip("/") != new_location.rstrip("/"):
-        sc = spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(old)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    if delete_old:
+        _delete(spark, [p for p in places if p and p.rstrip("/") != new_location.rstrip("/")])
     return new_location
 
 
 # -- index structures and search through the collection's settings ---------
 
 def build_collection_index(spark: SparkSession, name: str, path: str, nlist: int | None = None,
-                           method: str = "kmeans", n_files: int | None = None) -> str:
+                           method: str = "kmeans", n_files: int | None = None, spill: bool = False) -> str:
     """A1 / A2 for a collection: centroids (and SQ8 ranges) trained and saved
-    under ``path``, every row assigned to its cell and written day-partitioned
-    and cell-sorted, and ``vecframe.ivf.path`` recorded in TBLPROPERTIES.
-    Returns the index kind."""
-    from vecframe.operators import ivf
+    under ``path``, every row assigned to its cell (with ``spill`` to two) and written day-partitioned
+    and cell-sorted, and ``vecframe.ivf.path`` recorded in TBLPROPERTIES.  Trained cells are calibrated: the index says
+    how many to probe.  Returns the index kind."""
+    from vecframe.operators import ivf, ivf_train
     from vecframe.operators.quantize import sq8_encode, sq8_ranges
     props = collection_props(spark, name)
     kind = ivf.index_request(props.get("vecframe.index", ""))
@@ -303,15 +349,22 @@ def build_collection_index(spark: SparkSession, name: str, path: str, nlist: int
     index = ivf.build_index(base, props.get("vecframe.metric", "IP"), nlist, method)
     if kind == "ivf_sq8":
         index.lo, index.hi = sq8_ranges(base, index.dim)
-    ivf.save_index(spark, index, f"{path}/centroids")
     # the files that the cells are made of; rows of other files are assigned when they are searched
-    files = live_files(spark, name)
-    spark.createDataFrame([(f,) for f in sorted(files)], "source string").write.mode("overwrite").parquet(f"{path}/files")
-    cells = ivf.assign_cells(base.withColumn(SOURCE, source_file()).where(F.col(SOURCE).isin(sorted(files))), index)
+    spark.createDataFrame([(f,) for f in sorted(live_files(spark, name))], "source string").write.mode("overwrite").parquet(f"{path}/files")
+    files = spark.read.schema("source string").parquet(f"{path}/files")
+    tagged = base.withColumn(SOURCE, source_file())
+    cells = ivf.assign_cells(tagged.join(bounded_broadcast(files), tagged[SOURCE] == files["source"], "left_semi"), index, spill=spill)
     if kind == "ivf_sq8":
         cells = sq8_encode(cells, index.lo, index.hi)
-    ivf.write_assigned(cells, f"{path}/cells", n_files)
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('vecframe.ivf.path'='{path}')")
+    if method == "kmeans" or spill:
+        place = scratch_path(spark, "ivf-rows")  # both copies of a spilled row must read the same key
+        cells.write.parquet(place)
+        cells = spark.read.schema(cells.schema).parquet(place)
+    if method == "kmeans":
+        index = ivf_train.calibrate(cells, index)
+    ivf.save_index(spark, index, f"{path}/centroids")
+    ivf.write_assigned(ivf.spilled(cells), f"{path}/cells", n_files)
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('vecframe.ivf.path'='{path}', 'vecframe.ivf.spill'='{int(spill and index.nlist > 1)}')")
     return kind
 
 
@@ -332,7 +385,7 @@ def live_files(spark: SparkSession, name: str) -> dict[str, str]:
 
 def collection_search(spark: SparkSession, name: str, queries, k: int = 10, *, partitions=None,
                       fields=("deviceCode", "createTime", "dt"), metric: str | None = None,
-                      ivf_index=None, nprobe: int | None = None, rerank: bool = False) -> DataFrame:
+                      ivf_index=None, nprobe: int | None = None, rerank: bool = False, where=None) -> DataFrame:
     """Search a collection the way its ``TBLPROPERTIES`` say.
 
     The metric is the one stored at creation unless ``metric`` overrides it
@@ -344,7 +397,8 @@ def collection_search(spark: SparkSession, name: str, queries, k: int = 10, *, p
     the rows of all other files - appended since to whatever day - assigned on
     the fly with the stored centroids; with no structure they answer exactly.  An
     index name that is none of these created no index, so the search returns
-    no rows (with the result schema), as in the reference.
+    no rows (with the result schema), as in the reference.  ``where``: a predicate on the rows; cells are then chosen by it
+    and the vector together.
     """
     from vecframe.operators import ivf
     from vecframe.operators.search import search
@@ -382,15 +436,22 @@ def collection_search(spark: SparkSession, name: str, queries, k: int = 10, *, p
             fresh = sorted(set(live) - built)
             gone = sorted(built - set(live))
             schema = assigned(tagged.limit(0)).schema  # no inference: the folder may hold no day at all
+            keyed = props.get("vecframe.ivf.spill") == "1"
+            if keyed:
+                schema = schema.add(T.StructField(ivf.ROW, T.LongType()))
             stored = spark.read.schema(schema).option("basePath", f"{path}/cells").parquet(f"{path}/cells")
             if partitions:
                 stored = stored.where(F.col("dt").isin(list(partitions)))
             if gone:  # expired or rewritten since
-                stored = stored.where(~F.col(SOURCE).isin(gone))
+                names = spark.createDataFrame([(f,) for f in gone], "name string")
+                stored = stored.join(bounded_broadcast(names), F.col(SOURCE) == F.col("name"), "left_anti")
             cells = stored
             if fresh:
-                # a filter on the file name prunes the listing: only new files are read
-                cells = stored.unionByName(assigned(tagged.where(F.col(SOURCE).isin(fresh))).select(*stored.columns))
+                # a filter on the file name prunes the listing: only new files are read (a join would read all)
+                new = assigned(tagged.where(F.col(SOURCE).isin(fresh)))
+                if keyed:  # these rows are in one cell: any key of their own will do
+                    new = new.withColumn(ivf.ROW, -1 - F.monotonically_increasing_id())
+                cells = stored.unionByName(new.select(*stored.columns))
         return ivf.ivf_search(cells, queries, index, k, nprobe, fields=list(fields), tie_cols=tie,
-                              codes_col=codes, rerank=rerank and codes is not None)
-    return search(base, queries, m, k, fields=list(fields), tie_cols=tie, dim=dim)
+                              codes_col=codes, rerank=rerank and codes is not None, where=where)
+    return search(base, queries, m, k, fields=list(fields), tie_cols=tie, dim=dim, where=where)

@@ -10,7 +10,7 @@ from vecframe.operators.backfill import assign_days, plan_summary, progress
 from vecframe.operators.tables import DEFAULT_PARTITION, count_partitions, expire_filter
 from vecframe.plans.registry import register
 from vecframe.plans.sqlgen import topk_sql
-from vecframe.plans.views import SQL_COLLECTION, SQL_GROUP_QUERIES, collection_view, group_queries, table
+from vecframe.plans.views import SQL_COLLECTION, SQL_STORED_QUERIES, collection_view, stored_queries, table
 from vecframe.session import scratch_path
 
 # Fixed parameters of the registered backfill: rows of `embeddings` loaded in
@@ -138,13 +138,13 @@ def _grown_topk(spark, sf_dir, index: str, search_kw):
         TB.build_collection_index(spark, name, f"{scratch_path(spark, 'grown-index')}", method="mean")
     TB.append(spark, name, view.where("id % 4 = 1").select(*_ROWS))
     TB.append(spark, name, view.where("id % 4 = 3").select(*_ROWS).drop("dt"))
-    hits = TB.collection_search(spark, name, group_queries(view), 10, fields=["dt"], **search_kw)
+    hits = TB.collection_search(spark, name, stored_queries(view), 10, fields=["dt"], **search_kw)
     out = _kept(spark, hits.select("qid", "rank", "id", F.round("score", 6).alias("score"), "dt"), "hits")
     TB.drop_collection(spark, name)
     return out
 
 
-_GROWN_TOPK = topk_sql(_grown_sql(), SQL_GROUP_QUERIES, "IP", 10, fields="c.dt", out_fields="dt")
+_GROWN_TOPK = topk_sql(_grown_sql(), SQL_STORED_QUERIES, "IP", 10, fields="c.dt", out_fields="dt")
 
 
 @register("collection_ivf_topk", _GROWN_TOPK)

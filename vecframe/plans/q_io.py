@@ -26,6 +26,24 @@ def json_queries(spark, sf_dir):
     return back.select("id", vector_text("vec").alias("value_text"))
 
 
+_NOTE = 'a"}, {' + "\\"  # what a reader of strings must not trip over
+
+
+@register("json_array_queries", f"SELECT vec_id AS id, {_VTEXT} AS value_text, '{_NOTE}' || CAST(vec_id AS VARCHAR) || '[' AS note FROM embeddings")
+def json_array_queries(spark, sf_dir):
+    """A JSON array a file, each read by many tasks; its strings hold quotes, backslashes, braces and brackets."""
+    from vecframe.sources.json_arrays import array_elements, write_json_array
+    e = table(spark, sf_dir, "embeddings")
+    note = F.concat(F.lit(_NOTE), F.col("vec_id").cast("string"), F.lit("["))
+    rows = e.select(F.to_json(F.struct(F.col("vec_id").alias("id"), F.struct(F.col("embedding").alias("vec")).alias("inner"), note.alias("note"))).alias("text"))
+    path = scratch_path(spark, "query-array")
+    write_json_array(rows, path)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("inner", T.StructType([T.StructField("vec", T.ArrayType(T.FloatType()))])),
+                           T.StructField("note", T.StringType())])
+    found = array_elements(spark, path).select(F.from_json("text", schema).alias("r"))
+    return found.select("r.id", vector_text("r.inner.vec").alias("value_text"), "r.note")
+
+
 @register("vector_profile", """
 SELECT count(*) AS n, CAST(min(len(embedding)) AS BIGINT) AS dim_min, CAST(max(len(embedding)) AS BIGINT) AS dim_max,
        count(*) FILTER (WHERE embedding IS NULL) AS null_vectors

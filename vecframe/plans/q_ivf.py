@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vecframe.operators.evaluate import capacity, ground_truth, latency_summary, recall_at_k
-from vecframe.operators.ivf import assign_cells, build_index, ivf_search, reference_nprobe
+from vecframe.operators.ivf import assign_cells, build_index, ivf_search, probe_work, write_assigned
+from vecframe.operators.ivf_train import calibrate, trained
 from vecframe.operators.quantize import sq8_encode, sq8_ranges
 from vecframe.operators.search import search
 from vecframe.plans.registry import register
 from vecframe.plans.sqlgen import topk_sql
-from vecframe.plans.views import SQL_COLLECTION, SQL_COLLECTION_SCALED, SQL_GROUP_QUERIES, collection_view, group_queries, table
+from vecframe.plans.views import SQL_COLLECTION, SQL_COLLECTION_SCALED, SQL_STORED_QUERIES, collection_view, stored_queries, table
+from vecframe.session import scratch_path
+
+
+def wide_nprobe(nlist: int) -> int:
+    """Six of ten of the ``mean`` cells, which know nothing of the data but one update: so many find 0.9 of the neighbours."""
+    return max(1, -(-6 * nlist // 10))
+
 
 # -- oracle building blocks: hash seeds, one mean update, assignment, probes ---
 _NEAREST = """SELECT id, v, cell FROM (
@@ -22,7 +30,7 @@ _IVF_CTE = f"""
 c AS ({SQL_COLLECTION}),
 base AS (SELECT id, value AS v FROM c),
 p AS (SELECT least(count(*), CAST(ceil(4 * sqrt(count(*))) AS BIGINT)) AS nlist FROM base),
-pp AS (SELECT nlist, greatest(1, CAST(ceil(nlist / 32.0) AS BIGINT)) AS nprobe FROM p),
+pp AS (SELECT nlist, greatest(1, (6 * nlist + 9) // 10) AS nprobe FROM p),
 seeds AS (SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR)), id) - 1 AS INTEGER) AS cell, v FROM base)
           WHERE cell < (SELECT nlist FROM p)),
 asg0 AS ({_NEAREST.format(cells="seeds")}),
@@ -31,7 +39,7 @@ means AS (SELECT cell, list(m ORDER BY pos) AS v
                 FROM (SELECT cell, unnest(generate_series(1, len(v))) AS pos, unnest(v) AS x FROM asg0) GROUP BY cell, pos) GROUP BY cell),
 cent AS (SELECT s.cell, coalesce(m.v, s.v) AS v FROM seeds s LEFT JOIN means m ON s.cell = m.cell),
 asg AS ({_NEAREST.format(cells="cent")}),
-qs AS ({SQL_GROUP_QUERIES}),
+qs AS ({SQL_STORED_QUERIES}),
 prb AS (SELECT qid, qv, cell FROM (
           SELECT q.qid, q.qv, c.cell,
                  row_number() OVER (PARTITION BY q.qid ORDER BY list_inner_product(q.qv, c.v) DESC, c.cell) AS r
@@ -76,11 +84,11 @@ def ivf_topk_l2(spark, sf_dir):
     """A1 under squared L2 on the scaled copy: probe the nearest cells, rank by distance."""
     view = collection_view(spark, sf_dir, scaled=True)
     index = build_index(view, "L2", method="mean")
-    res = ivf_search(assign_cells(view.select("id", "value"), index), group_queries(view), index, k=10, nprobe=reference_nprobe(index.nlist))
+    res = ivf_search(assign_cells(view.select("id", "value"), index), stored_queries(view), index, k=10, nprobe=wide_nprobe(index.nlist))
     return res.withColumn("score", F.round("score", 6))
 
 
-_EXACT_ALL = topk_sql(SQL_COLLECTION, SQL_GROUP_QUERIES, "IP", 10, fields="", out_fields="")
+_EXACT_ALL = topk_sql(SQL_COLLECTION, SQL_STORED_QUERIES, "IP", 10, fields="", out_fields="")
 
 
 def _view(spark, sf_dir):
@@ -95,7 +103,7 @@ def _mean_ivf(spark, sf_dir):
 
 def _ivf_topk(spark, sf_dir):
     view, index, assigned = _mean_ivf(spark, sf_dir)
-    return ivf_search(assigned, group_queries(view), index, k=10, nprobe=reference_nprobe(index.nlist)).withColumn("score", F.round("score", 6))
+    return ivf_search(assigned, stored_queries(view), index, k=10, nprobe=wide_nprobe(index.nlist)).withColumn("score", F.round("score", 6))
 
 
 @register("ivf_assign", f"""
@@ -109,7 +117,7 @@ def ivf_assign(spark, sf_dir):
 
 @register("ivf_topk", _IVF_TOPK_SQL)
 def ivf_topk(spark, sf_dir):
-    """A1 search: group means as queries, nprobe = nlist/32 cells, exact re-score, top 10."""
+    """A1 search: every 20th row as a query, nprobe = six of ten cells, exact scores, top 10."""
     return _ivf_topk(spark, sf_dir)
 
 
@@ -120,29 +128,18 @@ def ivf_sq8_topk(spark, sf_dir):
     lo, hi = sq8_ranges(view, index.dim)
     index.lo, index.hi = lo, hi
     coded = sq8_encode(assigned, lo, hi)
-    res = ivf_search(coded, group_queries(view), index, k=10, nprobe=reference_nprobe(index.nlist), codes_col="codes")
+    res = ivf_search(coded, stored_queries(view), index, k=10, nprobe=wide_nprobe(index.nlist), codes_col="codes")
     return res.withColumn("score", F.round("score", 6))
 
 
-_SQ8_RERANK_SQL = f"""
-WITH {_IVF_CTE}, {_SQ8_CTE},
-s1 AS (SELECT prb.qid, a.id, list_inner_product(d.dv, prb.qv) AS dscore, list_inner_product(a.v, prb.qv) AS score
-       FROM prb JOIN asg a ON a.cell = prb.cell JOIN dec d ON d.id = a.id),
-best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dscore DESC, id) AS r1 FROM s1)
-      WHERE r1 <= 40),
-r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rk FROM best)
-SELECT qid, CAST(rk AS BIGINT) AS rank, id, round(score, 6) AS score FROM r WHERE rk <= 10
-"""
-
-
-@register("ivf_sq8_rerank_topk", _SQ8_RERANK_SQL)
+@register("ivf_sq8_rerank_topk", _IVF_TOPK_SQL)
 def ivf_sq8_rerank_topk(spark, sf_dir):
-    """A2 with exact re-rank: 40 best by 8-bit codes per query, re-scored exactly, top 10."""
+    """A2 with certified re-rank: 8-bit codes say which rows may be among the best; the result is that of ivf_topk."""
     view, index, assigned = _mean_ivf(spark, sf_dir)
     lo, hi = sq8_ranges(view, index.dim)
     index.lo, index.hi = lo, hi
     coded = sq8_encode(assigned, lo, hi)
-    res = ivf_search(coded, group_queries(view), index, k=10, nprobe=reference_nprobe(index.nlist), codes_col="codes", rerank=True)
+    res = ivf_search(coded, stored_queries(view), index, k=10, nprobe=wide_nprobe(index.nlist), codes_col="codes", rerank=True)
     return res.select("qid", "rank", "id", F.round("score", 6).alias("score"))
 
 
@@ -170,7 +167,7 @@ SELECT qid, string_agg(CAST(id AS VARCHAR), ',' ORDER BY rank) AS ids FROM t GRO
 def ground_truth_q(spark, sf_dir):
     """Exact neighbour ids (rank order) of every query."""
     view = _view(spark, sf_dir)
-    return ground_truth(search(view, group_queries(view), "IP", 10, fields=[]))
+    return ground_truth(search(view, stored_queries(view), "IP", 10, fields=[]))
 
 
 @register("recall_at_k", f"""
@@ -183,7 +180,7 @@ SELECT (SELECT count(DISTINCT qid) FROM ex) AS queries, (SELECT hits FROM h) AS
 def recall_q(spark, sf_dir):
     """recall@10 of ivf_topk against exact search."""
     view = _view(spark, sf_dir)
-    exact = search(view, group_queries(view), "IP", 10, fields=[])
+    exact = search(view, stored_queries(view), "IP", 10, fields=[])
     return recall_at_k(_ivf_topk(spark, sf_dir), exact)
 
 
@@ -196,19 +193,57 @@ def ivf_recall_trained(spark, sf_dir):
     view = _view(spark, sf_dir)
     index = build_index(view, "IP", method="kmeans")
     assigned = assign_cells(view.select("id", "value"), index)
-    queries = group_queries(view)
+    queries = stored_queries(view)
     approx = ivf_search(assigned, queries, index, k=10, nprobe=index.nlist)
     return recall_at_k(approx, search(view, queries, "IP", 10, fields=[]))
 
 
 @register("ivf_recall_production")
 def ivf_recall_production(spark, sf_dir):
-    """E2 with KMeans cells at the default nprobe: every 20th stored row as a query, against exact search (no SQL: KMeans)."""
+    """A1 + A2 + E2: trained cells, calibrated probes and certified SQ8 codes, laid out by cell; every 20th stored row against
+    exact search.  Also the share of all (row, query) pairs whose codes are looked at, and of those whose vectors are scored
+    (no SQL: KMeans)."""
     view = _view(spark, sf_dir)
     index = build_index(view, "IP", method="kmeans")
-    queries = view.where("id % 20 = 0").select(F.col("id").alias("qid"), F.col("value").alias("vec"))
-    approx = ivf_search(assign_cells(view.select("id", "value"), index), queries, index, k=10)
-    return recall_at_k(approx, search(view, queries, "IP", 10, fields=[]))
+    index.lo, index.hi = sq8_ranges(view, index.dim)
+    assigned = trained(view.select("id", "value"), index)
+    index = calibrate(assigned, index)
+    place = scratch_path(spark, "ivf-cells")
+    write_assigned(sq8_encode(assigned, index.lo, index.hi), place)
+    cells = spark.read.parquet(place)
+    queries = stored_queries(view)
+    found = recall_at_k(ivf_search(cells, queries, index, k=10, codes_col="codes", rerank=True), search(view, queries, "IP", 10, fields=[]))
+    pairs = F.lit(float(max(1, view.count()))) * F.col("queries")
+    return (found.join(probe_work(cells, queries, index, codes_col="codes"), how="left")  # both sides are single rows
+            .select("queries", "hits", "expected", "recall", F.round(F.col("probed") / pairs, 4).alias("share_probed"),
+                    F.round(F.col("scored") / pairs, 4).alias("share_scored")))
+
+
+_FILTERS = {"id from 1 %": ("c.id >= (SELECT count(*) // 100 FROM c)", 0.01), "id from 99 %": ("c.id >= (SELECT count(*) * 99 // 100 FROM c)", 0.99),
+            "label": ("c.label = 3", None), "device": ("c.deviceCode = 'device120'", None)}
+
+
+def _filter_oracle(name: str, where: str) -> str:
+    return f"""SELECT '{name}' AS filter, count(DISTINCT q.qid) AS queries, CAST(sum(least(10, n)) AS BIGINT) AS expected, TRUE AS nine_of_ten
+FROM (SELECT qid FROM ({SQL_STORED_QUERIES})) q CROSS JOIN (SELECT count(*) AS n FROM c WHERE {where}) WHERE n > 0"""
+
+
+@register("ivf_filtered_recall", f"WITH c AS ({SQL_COLLECTION}) " + " UNION ALL ".join(_filter_oracle(n, w) for n, (w, _) in _FILTERS.items()))
+def ivf_filtered_recall(spark, sf_dir):
+    """E4 + E5 on trained cells: one search for each filter (wide, narrow, label, device) against exact filtered search;
+    whether at least nine of ten neighbours are found."""
+    view = _view(spark, sf_dir)
+    index = build_index(view, "IP", method="kmeans")
+    assigned = trained(view, index)
+    index = calibrate(assigned, index)
+    n, queries, rows = view.count(), stored_queries(view), None
+    for name, (_, rate) in _FILTERS.items():
+        where = (F.col("label") == 3) if name == "label" else (F.col("deviceCode") == "device120") if rate is None else F.col("id") >= n * round(100 * rate) // 100
+        exact = search(view, queries, "IP", 10, fields=[], where=where)
+        found = recall_at_k(ivf_search(assigned, queries, index, k=10, where=where), exact)
+        row = found.where("expected > 0").select(F.lit(name).alias("filter"), "queries", "expected", (F.col("hits") * 10 >= F.col("expected") * 9).alias("nine_of_ten"))
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
 
 
 @register("latency_summary", """
@@ -223,6 +258,51 @@ def latency_summary_q(spark, sf_dir):
     return latency_summary(ev, ["event_type"], "value")
 
 
+@register("latency_sketches", """
+WITH e AS (SELECT event_type, value FROM events WHERE value IS NOT NULL)
+SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean, TRUE AS near FROM e GROUP BY event_type
+""")
+def latency_sketches_q(spark, sf_dir):
+    """E3 by stored sketches: one for each day and kind, written, merged to kinds; whether each percentile's own rank is
+    within 0.005 of the one asked for."""
+    from vecframe.functions.dates import day_partition
+    from vecframe.operators.evaluate import latency_sketches, merged_sketches, sketched_summary
+    ev = table(spark, sf_dir, "events").where("value is not null")
+    place = scratch_path(spark, "sketches")
+    latency_sketches(ev.withColumn("dt", day_partition(F.col("ts"))), ["dt", "event_type"], "value").write.parquet(place)
+    found = sketched_summary(merged_sketches(spark.read.parquet(place), ["event_type"]), ["event_type"])
+    share = lambda at: F.avg((F.col("value") <= F.col(at)).cast("double"))
+    below = lambda at: F.avg((F.col("value") < F.col(at)).cast("double"))
+    asked = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    near = [((below(c) <= p + 0.005) & (share(c) >= p - 0.005)).alias(f"near_{c}") for c, p in asked.items()]
+    ranks = ev.join(F.broadcast(found.select("event_type", *asked)), "event_type").groupBy("event_type").agg(*near)
+    return found.join(ranks, "event_type").select("event_type", "n", F.round("mean", 6).alias("mean"), (F.col("near_p50") & F.col("near_p95") & F.col("near_p99")).alias("near"))
+
+
+@register("neighbours_maintained", topk_sql(f"SELECT * FROM ({SQL_COLLECTION}) WHERE dt <> (SELECT max(dt) FROM ({SQL_COLLECTION}))",
+                                            "SELECT vec_id AS qid, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings WHERE vec_id % 20 = 0",
+                                            "IP", 10, fields="c.dt", out_fields="dt"))
+def neighbours_maintained(spark, sf_dir):
+    """E1 kept up to date: neighbours of a third of the rows, two appends, then the last day expires; as a full run over
+    what is left."""
+    from vecframe.operators.evaluate import add_neighbours, drop_neighbours
+    view = collection_view(spark, sf_dir).select("id", "value", "dt")
+    queries = stored_queries(view)
+    gone = view.agg(F.max("dt")).first()[0]
+    place = scratch_path(spark, "neighbours")
+
+    def stored(df, turn):
+        df.select("qid", "rank", "id", "score", "dt").write.parquet(f"{place}-{turn}")
+        return spark.read.parquet(f"{place}-{turn}")
+
+    kept = stored(search(view.where("id % 3 = 0"), queries, "IP", 10, fields=["dt"]), 0)
+    for part in (1, 2):
+        kept = stored(add_neighbours(kept, view.where(F.col("id") % 3 == part), queries), part)
+    left = view.where(F.col("dt") != gone)
+    out = drop_neighbours(kept, left, queries, F.col("dt") == gone)
+    return out.select("qid", "rank", "id", F.round("score", 6).alias("score"), "dt")
+
+
 @register("capacity_per_day", f"""
 SELECT dt, count(*) AS rows, CAST(sum(len(value) * 4) AS BIGINT) AS vector_bytes FROM ({SQL_COLLECTION}) GROUP BY dt
 """)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from vecframe.plans.q_functions import _REQ_SQL
 from vecframe.plans.registry import register
 from vecframe.plans.sqlgen import topk_sql
-from vecframe.plans.views import SQL_COLLECTION, SQL_GROUP_QUERIES, collection_view, group_queries, table
+from vecframe.plans.views import SQL_COLLECTION, SQL_STORED_QUERIES, collection_view, stored_queries, table
 from vecframe.session import scratch_path
 from vecframe.streaming.ingest import cycle_rates, daily_append, file_stream, phase_rates, run_to_end, scratch
 from vecframe.streaming.requests import insert_request_stream, search_request_stream
@@ -57,10 +57,10 @@ def ingest_cycle_rates(spark, sf_dir):
 
 _REQUESTS_SQL = f"""
 c AS ({SQL_COLLECTION}),
-qs AS ({SQL_GROUP_QUERIES}),
-reqs AS (SELECT qid, qv, CASE qid % 4 WHEN 0 THEN 10 WHEN 1 THEN 3 WHEN 2 THEN 25 ELSE 100 END AS topk,
-                CASE qid % 3 WHEN 0 THEN '' WHEN 1 THEN '20250817,,20250815' ELSE '20250816' END AS days FROM qs WHERE qid NOT IN (5, 7)
-         UNION ALL SELECT qid, qv, 2, '' FROM qs WHERE qid = 3),
+qs AS ({SQL_STORED_QUERIES}),
+reqs AS (SELECT qid, qv, CASE (qid // 20) % 4 WHEN 0 THEN 10 WHEN 1 THEN 3 WHEN 2 THEN 25 ELSE 100 END AS topk,
+                CASE (qid // 20) % 3 WHEN 0 THEN '' WHEN 1 THEN '20250817,,20250815' ELSE '20250816' END AS days FROM qs WHERE qid NOT IN (100, 140)
+         UNION ALL SELECT qid, qv, 2, '' FROM qs WHERE qid = 60),
 n AS (SELECT *, row_number() OVER () AS no FROM reqs),
 s AS (SELECT no, qid, topk, c.id, list_inner_product(c.value, qv) AS score, deviceCode, createTime, dt
       FROM n JOIN c ON days = '' OR list_contains(string_split(days, ','), c.dt)),
@@ -71,20 +71,20 @@ r AS (SELECT *, row_number() OVER (PARTITION BY no ORDER BY score DESC, id, dt,
 @register("stream_request_topk", f"""
 WITH {_REQUESTS_SQL}
 SELECT qid, CAST(rk AS BIGINT) AS rank, id, round(score, 6) AS score, deviceCode, createTime, NULL AS error FROM r WHERE rk <= topk
-UNION ALL SELECT 5, NULL, NULL, NULL, NULL, NULL, 'a vector of 64 values is needed'
-UNION ALL SELECT 7, NULL, NULL, NULL, NULL, NULL, 'no vector'
-UNION ALL SELECT 8, NULL, NULL, NULL, NULL, NULL, 'topk must be positive'
+UNION ALL SELECT 100, NULL, NULL, NULL, NULL, NULL, 'a vector of 64 values is needed'
+UNION ALL SELECT 140, NULL, NULL, NULL, NULL, NULL, 'no vector'
+UNION ALL SELECT 160, NULL, NULL, NULL, NULL, NULL, 'topk must be positive'
 """)
 def stream_request_topk(spark, sf_dir):
     """T5: a stream of search requests: topk absent (10), small and large; day lists; two requests of one qid;
     requests that can't be answered."""
     view = collection_view(spark, sf_dir)
-    qs = group_queries(view)
-    topk = F.expr("CASE qid % 4 WHEN 1 THEN 3 WHEN 2 THEN 25 WHEN 3 THEN 100 END").cast("int")
-    vec = F.when(F.col("qid") == 5, F.slice("vec", 1, 10)).when(F.col("qid") != 7, F.col("vec"))
-    reqs = qs.select("qid", vec.alias("vec"), topk.alias("topk"), F.expr("CASE qid % 3 WHEN 0 THEN '' WHEN 1 THEN '20250817,,20250815' ELSE '20250816' END").alias("partitions"))
-    again = qs.where("qid = 3").select("qid", "vec", F.lit(2).alias("topk"), F.lit("").alias("partitions"))
-    none = qs.where("qid = 8").select("qid", "vec", F.lit(0).alias("topk"), F.lit("").alias("partitions"))
+    qs = stored_queries(view)
+    topk = F.expr("CASE qid div 20 % 4 WHEN 1 THEN 3 WHEN 2 THEN 25 WHEN 3 THEN 100 END").cast("int")
+    vec = F.when(F.col("qid") == 100, F.slice("vec", 1, 10)).when(F.col("qid") != 140, F.col("vec"))
+    reqs = qs.select("qid", vec.alias("vec"), topk.alias("topk"), F.expr("CASE qid div 20 % 3 WHEN 0 THEN '' WHEN 1 THEN '20250817,,20250815' ELSE '20250816' END").alias("partitions"))
+    again = qs.where("qid = 60").select("qid", "vec", F.lit(2).alias("topk"), F.lit("").alias("partitions"))
+    none = qs.where("qid = 160").select("qid", "vec", F.lit(0).alias("topk"), F.lit("").alias("partitions"))
     source = scratch_path(spark, "request-rows")
     rows = reqs.unionByName(again).unionByName(none)
     rows.write.parquet(source)
@@ -146,7 +146,7 @@ def stream_insert_rows(spark, sf_dir):
     return spark.read.schema(counts.schema).parquet(path)
 
 
-_STEP_SQL = topk_sql("SELECT * FROM all_rows WHERE {}", SQL_GROUP_QUERIES, "IP", 5, fields="", out_fields="").replace("WITH c AS", "c AS", 1)
+_STEP_SQL = topk_sql("SELECT * FROM all_rows WHERE {}", SQL_STORED_QUERIES, "IP", 5, fields="", out_fields="").replace("WITH c AS", "c AS", 1)
 
 
 def _step(number: int, where: str) -> str:
@@ -168,17 +168,17 @@ def search_while_inserting(spark, sf_dir):
         TB.append_today(spark, name, view.where(part).select("id", "value", "deviceCode", "createTime"))
         spark.catalog.refreshTable(name)
         now = spark.table(name).join(view.select("id", "label"), "id")
-        hits = search(spark.table(name), group_queries(now), "IP", 5, fields=[], tie_cols=["dt", "createTime"])
+        hits = search(spark.table(name), stored_queries(now), "IP", 5, fields=[], tie_cols=["dt", "createTime"])
         hits.select(F.lit(step).alias("step"), "qid", "rank", "id", F.round("score", 6).alias("score")).write.mode("append").parquet(path)
     TB.drop_collection(spark, name)
     return spark.read.parquet(path)
 
 
 @register("request_topk_own_days", f"""
-WITH c AS ({SQL_COLLECTION}), qs AS ({SQL_GROUP_QUERIES}),
+WITH c AS ({SQL_COLLECTION}), qs AS ({SQL_STORED_QUERIES}),
 s AS (SELECT qid, c.id, list_inner_product(c.value, qv) AS score, c.dt
-      FROM qs JOIN c ON c.dt IN (strftime(DATE '2025-08-17' - CAST(qid % 5 AS INTEGER), '%Y%m%d'),
-                                 strftime(DATE '2025-08-16' - CAST(qid % 5 AS INTEGER), '%Y%m%d'))),
+      FROM qs JOIN c ON c.dt IN (strftime(DATE '2025-08-17' - CAST((qid // 20) % 5 AS INTEGER), '%Y%m%d'),
+                                 strftime(DATE '2025-08-16' - CAST((qid // 20) % 5 AS INTEGER), '%Y%m%d'))),
 r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rk FROM s)
 SELECT qid, CAST(rk AS BIGINT) AS rank, id, round(score, 6) AS score, dt FROM r WHERE rk <= 5
 """)
@@ -187,8 +187,8 @@ def request_topk_own_days(spark, sf_dir):
     from vecframe.functions.dates import day_shift
     from vecframe.streaming.requests import answer_search_requests
     view = collection_view(spark, sf_dir)
-    day = F.date_sub(F.lit("2025-08-17").cast("date"), F.pmod(F.col("qid"), F.lit(5)).cast("int"))
-    reqs = group_queries(view).select("qid", "vec", F.lit(5).alias("topk"), F.concat_ws(",", day_shift(day, 0), day_shift(day, 1)).alias("partitions"))
+    day = F.date_sub(F.lit("2025-08-17").cast("date"), F.expr("cast(qid div 20 % 5 as int)"))
+    reqs = stored_queries(view).select("qid", "vec", F.lit(5).alias("topk"), F.concat_ws(",", day_shift(day, 0), day_shift(day, 1)).alias("partitions"))
     res = answer_search_requests(view.select("id", "value", "dt"), reqs, "IP", fields=["dt"])
     return res.select("qid", "rank", "id", F.round("score", 6).alias("score"), "dt")
 
@@ -211,3 +211,70 @@ def stream_periodic_topk(spark, sf_dir):
                                sink, ckpt, trigger="availableNow"))
     return spark.read.parquet(sink).select("rank", "id", F.round("score", 6).alias("score"),
                                            "deviceCode", "createTime", "dt")
+
+
+def _tick(number: int, parts: str) -> str:
+    return _step(number, f"id % 3 IN ({parts})").replace(" AS step", " AS tick")
+
+
+@register("stream_standing_topk", _tick(0, "0") + " UNION ALL " + _tick(1, "0, 1") + " UNION ALL " + _tick(2, "0, 1, 2"))
+def stream_standing_topk(spark, sf_dir):
+    """T3 with state: standing queries (every 20th row) over a collection that grows by a third with each of three
+    micro-batches; what each tick says is what a search of all rows so far would."""
+    import time
+
+    from vecframe.streaming.ingest import standing_topk
+    view = collection_view(spark, sf_dir).select("id", "value")
+    source = scratch_path(spark, "growing")
+    for part in range(3):  # the file source takes files by their time
+        view.where(F.col("id") % 3 == part).coalesce(1).write.parquet(f"{source}/part={part}")
+        time.sleep(0.05)
+    sink, ckpt = scratch(spark, "standing")
+    rows = file_stream(spark, f"{source}/part=*", view.schema, max_files_per_trigger=1)
+    run_to_end(standing_topk(rows, stored_queries(view), sink, ckpt, "IP", 5, dim=64))
+    schema = T.StructType([T.StructField("qid", T.LongType()), T.StructField("rank", T.LongType()), T.StructField("id", T.LongType()),
+                           T.StructField("score", T.DoubleType()), T.StructField("batch_id", T.IntegerType())])
+    return spark.read.schema(schema).parquet(sink).select(F.col("batch_id").alias("tick"), "qid", "rank", "id", F.round("score", 6).alias("score"))
+
+
+@register("insert_lifecycle", """
+WITH e AS (SELECT epoch_ms(ts) AS ms, strftime(ts, '%Y%m%d') AS dt, event_id % 5 AS num FROM events),
+r AS (SELECT dt, unnest(range(0, num)) AS id FROM e WHERE num > 0),
+days AS (SELECT dt, row_number() OVER (ORDER BY dt) AS i FROM (SELECT DISTINCT dt FROM r)),
+left_ AS (SELECT r.* FROM r JOIN days USING (dt) WHERE i <> 2)
+SELECT dt, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum, 1 AS listed, CASE WHEN dt = (SELECT min(dt) FROM days) THEN 1 ELSE 2 END AS partitions
+FROM left_ GROUP BY dt
+""")
+def insert_lifecycle(spark, sf_dir):
+    """T6 then L7, T4 and P1's compaction on a table of batches: two micro-batches of insert requests, the second day
+    expires, the first is compacted, and the days are listed and counted."""
+    import datetime as dt_
+    import time
+    import uuid
+
+    from vecframe.functions.dates import epoch_millis_utc
+    from vecframe.operators import tables as TB
+    ev = table(spark, sf_dir, "events")
+    reqs = ev.select(F.col("event_id").alias("req_id"), (F.col("event_id") % 5).cast("string").alias("num_text"), epoch_millis_utc("ts").alias("at_ms"))
+    source = scratch_path(spark, "insert-source")
+    for part in range(2):
+        reqs.where(F.pmod(F.xxhash64("req_id"), F.lit(2)) == part).coalesce(1).write.parquet(f"{source}/part={part}")
+        time.sleep(0.05)
+    name = f"vf_cycle_{uuid.uuid4().hex[:10]}"
+    TB.create_collection(spark, name, dim=2, location=scratch_path(spark, "cycle"), batch_key=True)
+    sink, ckpt = scratch(spark, "cycle-requests")
+    stream = file_stream(spark, f"{source}/part=*", reqs.schema, max_files_per_trigger=1)
+    run_to_end(insert_request_stream(stream, sink, ckpt, table=name, dim=2, time_col="at_ms"))
+    days = TB.list_partitions(spark, name)
+    second = dt_.datetime.strptime(days[1], "%Y%m%d").date()
+    TB.expire_day(spark, name, second + dt_.timedelta(days=7), 7)
+    TB.compact_day(spark, name, days[0], 2, scratch_path(spark, "compacted"))
+    spark.catalog.refreshTable(name)
+    listed = [(d, len(TB.partition_specs(spark, name, d))) for d in TB.list_partitions(spark, name)]
+    rows = spark.table(name).groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum"))
+    named = spark.createDataFrame([(d, 1, p) for d, p in listed], "day string, listed int, partitions int")
+    out = rows.join(F.broadcast(named), F.col("dt") == F.col("day"), "left").select("dt", "n", "id_sum", "listed", "partitions")
+    path = scratch_path(spark, "cycle-counts")
+    out.write.parquet(path)
+    TB.drop_collection(spark, name)
+    return spark.read.schema(out.schema).parquet(path)

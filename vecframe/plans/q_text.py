@@ -66,7 +66,7 @@ SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM p GROUP BY term
 """)
 def term_stats(spark, sf_dir):
     """A5 statistics: document and collection frequency of every term."""
-    return bm25.term_stats(_index(spark, sf_dir))
+    return bm25.term_counts(table(spark, sf_dir, "documents"))
 
 
 _MATCH_CTE = rf"""
@@ -83,7 +83,7 @@ SELECT qid, count(*) AS n_docs FROM m GROUP BY qid
 """)
 def text_match_any(spark, sf_dir):
     """Q7 (any): documents sharing at least one term with each passage, counted."""
-    hits = bm25.match(bm25.build_postings(table(spark, sf_dir, "documents")), _queries(spark, sf_dir), "any")
+    hits = bm25.scan_match(table(spark, sf_dir, "documents"), _queries(spark, sf_dir), "any")
     return hits.groupBy("qid").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
@@ -93,7 +93,16 @@ SELECT m.qid, m.doc_id FROM m JOIN nq ON m.qid = nq.qid WHERE m.m = nq.nq
 """)
 def text_match_all(spark, sf_dir):
     """Q7 (all): documents that contain every term of a passage."""
-    return bm25.match(bm25.build_postings(table(spark, sf_dir, "documents")), _queries(spark, sf_dir), "all")
+    return bm25.scan_match(table(spark, sf_dir, "documents"), _queries(spark, sf_dir), "all")
+
+
+@register("text_match_index", f"""
+WITH {_MATCH_CTE}
+SELECT m.qid, m.doc_id FROM m JOIN nq ON m.qid = nq.qid WHERE m.m = nq.nq
+""")
+def text_match_index(spark, sf_dir):
+    """Q7 (all) on the inverted index: rarest term first, cut term by term."""
+    return bm25.match(_index(spark, sf_dir), _queries(spark, sf_dir), "all")
 
 
 @register("range_filter", """

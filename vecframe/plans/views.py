@@ -47,16 +47,13 @@ def collection_view(spark: SparkSession, sf_dir: str, scaled: bool = False, shif
     )
 
 
-def group_queries(view: DataFrame) -> DataFrame:
-    """The query set ``(qid, vec)``: the mean vector of every label (qid = label) and of
-    every device code (qid = 1000 + its number), rounded to six decimals.  It reads every
-    row and has some 110 rows at any size."""
-    device = F.substring("deviceCode", 7, 10).cast("int") + 1000
-    parts = view.select(F.explode(F.array(F.col("label").cast("long"), device.cast("long"))).alias("qid"), "value")
-    cells = parts.select("qid", F.posexplode("value").alias("pos", "x")).groupBy("qid", "pos").agg(
-        F.round(F.avg(F.col("x").cast("double")), 6).alias("m"))
-    return (cells.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("p"))
-            .select("qid", F.transform("p", lambda x: x.m).alias("vec")))
+# Of a stored collection every row whose id this divides is a query.
+QUERY_STEP = 20
+
+
+def stored_queries(view: DataFrame) -> DataFrame:
+    """The query set ``(qid, vec)``: every 20th stored vector, so it grows with the table."""
+    return view.where(F.col("id") % QUERY_STEP == 0).select(F.col("id").alias("qid"), F.col("value").alias("vec"))
 
 
 def query_of(view: DataFrame, qid: int) -> DataFrame:
@@ -87,12 +84,5 @@ FROM embeddings
 SQL_COLLECTION_SHIFTED = SQL_COLLECTION.replace(
     "CAST(embedding AS DOUBLE[])", "CAST(list_transform(embedding, lambda x: CAST(CAST(x AS DOUBLE) + 10000 AS FLOAT)) AS DOUBLE[])")
 
-# DuckDB twin of group_queries over a relation ``c``.
-SQL_GROUP_QUERIES = """
-SELECT qid, list(m ORDER BY pos) AS qv
-FROM (SELECT qid, pos, round(avg(x), 6) AS m
-      FROM (SELECT CAST(label AS BIGINT) AS qid, unnest(generate_series(1, len(value))) AS pos, unnest(value) AS x FROM c
-            UNION ALL
-            SELECT 1000 + CAST(substr(deviceCode, 7) AS BIGINT), unnest(generate_series(1, len(value))), unnest(value) FROM c)
-      GROUP BY qid, pos) GROUP BY qid
-"""
+# DuckDB twin of stored_queries over a relation ``c``.
+SQL_STORED_QUERIES = f"SELECT id AS qid, value AS qv FROM c WHERE id % {QUERY_STEP} = 0"

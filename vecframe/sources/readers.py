@@ -22,12 +22,15 @@ def read_vectors(spark: SparkSession, path: str, vector_col: str = "emb", id_col
 
 
 def read_query_vectors(spark: SparkSession, path: str, schema: T.StructType = QUERY_SCHEMA) -> DataFrame:
-    """JSON query vectors, either one JSON array of ``{"vec": [...]}``
-    objects or JSON Lines (what :func:`write_query_vectors` produces)."""
-    # one character reaches the driver: an array may be one line of any length
-    first = spark.read.text(path).select(F.substring(F.ltrim(F.col("value")), 1, 1).alias("c")).where("c <> ''").limit(1).collect()
-    multiline = bool(first) and first[0][0] == "["
-    return spark.read.schema(schema).option("multiLine", str(multiline).lower()).json(path)
+    """JSON query vectors, either JSON arrays of ``{"vec": [...]}`` objects - each read by as many tasks as its file
+    has splits - or JSON Lines (what :func:`write_query_vectors` produces)."""
+    # one character reaches the driver: an array may be one line of any length, so the pieces end where objects do
+    pieces = spark.read.option("lineSep", "}").text(path)
+    first = pieces.select(F.regexp_extract("value", r"^\s*(\S)", 1).alias("c")).where("c <> ''").limit(1).collect()
+    if first and first[0][0] == "[":
+        from vecframe.sources.json_arrays import array_elements
+        return array_elements(spark, path).select(F.from_json("text", schema).alias("row")).select("row.*")
+    return spark.read.schema(schema).json(path)
 
 
 def write_query_vectors(df: DataFrame, path: str, vector_col: str = "vec", extra=()) -> None:

@@ -1,7 +1,7 @@
 """Structured Streaming ingest (T1, T2, T4) and periodic search.
 
-All streams are append-only and keep no state beyond source offsets; every
-query has its own checkpoint folder under the shared checkpoint directory,
+Streams are append-only and keep no state beyond source offsets, but for the
+standing queries, whose state is their top k; every query has its own checkpoint folder under the shared checkpoint directory,
 so a restarted driver resumes where it stopped and adds no row twice.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,18 +94,60 @@ def periodic_search(trigger_stream: DataFrame, snapshot: Callable[[], DataFrame]
     ``batch_id=<id>`` with overwrite, so a replayed batch replaces itself."""
 
     def each(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        hits = run_search(snapshot())
+        place = scratch_path(spark, "tick")
         t0 = time.perf_counter()
-        res = run_search(snapshot())
-        res = res.cache()
-        res.count()
+        hits.write.parquet(place)  # the search runs here, once; what follows reads its few hits
         ms = int((time.perf_counter() - t0) * 1000)
-        res.withColumn("ms", F.lit(ms)).write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
-        res.unpersist()
+        spark.read.schema(hits.schema).parquet(place).withColumn("ms", F.lit(ms)).write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
 
     w = trigger_stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
+def standing_topk(rows: DataFrame, queries, sink_path: str, checkpoint: str, metric: str = "IP", k: int = 10, *, dim: int,
+                  id_col: str = "id", vector_col: str = "value", tie_cols: Sequence[str] = (), trigger: str | float = "availableNow") -> StreamingQuery:
+    """T3 without a rescan: standing queries over a stream of new rows.
+
+    Each query's current top k is its state.  A micro-batch is searched by itself (the queries are broadcast, every task
+    keeps its best), and only these candidates go to the state.  A tick appends ``(qid, rank, id, score, ties...)`` of the
+    queries that had candidates, as ``batch_id=<id>`` with overwrite; ids and tie columns are numbers."""
+    from vecframe.functions.vector import check_metric, higher_is_better
+    from vecframe.operators.search import MAX_BROADCAST_QUERY_BYTES, _broadcast_candidates, _collect_queries, query_frame
+    metric = check_metric(metric)
+    spark = rows.sparkSession
+    qids, Q, _ = _collect_queries(query_frame(spark, queries))
+    if Q.nbytes > MAX_BROADCAST_QUERY_BYTES or len(qids) and Q.shape[1] != dim:
+        raise ValueError("the standing queries are one bounded set of vectors of the table's dimension")
+    keep = list(dict.fromkeys([id_col, *tie_cols]))
+    found = _broadcast_candidates(rows, vector_col, id_col, keep, metric, k, qids, Q, dim)
+    order, better = ["score", *keep], [not higher_is_better(metric)] + [True] * len(keep)
+    names = ["score", *keep]
+    kinds = [rows.schema[c].dataType.simpleString() for c in keep]
+    state_schema = "score array<double>, " + ", ".join(f"`{c}` array<{t}>" for c, t in zip(keep, kinds))
+    out_schema = "qid long, rank long, score double, " + ", ".join(f"`{c}` {t}" for c, t in zip(keep, kinds))
+
+    def update(key, frames, state):
+        import pandas as pd
+        parts = [f[names] for f in frames]
+        if state.exists:
+            parts.append(pd.DataFrame(dict(zip(names, (list(x) for x in state.get)))))
+        best = pd.concat(parts, ignore_index=True).dropna(subset=["score"]).sort_values(order, ascending=better, kind="stable").head(k)
+        state.update(tuple(best[c].tolist() for c in names))
+        best.insert(0, "rank", range(1, len(best) + 1))
+        best.insert(0, "qid", key[0])
+        yield best
+
+    current = found.groupBy("qid").applyInPandasWithState(update, out_schema, state_schema, "update", "NoTimeout")
+
+    def each(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.select("qid", "rank", id_col, "score", *[c for c in tie_cols if c != id_col]).write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
+
+    w = current.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
 def expiry_job(spark: SparkSession, table: str, today: _dt.date, keep_days: int = 7) -> str:
     """T4: the daily batch job - drop exactly the day ``today - keep_days``."""
     from vecframe.operators.tables import expire_day

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vecframe.functions.text import split_by_comma, validate_insert_num
-from vecframe.operators.search import search, vector_dim
+from vecframe.operators.search import search, sized_search, vector_dim
 from vecframe.session import cut_lineage
 
 # What a request gets that names no number.
@@ -37,21 +37,29 @@ def answer_checked(base: DataFrame, checked: DataFrame, dim: int | None, metric:
                    tie_cols=(), partition_col: str = "dt") -> DataFrame:
     """``(qid, rank, id, score, fields...)``: as many hits as each request asks for.
 
-    Requests are searched by size class (``topk`` up to 16, 32, 64 ...), so that one large
-    request does not make every other one keep as many candidates."""
+    All requests of a batch are answered in one scan; a task keeps for each as many candidates as its size class (16, 32,
+    64 ...) says, so that one large request does not make the others keep as many.  A batch that asks for more than a task
+    may keep is answered class by class."""
     good = checked.where(F.col("error").isNull()).withColumn("_class", F.greatest(F.lit(4), F.ceil(F.log2("topk"))).cast("int"))
     fields = [c for c in fields if c in base.columns]
+    asked = good.select(F.col("_no").alias("qid"), "vec", "parts", F.shiftleft(F.lit(1).cast("long"), F.col("_class")).alias("k"))
+    names = good.select(F.col("_no"), F.col("qid").alias("_qid"), "topk")
+
+    def named(hits):
+        return (hits.join(names, hits["qid"] == names["_no"]).where(F.col("rank") <= F.col("topk"))
+                .select(F.col("_qid").alias("qid"), *[c for c in hits.columns if c != "qid"]))
+
+    if dim is not None:
+        hits = sized_search(base, asked, metric, dim=dim, fields=fields, tie_cols=list(tie_cols), partition_col=partition_col)
+        if hits is not None:
+            return named(hits)
     out = None
     for (size,) in sorted(tuple(r) for r in good.select("_class").distinct().collect()):  # 28 at most
         mine = good.where(F.col("_class") == size)
         k = mine.agg(F.max("topk")).first()[0]
-        asked = mine.select(F.col("_no").alias("qid"), "vec", "parts")
-        hits = search(base, asked, metric, k, fields=fields, tie_cols=list(tie_cols), partition_col=partition_col,
-                      dim=dim, query_partitions_col="parts")
-        names = mine.select(F.col("_no"), F.col("qid").alias("_qid"), "topk")
-        part = (hits.join(names, hits["qid"] == names["_no"]).where(F.col("rank") <= F.col("topk"))
-                .select(F.col("_qid").alias("qid"), *[c for c in hits.columns if c != "qid"]))
-        out = part if out is None else out.unionByName(part)
+        hits = search(base, mine.select(F.col("_no").alias("qid"), "vec", "parts"), metric, k, fields=fields, tie_cols=list(tie_cols),
+                      partition_col=partition_col, dim=dim, query_partitions_col="parts")
+        out = named(hits) if out is None else out.unionByName(named(hits))
     if out is None:
         cols = [base.schema[c] for c in ["id", *fields]]
         kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cols[1:])
