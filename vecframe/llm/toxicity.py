@@ -9,11 +9,18 @@ that has the expected signs, gives the score.
 
 Terms are learned from labelled rows: words, and stems of words, that toxic texts have far more often, counted by distinct
 contexts, so that copies of one text teach nothing; a few seed terms are always there.  A stem (written ``stem*``) accepts
-every word with a beginning within its edits.  Words near a term that clean labelled texts use more often than toxic ones
-are exceptions, not misspellings.  The sample, and with it lexicon and exceptions, is bounded.
+every word with a beginning within its edits.
+
+A misspelling counts nearly as much as the exact term, where it is likelier than another word.  Each one is looked at by its
+form - the word, or of a stem the beginning that is near it - and forms that clean labelled texts have more often than toxic
+ones are exceptions.  How often clean texts will have forms that were never seen is estimated from the forms that were seen
+once (Good and Turing); terms are believed in the order of that estimate, until all believed ones together would hit
+``FALSE_ALARMS`` of the clean texts.  The misspellings of the other terms are not hits.  The sample is bounded, and with it
+what is learned from it.
 
 Defined results: null and empty texts have no hits and get the score of such texts; equal texts get equal scores;
-repeated rows and null ids are scored like others; an empty table gives no rows; without labelled rows the prior alone
+repeated rows and null ids are scored like others; of equally near terms the one that sorts first counts; texts are read
+whole, however long (a kernel call holds one text at least); an empty table gives no rows; without labelled rows the prior alone
 scores; other columns are not read.
 """
 
@@ -31,12 +38,16 @@ from vecframe.llm.common import SAMPLE_FILES, held_out, labelled_sample, map_tex
 
 #: Terms that are in the lexicon whatever the labels say.
 SEED = ("idiot", "moron", "stupid", "loser", "scum", "trash", "worthless", "pathetic", "disgusting", "imbecile", "dumbass", "bastard")
-#: Terms that are learned at most (of those chosen, the ones that tell most), and exceptions that are kept at most.
-MAX_TERMS, MAX_EXCEPTIONS = 2000, 20_000
+#: Terms that are learned at most (of those chosen, the ones that tell most); None: all.
+MAX_TERMS = None
+#: Share of clean texts that misspelled forms may hit of which the labelled texts have none.
+FALSE_ALARMS = 0.01
+#: Log odds from which one hit of a term is strong evidence.
+STRONG_ODDS = 5.0
 #: Letters of a stem, and the share of a shorter stem's toxic texts that a longer one keeps if it replaces it.
 STEM_LETTERS, STEM_SHARE = range(3, 9), 0.9
-#: Least log odds of a learned term, and least likelihood ratio (G) of its counts.
-MIN_ODDS, MIN_G, MIN_CONTEXTS = 3.0, 30.0, 5
+#: Least log odds of a learned term, least likelihood ratio (G) of its counts, and least number of its contexts.
+MIN_ODDS, MIN_G, MIN_CONTEXTS = 1.7, 20.0, 4
 #: Words before and after a hit that are its context window.
 CONTEXT = 6
 
@@ -144,19 +155,44 @@ class Automaton:
         return best and (best[1], best[0])
 
 
+def beginning(word: str, stem: str, spent: int) -> str:
+    """The shortest beginning of ``word`` that is ``spent`` edits from ``stem``."""
+    row = list(range(len(stem) + 1))
+    for i, x in enumerate(word):
+        if row[-1] == spent:
+            return word[:i]
+        last, row = row, [i + 1]
+        for j, y in enumerate(stem):
+            row.append(min(last[j] + (x != y), last[j + 1] + 1, row[j] + 1))
+    return word
+
+
 @dataclass
 class Lexicon:
+    """``exceptions``: forms that are no misspellings; ``doubted``: terms whose misspellings are not believed; ``weak``: terms
+    of which one hit says little."""
+
     terms: tuple[str, ...]
     exceptions: frozenset = field(default_factory=frozenset)
+    doubted: frozenset = field(default_factory=frozenset)
+    weak: frozenset = field(default_factory=frozenset)
 
     def __post_init__(self):
         self.automaton = Automaton(self.terms, near_stems=True)
 
     def __reduce__(self):  # the automaton's states are each process's own
-        return Lexicon, (self.terms, self.exceptions)
+        return Lexicon, (self.terms, self.exceptions, self.doubted, self.weak)
+
+    @staticmethod
+    def form(word: str, term: str, spent: int) -> str:
+        """What of the word is taken for the term: a beginning, or all of it."""
+        return beginning(word, term[:-1], spent) + "*" if term.endswith("*") else word
 
     def match(self, word: str):
-        return None if word in self.exceptions else self.automaton.match(word)
+        found = self.automaton.match(word)
+        if found and found[1] and (found[0] in self.doubted or self.form(word, *found) in self.exceptions):
+            return None
+        return found
 
 
 def quoted(text: str, start: int, end: int, before: list[str]) -> bool:
@@ -173,16 +209,21 @@ def quoted(text: str, start: int, end: int, before: list[str]) -> bool:
     return False
 
 
-#: Counts that the model sees: exact hits, misspelled hits, quoted hits, direct hits.
-EXACT, NEAR, QUOTED, DIRECTED = range(4)
+#: Counts by text: exact hits, misspelled hits, quoted hits, direct hits; and of the first two, those of strong terms.
+EXACT, NEAR, QUOTED, DIRECTED, STRONG = range(5)
 
 
 def hit_counts(texts: list[str], lexicon: Lexicon) -> tuple[np.ndarray, list[list[tuple[str, str, int, int, int, bool]]]]:
-    """Counts by text, and the hits ``(word, term, edits, start, end, quoted)`` with code-point offsets."""
-    lower = [t.lower() for t in texts]
-    words = [WORD.findall(t) for t in lower]
+    """Counts by text (without the strong ones), and the hits ``(word, term, edits, start, end, quoted)`` with code-point offsets."""
+    counts, hits = all_counts(texts, lexicon)
+    return counts[:, :STRONG], hits
+
+
+def all_counts(texts: list[str], lexicon: Lexicon) -> tuple[np.ndarray, list[list[tuple[str, str, int, int, int, bool]]]]:
+    """:func:`hit_counts` with the strong hits."""
+    words = [[w.lower() for w in WORD.findall(t)] for t in texts]
     found = {w: m for w in set().union(*words) if (m := lexicon.match(w))}
-    counts = np.zeros((len(texts), 4), np.int64)
+    counts = np.zeros((len(texts), 5), np.int64)
     hits: list = [[] for _ in texts]
     for i, own in enumerate(words):
         if found.keys().isdisjoint(own):
@@ -198,20 +239,24 @@ def hit_counts(texts: list[str], lexicon: Lexicon) -> tuple[np.ndarray, list[lis
             cited = quoted(text, a, b, before)
             counts[i, QUOTED if cited else EXACT if distance == 0 else NEAR] += 1
             counts[i, DIRECTED] += not cited and not DIRECT.isdisjoint(around)
+            counts[i, STRONG] += not cited and term not in lexicon.weak
             hits[i].append((w, term, distance, a, b, cited))
     return counts, hits
 
 
-#: Prior mean and precision of the weights: constant; any hit; hits that are misspelled only; hits that are quoted only; any
-#: direct one; more exact hits.  What data do not show - misspellings, quotations - is a correction to what exact hits weigh.
-PRIOR_MEAN = np.array([-4.0, 5.0, -0.8, -4.0, 0.5, 0.5])
-PRIOR_PRECISION = np.array([0.05, 0.5, 2.0, 2.0, 2.0, 2.0])
+#: Prior mean and precision of the weights: constant; any hit; a strong one; none but misspelled hits; none but quoted hits; a
+#: direct one; more hits.  Labelled texts have few misspellings: theirs stays a small correction.
+PRIOR_MEAN = np.array([-4.0, 2.5, 2.5, -0.4, -4.0, 0.5, 0.5])
+PRIOR_PRECISION = np.array([0.05, 0.5, 0.5, 50.0, 2.0, 2.0, 0.5])
 
 
 def design(counts: np.ndarray) -> np.ndarray:
+    """Without the column of strong hits every hit is one."""
     exact, near, cited, direct = (counts[:, k] > 0 for k in (EXACT, NEAR, QUOTED, DIRECTED))
-    return np.column_stack((np.ones(len(counts)), exact | near | cited, near & ~exact, cited & ~exact & ~near, direct,
-                            np.log1p(np.minimum(np.maximum(counts[:, EXACT] - 1, 0), 20))))
+    open_hits = counts[:, EXACT] + counts[:, NEAR]
+    strong = (counts[:, STRONG] if counts.shape[1] > STRONG else open_hits) > 0
+    return np.column_stack((np.ones(len(counts)), exact | near | cited, strong, near & ~exact, cited & ~exact & ~near, direct,
+                            np.log1p(np.minimum(np.maximum(open_hits - 1, 0), 20))))
 
 
 def fit_weights(counts: np.ndarray, label: np.ndarray) -> np.ndarray:
@@ -259,64 +304,108 @@ def choose_terms(units: dict[str, int]) -> list[str]:
     return sorted((out | {w for w in words if not w.startswith(chosen)}) - {""}) if chosen else sorted((out | words) - {""})
 
 
-def learn_lexicon(sample: DataFrame) -> Lexicon:
-    """Terms and exceptions from ``(label, text)``."""
-    def run(batches):
+def units(words: list[str]):
+    """Each distinct word of a text and each of its stems once, with the first place where it stands."""
+    seen = set()
+    for j, w in enumerate(words):
+        if w not in seen:
+            for unit in (w, *(w[:k] + "*" for k in STEM_LETTERS if k <= len(w))):
+                if unit not in seen:
+                    seen.add(unit)
+                    yield unit, j
+
+
+def lowered(text) -> list[str]:
+    return [w.lower() for w in WORD.findall(text or "")]
+
+
+def log_odds(toxic, clean, t: int, c: int):
+    return np.log((toxic + 0.5) / (t + 1)) - np.log((clean + 0.5) / (c + 1))
+
+
+def telling_units(sample: DataFrame, t: int, c: int) -> dict[str, tuple[int, float]]:
+    """Words and stems that tell toxic texts apart: ``(toxic texts, G)``.
+
+    All are counted first; contexts are gathered for those only whose counts pass."""
+    def count(batches):
         for batch in batches:
             for part in text_slices(batch, 1):
                 total: dict[str, list] = {}
                 for label, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    words = WORD.findall((text or "").lower())
-                    seen = set()
-                    for j, w in enumerate(words):
-                        if w in seen:
-                            continue
-                        seen.add(w)
-                        for unit in (w, *(w[:k] + "*" for k in STEM_LETTERS if k <= len(w))):
-                            if unit in seen and unit != w:
-                                continue
-                            seen.add(unit)
-                            row = total.setdefault(unit, [0, 0, set()])
-                            row[label == 1] += 1
-                            if label == 1:  # copies share a word's first context
-                                row[2].add(" ".join(words[max(0, j - 1):j + 2]))
+                    for unit, _ in units(lowered(text)):
+                        total.setdefault(unit, [0, 0])[label == 1] += 1
                 yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([r[0] for r in total.values()], pa.int64()),
-                                                  pa.array([r[1] for r in total.values()], pa.int64()),
-                                                  pa.array([list(r[2]) for r in total.values()], pa.list_(pa.string()))], ["word", "clean", "toxic", "contexts"])
+                                                  pa.array([r[1] for r in total.values()], pa.int64())], ["word", "clean", "toxic"])
 
-    words = written(sample.mapInArrow(run, "word string, clean long, toxic long, contexts array<string>"), "words")
-    t, c = (sample.where(F.col("label") == x).count() for x in (1, 0))
-    tally = words.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    apart = words.where("toxic > 0").select("word", F.explode("contexts").alias("context")).groupBy("word").agg(F.countDistinct("context").alias("contexts"))
-    both = tally.join(apart.where(F.col("contexts") >= MIN_CONTEXTS), "word")
+    tally = sample.mapInArrow(count, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = F.log((F.col("toxic") + 0.5) / (t + 1)) - F.log((F.col("clean") + 0.5) / (c + 1))
-    backed = F.least("toxic", "contexts")
-    n = backed + F.col("clean")
-    part = lambda k, share: F.when(k > 0, k * F.log(k / (n * share))).otherwise(0.0)
-    g = 2 * (part(backed, max(t, 1) / max(1, t + c)) + part(F.col("clean"), max(c, 1) / max(1, t + c)))
-    units = both.where((odds >= MIN_ODDS) & (g >= MIN_G)).select("word", "toxic", g.alias("g")).collect()
-    telling = {r[0]: r[2] for r in units}
-    chosen = sorted(choose_terms({r[0]: r[1] for r in units}), key=lambda x: (-telling[x], x))
-    terms = tuple(sorted({*SEED, *chosen[:MAX_TERMS]}))
-
-    def close(batches):
-        lexicon = Lexicon(terms)
-        for batch in batches:
-            matched = [lexicon.match(w) for w in batch.column(0).to_pylist()]
-            yield batch.filter(pa.array([bool(m and m[1]) for m in matched], pa.bool_()))
-
-    suspects = tally.where("clean > toxic").where(~F.col("word").endswith("*")).select("word", "clean").mapInArrow(close, "word string, clean long")
-    near = suspects.orderBy(F.col("clean").desc(), "word").limit(MAX_EXCEPTIONS).collect()
-    return Lexicon(terms, frozenset(r[0] for r in near))
+    passed = {r.word: (r.clean, r.toxic) for r in tally.where((F.col("toxic") >= MIN_CONTEXTS) & (odds >= MIN_ODDS)).collect()}
 
+    def context(batches):
+        for batch in batches:
+            for part in text_slices(batch, 1):
+                rows = set()
+                for text in part.column(1).to_pylist():
+                    words = lowered(text)
+                    # copies share a word's first context
+                    rows |= {(unit, " ".join(words[max(0, j - 1):j + 2])) for unit, j in units(words) if unit in passed}
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], ["word", "context"])
+
+    apart = sample.where("label = 1").mapInArrow(context, "word string, context string").groupBy("word").agg(F.countDistinct("context").alias("contexts"))
+    out = {}
+    for r in apart.where(F.col("contexts") >= MIN_CONTEXTS).collect():
+        clean, toxic = passed[r.word]
+        backed = min(toxic, r.contexts)
+        part = lambda k, share: k * np.log(k / ((backed + clean) * share)) if k else 0.0  # noqa: B023, E731
+        g = 2 * (part(backed, max(t, 1) / max(1, t + c)) + part(clean, max(c, 1) / max(1, t + c)))
+        if g >= MIN_G:
+            out[r.word] = (toxic, float(g))
+    return out
+
+
+def learn_lexicon(sample: DataFrame, max_terms: int | None = None, false_alarms: float = FALSE_ALARMS) -> Lexicon:
+    """Terms, and what to think of their hits, from ``(label, text)``."""
+    t, c = (sample.where(F.col("label") == x).count() for x in (1, 0))
+    found = telling_units(sample, t, c)
+    chosen = sorted(choose_terms({u: n for u, (n, _) in found.items()}), key=lambda x: (-found[x][1], x))
+    terms = tuple(sorted({*SEED, *chosen[:MAX_TERMS if max_terms is None else max_terms]}))
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    def forms(batches):
+        lexicon = Lexicon(terms)
+        for batch in batches:
+            for part in text_slices(batch, 1):
+                total: dict[tuple[str, str], list] = {}
+                _, hits = all_counts([x or "" for x in part.column(1).to_pylist()], lexicon)
+                for label, own in zip(part.column(0).to_pylist(), hits):
+                    for key in {(term, lexicon.form(word, term, spent) if spent else term) for word, term, spent, _, _, cited in own if not cited}:
+                        total.setdefault(key, [0, 0])[label == 1] += 1
+                yield pa.RecordBatch.from_arrays([*(pa.array([k[i] for k in total], pa.string()) for i in (0, 1)),
+                                                  *(pa.array([r[i] for r in total.values()], pa.int64()) for i in (0, 1))], ["term", "form", "clean", "toxic"])
+
+    seen = (sample.mapInArrow(forms, "term string, form string, clean long, toxic long").groupBy("term", "form")
+            .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).collect())  # words of the sample that are near terms
+    exact = {r.term: (r.toxic, r.clean) for r in seen if r.form == r.term}
+    weak = frozenset(x for x, (toxic, clean) in exact.items() if clean and log_odds(toxic, clean, t, c) < STRONG_ODDS)
+    near = [r for r in seen if r.form != r.term]
+    once = {x: 0 for x in terms}
+    for r in near:
+        once[r.term] += r.clean == 1 and r.toxic == 0
+    doubted, rate = set(), 0.0
+    for term in sorted(terms, key=lambda x: (once[x], x)):
+        rate += once[term] / max(c, 1)
+        if rate > false_alarms:
+            doubted.add(term)
+    return Lexicon(terms, frozenset(r.form for r in near if r.clean > r.toxic), frozenset(doubted), weak)
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_terms: int | None = None,
+        false_alarms: float = FALSE_ALARMS) -> Model:
     """Lexicon and weights from a bounded sample of labelled rows."""
     sample = written(labelled_sample(docs, labels, "toxic", id_col, text_col, held_out=held_out), "labelled", SAMPLE_FILES, dealt=True)
-    lexicon = learn_lexicon(sample)
-    rows = map_text(sample, ["label", "text"], lambda b: (b.column(0), *hit_counts(b.column(1).to_pylist(), lexicon)[0].T),
-                    "label int, a long, b long, c long, d long").collect()
-    got = np.array([tuple(r) for r in rows], np.int64).reshape(-1, 5)
+    lexicon = learn_lexicon(sample, max_terms, false_alarms)
+    rows = map_text(sample, ["label", "text"], lambda b: (b.column(0), *all_counts([x or "" for x in b.column(1).to_pylist()], lexicon)[0].T),
+                    "label int, a long, b long, c long, d long, e long").collect()
+    got = np.array([tuple(r) for r in rows], np.int64).reshape(-1, 6)
     return Model(lexicon, fit_weights(got[:, 1:], (got[:, 0] == 1).astype(float)))
 
 
@@ -330,8 +419,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     lexicon, weights = model.lexicon, model.weights
 
     def kernel(batch):
-        counts, _ = hit_counts([t or "" for t in batch.column(1).to_pylist()], lexicon)
-        return batch.column(0), score_counts(counts, weights), *counts.T
+        counts, _ = all_counts([t or "" for t in batch.column(1).to_pylist()], lexicon)
+        return batch.column(0), score_counts(counts, weights), *counts[:, :STRONG].T
 
     return map_text(docs, [id_col, text_col], kernel, f"`{id_col}` {kind}, score double, n_exact long, n_misspelled long, n_quoted long, n_direct long")
 
