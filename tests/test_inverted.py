@@ -118,5 +118,5 @@ def test_low_shards_are_left_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     qs = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select(F.col("item_id").alias("qid"), "text")
     index = bm25.build_index(docs)
-    loose = bm25.BM25Index(index.blocks.withColumn("top", F.lit(1e9)), index.terms, index.n_docs, index.avgdl, index.gaps)
+    loose = bm25.BM25Index(index.blocks.withColumn("tf_max", F.lit(10 ** 6)).withColumn("dl_min", F.lit(1)), index.terms, index.n_docs, index.avgdl, index.gaps, index.shards)
     assert got(bm25.search(index, qs, 2)) == got(bm25.search(loose, qs, 2))

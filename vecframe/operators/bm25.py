@@ -3,11 +3,12 @@
 Index build: documents are dealt into shards of some thousand ids by a hash of
 the id (the text is shuffled once; all rows of one id are one document).  A task
 counts a shard's terms and makes one posting block for each term of it: the
-ascending ids as gaps, the counts, the document lengths.  Blocks are stored
-sorted by term, each with the largest weight that one of its documents has, next
-to a table of all terms with their document frequency.  ``N`` and ``avgdl`` are
-aggregates.  A block has no more postings than a shard has documents, however
-common its term is.
+ascending ids as gaps, the counts, the document lengths, and with the largest
+count and the least length a bound of its largest weight.  Each task writes its
+blocks sorted by term, so that a scan skips the pages of other terms; next to
+them stands a table of all terms with their document frequency.  ``N`` and
+``avgdl`` are aggregates.  A block has no more postings than a shard has
+documents, however common its term is.
 
 Query: the query terms (bounded blocks) with their ``idf`` are broadcast; the
 scan reads the blocks of these terms only (``term IN (...)`` reaches it), and
@@ -56,7 +57,7 @@ SCORE_CELLS = 1 << 22
 
 # Ids of a shard; a small table has shards of SMALL_SHARD, up to SPREAD_SHARDS of them, so that its work is spread.
 SHARD_DOCS = 4096
-SMALL_SHARD = 512
+SMALL_SHARD = 1024
 SPREAD_SHARDS = 64
 # Terms that a scan is asked for by value; more are joined.
 MAX_IN_TERMS = 20_000
@@ -66,11 +67,17 @@ COUNT_TOKENS = 1 << 20
 
 @dataclass
 class BM25Index:
-    blocks: DataFrame     # term, shard, ids (gaps where they are integers), tfs, dls, top
+    blocks: DataFrame     # term, shard, ids (gaps where they are integers), tfs, dls, n, cf, tf_max, dl_min
     terms: DataFrame      # term, df, cf - of the whole index, also where this one is pruned
     n_docs: int
     avgdl: float
     gaps: bool
+    shards: int = 1
+
+    @property
+    def tasks(self) -> int:
+        """Tasks that the shards of a search are dealt to."""
+        return min(self.shards + 1, _tasks(self.blocks))
 
     @property
     def postings(self) -> DataFrame:
@@ -89,6 +96,16 @@ class BM25Index:
         return self.terms.select("term", "df")
 
 
+def _tasks(df: DataFrame) -> int:
+    """Tasks of a shuffle whose work is more than its bytes say: a number that is given is not made smaller for small data."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _term_in(names: list[str]) -> Column:
+    """``term IN (...)`` as one expression; terms are letters and digits."""
+    return F.expr("term IN (" + ", ".join(f"'{t}'" for t in names) + ")") if names else F.lit(False)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` dealt out to all cores where its scan has fewer splits than there are cores (one file of one row group)."""
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -185,7 +202,23 @@ def build_postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def _block_schema(kind: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("term", T.StringType()), T.StructField("shard", T.IntegerType()),
                          T.StructField("ids", T.ArrayType(kind)), T.StructField("tfs", T.ArrayType(T.IntegerType())),
-                         T.StructField("dls", T.ArrayType(T.IntegerType()))])
+                         T.StructField("dls", T.ArrayType(T.IntegerType())), T.StructField("n", T.LongType()), T.StructField("cf", T.LongType()),
+                         T.StructField("tf_max", T.IntegerType()), T.StructField("dl_min", T.IntegerType())])
+
+
+BLOCK = ["term", "shard", "ids", "tfs", "dls", "n", "cf", "tf_max", "dl_min"]
+
+
+def _block_batch(words: pa.Array, shard: int, ids: pa.Array, tf: np.ndarray, dl: np.ndarray, edges: np.ndarray) -> pa.RecordBatch:
+    """Posting blocks with what bounds them; no block is empty."""
+    first, n = edges[:-1], np.diff(edges)
+    if not len(n):
+        sums = most = least = np.zeros(0, np.int64)
+    else:
+        sums, most, least = np.add.reduceat(tf, first), np.maximum.reduceat(tf, first), np.minimum.reduceat(dl, first)
+    return pa.RecordBatch.from_arrays([words, pa.array(np.full(len(n), shard, np.int32)), _lists(ids, edges), _lists(pa.array(tf.astype(np.int32)), edges),
+                                       _lists(pa.array(dl.astype(np.int32)), edges), pa.array(n.astype(np.int64)), pa.array(sums.astype(np.int64)),
+                                       pa.array(most.astype(np.int32)), pa.array(least.astype(np.int32))], BLOCK)
 
 
 def _lists(values: pa.Array, edges: np.ndarray) -> pa.ListArray:
@@ -227,9 +260,7 @@ def _shard_blocks(shard: int, parts: list, kind: pa.DataType, gaps: bool):
     held = names.take(pa.array(doc))
     if gaps and not held.null_count:
         held = pa.array(_gaps(held.to_numpy(zero_copy_only=False).astype(np.int64), edges)).cast(kind)
-    return pa.RecordBatch.from_arrays([words.take(pa.array(code[edges[:-1]])), pa.array(np.full(len(edges) - 1, shard, np.int32)), _lists(held, edges),
-                                       _lists(pa.array(tf.astype(np.int32)), edges), _lists(pa.array(dl[doc].astype(np.int32)), edges)],
-                                      ["term", "shard", "ids", "tfs", "dls"])
+    return _block_batch(words.take(pa.array(code[edges[:-1]])), shard, held, tf, dl[doc], edges)
 
 
 #: The shard of the document without an id: it has no others, so its block needs no gaps.
@@ -271,25 +302,15 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield _shard_blocks(now, parts, parts[0][0].type, gaps)
 
     ship_package(spark)
-    raw = _kept(tokens.mapInArrow(run, schema), f"{path}/raw")
-    terms = _kept(raw.groupBy("term").agg(F.sum(F.size("ids")).alias("df"), F.sum(F.aggregate("tfs", F.lit(0).cast("long"), lambda a, x: a + x)).alias("cf"))
-                  .repartition("term").sortWithinPartitions("term"), f"{path}/terms")
+    blocks = _stored_blocks(tokens.mapInArrow(run, schema), f"{path}/blocks")
+    terms = _kept(blocks.groupBy("term").agg(F.sum("n").alias("df"), F.sum("cf").alias("cf")).repartition(_tasks(blocks), "term").sortWithinPartitions("term"), f"{path}/terms")
     total = terms.agg(F.sum("cf")).first()[0] or 0
-    avgdl = float(total) / n if n else 0.0
-    blocks = _stored_blocks(raw.withColumn("top", _top(avgdl)), f"{path}/blocks")
-    return BM25Index(blocks, terms, int(n), avgdl, gaps)
-
-
-def _top(avgdl: float) -> Column:
-    """The largest weight of a block's postings for a term of weight 1."""
-    norm = lambda dl: F.lit(K1) * (F.lit(1.0 - B) + F.lit(B) * dl / F.lit(avgdl or 1.0))
-    return F.array_max(F.zip_with("tfs", "dls", lambda tf, dl: tf * F.lit(K1 + 1.0) / (tf + norm(dl))))
+    return BM25Index(blocks, terms, int(n), float(total) / n if n else 0.0, gaps, shards)
 
 
 def _stored_blocks(blocks: DataFrame, path: str) -> DataFrame:
-    """Blocks by a hash of term and shard - a common term's lie in all files - and sorted by term, so that the pages and row
-    groups of other terms are skipped."""
-    return _kept(blocks.repartition("term", "shard").sortWithinPartitions("term", "shard"), path)
+    """Every task's blocks sorted by term: the pages and row groups of other terms are skipped."""
+    return _kept(blocks.sortWithinPartitions("term", "shard"), path)
 
 
 def pruned(index: BM25Index, drop_ratio: float, path: str | None = None) -> BM25Index:
@@ -297,7 +318,7 @@ def pruned(index: BM25Index, drop_ratio: float, path: str | None = None) -> BM25
     spark = index.blocks.sparkSession
     path = path or scratch_path(spark, "bm25-pruned")
     weighed = index.blocks.join(index.terms.select("term", idf(index.n_docs, F.col("df")).alias("idf")), "term")
-    dealt = weighed.repartition("shard").sortWithinPartitions("shard", "term")
+    dealt = weighed.repartition(index.tasks, "shard").sortWithinPartitions("shard", "term")
     avgdl, gaps = index.avgdl, index.gaps
 
     def cut(shard, held):
@@ -322,9 +343,7 @@ def pruned(index: BM25Index, drop_ratio: float, path: str | None = None) -> BM25
         ids = ids.filter(pa.array(keep))
         if gaps and shard != NO_ID:
             ids = pa.array(_gaps(ids.to_numpy(zero_copy_only=False).astype(np.int64), edges)).cast(ids.type)
-        return pa.RecordBatch.from_arrays([words.filter(pa.array(some)), pa.array(np.full(int(some.sum()), shard, np.int32)), _lists(ids, edges),
-                                           _lists(pa.array(tf[keep].astype(np.int32)), edges), _lists(pa.array(dl[keep].astype(np.int32)), edges)],
-                                          ["term", "shard", "ids", "tfs", "dls"])
+        return _block_batch(words.filter(pa.array(some)), shard, ids, tf[keep].astype(np.int64), dl[keep].astype(np.int64), edges)
 
     def run(batches):
         for shard, held in _by_shard(batches):
@@ -333,7 +352,7 @@ def pruned(index: BM25Index, drop_ratio: float, path: str | None = None) -> BM25
     ship_package(spark)
     kind = index.blocks.schema["ids"].dataType.elementType
     left = dealt.select("term", "shard", "ids", "tfs", "dls", "idf").mapInArrow(run, _block_schema(kind))
-    return BM25Index(_stored_blocks(left.withColumn("top", _top(index.avgdl)), f"{path}/blocks"), index.terms, index.n_docs, index.avgdl, index.gaps)
+    return BM25Index(_stored_blocks(left, f"{path}/blocks"), index.terms, index.n_docs, index.avgdl, index.gaps, index.shards)
 
 
 def _by_shard(batches):
@@ -409,12 +428,12 @@ def _spans(cut: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _asked_blocks(index: BM25Index, names: list[str]) -> DataFrame:
     """The blocks of these terms, a shard's together: nothing else is read."""
     if len(names) <= MAX_IN_TERMS:
-        found = index.blocks.where(F.col("term").isin(names))
+        found = index.blocks.where(_term_in(names))
     else:
         spark = index.blocks.sparkSession
         wanted = spark.createDataFrame(pa.table({"_term": pa.array(names, pa.string())}))
         found = index.blocks.join(bounded_broadcast(wanted), F.col("term") == F.col("_term"), "left_semi")
-    return found.repartition("shard").sortWithinPartitions("shard")
+    return found.repartition(index.tasks, "shard").sortWithinPartitions("shard")
 
 
 def _task_topk(index: BM25Index, rows: list, k: int) -> DataFrame:
@@ -442,7 +461,8 @@ def _task_topk(index: BM25Index, rows: list, k: int) -> DataFrame:
 
         for shard, held in _by_shard(batches):
             term = np.concatenate([pc.index_in(b.column("term"), value_set=asked.vocabulary).to_numpy(zero_copy_only=False) for b in held]).astype(np.int64)
-            top = np.concatenate([b.column("top").to_numpy(zero_copy_only=False) for b in held])
+            tf, dl = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in held]).astype(np.float64) for c in ("tf_max", "dl_min"))
+            top = _weights(1.0, tf, dl, avgdl)  # no posting of the block weighs more
             # what each query can reach at most in this shard
             at, block = _spans(asked.cut, term)
             bound = np.bincount(asked.query[at], weights=np.floor(asked.times[at] * asked.weight[term[block]] * top[block] * SCORE_SCALE * (1 + 1e-9)) + 2, minlength=nq)
@@ -503,21 +523,31 @@ def _task_topk(index: BM25Index, rows: list, k: int) -> DataFrame:
 
     ship_package(spark)
     kind = index.blocks.schema["ids"].dataType.elementType.simpleString()
-    return _asked_blocks(index, asked.names).select("term", "shard", "ids", "tfs", "dls", "top").mapInArrow(run, f"qid long, doc_id {kind}, _fp long")
+    return _asked_blocks(index, asked.names).select("term", "shard", "ids", "tfs", "dls", "tf_max", "dl_min").mapInArrow(run, f"qid long, doc_id {kind}, _fp long")
 
 
 def _query_blocks(index: BM25Index, queries: DataFrame, qid_col: str, text_col: str, outer: bool = False):
     """Rows ``(qid, term, qtf, idf, df)`` in blocks of about QUERY_TERMS pairs; ``outer``: also of terms that no document has."""
     qt = query_terms(queries, qid_col, text_col).withColumn("qid", F.col("qid").cast("long")).where("qid is not null")
-    n = qt.count()
-    blocks = 1 + n // QUERY_TERMS
+    known = index.terms.select("term", "df", idf(index.n_docs, F.col("df")).alias("idf"))
+
+    def weighed(asked):
+        names = sorted({r.term for r in asked})
+        if len(names) <= MAX_IN_TERMS:
+            of = known.where(_term_in(names)).collect()
+        else:
+            wanted = index.terms.sparkSession.createDataFrame(pa.table({"_term": pa.array(names, pa.string())}))
+            of = known.join(bounded_broadcast(wanted), F.col("term") == F.col("_term"), "left_semi").collect()
+        found = {r.term: (r.idf, r.df) for r in of}
+        return [(r.qid, r.term, r.qtf, *found.get(r.term, (0.0, 0))) for r in asked if outer or r.term in found]
+
+    asked = qt.limit(QUERY_TERMS + 1).collect()
+    if len(asked) <= QUERY_TERMS:
+        yield weighed(asked)
+        return
+    blocks = 1 + qt.count() // QUERY_TERMS
     for i in range(blocks):
-        mine = qt if blocks == 1 else qt.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == i)
-        terms = index.terms
-        if n <= MAX_IN_TERMS:
-            terms = terms.where(F.col("term").isin([r[0] for r in mine.select("term").distinct().collect()]))
-        rows = mine.join(terms, "term", "left" if outer else "inner").select("qid", "term", "qtf", idf(index.n_docs, F.col("df")), F.coalesce("df", F.lit(0)))
-        yield [tuple(r) for r in rows.collect()]
+        yield weighed(qt.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == i).collect())
 
 
 def search(index: BM25Index, queries: DataFrame, k: int = 10, qid_col: str = "qid", text_col: str = "text") -> DataFrame:

@@ -445,7 +445,7 @@ def _broadcast_ivf(assigned: DataFrame, qids: np.ndarray, Q: np.ndarray, probe_p
 
     base = assigned.select(*in_cols)
     if cells and len(cells) < index.nlist:
-        base = base.where(F.col(cell_col).isin(cells))  # pushed to the scan: unprobed cells are skipped
+        base = base.where(F.expr(f"`{cell_col}` IN ({', '.join(map(str, cells))})"))  # pushed to the scan: unprobed cells are skipped
     ship_package(spark)
     return base.mapInArrow(run, "probed long, scored long" if count_only else schema)
 

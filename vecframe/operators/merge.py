@@ -35,10 +35,13 @@ SIDES = ("b", "p")
 
 
 def _one_each(df: DataFrame, key: str, doc: str, side: str, check: bool) -> DataFrame:
-    """``(_k, text)``, one row a key: the aggregate shares the join's partitioning."""
+    """``(_k, text)``, one row a key, dealt out by key: the aggregate and the join share that partitioning.
+
+    The number of tasks is given, for merging costs more than the documents' bytes say."""
+    rows = df.select(F.col(key).alias("_k"), F.col(doc).alias(side)).repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_k")
     if not check:
-        return df.select(F.col(key).alias("_k"), F.col(doc).alias(side))
-    found = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"), F.first(doc).alias(side))
+        return rows
+    found = rows.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.first(side).alias(side))
     message = F.concat(F.lit(f"{'base' if side == 'b' else 'patch'} has more than one document for key "), F.coalesce(F.col("_k").cast("string"), F.lit("NULL")))
     return found.select("_k", F.when(F.col("_n") > 1, F.raise_error(message).cast("string")).otherwise(F.col(side)).alias(side))
 
@@ -87,7 +90,7 @@ def _kept(df: DataFrame, place: str) -> DataFrame:
 
 
 # Shared maps, one inside the other, that the expression of a row merges.
-INLINE_DEPTH = 5
+INLINE_DEPTH = 3
 # What stands for a node that lies deeper: no JSON text has it.
 DEEPER = "\x00"
 

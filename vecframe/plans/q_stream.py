@@ -214,7 +214,7 @@ def stream_periodic_topk(spark, sf_dir):
 
 
 def _tick(number: int, parts: str) -> str:
-    return _step(number, f"id % 3 IN ({parts})").replace(" AS step", " AS tick")
+    return _step(number, f"id % 3 IN ({parts})").replace(" AS step", " AS tick").replace("FROM c WHERE id % 20", "FROM all_rows WHERE id % 20")
 
 
 @register("stream_standing_topk", _tick(0, "0") + " UNION ALL " + _tick(1, "0, 1") + " UNION ALL " + _tick(2, "0, 1, 2"))

@@ -42,7 +42,7 @@ def answer_checked(base: DataFrame, checked: DataFrame, dim: int | None, metric:
     may keep is answered class by class."""
     good = checked.where(F.col("error").isNull()).withColumn("_class", F.greatest(F.lit(4), F.ceil(F.log2("topk"))).cast("int"))
     fields = [c for c in fields if c in base.columns]
-    asked = good.select(F.col("_no").alias("qid"), "vec", "parts", F.shiftleft(F.lit(1).cast("long"), F.col("_class")).alias("k"))
+    asked = good.select(F.col("_no").alias("qid"), "vec", "parts", F.pow(F.lit(2.0), F.col("_class")).cast("long").alias("k"))
     names = good.select(F.col("_no"), F.col("qid").alias("_qid"), "topk")
 
     def named(hits):
