@@ -63,6 +63,19 @@ def test_matches_brute_force(spark, n):
     assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == expected(rows)
 
 
+def test_a_third_of_all_rows_alike(spark):
+    """Equal rows are worked on once: their number does not matter."""
+    import time
+    rows = [(i, f"word{i} and some more text of row {i}") for i in range(200)]
+    many = spark.createDataFrame(rows, "doc_id long, text string").union(spark.range(100_000).selectExpr("cast(77 as long)", "'one text that very many rows have'"))
+    start = time.time()
+    got = S.compared(many.repartition(8))
+    path = S.written(got, "many")
+    assert path.count() == 100_200 and time.time() - start < 60
+    alike = path.where("doc_id = 77 and n_chars = 34").groupBy("near_next", "edited_sha256").count().collect()
+    assert sorted(r["count"] for r in alike) == [1, 99_999] and max(alike, key=lambda r: r["count"]).near_next == 1.0
+
+
 def test_edge_table(spark):
     docs = edge_docs(spark)
     assert found(docs) == expected(TEXTS)

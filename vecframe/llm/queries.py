@@ -178,7 +178,57 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-@register("op11_pii")
+_OP11_CUT = "\n  UNION ALL ".join(
+    rf"SELECT doc_id, '{kind}' AS kind, {i} AS o, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS g FROM d"
+    for i, (kind, pattern) in enumerate([
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+        ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]))
+_OP11_WORDS = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}]+'), lambda w: len(w) BETWEEN 4 AND 40)"
+
+OP11_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+     cut AS ({_OP11_CUT}),
+     matches AS (SELECT doc_id, kind, o, i, m[i] AS v, g[i] AS before, g[i + 1] AS after FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM cut)),
+     placed AS (SELECT *, CAST(sum(len(before)) OVER upto + coalesce(sum(len(v)) OVER past, 0) AS BIGINT) AS start, regexp_replace(v, '[^0-9]', '', 'g') AS num FROM matches
+                WINDOW upto AS (PARTITION BY doc_id, kind ORDER BY i), past AS (PARTITION BY doc_id, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+     base AS (SELECT * FROM placed WHERE CASE kind
+                WHEN 'email' THEN TRUE
+                WHEN 'ip' THEN len(list_filter(string_split(v, '.'), lambda p: len(ltrim(p, '0')) > 3 OR coalesce(TRY_CAST(p AS DOUBLE), 0) > 255)) = 0
+                WHEN 'card' THEN len(num) BETWEEN 13 AND 19 AND list_sum(list_transform(range(len(num)), lambda k: CASE WHEN k % 2 = 0 THEN CAST(substr(num, CAST(len(num) - k AS BIGINT), 1) AS INT)
+                       ELSE (2 * CAST(substr(num, CAST(len(num) - k AS BIGINT), 1) AS INT)) // 10 + (2 * CAST(substr(num, CAST(len(num) - k AS BIGINT), 1) AS INT)) % 10 END)) % 10 = 0
+                ELSE len(num) BETWEEN 9 AND 15 END),
+     mentions AS (SELECT row_number() OVER () AS id, kind || ':' || CASE kind WHEN 'email' THEN lower(v) WHEN 'ip' THEN v ELSE num END AS entity,
+                         CASE WHEN len(before) > 100 THEN regexp_replace(right(before, 100), '^\p{{L}}+', '') ELSE before END || ' ' ||
+                         CASE WHEN len(after) > 100 THEN regexp_replace(left(after, 100), '\p{{L}}+$', '') ELSE after END AS near FROM base),
+     near_words AS (SELECT id, entity, near, unnest(list_distinct({_OP11_WORDS.format("near")})) AS w FROM mentions),
+     pairs AS (SELECT entity, w, count(*) AS both FROM near_words GROUP BY entity, w HAVING count(DISTINCT near) >= 3),
+     class_pairs AS (SELECT entity, b, count(*) AS both FROM (SELECT DISTINCT id, entity, left(w, 3) AS b FROM near_words) GROUP BY entity, b),
+     entities AS (SELECT entity, count(*) AS n FROM mentions GROUP BY entity),
+     every AS (SELECT unnest({_OP11_WORDS.format("t")}) AS w FROM d),
+     terms AS (SELECT w, count(*) AS n FROM every WHERE w IN (SELECT w FROM pairs) GROUP BY w),
+     classes AS (SELECT left(w, 3) AS b, count(*) AS n FROM every WHERE left(w, 3) IN (SELECT left(w, 3) FROM pairs) GROUP BY 1),
+     size AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM every),
+     told AS (SELECT p.w, 1 + log2(p.both / t.n) / log2(size.n / e.n) AS share, 1 + log2(c.both / k.n) / log2(size.n / e.n) AS class_share
+              FROM pairs p JOIN entities e USING (entity) JOIN terms t USING (w) JOIN class_pairs c ON c.entity = p.entity AND c.b = left(p.w, 3)
+              JOIN classes k ON k.b = left(p.w, 3) CROSS JOIN size WHERE e.n < size.n),
+     chosen AS (SELECT w, CASE WHEN max(least(1, class_share)) < 0.9 THEN 'generalise' ELSE 'remove' END AS action FROM told WHERE least(1, share) >= 0.9 GROUP BY w),
+     plain AS (SELECT doc_id, array_to_string(list_transform(range(1, len(g) + 1), lambda i: g[i] || repeat(chr(2), CAST(coalesce(len(m[i]), 0) AS BIGINT))), '') AS t FROM cut WHERE kind = 'email'),
+     runs AS (SELECT doc_id, i, m[i] AS v, g[i] AS before FROM (SELECT doc_id, regexp_extract_all(t, '\p{{L}}+') AS m, string_split_regex(t, '\p{{L}}+') AS g,
+                     unnest(range(1, len(regexp_extract_all(t, '\p{{L}}+')) + 1)) AS i FROM plain WHERE EXISTS (SELECT 1 FROM chosen))),
+     run_places AS (SELECT *, CAST(sum(len(before)) OVER upto + coalesce(sum(len(v)) OVER past, 0) AS BIGINT) AS start FROM runs
+                    WINDOW upto AS (PARTITION BY doc_id ORDER BY i), past AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+     spans AS (SELECT doc_id, kind, o, start, len(v) AS n FROM base
+               UNION ALL SELECT doc_id, action, CASE action WHEN 'generalise' THEN 4 ELSE 5 END, start, len(v) FROM run_places r JOIN chosen c ON lower(r.v) = c.w),
+     listed AS (SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip, count(*) FILTER (kind = 'card') AS n_card,
+                       count(*) FILTER (kind = 'phone') AS n_phone, string_agg(kind || ':' || start || ':' || (start + n), ',' ORDER BY o, start) FILTER (o < 4) AS own,
+                       string_agg(kind || ':' || start || ':' || (start + n), ',' ORDER BY o, start) AS spans FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+       sha256(coalesce(own, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN listed USING (doc_id)
+"""
+
+
+@register("op11_pii", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text, and the terms that disclose it."""
     found = pii.scan(read_table(spark, sf_dir, "documents")).rows
@@ -189,7 +239,32 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
                         listed(F.col("spans")).alias("spans"))
 
 
-@register("op12_importance")
+OP12_SQL = r"""
+WITH words_of AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+     target AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+     corpus AS (SELECT unnest(w) AS w FROM words_of),
+     tab AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS t),
+     bucket AS (SELECT w, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(strlen(w)), lambda i: CAST('0x' || substr(hex(encode(w)), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+                                          lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 AS b
+                FROM (SELECT w FROM corpus UNION SELECT w FROM target) CROSS JOIN tab),
+     s AS (SELECT b, count(*) AS n FROM corpus JOIN bucket USING (w) GROUP BY b),
+     t AS (SELECT b, count(*) AS n FROM target JOIN bucket USING (w) GROUP BY b),
+     totals AS (SELECT CAST((SELECT count(*) FROM corpus) AS DOUBLE) AS s_all, CAST((SELECT count(*) FROM target) AS DOUBLE) AS t_all),
+     gain AS (SELECT k AS b, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1) * (s_all + 10000) / ((coalesce(s.n, 0) + 1) * (t_all + 10000)))) AS BIGINT) AS g
+              FROM range(10000) r(k) CROSS JOIN totals LEFT JOIN s ON s.b = k LEFT JOIN t ON t.b = k),
+     weight AS (SELECT doc_id, CAST(sum(g) AS BIGINT) AS weight FROM (SELECT doc_id, unnest(w) AS w FROM words_of) JOIN bucket USING (w) JOIN gain USING (b) GROUP BY doc_id),
+     scored AS (SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_features, coalesce(x.weight, 0) AS weight,
+                       coalesce(x.weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || CAST(d.doc_id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+                FROM words_of d LEFT JOIN weight x USING (doc_id)),
+     able AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CAST(CASE WHEN rank <= 10 * (SELECT count(*) FROM able) // 100 THEN rank END AS BIGINT) AS rank
+FROM scored LEFT JOIN able USING (doc_id)
+"""
+
+
+@register("op12_importance", OP12_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance resampling of all documents towards the benchmark's words: weights, scores, and ranks of those drawn."""
     return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

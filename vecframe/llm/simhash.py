@@ -13,7 +13,8 @@ The next document is found without a global sort in one task: a range shuffle of
 first id of the next range that has any (one row a range).
 
 Defined results: a null text counts as empty; an empty text has fingerprint 0; equal texts have equal fingerprints; null
-ids come first, equal ids are ordered by their texts' hash, and equal rows follow each other; a table of one row has itself as the next document; an empty table
+ids come first, equal ids are ordered by their texts' hash, and equal rows follow each other (they are worked on once, and
+counted); a table of one row has itself as the next document; an empty table
 gives no rows; other columns are not read.  Texts of up to 2**28 words cannot overflow the votes.
 """
 
@@ -32,7 +33,9 @@ MAX_WEIGHT = 16
 LANES = 32
 PAIR = (1 << 32) | 1  # the lowest bit of either half
 
-KEY = ["kd", "kn", "h", "occ"]
+KEY = ["kd", "kn", "h"]
+#: A row's own text; the edited text of the last of equal rows, and that of one that an equal row follows.
+OWN, LAST, FOLLOWED = -1, 0, 1
 
 
 def terms(text: Column) -> Column:
@@ -79,12 +82,13 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def successors(rows: DataFrame, files: int) -> DataFrame:
-    """Each row's key with that of the next row, ascending and round, and its length: ``(kd, kn, h, occ, n, nd, nn, nh)``."""
+    """Each distinct key with the next one, ascending and round: ``(kd, kn, h, m, n, nd, nn, nh)``; ``m`` rows have the key,
+    and texts of ``n`` characters."""
     order = ["kn", "kd", "h"]
-    ranged = rows.select("kn", "kd", "h", F.length("text").alias("n")).repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    tally = rows.select("kn", "kd", "h", F.length("text").alias("n")).groupBy(*order).agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n"))
+    ranged = tally.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
     inside = Window.partitionBy("part").orderBy(*order)
-    step = written(ranged.select("*", (F.row_number().over(inside) - F.rank().over(inside) + 1).alias("occ"),
-                                 F.lead(F.struct(*order)).over(inside).alias("next")), "order", files)
+    step = written(ranged.select("*", F.lead(F.struct(*order)).over(inside).alias("next")), "order", files)
     # one row a range: its first key is what follows the range before
     firsts = step.groupBy("part").agg(F.min(F.struct(*order)).alias("first"))
     over = Window.orderBy("part")
@@ -92,48 +96,48 @@ def successors(rows: DataFrame, files: int) -> DataFrame:
         F.lead("first").over(over), F.first("first").over(over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
     follow = F.coalesce("next", "after")
     return step.join(F.broadcast(after), F.col("part") == F.col("of")).select(
-        *KEY, "n", follow["kd"].alias("nd"), follow["kn"].alias("nn"), follow["h"].alias("nh"))
+        *KEY, "m", "n", follow["kd"].alias("nd"), follow["kn"].alias("nn"), follow["h"].alias("nh"))
 
 
 def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row's text and its edited text, whose last quarter is the first characters of the next document:
-    ``(kd, kn, h, occ, nd, nn, nh, n, text, edited)``."""
+    """Every distinct row's text, and that text with its last quarter replaced by the first characters of the next row, which is
+    another (``edited``) or, for all but the last of equal rows, an equal one (``same``):
+    ``(kd, kn, h, m, nd, nn, nh, n, text, edited, same)``."""
     rows = keyed(docs, id_col, text_col)
     files = files_for(docs.count())
     chain = written(successors(rows, files), "successors", files)
-    # the texts are shuffled once: both joins, and the numbers of equal rows, use this partitioning
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    same = Window.partitionBy("kd", "kn", "h").orderBy("h")
-    numbered = rows.repartition(parts, "kd", "kn", "h").withColumn("occ", F.row_number().over(same))
+    # equal rows are one before their texts are shuffled; each text is shuffled once, all joins use this partitioning
+    texts = rows.groupBy(*KEY).agg(F.first("text").alias("text"))
     quarter = F.floor(F.col("n") / 4).cast("int")
-    asked = chain.select(F.col("nd").alias("kd"), F.col("nn").alias("kn"), F.col("nh").alias("h"),
-                         F.struct("kd", "kn", "h", "occ").alias("by"), quarter.alias("q"))
-    pieces = numbered.where("occ = 1").join(asked, ["kd", "kn", "h"]).select(
-        "by.kd", "by.kn", "by.h", F.col("by.occ").alias("number"), F.substring("text", F.lit(1), F.col("q")).alias("piece"))
-    links = chain.select("kd", "kn", "h", F.col("occ").alias("number"), "n", "nd", "nn", "nh")
-    alike = F.col("occ") - F.col("number") == 0  # no join key, or the texts would be dealt out by it once more
-    whole = numbered.join(links, ["kd", "kn", "h"]).where(alike).drop("number")
-    joined = whole.join(pieces, ["kd", "kn", "h"]).where(alike).drop("number")
+    asked = chain.select(F.col("nd").alias("kd"), F.col("nn").alias("kn"), F.col("nh").alias("h"), F.struct(*KEY).alias("by"), quarter.alias("q"))
+    pieces = texts.join(asked, KEY).select("by.kd", "by.kn", "by.h", F.substring("text", F.lit(1), F.col("q")).alias("piece"))
+    joined = texts.join(chain, KEY).join(pieces, KEY)
     # floor(n / 4) code points leave, so n - floor(n / 4) stay
-    kept = F.substring("text", F.lit(1), F.col("n") - F.floor(F.col("n") / 4).cast("int"))
-    return joined.select(*KEY, "nd", "nn", "nh", "n", "text", F.concat(kept, F.col("piece")).alias("edited"))
+    kept = F.substring("text", F.lit(1), F.col("n") - quarter)
+    return joined.select(*KEY, "m", "nd", "nn", "nh", "n", "text", F.concat(kept, F.col("piece")).alias("edited"),
+                         F.when(F.col("m") > 1, F.concat(kept, F.substring("text", F.lit(1), quarter))).alias("same"))
 
 
 def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_chars, edited_sha256, fp, edited_fp, near_edited, near_next)`` of every row."""
     rows = edited(docs, id_col, text_col)
-    both = rows.select(*KEY, "nd", "nn", "nh", "n", F.sha2("edited", 256).alias("edited_sha256"), F.explode(
-        F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("body")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("body")))).alias("v"))
-    both = both.select(*KEY, "nd", "nn", "nh", "n", "edited_sha256", "v.which", "v.body")
-    keys = [*KEY, "nd", "nn", "nh", "n", "edited_sha256", "which"]
-    marks = written(votes(both, keys, "body").select(*keys, majority().alias("fp")), "fingerprints", files_for(2 * docs.count()), dealt=True)
-    own = marks.where("which = 0").drop("which")
-    after = marks.where("which = 1").select(*KEY, F.col("fp").alias("edited_fp"))
-    follow = marks.where("which = 0 and occ = 1").select(F.col("kd").alias("nd"), F.col("kn").alias("nn"), F.col("h").alias("nh"), F.col("fp").alias("next_fp"))
-    found = own.join(after, KEY).join(follow, ["nd", "nn", "nh"])
+    bodies = F.array(*[F.struct(F.lit(which).alias("which"), F.col(c).alias("body")) for which, c in ((OWN, "text"), (LAST, "edited"), (FOLLOWED, "same"))])
+    both = rows.select(*KEY, "m", "nd", "nn", "nh", "n", F.explode(F.filter(bodies, lambda v: v.body.isNotNull())).alias("v"))
+    carried = [*KEY, "m", "nd", "nn", "nh", "n", "sha", "which"]
+    both = both.select(*KEY, "m", "nd", "nn", "nh", "n", F.when(F.col("v.which") != OWN, F.sha2("v.body", 256)).alias("sha"), "v.which", "v.body")
+    marks = written(votes(both, carried, "body").select(*carried, majority().alias("fp")), "fingerprints", files_for(2 * docs.count()), dealt=True)
+    own = marks.where(F.col("which") == OWN).select(*KEY, F.col("fp").alias("own_fp"))
+    follow = own.select(F.col("kd").alias("nd"), F.col("kn").alias("nn"), F.col("h").alias("nh"), F.col("own_fp").alias("next_fp"))
+    alike = F.col("which") == FOLLOWED
+    after = marks.where(F.col("which") != OWN).select(
+        *KEY, "n", F.col("sha").alias("edited_sha256"), F.col("fp").alias("edited_fp"), F.when(alike, F.col("m") - 1).otherwise(F.lit(1)).alias("times"),
+        *[F.when(alike, F.col(k)).otherwise(F.col(c)).alias(c) for k, c in zip(KEY, ("nd", "nn", "nh"))])
+    found = after.join(own, KEY).join(follow, ["nd", "nn", "nh"])
     kind = docs.schema[id_col].dataType
-    return found.select(F.when(F.col("kn") == 1, F.col("kd")).cast(kind).alias(id_col), F.col("n").cast("long").alias("n_chars"), "edited_sha256", "fp", "edited_fp",
-                        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
+    found = found.select(F.when(F.col("kn") == 1, F.col("kd")).cast(kind).alias(id_col), F.col("n").cast("long").alias("n_chars"), "edited_sha256",
+                         F.col("own_fp").alias("fp"), "edited_fp", likeness(F.col("own_fp"), F.col("edited_fp")).alias("near_edited"),
+                         likeness(F.col("own_fp"), F.col("next_fp")).alias("near_next"), "times")
+    return found.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times").cast("long")))).drop("times", "row")
 
 
 def block_tables(radius: int, blocks: int) -> list[list[tuple[int, int]]]:
