@@ -72,7 +72,7 @@ def test_a_third_of_all_rows_alike(spark):
     got = S.compared(many.repartition(8))
     path = S.written(got, "many")
     assert path.count() == 100_200 and time.time() - start < 60
-    alike = path.where("doc_id = 77 and n_chars = 34").groupBy("near_next", "edited_sha256").count().collect()
+    alike = path.where("doc_id = 77 and n_chars = 33").groupBy("near_next", "edited_sha256").count().collect()
     assert sorted(r["count"] for r in alike) == [1, 99_999] and max(alike, key=lambda r: r["count"]).near_next == 1.0
 
 
