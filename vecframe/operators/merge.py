@@ -101,7 +101,7 @@ def _let(value: Column, body) -> Column:
 
 
 def _written(raw: Column, exact: Column) -> Column:
-    return F.when(F.to_json(F.try_parse_json(raw)) == exact, raw).otherwise(exact)
+    return F.when(raw == exact, raw).when(F.to_json(F.try_parse_json(raw)) == exact, raw).otherwise(exact)
 
 
 def _list_items(text: Column) -> Column:
@@ -142,7 +142,9 @@ def _merged(n: Column, depth: int, root: bool = False) -> Column:
     open_map = []
     for s in SIDES:
         exact = F.transform_values(F.parse_json(n[f"{s}j"]).cast("map<string,variant>"), lambda _, v: F.to_json(v))
-        open_map += [exact.alias(f"{s}x"), F.from_json(n[f"{s}r"], "map<string,string>").alias(f"{s}m"), F.json_object_keys(n[f"{s}r"]).alias(f"{s}k")]
+        # the texts as written are looked at only where they differ from the canonical ones
+        own = F.when(n[f"{s}r"] != n[f"{s}j"], F.from_json(n[f"{s}r"], "map<string,string>"))
+        open_map += [exact.alias(f"{s}x"), own.alias(f"{s}m"), F.json_object_keys(n[f"{s}r"]).alias(f"{s}k")]
 
     def entry(m, name):
         values = []

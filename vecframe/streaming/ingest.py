@@ -133,6 +133,7 @@ def standing_topk(rows: DataFrame, queries, sink_path: str, checkpoint: str, met
         parts = [f[names] for f in frames]
         if state.exists:
             parts.append(pd.DataFrame(dict(zip(names, (list(x) for x in state.get)))))
+        parts = [p for p in parts if len(p)] or parts[:1]
         best = pd.concat(parts, ignore_index=True).dropna(subset=["score"]).sort_values(order, ascending=better, kind="stable").head(k)
         state.update(tuple(best[c].tolist() for c in names))
         best.insert(0, "rank", range(1, len(best) + 1))
