@@ -59,8 +59,8 @@ THRESHOLD = 0.9
 SUPPORT = 3
 #: A term is generalised to its first letters.
 BEGINNING = 3
-#: Tables of up to so many rows (of at most some 200 bytes) are broadcast.
-BROADCAST_ROWS = 100_000
+#: Tables of up to so many rows, and patterns of up to so many characters in all, are broadcast.
+BROADCAST_ROWS, BROADCAST_CHARS = 100_000, 16_000_000
 
 
 def digits(value: Column, signs: str) -> Column:
@@ -236,7 +236,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     if n:
         hits = written(term_hits(docs, terms, text_col, n <= BROADCAST_ROWS), "hits")
         rows = rows.withColumn("digest", F.sha2("text", 256))
-        rows = rows.join(F.broadcast(hits), "digest", "left") if hits.count() <= BROADCAST_ROWS else lookup_join(rows, hits, "digest")
+        found, chars = hits.agg(F.count(F.lit(1)), F.coalesce(F.sum(2 * F.length("pattern")), F.lit(0))).first()  # the removed terms are part of it
+        few = found <= BROADCAST_ROWS and chars <= BROADCAST_CHARS
+        rows = rows.join(F.broadcast(hits), "digest", "left") if few else lookup_join(rows, hits, "digest")
     work = base_cut(rows.withColumn("work", unmarked(F.col("text"))), "work")
     if n:
         # an email is one blank of its length, so that no term is found in it
