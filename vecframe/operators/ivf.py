@@ -282,7 +282,7 @@ def spilled(assigned: DataFrame, cell_col: str = "cell") -> DataFrame:
 
 
 def probe_cells(queries: DataFrame, index: IVFIndex, nprobe: int | None, passing: np.ndarray | None = None, least: int = 0) -> DataFrame:
-    """``(qid, cell, vec)``: the best cells of each query under the metric.
+    """``(qid, cell)``: the best cells of each query under the metric.
 
     As many as ``nprobe`` says; without it as many as the calibration says, and none whose score falls further behind the
     best than its gap.  ``passing``: rows of each cell that a filter lets through; cells without any are left out, and a
@@ -294,8 +294,7 @@ def probe_cells(queries: DataFrame, index: IVFIndex, nprobe: int | None, passing
     dim = index.dim
     gap = index.gap if nprobe is None else None
     most = min(nprobe or index.nprobe or default_nprobe(index.nlist), index.nlist)
-    schema = T.StructType([T.StructField("qid", T.LongType(), False), T.StructField("cell", T.IntegerType(), False),
-                           T.StructField("vec", T.ArrayType(T.DoubleType()), True)])
+    schema = T.StructType([T.StructField("qid", T.LongType(), False), T.StructField("cell", T.IntegerType(), False)])
 
     def run(batches):
         C, spread, passing = bc.value
@@ -304,7 +303,7 @@ def probe_cells(queries: DataFrame, index: IVFIndex, nprobe: int | None, passing
             if len(rows) == 0:
                 continue
             qids = rb.column("qid").to_numpy(zero_copy_only=False)[rows]
-            step = K.block_size(C.shape[0], len(Q))
+            step = max(1, K.block_size(C.shape[0], len(Q)) // 8)  # several tables of this size stand side by side
             for i in range(0, len(Q), step):
                 part = Q[i:i + step]
                 key = K.to_key(K.scores(metric, C, part).T, higher)
@@ -318,11 +317,8 @@ def probe_cells(queries: DataFrame, index: IVFIndex, nprobe: int | None, passing
                     n = passing[order]
                     wanted = (wanted | (np.cumsum(n, axis=1) - n < least)) & (n > 0)
                 q, at = np.nonzero(wanted)
-                vec = pa.Table.from_batches([rb]).column("vec").take(pa.array(rows[i + q]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(qids[i + q], pa.int64()), pa.array(order[q, at].astype(np.int32), pa.int32()), vec.combine_chunks()],
-                    schema=pa.schema([pa.field("qid", pa.int64(), False), pa.field("cell", pa.int32(), False),
-                                      pa.field("vec", pa.list_(pa.float64()))]))
+                yield pa.RecordBatch.from_arrays([pa.array(qids[i + q], pa.int64()), pa.array(order[q, at].astype(np.int32), pa.int32())],
+                                                 schema=pa.schema([pa.field("qid", pa.int64(), False), pa.field("cell", pa.int32(), False)]))
 
     ship_package(spark)
     return queries.select("qid", F.col("vec").cast("array<double>")).mapInArrow(run, schema)
@@ -560,7 +556,7 @@ def ivf_search(assigned: DataFrame, queries, index: IVFIndex, k: int = 10, nprob
          .withColumn("_sub", F.pmod(F.xxhash64(*keep_cols), F.col("nsub")).cast("int"))
          .withColumn("_qsub", F.explode(F.sequence(F.lit(0), F.col("nqsub") - 1)))
          .drop("nsub", "nqsub"))
-    p = (probes.join(info, "cell")
+    p = (probes.join(qdf, "qid").join(info, "cell")
          .withColumn("_qsub", F.pmod(F.xxhash64("qid"), F.col("nqsub")).cast("int"))
          .withColumn("_sub", F.explode(F.sequence(F.lit(0), F.col("nsub") - 1)))
          .drop("nsub", "nqsub"))
