@@ -236,14 +236,15 @@ def ivf_filtered_recall(spark, sf_dir):
     index = build_index(view, "IP", method="kmeans")
     assigned = trained(view, index)
     index = calibrate(assigned, index)
-    n, queries, rows = view.count(), stored_queries(view), None
-    for name, (_, rate) in _FILTERS.items():
+    n, queries = view.count(), stored_queries(view)
+    place = scratch_path(spark, "filtered-recall")
+    for name, (_, rate) in _FILTERS.items():  # one after the other: each search has its queries and probes in every worker
         where = (F.col("label") == 3) if name == "label" else (F.col("deviceCode") == "device120") if rate is None else F.col("id") >= n * round(100 * rate) // 100
         exact = search(view, queries, "IP", 10, fields=[], where=where)
         found = recall_at_k(ivf_search(assigned, queries, index, k=10, where=where), exact)
         row = found.where("expected > 0").select(F.lit(name).alias("filter"), "queries", "expected", (F.col("hits") * 10 >= F.col("expected") * 9).alias("nine_of_ten"))
-        rows = row if rows is None else rows.unionByName(row)
-    return rows
+        row.write.mode("append").parquet(place)
+    return spark.read.schema("filter string, queries long, expected long, nine_of_ten boolean").parquet(place)
 
 
 @register("latency_summary", """
