@@ -112,7 +112,8 @@ def test_second_cell_points_elsewhere(spark):
 
 @pytest.mark.parametrize("metric", ["IP", "L2", "COSINE"])
 @pytest.mark.parametrize("method", ["broadcast", "cogroup"])
-def test_certified_codes_equal_vectors(spark, metric, method):
+def test_certified_codes_equal_vectors(spark, metric, method, monkeypatch):
+    monkeypatch.setattr("vecframe.operators.ivf.BATCH_CANDIDATES", 200)
     view = collection_view(spark, SF, scaled=True).select("id", "value")
     index = build_index(view, metric, nlist=8, method="mean")
     index.lo, index.hi = sq8_ranges(view, 64)

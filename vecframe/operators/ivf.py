@@ -341,6 +341,9 @@ def _split_table(spark, counts: dict[int, int], max_rows: int) -> dict[int, int]
     return {int(c): max(1, math.ceil(n / max_rows)) for c, n in counts.items()}
 
 
+# Candidates of one Arrow batch that are gathered before they are reduced to each query's best.
+BATCH_CANDIDATES = 1_000_000
+
 # Largest probe set ((query, cell) pairs) shipped to every task.
 MAX_BROADCAST_PROBES = 4_000_000
 
@@ -409,7 +412,14 @@ def _broadcast_ivf(assigned: DataFrame, qids: np.ndarray, Q: np.ndarray, probe_p
             by = np.argsort(rc, kind="stable")
             edges = np.concatenate(([0], np.flatnonzero(np.diff(rc[by])) + 1, [len(by)]))
             rr, qq, ss = [], [], []
+            size = 0
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                if size > BATCH_CANDIDATES:  # many small cells: of a batch no query needs more than its best
+                    r, q, sc = np.concatenate(rr), np.concatenate(qq), np.concatenate(ss)
+                    # a spilled row may be there twice
+                    best = K.select_topk(q, -sc if higher else sc, ids[r], 2 * k if ROW in keep_cols else k)
+                    rr, qq, ss = [r[best]], [q[best]], [sc[best]]
+                    size = 0
                 sel = by[a:b]
                 qidx = cell_q.get(int(rc[sel[0]]))
                 if qidx is None:
@@ -421,10 +431,13 @@ def _broadcast_ivf(assigned: DataFrame, qids: np.ndarray, Q: np.ndarray, probe_p
                     n = len(sel) * len(qidx)
                 probed += len(sel) * len(qidx)
                 scored += n
+                if count_only:
+                    continue
                 rr.append(sel[r])
                 qq.append(qidx[q])
                 ss.append(sc)
-            if not rr or count_only:
+                size += len(r)
+            if not rr:
                 continue
             r, q, sc = np.concatenate(rr), np.concatenate(qq), np.concatenate(ss)
             taken = pa.Table.from_batches([rb]).select(keep_cols).take(pa.array(rows[r]))
