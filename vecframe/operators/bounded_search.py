@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from vecframe.functions.vector import higher_is_better
 from vecframe.operators import _kernels as K
-from vecframe.operators.ivf import IVFIndex, _broadcast_ivf, _pairs, probe_cells, write_assigned
+from vecframe.operators.ivf import IVFIndex, _broadcast_ivf, _probes, in_blocks, query_blocks, write_assigned
 from vecframe.operators.search import query_frame, rank_candidates
 from vecframe.session import scratch_path, ship_package
 
@@ -94,33 +94,32 @@ def best_keys(table: Grouped, Q: np.ndarray) -> np.ndarray:
 
 def bounded_search(table: Grouped, queries, k: int = 10, *, first: int = 2, id_col: str = "id", vector_col: str = "value",
                    fields=(), tie_cols=()) -> DataFrame:
-    """Exact top-k of a bounded query set, by bounds; ``first``: cells of the first pass for each query."""
+    """Exact top-k by bounds, in bounded blocks of queries; ``first``: cells of the first pass for each query."""
+    blocks = query_blocks(query_frame(table.cells.sparkSession, queries), table.index, k)
+    return in_blocks(blocks, lambda block: _bounded_block(table, block, k, first, id_col, vector_col, fields, tie_cols))
+
+
+def _bounded_block(table: Grouped, qdf: DataFrame, k: int, first: int, id_col: str, vector_col: str, fields, tie_cols) -> DataFrame:
     spark, index = table.cells.sparkSession, table.index
     higher = higher_is_better(index.metric)
-    qdf = query_frame(spark, queries)
     keep = list(dict.fromkeys([id_col, *fields, *tie_cols]))
-    search = lambda pairs: _broadcast_ivf(table.cells, qids, Q, pairs, index, k, keep, id_col, "cell", vector_col, None)
-    qids, Q, start = _pairs(qdf, probe_cells(qdf, index, first))
+    search = lambda bits: _broadcast_ivf(table.cells, qids, Q, bits, index, k, keep, id_col, "cell", vector_col, None)
+    qids, Q, start = _probes(qdf, index, first)
     found = scratch_path(spark, "bounded")
-    search(start).write.parquet(found)
-    seen = spark.read.schema(search(start).schema).parquet(found)
+    hits = search(start)
+    hits.write.parquet(found)
+    seen = spark.read.schema(hits.schema).parquet(found)
     # the k-th score of each query so far: one number a query
     kth = rank_candidates(seen, index.metric, k, id_col, tie_cols, []).where(F.col("rank") == k).select("qid", "score").toArrow()
     reach = np.full(len(qids), np.inf)
     place = {q: i for i, q in enumerate(qids.tolist())}
     for q, s in zip(kth["qid"].to_pylist(), kth["score"].to_pylist()):
         reach[place[q]] = K.to_key(np.float64(s), higher)
-    order = np.lexsort((start[:, 1], start[:, 0]))
-    start = start[order]
-    cut = np.searchsorted(start[:, 0], np.arange(len(qids) + 1))
-    pairs, step = [], K.block_size(index.nlist, max(1, len(qids)))
+    rest, step = np.zeros_like(start), K.block_size(index.nlist, max(1, len(qids)))
     for i in range(0, len(qids), step):
         limit = reach[i:i + step]
         slack = 1e-12 * np.abs(np.where(np.isfinite(limit), limit, 0))
         more = (best_keys(table, Q[i:i + step]) <= (limit + slack)[:, None]) & (table.radius >= 0)[None, :]
-        own = start[cut[i]:cut[min(i + step, len(qids))]]
-        more[own[:, 0] - i, own[:, 1]] = False  # read in the first pass
-        pairs.append(np.argwhere(more) + [i, 0])
-    more = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
-    both = seen if not len(more) else seen.unionByName(search(more))
+        rest[i:i + step] = np.packbits(more, axis=1) & ~start[i:i + step]  # without those of the first pass
+    both = seen if not rest.any() else seen.unionByName(search(rest))
     return rank_candidates(both, index.metric, k, id_col, tie_cols, list(dict.fromkeys([*fields, *tie_cols])))
