@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from vecframe.plans.q_functions import _REQ_SQL
 from vecframe.plans.registry import register
 from vecframe.plans.sqlgen import topk_sql
-from vecframe.plans.views import SQL_COLLECTION, SQL_STORED_QUERIES, collection_view, stored_queries, table
+from vecframe.plans.views import QUERY_STEP, SQL_COLLECTION, SQL_STORED_QUERIES, collection_view, stored_queries, table
 from vecframe.session import scratch_path
 from vecframe.streaming.ingest import cycle_rates, daily_append, file_stream, phase_rates, run_to_end, scratch
 from vecframe.streaming.requests import insert_request_stream, search_request_stream
@@ -175,20 +175,20 @@ def search_while_inserting(spark, sf_dir):
 
 
 @register("request_topk_own_days", f"""
-WITH c AS ({SQL_COLLECTION}), qs AS ({SQL_STORED_QUERIES}),
+WITH c AS ({SQL_COLLECTION}), qs AS (SELECT id AS qid, value AS qv, dt AS day FROM c WHERE id % {QUERY_STEP} = 0),
 s AS (SELECT qid, c.id, list_inner_product(c.value, qv) AS score, c.dt
-      FROM qs JOIN c ON c.dt IN (strftime(DATE '2025-08-17' - CAST((qid // 20) % 5 AS INTEGER), '%Y%m%d'),
-                                 strftime(DATE '2025-08-16' - CAST((qid // 20) % 5 AS INTEGER), '%Y%m%d'))),
+      FROM qs JOIN c ON c.dt IN (day, strftime(strptime(day, '%Y%m%d') - INTERVAL 1 DAY, '%Y%m%d'))),
 r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rk FROM s)
 SELECT qid, CAST(rk AS BIGINT) AS rank, id, round(score, 6) AS score, dt FROM r WHERE rk <= 5
 """)
 def request_topk_own_days(spark, sf_dir):
-    """T5 with per-request day lists: a day that depends on the query, and the day before."""
+    """T5 with per-request day lists: every 20th row asks for its own day and the day before."""
     from vecframe.functions.dates import day_shift
     from vecframe.streaming.requests import answer_search_requests
     view = collection_view(spark, sf_dir)
-    day = F.date_sub(F.lit("2025-08-17").cast("date"), F.expr("cast(qid div 20 % 5 as int)"))
-    reqs = stored_queries(view).select("qid", "vec", F.lit(5).alias("topk"), F.concat_ws(",", day_shift(day, 0), day_shift(day, 1)).alias("partitions"))
+    reqs = view.where(F.col("id") % QUERY_STEP == 0).select(
+        F.col("id").alias("qid"), F.col("value").alias("vec"), F.lit(5).alias("topk"),
+        F.concat_ws(",", "dt", day_shift(F.to_date("dt", "yyyyMMdd"), 1)).alias("partitions"))
     res = answer_search_requests(view.select("id", "value", "dt"), reqs, "IP", fields=["dt"])
     return res.select("qid", "rank", "id", F.round("score", 6).alias("score"), "dt")
 
