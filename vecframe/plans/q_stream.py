@@ -58,8 +58,9 @@ def ingest_cycle_rates(spark, sf_dir):
 _REQUESTS_SQL = f"""
 c AS ({SQL_COLLECTION}),
 qs AS ({SQL_STORED_QUERIES}),
-reqs AS (SELECT qid, qv, CASE (qid // 20) % 4 WHEN 0 THEN 10 WHEN 1 THEN 3 WHEN 2 THEN 25 ELSE 100 END AS topk,
-                CASE (qid // 20) % 3 WHEN 0 THEN '' WHEN 1 THEN '20250817,,20250815' ELSE '20250816' END AS days FROM qs WHERE qid NOT IN (100, 140)
+whole AS (SELECT qid, qv, CASE (qid // 20) % 4 WHEN 0 THEN 10 WHEN 1 THEN 3 WHEN 2 THEN 25 ELSE 100 END AS topk, '' AS days FROM qs WHERE qid NOT IN (100, 140)),
+reqs AS (SELECT * FROM whole
+         UNION ALL SELECT qid, qv, topk, CASE (qid // 20) % 3 WHEN 1 THEN '20250817,,20250815' ELSE '20250816' END FROM whole WHERE (qid // 20) % 3 <> 0
          UNION ALL SELECT qid, qv, 2, '' FROM qs WHERE qid = 60),
 n AS (SELECT *, row_number() OVER () AS no FROM reqs),
 s AS (SELECT no, qid, topk, c.id, list_inner_product(c.value, qv) AS score, deviceCode, createTime, dt
@@ -76,17 +77,19 @@ UNION ALL SELECT 140, NULL, NULL, NULL, NULL, NULL, 'no vector'
 UNION ALL SELECT 160, NULL, NULL, NULL, NULL, NULL, 'topk must be positive'
 """)
 def stream_request_topk(spark, sf_dir):
-    """T5: a stream of search requests: topk absent (10), small and large; day lists; two requests of one qid;
-    requests that can't be answered."""
+    """T5: a stream of search requests, every 20th row against all rows: topk absent (10), small and large; two of three
+    ask again with a day list, one with another topk; requests that can't be answered."""
     view = collection_view(spark, sf_dir)
     qs = stored_queries(view)
     topk = F.expr("CASE qid div 20 % 4 WHEN 1 THEN 3 WHEN 2 THEN 25 WHEN 3 THEN 100 END").cast("int")
     vec = F.when(F.col("qid") == 100, F.slice("vec", 1, 10)).when(F.col("qid") != 140, F.col("vec"))
-    reqs = qs.select("qid", vec.alias("vec"), topk.alias("topk"), F.expr("CASE qid div 20 % 3 WHEN 0 THEN '' WHEN 1 THEN '20250817,,20250815' ELSE '20250816' END").alias("partitions"))
+    reqs = qs.select("qid", vec.alias("vec"), topk.alias("topk"), F.lit("").alias("partitions"))
+    listed = reqs.where("qid div 20 % 3 <> 0 AND qid NOT IN (100, 140)").withColumn(
+        "partitions", F.expr("CASE qid div 20 % 3 WHEN 1 THEN '20250817,,20250815' ELSE '20250816' END"))
     again = qs.where("qid = 60").select("qid", "vec", F.lit(2).alias("topk"), F.lit("").alias("partitions"))
     none = qs.where("qid = 160").select("qid", "vec", F.lit(0).alias("topk"), F.lit("").alias("partitions"))
     source = scratch_path(spark, "request-rows")
-    rows = reqs.unionByName(again).unionByName(none)
+    rows = reqs.unionByName(listed).unionByName(again).unionByName(none)
     rows.write.parquet(source)
     sink, ckpt = scratch(spark, "search-requests")
     run_to_end(search_request_stream(file_stream(spark, source, rows.schema), view.select("id", "value", "deviceCode", "createTime", "dt"), sink, ckpt, "IP",
