@@ -59,6 +59,8 @@ SCORE_CELLS = 1 << 22
 SHARD_DOCS = 4096
 SMALL_SHARD = 1024
 SPREAD_SHARDS = 64
+# Shards of one task of a search, about: what it sorts does not grow with the index.
+TASK_SHARDS = 4
 # Terms that a scan is asked for by value; more are joined.
 MAX_IN_TERMS = 20_000
 # Tokens that are counted in one step.
@@ -77,7 +79,7 @@ class BM25Index:
     @property
     def tasks(self) -> int:
         """Tasks that the shards of a search are dealt to."""
-        return min(self.shards + 1, _tasks(self.blocks))
+        return max(min(self.shards + 1, _tasks(self.blocks)), self.shards // TASK_SHARDS)
 
     @property
     def postings(self) -> DataFrame:
@@ -280,7 +282,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shard = F.when(F.col(id_col).isNull(), F.lit(NO_ID)).otherwise(F.pmod(F.xxhash64(id_col), F.lit(shards)).cast("int"))
     rows = docs.select(shard.alias("shard"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     # a shard's texts follow each other; they are cut into words where they arrive
-    sorted_rows = rows.repartition(min(shards, 16 * spark.sparkContext.defaultParallelism) if shards <= SPREAD_SHARDS else shards // 8, "shard").sortWithinPartitions("shard")
+    sorted_rows = rows.repartition(min(shards, 16 * spark.sparkContext.defaultParallelism) if shards <= SPREAD_SHARDS else shards, "shard").sortWithinPartitions("shard")
     tokens = sorted_rows.select("shard", "doc_id", tokenize(F.col("_text")).alias("tokens"))
     schema = _block_schema(kind)
 
