@@ -48,6 +48,25 @@ def test_cache_limit_changes_nothing(monkeypatch):
         assert list(map(int, coder.encode([t])[0])) == ids
 
 
+def test_pieces_asked_for_again_outlive_a_full_cache(monkeypatch):
+    monkeypatch.setattr(T, "CACHE_PIECES", 4)
+    coder = T.PieceCoder(PATH)
+    learned, words = [], coder.words
+    monkeypatch.setattr(coder, "words", lambda some: learned.extend(some) or words(some))
+    library = Tokenizer.from_file(PATH)
+    for i in range(30):
+        text = f"always here {'abcdefghijklmnopqrstuvwxyzabcdef'[i:i + 3]} l'été, {chr(97 + i % 26) * 5}"
+        assert coder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert learned.count("always") == learned.count("here") == 1
+
+
+def test_white_space_and_runs_as_the_library():
+    coder, library = T.PieceCoder(PATH), Tokenizer.from_file(PATH)
+    spaces = [c for c in map(chr, range(0x110000)) if c.isspace()]
+    texts = [f"ab.{c}cd,{c}{c}9.{c}é." for c in spaces] + ["", "  ", None, "l'été d'ours «élan»—'sûr’s x_y ñ_9ñ 'sé ½a a²b ...'tis 's's"]
+    assert [x.tolist() for x in coder.encode(texts)] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("block_ids", [1, 50, 1 << 15])
 def test_files_in_id_order(spark, block_ids):
     docs, path = edge_docs(spark).repartition(3), scratch_path(spark, "tokens-test")

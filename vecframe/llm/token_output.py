@@ -9,7 +9,8 @@ Blocks are rows of a Parquet data set ``(part, block, ids_before, n_ids, payload
 files safe against lost executors and any store that Spark can write will do.
 
 The tokenizer's pre-tokenizer never lets a token span white space and its normalizer works within it, so texts are
-encoded piece by piece between white space, each distinct piece once per worker (bounded cache).
+encoded piece by piece between white space, each distinct piece of a slice of texts once, and by the
+library once per worker (bounded cache).
 
 Defined results: a null or empty text has the end id alone; null ids sort first; repeated ids sort by text; other columns are not
 read; an empty table writes no blocks and reads back as no rows.
@@ -26,6 +27,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -43,9 +45,9 @@ SEGMENT = 240
 #: Ids after which a block is closed (it holds whole documents).
 BLOCK_IDS = 1 << 16
 #: Bytes of text whose pieces are looked up together.
-SLICE_BYTES = 4 << 20
-#: Distinct pieces (some 200 bytes each) that a worker's cache holds before it starts afresh.
-CACHE_PIECES = 800_000
+SLICE_BYTES = 8 << 20
+#: Distinct pieces (some 200 bytes each) after which a worker's cache becomes the older half of it, and the half before that is dropped.
+CACHE_PIECES = 400_000
 
 HEADER = struct.Struct("<4sIIII")
 MAGIC = b"S8B1"
@@ -158,12 +160,15 @@ def unpack_block(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return doc_ids, known.astype(bool), counts.astype(np.int64), decode_words(words, offsets.astype(np.int64), n)
 
 
-#: A sign of ,. between a letter or number and white space: a token of its own.
-LONE_SIGN = re.compile(r"[.,](?<=[^\W_][.,])(?=\s)")
+#: A sign of ,. between a letter or number and white space: a token of its own (RE2, as Arrow has it).
+LONE_SIGN = r"([a-z0-9])([.,])(\s)"
 
+#: Signs outside ASCII that are common in prose.
+SIGNS = "\u2018\u2019\u201c\u201d\u2013\u2014\u2026\u00ab\u00bb"
 
-#: Tokens of an ASCII piece in lower case without apostrophes.
-RUNS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+#: Tokens of a piece in lower case, as the pre-tokenizer splits it, if all of it is ASCII, letters and ``SIGNS``.
+RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
+PLAIN = re.compile(f"[\x21-\x7e{SIGNS}]+")
 
 
 class PieceCoder:
@@ -182,6 +187,7 @@ class PieceCoder:
         size = self.tokenizer.get_vocab_size()
         self.ends_word = np.array([str(self.tokenizer.id_to_token(i)).endswith("</w>") for i in range(size)])
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -200,42 +206,68 @@ class PieceCoder:
                 out += map(self.whole, part)
         return out
 
-    def learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of new pieces: ASCII pieces by their runs of letters, digits and runs of other signs, as the pre-tokenizer splits them."""
-        plain = [x for x in new if x.isalpha()]
-        odd = [x for x in new if not x.isalpha()]
-        runs = {x: RUNS.findall(x) for x in odd if x.isascii() and "'" not in x}
-        rest = {r for parts in runs.values() for r in parts} | {x for x in odd if x not in runs}
-        plain += {x for x in rest if x.isalpha()} - self.cache.keys() - set(plain)
-        got = dict(zip(plain, self.words(plain)))
-        rest = [x for x in rest if x not in got and x not in self.cache]
-        got.update((x, np.array(e.ids, "<u4").tobytes()) for x, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)))
-        known = lambda r: got[r] if r in got else self.cache[r]
-        got.update((x, b"".join(map(known, parts))) for x, parts in runs.items() if len(parts) > 1)
-        return got
-
-    def pieces(self, text: str | None) -> list[str] | None:
-        """The normalized pieces of a text; None if only the library itself may split it."""
+    def learn(self, new: list[str]) -> None:
+        """Put the ids of new pieces into the cache: words of letters, other pieces by their runs of letters, digits and runs of other signs."""
+        cache = self.cache
+        runs, rest = {}, set()
+        words = []
+        for x in new:  # an empty one, before the first or after the last white space, has no runs
+            if x.isalpha():
+                words.append(x)
+            elif x.isascii() or not (y := PLAIN.sub("", x)) or y.isalpha():
+                runs[x] = parts = RUNS.findall(x)
+                rest.update(parts)
+            else:
+                rest.add(x)
+        rest = [x for x in rest if x not in cache]
+        words = list(dict.fromkeys([*words, *(x for x in rest if x.isalpha())]))
+        cache.update(zip(words, self.words(words)))
+        rest = [x for x in rest if x not in cache]
+        cache.update((x, np.array(e.ids, "<u4").tobytes()) for x, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)))
+        cache.update((x, b"".join([cache[r] for r in parts])) for x, parts in runs.items())
+
+    def normal(self, text: str | None) -> str | None:
+        """The normalized text, which splits at white space; None if only the library itself may split it."""
         if not text:
-            return []
+            return ""
         if not text.isascii():
             # a capital sigma's lower case depends on its place for Python alone
             if "\u03a3" in text or not unicodedata.is_normalized("NFC", text):
                 return None
         if any(c in text for c in "\x1c\x1d\x1e\x1f") or any(t in text for t in self.special):  # the first four only Python takes for white space
             return None
-        return LONE_SIGN.sub(r" \g<0>", text.lower()).split()
+        return text.lower()
+
+    def ids_of(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces."""
+        if len(self.cache) > CACHE_PIECES:  # what is asked for again comes back from the older half
+            self.older, self.cache = self.cache, {}
+        cache, older = self.cache, self.older
+        found = list(map(cache.get, pieces))
+        missing = [i for i, b in enumerate(found) if b is None]
+        if older:
+            cache.update((x, older[x]) for x in map(pieces.__getitem__, missing) if x in older)
+        self.learn([x for x in map(pieces.__getitem__, missing) if x not in cache])
+        for i in missing:
+            found[i] = cache[pieces[i]]
+        return found
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [self.pieces(t) for t in texts]
-        cache = self.cache
-        used = set().union(*(p for p in split if p))
-        new = list(used.difference(cache))
-        if len(cache) + len(new) > CACHE_PIECES:
-            cache.clear()
-            new = list(used)
-        cache.update(self.learn(new))
-        return [np.frombuffer(self.whole(t) if p is None else b"".join(map(cache.__getitem__, p)), "<u4") for t, p in zip(texts, split)]
+        """The ids of every text.  Arrow splits the texts and numbers their distinct pieces, whose ids are then laid out by place."""
+        normal = [self.normal(t) for t in texts]
+        apart = pc.replace_substring_regex(pa.array([t or "" for t in normal], pa.string()), LONE_SIGN, r"\1 \2\3")
+        split = pc.utf8_split_whitespace(apart)
+        coded = split.flatten().dictionary_encode()
+        parts = self.ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        place = coded.indices.to_numpy()
+        pool = np.frombuffer(b"".join(parts), "<u4")
+        length = np.fromiter(map(len, parts), np.int32, len(parts)) // 4
+        first = np.cumsum(length, dtype=np.int32) - length
+        n = length[place]
+        ends = np.concatenate((np.zeros(1, np.int32), np.cumsum(n, dtype=np.int32)))  # no more ids than bytes of text
+        flat = pool[np.repeat(first[place] - ends[:-1], n) + np.arange(ends[-1], dtype=np.int32)]
+        cuts = ends[split.offsets.to_numpy()].tolist()
+        return [np.frombuffer(self.whole(t), "<u4") if x is None else flat[a:b] for t, x, a, b in zip(texts, normal, cuts, cuts[1:])]
 
 
 @functools.lru_cache(maxsize=2)
